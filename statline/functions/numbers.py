@@ -8,11 +8,12 @@ from pyspark.sql import types as T
 
 
 def round2(value: Column) -> Column:
-    """Round a double to two places the way binary floating point engines do: scale, round half away, scale back.
+    """Round a double to two places in binary arithmetic: scale, round half away from zero, scale back.
 
     ``round(x, 2)`` alone works on the decimal text of the double and gives 1.01 for 1.005, whose value is below 1.005.
+    The sign is kept apart, so a small negative value gives -0.0.
     """
-    return F.round(value * 100, 0) / 100
+    return F.signum(value) * F.round(F.abs(value) * 100, 0) / 100
 
 
 def ratio(part: Column, whole: Column) -> Column:

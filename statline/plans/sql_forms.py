@@ -13,13 +13,16 @@ from statline.operators.aggregates import Measure, Rate
 from statline.plans import marts
 
 
+def _round2_sql(value: str) -> str:
+    return f"SIGN({value}) * ROUND(ABS({value}) * 100, 0) / 100"
+
+
 def _ratio_sql(measure: Measure) -> str:
     if isinstance(measure, Rate):
         part, whole, unit = f"SUM({measure.source})", f"SUM({measure.exposure})", f" * {measure.unit}"
     else:
         part, whole, unit = f"SUM({measure.part})", " + ".join(f"SUM({c})" for c in measure.whole), ""
-    guarded = f"CASE WHEN {whole} > 0 THEN CAST({part} AS DOUBLE) / CAST({whole} AS DOUBLE){unit} END"
-    return f"ROUND(({guarded}) * 100, 0) / 100"
+    return _round2_sql(f"CASE WHEN {whole} > 0 THEN CAST({part} AS DOUBLE) / CAST({whole} AS DOUBLE){unit} END")
 
 
 def player_view(players: DataFrame, teams: DataFrame, stats: DataFrame) -> DataFrame:
@@ -60,9 +63,9 @@ def team_summary(view: DataFrame, teams: DataFrame, team_id: str | None) -> Data
     for c in marts.SUMMARY_ORDER:
         if c in marts.SUMMARY_MEANS:
             mean = f"CAST(SUM(CAST(a.{c} AS DECIMAL(18, 2))) AS DOUBLE) / NULLIF(COUNT(a.{c}), 0)"
-            columns.append(f"ROUND(({mean}) * 100, 0) / 100 AS avg_{c}")
+            columns.append(f"{_round2_sql(mean)} AS avg_{c}")
         elif c in marts.SUMMARY_SUMS:
-            columns.append(f"ROUND(CAST(SUM(a.{c}) AS DOUBLE) * 100, 0) / 100 AS total_{c}")
+            columns.append(f"{_round2_sql(f'CAST(SUM(a.{c}) AS DOUBLE)')} AS total_{c}")
         else:
             columns.append(f"SUM(a.{c}) AS total_{c}")
     where, values = ("WHERE a.team_id = :team_id", {"team_id": team_id}) if team_id is not None else ("", None)

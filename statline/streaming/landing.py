@@ -26,31 +26,34 @@ def _number_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.set_column(batch.schema.get_field_index(_PLACE), _PLACE, place)
 
 
-def _csv_stream(spark: SparkSession, raw_dir: str, dataset: str) -> DataFrame:
+def _csv_stream(spark: SparkSession, raw_dir: str, dataset: str, pattern: str) -> DataFrame:
     files = spark.readStream.schema(DATASETS[dataset].text_schema).option("header", True)
-    rows = files.option("enforceSchema", False).option("pathGlobFilter", f"{dataset}*.csv").csv(raw_dir)
+    rows = files.option("enforceSchema", False).option("pathGlobFilter", pattern).csv(raw_dir)
     placed = rows.select("*", file_position(F.lit(0)), F.lit(0).cast("bigint").alias(_PLACE))
     # The JVM row counter is not available on streams.
     numbered = placed.mapInArrow(_number_rows, placed.schema)
     return numbered.withColumn(SEQ, F.col(SEQ).withField("position", F.col(_PLACE))).drop(_PLACE)
 
 
-def _json_stream(spark: SparkSession, raw_dir: str, dataset: str) -> DataFrame:
+def _json_stream(spark: SparkSession, raw_dir: str, dataset: str, pattern: str) -> DataFrame:
     reader = spark.readStream.schema(T.StructType([T.StructField("value", T.StringType())]))
-    text = reader.option("wholetext", True).option("pathGlobFilter", f"{dataset}*.json").text(raw_dir)
+    text = reader.option("wholetext", True).option("pathGlobFilter", pattern).text(raw_dir)
     return document_rows(documents(text).filter(F.col("data").isNotNull()), dataset)
 
 
 def stream_to_landing(spark: SparkSession, dataset: str, raw_dir: str, landing_dir: str,
-                      checkpoint_dir: str) -> StreamingQuery:
+                      checkpoint_dir: str, pattern: str | None = None) -> StreamingQuery:
     """Land all files of a dataset that have not been landed before and stop.
 
+    ``pattern`` picks the files in the raw folder, ``<dataset>*.csv`` or ``<dataset>*.json`` by default.
+
     The checkpoint plays the part of the high-water mark, per file instead of per day: a restart after a failure neither
     skips nor repeats a file. Files are taken by name, so a changed file needs a new name. Later copies of a key are
     told apart by ``_seq`` when the landed rows are cleaned.
     """
-    stream = _csv_stream if DATASETS[dataset].source == "csv" else _json_stream
-    rows = stream(spark, raw_dir, dataset)
+    source = DATASETS[dataset].source
+    stream = _csv_stream if source == "csv" else _json_stream
+    rows = stream(spark, raw_dir, dataset, pattern or f"{dataset}*.{source}")
     return (
         rows.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", f"{checkpoint_dir.rstrip('/')}/{dataset}")
