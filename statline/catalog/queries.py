@@ -134,7 +134,7 @@ def upsert_players(spark: SparkSession, folder: str) -> DataFrame:
     teams = clean_teams(raw["teams"])
 
     def delivery(seq: int) -> DataFrame:
-        cleaned = clean_players(raw["players"].filter(F.col(SEQ) == seq), teams, F.lit(AS_OF))
+        cleaned = clean_players(raw["players"].filter(F.col(SEQ) == seq), teams, AS_OF)
         return split_contract(cleaned, DATASETS["players"].mart_schema)[0]
 
     return _text_dates(upsert(delivery(1), delivery(2), DATASETS["players"].key))

@@ -40,7 +40,7 @@ def clean_teams(teams: DataFrame, order: Order = (SEQ,)) -> DataFrame:
     return keep_last(teams, ["team_id"], order)
 
 
-def clean_players(players: DataFrame, teams: DataFrame, as_of: Column | None = None, day_first: bool = False,
+def clean_players(players: DataFrame, teams: DataFrame, as_of: dt.date | Column | None = None, day_first: bool = False,
                   order: Order = (SEQ,)) -> DataFrame:
     """Players of existing teams with grouped positions, real dates and the age on ``as_of`` (default: today)."""
     normalised = typed(players, "players").withColumns({
@@ -49,7 +49,7 @@ def clean_players(players: DataFrame, teams: DataFrame, as_of: Column | None = N
         "contract_until": normalize_date(F.col("contract_until"), day_first),
     })
     linked = keep_matching(normalised, {"team_id": (teams, "team_id")}, unique=True)
-    today = F.current_date() if as_of is None else as_of
+    today = F.current_date() if as_of is None else F.lit(as_of)
     return keep_last(linked, ["player_id"], order).withColumn("age", age_at(F.col("date_of_birth"), today))
 
 
@@ -97,10 +97,9 @@ def clean_all(datasets: Mapping[str, DataFrame], as_of: dt.date | None = None, d
     Children are checked against the *cleaned* parents. ``keep`` stores a cleaned table and gives it back, so that
     parents are not computed again for each child.
     """
-    day = None if as_of is None else F.lit(as_of)
     steps: dict[str, Callable[..., DataFrame]] = {
         "teams": lambda df: clean_teams(df, order),
-        "players": lambda df, teams: clean_players(df, teams, day, day_first, order),
+        "players": lambda df, teams: clean_players(df, teams, as_of, day_first, order),
         "matches": lambda df: clean_matches(df, day_first, order),
         "player_match_stats": lambda df, players, matches: clean_player_match_stats(df, players, matches, order),
         "match_events": lambda df, matches, teams, players: clean_match_events(df, matches, teams, players, order),

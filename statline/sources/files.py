@@ -26,3 +26,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     """The path in full, as Spark lists it."""
     fs, target = _hadoop(spark, path)
     return fs.makeQualified(target).toString().rstrip("/")
+
+
+def replace(spark: SparkSession, new: str, target: str) -> None:
+    """Put the folder ``new`` in the place of ``target``."""
+    fs, source = _hadoop(spark, new)
+    _, destination = _hadoop(spark, target)
+    fs.delete(destination, True)
+    if not fs.rename(source, destination):
+        raise OSError(f"could not move {new} to {target}")

@@ -10,6 +10,7 @@ import datetime as dt
 import logging
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +25,6 @@ log = logging.getLogger(__name__)
 
 SUFFIXES = ("csv", "json")
 
-# A document longer than this is not put through the strict parser, whose values are limited in size.
-_STRICT_LIMIT = 8 * 1024 * 1024
-
 
 @dataclass(frozen=True)
 class Source:
@@ -87,16 +85,17 @@ def read_csv(spark: SparkSession, path: str, dataset: str | None = None) -> Data
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row ``(file, data, _seq)`` per JSON file; ``data`` is null where the text is no JSON document."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return documents(text.filter(F.length(F.trim("value")) > 0))
 
 
 def documents(text: DataFrame) -> DataFrame:
+    """Whole texts to document cells. The parser stops after the first value of a text; as an element of a list, a
+    text with more than one value shows."""
     value = F.col("value")
-    lenient = F.get_json_object(value, "$")
-    strict = (F.length(value) > _STRICT_LIMIT) | F.try_parse_json(value).isNotNull()
-    return text.select(F.col("_metadata.file_path").alias("file"), F.when(strict, lenient).alias("data"),
-                       file_position(F.lit(0)))
+    single = F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1
+    return text.select(F.col("_metadata.file_path").alias("file"),
+                       F.when(single, F.get_json_object(value, "$")).alias("data"), file_position(F.lit(0)))
 
 
 def document_rows(cells: DataFrame, dataset: str) -> DataFrame:
@@ -110,7 +109,7 @@ def document_rows(cells: DataFrame, dataset: str) -> DataFrame:
 
 def land(spark: SparkSession, source: Source, landing_dir: str) -> bool:
     """Write one source to landing, replacing what it landed before; False if it holds nothing readable."""
-    target = f"{landing_dir.rstrip('/')}/{source.name}.parquet"
+    landing = landing_dir.rstrip("/")
     if source.size == 0:
         log.warning("empty source, skipped: %s", source.path)
         return False
@@ -124,12 +123,15 @@ def land(spark: SparkSession, source: Source, landing_dir: str) -> bool:
         broken = cells.filter(F.col("data").isNull()).select("file")
         if not broken.isEmpty():
             log.error("not valid JSON, listed in quarantine: %s", source.path)
-            broken.write.mode("overwrite").parquet(f"{landing_dir.rstrip('/')}/_quarantine/{source.name}")
+            broken.write.mode("overwrite").parquet(f"{landing}/_quarantine/{source.name}")
         cells = cells.filter(F.col("data").isNotNull())
         if cells.isEmpty():
             return False
         rows = document_rows(cells, source.name) if source.name in DATASETS else cells.drop(SEQ)
-    rows.write.mode("overwrite").parquet(target)
+    # What landed before is replaced only after the new rows are complete.
+    incoming = f"{landing}/_incoming/{source.name}"
+    rows.write.mode("overwrite").parquet(incoming)
+    files.replace(spark, incoming, f"{landing}/{source.name}.parquet")
     return True
 
 
@@ -137,19 +139,21 @@ def ingest_raw(spark: SparkSession, raw_dir: str, landing_dir: str, warehouse: W
                today: dt.date | None = None) -> list[str]:
     """Land every new source and give the names landed; an unreadable source is logged and skipped.
 
-    ``force`` ignores the mark. The mark moves to ``today`` only if something landed.
+    ``force`` ignores the mark. The mark moves to ``today`` if something landed and no read failed: after a failed job
+    the next run takes the same sources again.
     """
     if not files.exists(spark, raw_dir):
         log.error("raw folder not found: %s", raw_dir)
         return []
     since = None if force else read_mark(warehouse)
-    landed = []
+    landed, failed = [], []
     for source in list_sources(spark, raw_dir, since):
         try:
             if land(spark, source, landing_dir):
                 landed.append(source.name)
-        except PySparkException:
+        except (PySparkException, Py4JJavaError):
             log.exception("could not land %s", source.path)
-    if landed:
+            failed.append(source.name)
+    if landed and not failed:
         advance_mark(warehouse, today or dt.date.today())
     return landed

@@ -37,7 +37,7 @@ def _csv_stream(spark: SparkSession, raw_dir: str, dataset: str, pattern: str) -
 
 def _json_stream(spark: SparkSession, raw_dir: str, dataset: str, pattern: str) -> DataFrame:
     reader = spark.readStream.schema(T.StructType([T.StructField("value", T.StringType())]))
-    text = reader.option("wholetext", True).option("pathGlobFilter", pattern).text(raw_dir)
+    text = reader.option("pathGlobFilter", pattern).text(raw_dir, wholetext=True)
     return document_rows(documents(text).filter(F.col("data").isNotNull()), dataset)
 
 
