@@ -23,8 +23,8 @@ from statline.operators import (
 )
 from statline.plans.clean import clean_all, clean_players, clean_teams
 from statline.plans.marts import player_view, search_players, team_summary, team_top
-from statline.plans.quality import check_all, check_dataset, duplicates, quality_report, quality_summary, quality_warnings
-from statline.plans.reports import PROFILES, profile, store_player_view
+from statline.plans.quality import check_all, check_dataset, quality_report, quality_summary, quality_warnings
+from statline.plans.reports import PROFILES, VIEW_TABLE, profile, store_player_view
 from statline.plans.rulebook import rules_for
 from statline.schemas import DATASETS, SEQ
 from statline.session import work_dir
@@ -53,9 +53,38 @@ def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: split_contract(df, DATASETS[name].mart_schema)[0] for name, df in cleaned.items()}
 
 
-def _view(spark: SparkSession, folder: str, form: str = "dataframe") -> tuple[DataFrame, DataFrame]:
+def _fresh_view(spark: SparkSession, folder: str, form: str = "dataframe") -> DataFrame:
+    """The player view in one plan, from the raw rows on."""
     tables = _tables(spark, folder)
-    return player_view(tables["players"], tables["teams"], tables["player_match_stats"], form), tables["teams"]
+    return player_view(tables["players"], tables["teams"], tables["player_match_stats"], form)
+
+
+def _store(spark: SparkSession, folder: str, form: str = "sql") -> Warehouse:
+    """Clean, save under contract and store the player view."""
+    warehouse = Warehouse(spark, work_dir(spark, "warehouse"))
+    staging = work_dir(spark, "cleaned")
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{staging}/{name}")
+        return spark.read.parquet(f"{staging}/{name}")
+
+    raw = raw_datasets(spark, folder, "teams", "players", "matches", "player_match_stats")
+    cleaned = clean_all(raw, AS_OF, keep=stage)
+    for name in ("teams", "players", "player_match_stats"):
+        warehouse.save(name, cleaned[name])
+    store_player_view(warehouse, form)
+    return warehouse
+
+
+_STORED: dict[tuple[str, str], Warehouse] = {}
+
+
+def _view(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Stored player view and teams. Searches and reports read them as users do: built once per application."""
+    place = (spark.sparkContext.applicationId, folder)
+    if place not in _STORED:
+        _STORED[place] = _store(spark, folder)
+    return _STORED[place].read(VIEW_TABLE), _STORED[place].read(DATASETS["teams"].table)
 
 
 # --- scouting plans ------------------------------------------------------------------------------------------------------
@@ -65,7 +94,7 @@ def _clean(name: str, *needed: str) -> Query:
 
 
 def _shown_view(form: str) -> Query:
-    return lambda spark, folder: _text_dates(_view(spark, folder, form)[0])
+    return lambda spark, folder: _text_dates(_fresh_view(spark, folder, form))
 
 
 def _search(form: str, position: str | None = None, **limits) -> Query:
@@ -87,7 +116,7 @@ def _top(form: str, team_id: str | None = None) -> Query:
 def _violations(name: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         df = raw_datasets(spark, folder, name)[name]
-        return rules_for(name, df).violations(df, DATASETS[name].key).drop("position")
+        return rules_for(name, df).violations(df, DATASETS[name].key).drop("place")
     return query
 
 
@@ -114,18 +143,7 @@ _BOUNDED = {
 
 def stored_player_view(spark: SparkSession, folder: str) -> DataFrame:
     """Clean, save under contract, build the view from the stored tables and read the stored view."""
-    warehouse = Warehouse(spark, work_dir(spark, "warehouse"))
-    staging = work_dir(spark, "cleaned")
-
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{staging}/{name}")
-        return spark.read.parquet(f"{staging}/{name}")
-
-    raw = raw_datasets(spark, folder, "teams", "players", "matches", "player_match_stats")
-    cleaned = clean_all(raw, AS_OF, keep=stage)
-    for name in ("teams", "players", "player_match_stats"):
-        warehouse.save(name, cleaned[name])
-    return _text_dates(store_player_view(warehouse, "sql"))
+    return _text_dates(_store(spark, folder).read(VIEW_TABLE))
 
 
 def upsert_players(spark: SparkSession, folder: str) -> DataFrame:
@@ -158,7 +176,7 @@ def label_census_positions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def duplicate_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return duplicates("player_match_stats", raw_datasets(spark, folder, "player_match_stats")["player_match_stats"])
+    return check_dataset("player_match_stats", raw_datasets(spark, folder, "player_match_stats")).duplicates
 
 
 def top3_csv_report(spark: SparkSession, folder: str) -> DataFrame:

@@ -122,8 +122,8 @@ PLAYER_MATCH_STATS = """
                || '-' || LPAD(CAST(tax AS STRING), 3, '0') || '-' || l_returnflag || l_linestatus AS _seq
     FROM (
         SELECT l_orderkey, l_partkey, l_suppkey, l_returnflag, l_linestatus, CAST(l_linenumber AS BIGINT) AS line,
-               CAST(l_quantity AS BIGINT) AS qty, CAST(ROUND(l_discount * 100) AS BIGINT) AS disc,
-               CAST(ROUND(l_tax * 100) AS BIGINT) AS tax
+               CAST(l_quantity AS BIGINT) AS qty, CAST(FLOOR(l_discount * 100 + 0.5) AS BIGINT) AS disc,
+               CAST(FLOOR(l_tax * 100 + 0.5) AS BIGINT) AS tax
         FROM {lineitem}
     ) lines
 """

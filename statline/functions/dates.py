@@ -7,18 +7,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The date layouts a cleaner accepts, in order of preference.
-YEAR_FIRST = ("yyyy-M-d", "yyyy/M/d")
-MONTH_FIRST = "M/d/yyyy"
-DAY_FIRST = "d/M/yyyy"
+# The date layouts a cleaner accepts, as separator and order of year, month and day.
+YEAR_FIRST = (("-", "ymd"), ("/", "ymd"))
+MONTH_FIRST = ("/", "mdy")
+DAY_FIRST = ("/", "dmy")
 
 # The two layouts the quality rules accept.
-CHECKED_LAYOUTS = ("yyyy-M-d", "d/M/yyyy")
+CHECKED_LAYOUTS = (("-", "ymd"), DAY_FIRST)
 
+_DIGITS = {"y": r"\d{4}", "m": r"\d{1,2}", "d": r"\d{1,2}"}
 
-def parse_first(value: Column, layouts: Sequence[str]) -> Column:
+Layout = tuple[str, str]
+
+
+def parse_layout(text: Column, layout: Layout) -> Column:
+    """Date from text in one layout, null if it does not fit.
+
+    The parts are put in ISO order and cast: a format parser would raise and catch an error for every text in another
+    layout, which costs far more.
+    """
+    separator, order = layout
+    parts = F.split(text, separator)
+    iso = F.concat_ws("-", *[F.get(parts, F.lit(order.index(part))) for part in "ymd"])
+    return F.when(text.rlike(f"^{separator.join(_DIGITS[part] for part in order)}$"), iso.try_cast("date"))
+
+
+def parse_first(text: Column, layouts: Sequence[Layout]) -> Column:
     """Date from the first layout that fits, null if none does."""
-    return F.coalesce(*[F.try_to_date(value, layout) for layout in layouts])
+    return F.coalesce(*[parse_layout(text, layout) for layout in layouts])
 
 
 def normalize_date(value: Column, day_first: bool = False) -> Column:
@@ -34,11 +50,11 @@ def normalize_date(value: Column, day_first: bool = False) -> Column:
 def is_ambiguous_date(value: Column) -> Column:
     """True where both slash readings give a date and the two dates differ."""
     text = F.trim(value)
-    month_first, day_first = F.try_to_date(text, MONTH_FIRST), F.try_to_date(text, DAY_FIRST)
+    month_first, day_first = parse_layout(text, MONTH_FIRST), parse_layout(text, DAY_FIRST)
     return F.coalesce(month_first != day_first, F.lit(False))
 
 
-def matches_layout(value: Column, layouts: Sequence[str] = CHECKED_LAYOUTS) -> Column:
+def matches_layout(value: Column, layouts: Sequence[Layout] = CHECKED_LAYOUTS) -> Column:
     """True where the text is a date in one of the layouts."""
     return parse_first(value, layouts).isNotNull()
 

@@ -28,12 +28,6 @@ class Rule:
     def failed(self) -> Column:
         return F.coalesce(self.violated, F.lit(False))
 
-    def violation(self, kind: str) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"), F.lit(self.name).alias("rule"), F.lit(self.column).alias("column"),
-            self.message.alias("message"),
-        )
-
 
 def _any(rules: Sequence[Rule]) -> Column:
     return reduce(or_, [rule.failed for rule in rules], F.lit(False))
@@ -49,21 +43,51 @@ class RuleSet:
         """True on rows that fail any rule. Plain boolean expressions: this is all that counting needs."""
         return _any(self.field) | _any(self.cross)
 
-    def _failures(self) -> Column:
-        fields = F.array_compact(F.array(*[F.when(r.failed, r.violation("field")) for r in self.field]))
+    def _flags(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``_flags``: one boolean per rule, field rules first, in the order of the rules.
+
+        Only booleans are built per row; messages are written later and only for failures.
+        """
+        fields = df.withColumn("_fields", F.array(*[r.failed for r in self.field]))
         if not self.cross:
-            return fields
-        first = F.coalesce(*[F.when(r.failed, r.violation("cross")) for r in self.cross])
-        return F.when(_any(self.field), fields).otherwise(F.array(first))
+            return fields.withColumnRenamed("_fields", "_flags")
+        sound = ~F.array_contains("_fields", True)
+        cross = F.array(*[r.failed for r in self.cross])
+        first = F.array_position(cross, True)
+        only_first = F.array(*[sound & (first == i + 1) for i in range(len(self.cross))])
+        return fields.withColumn("_flags", F.concat("_fields", only_first)).drop("_fields")
+
+    def _described(self, failures: DataFrame, keep: Sequence[str]) -> DataFrame:
+        """Name the rule at ``_place`` (from 0) and write its message."""
+        rules = [("field", r) for r in self.field] + [("cross", r) for r in self.cross]
+        place = F.col("_place")
+
+        def constants(values: Sequence[str]) -> Column:
+            return F.element_at(F.array(*[F.lit(v) for v in values]), place + 1)
+
+        message = F.when(F.lit(False), F.lit(None).cast("string"))
+        for i, (_, rule) in enumerate(rules):
+            message = message.when(place == i, rule.message)
+        return failures.select(
+            *keep, place.alias("place"), constants([kind for kind, _ in rules]).alias("kind"),
+            constants([r.name for _, r in rules]).alias("rule"), constants([r.column for _, r in rules]).alias("column"),
+            message.alias("message"),
+        )
 
-    def violations(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        """One row per failure with its ``position`` among the failures of the row.
+    def _failures(self, df: DataFrame) -> DataFrame:
+        """One row per failure; ``_first`` is the place of the first failure of the row, counted from 1.
 
-        Sound rows are filtered out before any failure list is built.
+        The outer form keeps Spark from adding a filter that would evaluate all rules a second time.
         """
-        failures = df.filter(self.invalid).select(*keep, F.posexplode(self._failures()).alias("position", "failure"))
-        return failures.select(*keep, "position", "failure.*")
+        flagged = self._flags(df).withColumn("_first", F.array_position("_flags", True))
+        exploded = flagged.select(*df.columns, "_first", F.posexplode_outer("_flags").alias("_place", "_failed"))
+        return exploded.filter("_failed")
+
+    def violations(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        """One row per failure, with the ``place`` of the rule among the rules."""
+        return self._described(self._failures(df), keep)
 
     def first_violation(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """The first failure of each invalid row."""
-        return self.violations(df, keep).filter(F.col("position") == 0).drop("position")
+        first = self._failures(df).filter(F.col("_place") + 1 == F.col("_first"))
+        return self._described(first, keep).drop("place")

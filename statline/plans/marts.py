@@ -119,8 +119,8 @@ def search_players(view: DataFrame, position: str | None = None, form: str = "da
 
 
 def _team_summary(view: DataFrame, teams: DataFrame, team_id: str | None) -> DataFrame:
-    named = teams.select("team_id", "league", F.col("name").alias("team_name"))
-    joined = lookup(view.drop("team_name"), named, "team_id", "inner")
+    for condition in equals({"team_id": team_id}):
+        view = view.filter(condition)
     aggregates = []
     for c in SUMMARY_ORDER:
         if c in SUMMARY_MEANS:
@@ -129,10 +129,11 @@ def _team_summary(view: DataFrame, teams: DataFrame, team_id: str | None) -> Dat
             aggregates.append(round2(F.sum(c).cast("double")).alias(f"total_{c}"))
         else:
             aggregates.append(F.sum(c).alias(f"total_{c}"))
-    for condition in equals({"team_id": team_id}):
-        joined = joined.filter(condition)
-    grouped = joined.groupBy("team_id", "league", "team_name").agg(*aggregates)
-    return grouped.drop("team_id").orderBy(F.asc_nulls_last("team_name"))
+    # Teams have a unique key, so grouping first gives the same sums and leaves one row per team to join.
+    grouped = view.groupBy("team_id").agg(*aggregates)
+    named = teams.select("team_id", "league", F.col("name").alias("team_name"))
+    summary = lookup(grouped, named, "team_id", "inner").orderBy(F.asc_nulls_last("team_name"))
+    return summary.select("league", "team_name", *grouped.columns[1:])
 
 
 def team_summary(view: DataFrame, teams: DataFrame, team_id: str | None = None, form: str = "dataframe") -> DataFrame:

@@ -6,9 +6,8 @@ row invalid.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, field
-from functools import reduce
+from collections.abc import Iterable, Mapping
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +17,7 @@ from statline.functions.text import composite_key
 from statline.operators.keys import duplicate_keys
 from statline.operators.links import orphan_keys
 from statline.operators.profile import label_census, null_profile, validity
+from statline.operators.rules import RuleSet
 from statline.plans.rulebook import rules_for
 from statline.schemas import DATASETS, SEQ
 
@@ -26,25 +26,9 @@ LABELLED = {"players": ("position",)}
 PROFILED = {"players": ("market_value", "contract_until")}
 DATED = {"players": ("date_of_birth", "contract_until"), "matches": ("match_date",)}
 
-_WARNING = "dataset string, check string, column string, n_keys bigint, n_rows bigint"
 _NULLS = "column string, null_count bigint, null_percentage double"
 
 
-@dataclass(frozen=True)
-class DatasetQuality:
-    """Findings on one dataset."""
-
-    name: str
-    summary: DataFrame
-    violations: DataFrame
-    first_violations: DataFrame
-    warnings: DataFrame
-    nulls: DataFrame
-    duplicates: DataFrame
-    orphans: dict[str, DataFrame] = field(default_factory=dict)
-    labels: dict[str, DataFrame] = field(default_factory=dict)
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -56,54 +40,88 @@ def _warning(dataset: str, check: str, column: str, keys: DataFrame) -> DataFram
     return counted.select(*names, "n_keys", "n_rows")
 
 
-def _empty_warning(dataset: str, summary: DataFrame) -> DataFrame:
-    names = (F.lit(dataset).alias("dataset"), F.lit("empty").alias("check"), F.lit("").alias("column"))
-    zero = F.lit(0).cast("bigint")
-    return summary.filter("total_rows = 0").select(*names, zero.alias("n_keys"), zero.alias("n_rows"))
+class DatasetQuality:
+    """Findings on one dataset, each planned when first asked for.
 
+    Orphans are judged against the raw parent tables in ``datasets``.
+    """
 
-def duplicates(dataset: str, df: DataFrame) -> DataFrame:
-    """Repeated keys of a dataset as one text column ``duplicate_key``, and their number of rows."""
-    key = DATASETS[dataset].key
-    return duplicate_keys(df, key).select(composite_key(*map(F.col, key)).alias("duplicate_key"), "n_rows")
+    def __init__(self, name: str, datasets: Mapping[str, DataFrame]):
+        self.name, self.spec, self.df, self.datasets = name, DATASETS[name], datasets[name], datasets
+
+    def _present(self, columns: Iterable[str]) -> list[str]:
+        return [c for c in columns if c in self.df.columns]
+
+    @cached_property
+    def rules(self) -> RuleSet:
+        return rules_for(self.name, self.df)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        """``dataset, total_rows, valid_rows, invalid_rows, valid_percentage``"""
+        return validity(self.df, self.rules.invalid).select(F.lit(self.name).alias("dataset"), "*")
+
+    @cached_property
+    def violations(self) -> DataFrame:
+        """One row per failed rule, with the row's key and arrival position."""
+        return self.rules.violations(self.df, self._present((*self.spec.key, SEQ)))
+
+    @cached_property
+    def first_violations(self) -> DataFrame:
+        """One row per invalid row."""
+        return self.rules.first_violation(self.df, self._present((*self.spec.key, SEQ)))
+
+    @cached_property
+    def duplicates(self) -> DataFrame:
+        """Repeated keys as one text column ``duplicate_key``, and their number of rows."""
+        key = self.spec.key
+        if len(self._present(key)) < len(key):
+            return self.df.sparkSession.createDataFrame([], "duplicate_key string, n_rows bigint")
+        return duplicate_keys(self.df, key).select(composite_key(*map(F.col, key)).alias("duplicate_key"), "n_rows")
+
+    @cached_property
+    def orphans(self) -> dict[str, DataFrame]:
+        """Missing parent keys of each foreign key, with their number of rows."""
+        return {
+            column: orphan_keys(self.df, column, self.datasets[parent], DATASETS[parent].key[0])
+            for column, parent in self.spec.references.items()
+            if parent in self.datasets and column in self.df.columns
+        }
+
+    @cached_property
+    def labels(self) -> dict[str, DataFrame]:
+        return {c: label_census(self.df, c) for c in self._present(LABELLED.get(self.name, ()))}
+
+    @cached_property
+    def nulls(self) -> DataFrame:
+        """``column, null_count, null_percentage``"""
+        profiled = self._present(PROFILED.get(self.name, ()))
+        return null_profile(self.df, profiled) if profiled else self.df.sparkSession.createDataFrame([], _NULLS)
+
+    @cached_property
+    def ambiguous_dates(self) -> dict[str, DataFrame]:
+        """Date texts that read differently month first and day first."""
+        return {
+            c: label_census(self.df.filter(is_ambiguous_date(F.col(c).cast("string"))), c)
+            for c in self._present(DATED.get(self.name, ()))
+        }
+
+    @cached_property
+    def warnings(self) -> DataFrame:
+        """``dataset, check, column, n_keys, n_rows``: what was found, nothing for what was not."""
+        names = (F.lit(self.name).alias("dataset"), F.lit("empty").alias("check"), F.lit("").alias("column"))
+        zeros = [F.lit(0).cast("bigint").alias(c) for c in ("n_keys", "n_rows")]
+        size = self.df.agg(F.count(F.lit(1)).alias("total_rows"))
+        found = [size.filter("total_rows = 0").select(*names, *zeros)]
+        found += [_warning(self.name, "orphan", c, keys) for c, keys in self.orphans.items()]
+        found.append(_warning(self.name, "duplicate", "-".join(self.spec.key), self.duplicates))
+        found += [_warning(self.name, "labels", c, census) for c, census in self.labels.items()]
+        found += [_warning(self.name, "ambiguous_date", c, texts) for c, texts in self.ambiguous_dates.items()]
+        return _union(found)
 
 
 def check_dataset(name: str, datasets: Mapping[str, DataFrame]) -> DatasetQuality:
-    """Check one dataset; orphans are judged against the raw parent tables in ``datasets``."""
-    spec, df = DATASETS[name], datasets[name]
-    rules = rules_for(name, df)
-    kept = [c for c in (*spec.key, SEQ) if c in df.columns]
-    summary = validity(df, rules.invalid).select(F.lit(name).alias("dataset"), "*")
-
-    repeated = duplicates(name, df) if set(spec.key) <= set(df.columns) else None
-    orphans = {
-        column: orphan_keys(df, column, datasets[parent], DATASETS[parent].key[0])
-        for column, parent in spec.references.items() if parent in datasets and column in df.columns
-    }
-    labels = {c: label_census(df, c) for c in LABELLED.get(name, ()) if c in df.columns}
-    profiled = [c for c in PROFILED.get(name, ()) if c in df.columns]
-
-    warnings = [_empty_warning(name, summary)]
-    warnings += [_warning(name, "orphan", column, found) for column, found in orphans.items()]
-    if repeated is not None:
-        warnings.append(_warning(name, "duplicate", "-".join(spec.key), repeated))
-    warnings += [_warning(name, "labels", column, census) for column, census in labels.items()]
-    warnings += [
-        _warning(name, "ambiguous_date", c, label_census(df.filter(is_ambiguous_date(F.col(c).cast("string"))), c))
-        for c in DATED.get(name, ()) if c in df.columns
-    ]
-    spark = df.sparkSession
-    return DatasetQuality(
-        name=name,
-        summary=summary,
-        violations=rules.violations(df, kept),
-        first_violations=rules.first_violation(df, kept),
-        warnings=_union(warnings),
-        nulls=null_profile(df, profiled) if profiled else spark.createDataFrame([], _NULLS),
-        duplicates=repeated if repeated is not None else spark.createDataFrame([], "duplicate_key string, n_rows bigint"),
-        orphans=orphans,
-        labels=labels,
-    )
+    return DatasetQuality(name, datasets)
 
 
 def check_all(datasets: Mapping[str, DataFrame]) -> dict[str, DatasetQuality]:

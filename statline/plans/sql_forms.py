@@ -70,11 +70,12 @@ def team_summary(view: DataFrame, teams: DataFrame, team_id: str | None) -> Data
             columns.append(f"SUM(a.{c}) AS total_{c}")
     where, values = ("WHERE a.team_id = :team_id", {"team_id": team_id}) if team_id is not None else ("", None)
     query = f"""
-        SELECT t.league, t.name AS team_name, {", ".join(columns)}
-        FROM {{view}} a
-        INNER JOIN {{teams}} t ON a.team_id = t.team_id
-        {where}
-        GROUP BY t.team_id, t.name, t.league
+        WITH summed AS (
+            SELECT a.team_id, {", ".join(columns)} FROM {{view}} a {where} GROUP BY a.team_id
+        )
+        SELECT t.league, t.name AS team_name, s.* EXCEPT (team_id)
+        FROM summed s
+        INNER JOIN {{teams}} t ON s.team_id = t.team_id
         ORDER BY t.name NULLS LAST
     """
     return view.sparkSession.sql(query, args=values, view=view, teams=teams)

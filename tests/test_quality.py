@@ -19,7 +19,7 @@ def warned(result):
 
 
 def failures(result, *key):
-    rows = result.violations.orderBy(*key, "position").collect()
+    rows = result.violations.orderBy(*key, "place").collect()
     return [tuple(r[k] for k in key) + (r.kind, r.rule, r.column) for r in rows]
 
 
