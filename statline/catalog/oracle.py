@@ -492,6 +492,7 @@ def oracle_sql() -> dict[str, str]:
         "clean_matches": with_ctes(_text_dates("(SELECT * EXCLUDE (_seq) FROM c_matches)", "match_date")),
         "clean_player_match_stats": with_ctes("SELECT * FROM c_stats"),
         "clean_match_events": with_ctes("SELECT * EXCLUDE (_seq) FROM c_events"),
+        "clean_match_events_stored": with_ctes("SELECT * EXCLUDE (_seq) FROM c_events"),
         "player_view": viewed("SELECT * FROM view"),
         "player_view_sql": viewed("SELECT * FROM view"),
         "stored_player_view": viewed("SELECT * FROM view"),

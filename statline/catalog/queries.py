@@ -27,7 +27,7 @@ from statline.plans.quality import check_all, check_dataset, quality_report, qua
 from statline.plans.reports import PROFILES, VIEW_TABLE, profile, store_player_view
 from statline.plans.rulebook import rules_for
 from statline.schemas import DATASETS, SEQ
-from statline.session import work_dir
+from statline.session import stored_in, work_dir
 from statline.sources import Warehouse, ingest_raw, load_from_landing, write_report
 from statline.streaming import stream_to_landing
 
@@ -62,14 +62,8 @@ def _fresh_view(spark: SparkSession, folder: str, form: str = "dataframe") -> Da
 def _store(spark: SparkSession, folder: str, form: str = "sql") -> Warehouse:
     """Clean, save under contract and store the player view."""
     warehouse = Warehouse(spark, work_dir(spark, "warehouse"))
-    staging = work_dir(spark, "cleaned")
-
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{staging}/{name}")
-        return spark.read.parquet(f"{staging}/{name}")
-
     raw = raw_datasets(spark, folder, "teams", "players", "matches", "player_match_stats")
-    cleaned = clean_all(raw, AS_OF, keep=stage)
+    cleaned = clean_all(raw, AS_OF, store=stored_in(spark, work_dir(spark, "cleaned")))
     for name in ("teams", "players", "player_match_stats"):
         warehouse.save(name, cleaned[name])
     store_player_view(warehouse, form)
@@ -158,6 +152,13 @@ def upsert_players(spark: SparkSession, folder: str) -> DataFrame:
     return _text_dates(upsert(delivery(1), delivery(2), DATASETS["players"].key))
 
 
+def stored_clean_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Match events cleaned step by step, every table and every set of missing keys stored."""
+    cleaned = clean_all(raw_datasets(spark, folder, "teams", "players", "matches", "match_events"), AS_OF,
+                        store=stored_in(spark, work_dir(spark, "cleaned")))
+    return cleaned["match_events"].drop(SEQ)
+
+
 def contract_players_quarantined(spark: SparkSession, folder: str) -> DataFrame:
     players = _cleaned(spark, folder, "teams", "players")["players"]
     return _text_dates(split_contract(players, DATASETS["players"].mart_schema)[1].drop(SEQ))
@@ -367,6 +368,7 @@ QUERIES: dict[str, Query] = {
     "clean_matches": _clean("matches"),
     "clean_player_match_stats": _clean("player_match_stats", "teams", "players", "matches"),
     "clean_match_events": _clean("match_events", "teams", "players", "matches"),
+    "clean_match_events_stored": stored_clean_events,
     "player_view": _shown_view("dataframe"),
     "player_view_sql": _shown_view("sql"),
     "stored_player_view": stored_player_view,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,16 +36,32 @@ def keep_matching(df: DataFrame, parents: Mapping[str, tuple[DataFrame, str]], u
     return df
 
 
-def orphan_rows(df: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
+def orphan_rows(df: DataFrame, column: str, parent: DataFrame, parent_key: str, unique: bool = False) -> DataFrame:
     """Rows whose foreign key is set but missing from the parent."""
-    keys = _parent_keys(parent, parent_key, column, unique=False)
+    keys = _parent_keys(parent, parent_key, column, unique)
     return df.filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
-def orphan_keys(df: DataFrame, column: str, parent: DataFrame, parent_key: str, count: str = "n_rows") -> DataFrame:
+def orphan_keys(df: DataFrame, column: str, parent: DataFrame, parent_key: str, count: str = "n_rows",
+                unique: bool = False) -> DataFrame:
     """Missing parent keys and the number of rows that point to each.
 
     Rows are counted per key first, so only distinct keys are shuffled and joined however common a key is.
     """
     counted = df.groupBy(column).agg(F.count(F.lit(1)).alias(count))
-    return orphan_rows(counted, column, parent, parent_key)
+    return orphan_rows(counted, column, parent, parent_key, unique)
+
+
+def drop_orphans(df: DataFrame, parents: Mapping[str, tuple[DataFrame, str]], source: DataFrame,
+                 store: Callable[[str, DataFrame], DataFrame]) -> DataFrame:
+    """The rows :func:`keep_matching` keeps, without shuffling whole rows once per parent.
+
+    Few keys are missing as a rule, while parents may be too large to broadcast. So the missing keys are found first,
+    from the key columns of ``source`` alone (``df`` or what it was made from, holding the same keys), and written with
+    ``store``. From the written table Spark knows their size: it broadcasts them if they are few, and joins by shuffle if
+    they are not.
+    """
+    for column, (parent, parent_key) in parents.items():
+        missing = store(column, orphan_keys(source, column, parent, parent_key, unique=True).select(column))
+        df = df.filter(F.col(column).isNotNull()).join(missing, column, "left_anti")
+    return df

@@ -16,10 +16,19 @@ from statline.functions.dates import age_at, normalize_date
 from statline.functions.numbers import whole_number
 from statline.functions.text import normalize_position
 from statline.operators.keys import keep_last
-from statline.operators.links import keep_matching
+from statline.operators.links import drop_orphans, keep_matching
 from statline.schemas import DATASETS, LONG, SEQ
 
 Order = Sequence[str]
+Parents = Mapping[str, tuple[DataFrame, str]]
+Store = Callable[[str, DataFrame], DataFrame]
+
+
+def _link(dataset: str, df: DataFrame, source: DataFrame, parents: Parents, store: Store | None) -> DataFrame:
+    """Rows with all parents. With a place to store the missing keys they are found first, see ``drop_orphans``."""
+    if store is None:
+        return keep_matching(df, parents, unique=True)
+    return drop_orphans(df, parents, source, lambda column, keys: store(f"{dataset}_without_{column}", keys))
 
 
 def typed(df: DataFrame, dataset: str) -> DataFrame:
@@ -41,14 +50,14 @@ def clean_teams(teams: DataFrame, order: Order = (SEQ,)) -> DataFrame:
 
 
 def clean_players(players: DataFrame, teams: DataFrame, as_of: dt.date | Column | None = None, day_first: bool = False,
-                  order: Order = (SEQ,)) -> DataFrame:
+                  order: Order = (SEQ,), store: Store | None = None) -> DataFrame:
     """Players of existing teams with grouped positions, real dates and the age on ``as_of`` (default: today)."""
     normalised = typed(players, "players").withColumns({
         "position": normalize_position(F.col("position")),
         "date_of_birth": normalize_date(F.col("date_of_birth"), day_first),
         "contract_until": normalize_date(F.col("contract_until"), day_first),
     })
-    linked = keep_matching(normalised, {"team_id": (teams, "team_id")}, unique=True)
+    linked = _link("players", normalised, players, {"team_id": (teams, "team_id")}, store)
     today = F.current_date() if as_of is None else F.lit(as_of)
     return keep_last(linked, ["player_id"], order).withColumn("age", age_at(F.col("date_of_birth"), today))
 
@@ -64,8 +73,8 @@ def without_impossible_xg(stats: DataFrame) -> DataFrame:
     return stats.withColumn("xg", F.when((xg < 0) | (xg > F.col("shots")), None).otherwise(xg))
 
 
-def clean_player_match_stats(stats: DataFrame, players: DataFrame, matches: DataFrame,
-                             order: Order = (SEQ,)) -> DataFrame:
+def clean_player_match_stats(stats: DataFrame, players: DataFrame, matches: DataFrame, order: Order = (SEQ,),
+                             store: Store | None = None) -> DataFrame:
     """Last line of each player and match, both known, with goal contribution and goals above expectation.
 
     Copies share both foreign keys, so keeping the last line first and dropping orphans second gives the same rows as
@@ -73,7 +82,8 @@ def clean_player_match_stats(stats: DataFrame, players: DataFrame, matches: Data
     and it leaves fewer rows to join.
     """
     latest = keep_last(typed(stats, "player_match_stats"), ["player_id", "match_id"], order)
-    linked = keep_matching(latest, {"player_id": (players, "player_id"), "match_id": (matches, "match_id")}, unique=True)
+    parents = {"player_id": (players, "player_id"), "match_id": (matches, "match_id")}
+    linked = _link("player_match_stats", latest, stats, parents, store)
     return without_impossible_xg(linked).withColumns({
         "goal_contribution": F.col("goals") + F.col("assists"),
         "g_xg": F.col("goals") - F.col("xg"),
@@ -81,28 +91,29 @@ def clean_player_match_stats(stats: DataFrame, players: DataFrame, matches: Data
 
 
 def clean_match_events(events: DataFrame, matches: DataFrame, teams: DataFrame, players: DataFrame,
-                       order: Order = (SEQ,)) -> DataFrame:
+                       order: Order = (SEQ,), store: Store | None = None) -> DataFrame:
     """Events of known matches, teams and players, last copy of each.
 
     Copies of an event may point to different parents, so orphans go first here.
     """
     parents = {"team_id": (teams, "team_id"), "match_id": (matches, "match_id"), "player_id": (players, "player_id")}
-    return keep_last(keep_matching(typed(events, "match_events"), parents, unique=True), ["event_id"], order)
+    linked = _link("match_events", typed(events, "match_events"), events, parents, store)
+    return keep_last(linked, ["event_id"], order)
 
 
 def clean_all(datasets: Mapping[str, DataFrame], as_of: dt.date | None = None, day_first: bool = False,
-              order: Order = (SEQ,), keep: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
+              order: Order = (SEQ,), store: Store | None = None) -> dict[str, DataFrame]:
     """Clean what is there, parents first; a child without its parents is left out.
 
-    Children are checked against the *cleaned* parents. ``keep`` stores a cleaned table and gives it back, so that
-    parents are not computed again for each child.
+    Children are checked against the *cleaned* parents. ``store`` writes a table and gives it back as stored, so that
+    parents are not computed again for each child; without it everything stays one plan.
     """
     steps: dict[str, Callable[..., DataFrame]] = {
         "teams": lambda df: clean_teams(df, order),
-        "players": lambda df, teams: clean_players(df, teams, as_of, day_first, order),
+        "players": lambda df, teams: clean_players(df, teams, as_of, day_first, order, store),
         "matches": lambda df: clean_matches(df, day_first, order),
-        "player_match_stats": lambda df, players, matches: clean_player_match_stats(df, players, matches, order),
-        "match_events": lambda df, matches, teams, players: clean_match_events(df, matches, teams, players, order),
+        "player_match_stats": lambda df, players, matches: clean_player_match_stats(df, players, matches, order, store),
+        "match_events": lambda df, matches, teams, players: clean_match_events(df, matches, teams, players, order, store),
     }
     cleaned: dict[str, DataFrame] = {}
     for name, step in steps.items():
@@ -110,5 +121,5 @@ def clean_all(datasets: Mapping[str, DataFrame], as_of: dt.date | None = None, d
         if name not in datasets or any(p not in cleaned for p in parents):
             continue
         result = step(datasets[name], *[cleaned[p] for p in parents])
-        cleaned[name] = keep(name, result) if keep else result
+        cleaned[name] = store(name, result) if store else result
     return cleaned

@@ -12,7 +12,7 @@ from statline.plans.clean import clean_all
 from statline.plans.marts import player_view, search_players, team_summary, team_top
 from statline.plans.quality import check_all, quality_report
 from statline.schemas import DATASETS
-from statline.session import work_dir
+from statline.session import stored_in, work_dir
 from statline.sources.landing import load_from_landing
 from statline.sources.raw import ingest_raw
 from statline.sources.reports import write_report
@@ -86,13 +86,8 @@ def clean_and_save(spark: SparkSession, landing_dir: str, warehouse: Warehouse,
     Each cleaned table is written to the shared work folder before its children are checked against it: nothing is
     computed twice, and a lost executor costs at most one table.
     """
-    staging = work_dir(spark, "cleaned")
-
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{staging}/{name}")
-        return spark.read.parquet(f"{staging}/{name}")
-
-    cleaned = clean_all(load_from_landing(spark, landing_dir), as_of, day_first, keep=stage)
+    store = stored_in(spark, work_dir(spark, "cleaned"))
+    cleaned = clean_all(load_from_landing(spark, landing_dir), as_of, day_first, store=store)
     saved = {name: warehouse.save(name, df) for name, df in cleaned.items()}
     return {name: table for name, table in saved.items() if table is not None}
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution re-sizes partitions, splits skewed join partitions and turns a join into a broadcast once the
 # real size of a side is known. The thresholds stay at Spark's own defaults.
@@ -30,6 +32,14 @@ def build_session(app: str = "statline", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def shuffle_partitions(input_bytes: int, target_bytes: int = 128 * 1024 * 1024, least: int = 200) -> int:
+    """Shuffle partitions for an input of this size, for ``spark.sql.shuffle.partitions``.
+
+    Adaptive execution merges partitions that turn out small but cannot split those of a plain shuffle, so err high.
+    """
+    return max(least, math.ceil(input_bytes / target_bytes))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
@@ -48,3 +58,15 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for one run inside the shared folder."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored_in(spark: SparkSession, folder: str) -> Callable[[str, DataFrame], DataFrame]:
+    """``store(name, df)``: write a table into the folder and give it back as stored.
+
+    The plan behind it is cut, its size is known to Spark, and a lost executor takes nothing with it.
+    """
+    def store(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    return store
