@@ -8,7 +8,7 @@ from __future__ import annotations
 import re
 
 from statline.catalog.star import raw_sql
-from statline.plans.marts import DERIVED, SEARCHABLE, TOTALS
+from statline.plans.metrics import DERIVED, SEARCHABLE, TOTALS
 
 AS_OF = "DATE '2024-01-01'"
 
@@ -345,7 +345,15 @@ def _report() -> str:
         "SELECT 'players' AS dataset, 'nulls' AS section, \"column\" AS item, "
         "printf('%d (%.1f%%)', null_count, null_percentage) AS detail FROM report_nulls",
     ]
+    for child, column, parent in _REFERENCES:
+        parts.append(f"SELECT '{child}' AS dataset, 'orphans' AS section, '{column} ' || {column} AS item, "
+                     f"printf('%d rows', n_rows) AS detail FROM ({_orphans(child, column, parent)})")
+    parts.append("SELECT 'players' AS dataset, 'labels' AS section, 'position ' || COALESCE(position, 'null') AS item, "
+                 "printf('%d rows', COUNT(*)) AS detail FROM raw_players GROUP BY position")
     for d, key in KEYS.items():
+        keys, joined = ", ".join(key), " || '-' || ".join(key)
+        parts.append(f"SELECT '{d}' AS dataset, 'duplicates' AS section, COALESCE({joined}, 'null') AS item, "
+                     f"printf('%d rows', COUNT(*)) AS detail FROM raw_{d} GROUP BY {keys} HAVING COUNT(*) > 1")
         item = " || '-' || ".join(f"COALESCE({c}, 'null')" for c in key)
         parts.append(f"SELECT '{d}' AS dataset, 'errors' AS section, {item} AS item, "
                      f"first_column || ' ' || first_message AS detail FROM ({_first(d)})")
@@ -376,7 +384,7 @@ NATIVE = {
                    CAST(SUM(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS returned,
                    CAST(SUM(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS open_lines,
                    CAST(SUM(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS shipped_lines
-            FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-06-01' GROUP BY l_suppkey
+            FROM lineitem GROUP BY l_suppkey
         )
         SELECT s_suppkey AS supplier, n_name AS nation, quantity, revenue, returned, open_lines, shipped_lines,
                ROUND(CASE WHEN quantity > 0 THEN revenue / quantity * 90 END, 2) AS revenue_90,

@@ -23,6 +23,7 @@ from statline.operators import (
 )
 from statline.plans.clean import clean_all, clean_players, clean_teams
 from statline.plans.marts import player_view, search_players, team_summary, team_top
+from statline.plans.metrics import SEARCHABLE
 from statline.plans.quality import check_all, check_dataset, quality_report, quality_summary, quality_warnings
 from statline.plans.reports import PROFILES, VIEW_TABLE, profile, store_player_view
 from statline.plans.rulebook import rules_for
@@ -123,12 +124,6 @@ def _orphans(child: str, column: str) -> Query:
     return query
 
 
-def _all_columns_open() -> dict[str, None]:
-    from statline.plans.marts import SEARCHABLE
-
-    return {f"{c}_min": None for c in SEARCHABLE}
-
-
 _BOUNDED = {
     "minutes_played_min": 500, "minutes_played_max": 2500, "goals_max": 12, "pass_accuracy_min": 0.8,
     "g_xg_min": None, "g_xg_90_min": None,
@@ -227,8 +222,8 @@ SUPPLIER_DERIVED = {
 
 
 def supplier_season(spark: SparkSession, folder: str) -> DataFrame:
-    """Totals, rates and ratios of late order lines per supplier; suppliers without such lines stay, with nulls."""
-    lines = table(spark, folder, "lineitem").filter(F.col("l_shipdate") >= F.lit("2001-06-01").cast("timestamp_ntz"))
+    """Totals, rates and ratios of order lines per supplier; a supplier without lines stays, with nulls."""
+    lines = table(spark, folder, "lineitem")
     quantity = F.col("l_quantity").cast("bigint")
     measured = lines.select(
         "l_suppkey", quantity.alias("quantity"), F.col("l_extendedprice").cast("decimal(12,2)").alias("revenue"),
@@ -376,7 +371,7 @@ QUERIES: dict[str, Query] = {
     "range_search_default_sql": _search("sql"),
     "range_search_bounded": _search("dataframe", "Forward", **_BOUNDED),
     "range_search_bounded_sql": _search("sql", "Forward", **_BOUNDED),
-    "range_search_open": _search("dataframe", **_all_columns_open(), age_max=30),
+    "range_search_open": _search("dataframe", **{f"{c}_min": None for c in SEARCHABLE}, age_max=30),
     **{f"profile_{name}": _profile(name) for name in PROFILES},
     "team_summary": _summary("dataframe"),
     "team_summary_sql": _summary("sql"),

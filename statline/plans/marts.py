@@ -12,60 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statline.functions.numbers import exact_mean, round2
-from statline.operators.aggregates import Measure, Rate, Ratio, add_derived, totals
+from statline.operators.aggregates import add_derived, totals
 from statline.operators.keys import top_n_per_group
 from statline.operators.links import lookup
 from statline.operators.search import equals, range_filter
-from statline.schemas import COUNT_STATS
-
-FORMS = ("dataframe", "sql")
-MATCH_MINUTES = 90
-TOP = 3
-
-# The 19 season totals.
-TOTALS = (
-    "goals", "assists", "minutes_played", *COUNT_STATS[3:], "xg", "xa", "goal_contribution", "g_xg",
-)
-
-
-def _per_match(source: str) -> Rate:
-    return Rate(source, "minutes_played", MATCH_MINUTES)
-
-
-# The 17 derived columns in view order.
-DERIVED: dict[str, Measure] = {
-    "goals_90": _per_match("goals"),
-    "assists_90": _per_match("assists"),
-    "shot_accuracy": Ratio("shots_on_target", ("shots",)),
-    "passes_attempted_90": _per_match("passes_attempted"),
-    "passes_completed_90": _per_match("passes_completed"),
-    "key_passes_90": _per_match("key_passes"),
-    "pass_accuracy": Ratio("passes_completed", ("passes_attempted",)),
-    "tackles_90": _per_match("tackles"),
-    "interceptions_90": _per_match("interceptions"),
-    "duel_win_rate": Ratio("duels_won", ("duels_won", "duels_lost")),
-    "fouls_90": _per_match("fouls_committed"),
-    "yellow_cards_90": _per_match("yellow_cards"),
-    "red_cards_90": _per_match("red_cards"),
-    "xg_90": _per_match("xg"),
-    "xa_90": _per_match("xa"),
-    "goal_contribution_90": _per_match("goal_contribution"),
-    "g_xg_90": _per_match("g_xg"),
-}
-
-#: Columns a search can bound.
-SEARCHABLE = ("age", *TOTALS, *DERIVED)
-
-# Team summary: columns in order; means are unweighted means of per-player values.
-SUMMARY_SUMS = ("xg", "xa", "g_xg")
-SUMMARY_MEANS = ("age", "shot_accuracy", "pass_accuracy", "duel_win_rate")
-SUMMARY_ORDER = (
-    "age", "goals", "assists", "minutes_played", "shots", "shots_on_target", "shot_accuracy", "passes_attempted",
-    "passes_completed", "pass_accuracy", "key_passes", "tackles", "interceptions", "duels_won", "duels_lost",
-    "duel_win_rate", "fouls_committed", "yellow_cards", "red_cards", "xg", "xa", "g_xg",
+from statline.plans import sql_forms
+from statline.plans.metrics import (
+    DERIVED, SEARCHABLE, SUMMARY_MEANS, SUMMARY_ORDER, SUMMARY_SUMS, TOP, TOP_COLUMNS, TOTALS,
 )
 
-TOP_COLUMNS = ("position", "age", "minutes_played", "goals", "assists", "goal_contribution")
+FORMS = ("dataframe", "sql")
 
 
 def pick_form(form: str, dataframe: Callable[..., DataFrame], sql: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
@@ -90,8 +46,6 @@ def player_view(players: DataFrame, teams: DataFrame, stats: DataFrame, form: st
 
     Not sorted: :func:`search_players` and the reports sort their results, a stored view need not be.
     """
-    from statline.plans import sql_forms
-
     return pick_form(form, _player_view, sql_forms.player_view)(players, teams, stats)
 
 
@@ -110,8 +64,6 @@ def search_bounds(limits: dict[str, Any]) -> dict[str, tuple[Any, Any]]:
 
 def search_players(view: DataFrame, position: str | None = None, form: str = "dataframe", **limits: Any) -> DataFrame:
     """Players within all limits, sorted by key: ``search_players(view, "Forward", goals_min=5, age_max=23)``."""
-    from statline.plans import sql_forms
-
     def dataframe(view: DataFrame, bounds: dict[str, tuple[Any, Any]], position: str | None) -> DataFrame:
         return range_filter(view, bounds, {"position": position}).orderBy("player_id")
 
@@ -138,8 +90,6 @@ def _team_summary(view: DataFrame, teams: DataFrame, team_id: str | None) -> Dat
 
 def team_summary(view: DataFrame, teams: DataFrame, team_id: str | None = None, form: str = "dataframe") -> DataFrame:
     """Summed and averaged player metrics of every team, or of one."""
-    from statline.plans import sql_forms
-
     return pick_form(form, _team_summary, sql_forms.team_summary)(view, teams, team_id)
 
 
@@ -158,6 +108,4 @@ def _team_top(view: DataFrame, teams: DataFrame, team_id: str | None, n: int) ->
 def team_top(view: DataFrame, teams: DataFrame, team_id: str | None = None, n: int = TOP,
              form: str = "dataframe") -> DataFrame:
     """The ``n`` players with most goal contributions of every team, or of one; ties go to the lower player key."""
-    from statline.plans import sql_forms
-
     return pick_form(form, _team_top, sql_forms.team_top)(view, teams, team_id, n)

@@ -149,8 +149,8 @@ def _row_key(name: str) -> Column:
 def quality_report(results: Mapping[str, DatasetQuality]) -> DataFrame:
     """The report as rows: ``(dataset, section, item, detail)``.
 
-    Sections are rows, warnings, errors (the first failure of each invalid row) and nulls. Lines stay distributed, so
-    the number of invalid rows is not limited by one machine.
+    Sections are rows, warnings, the keys and labels behind the warnings (orphans, duplicates, labels), errors (the
+    first failure of each invalid row) and nulls. Lines stay distributed, so their number is not limited by one machine.
     """
     def lines(dataset: str, section: str, df: DataFrame, item: Column, detail: Column) -> DataFrame:
         return df.select(F.lit(dataset).alias("dataset"), F.lit(section).alias("section"), item.alias("item"),
@@ -165,6 +165,14 @@ def quality_report(results: Mapping[str, DatasetQuality]) -> DataFrame:
         parts.append(lines(name, "rows", r.summary, F.lit(name), counts))
         found = F.format_string("%d keys, %d rows", "n_keys", "n_rows")
         parts.append(lines(name, "warnings", r.warnings, F.concat_ws(" ", "check", "column"), found))
+        rows = F.format_string("%d rows", "n_rows")
+        for column, keys in r.orphans.items():
+            parts.append(lines(name, "orphans", keys, F.concat(F.lit(f"{column} "), F.col(column)), rows))
+        for column, census in r.labels.items():
+            label = F.coalesce(F.col(column), F.lit("null"))
+            parts.append(lines(name, "labels", census, F.concat(F.lit(f"{column} "), label), rows))
+        key = F.coalesce("duplicate_key", F.lit("null"))
+        parts.append(lines(name, "duplicates", r.duplicates, key, rows))
         first = F.concat_ws(" ", F.col("column"), F.col("message"))
         parts.append(lines(name, "errors", r.first_violations, _row_key(name), first))
         empty = F.concat(F.col("null_count").cast("string"), F.lit(" ("), percent("null_percentage"), F.lit(")"))

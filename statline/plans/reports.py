@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -93,8 +94,12 @@ def clean_and_save(spark: SparkSession, landing_dir: str, warehouse: Warehouse,
 
 
 def run(spark: SparkSession, raw_dir: str, landing_dir: str, warehouse_dir: str, report_dir: str, force: bool = False,
-        as_of: dt.date | None = None, day_first: bool = False, form: str = "sql") -> list[str]:
-    """Raw files to reports: ingest, check, clean, save, aggregate, report. Gives the paths of the reports."""
+        as_of: dt.date | None = None, day_first: bool = False, form: str = "sql",
+        team_ids: Sequence[str] = ()) -> list[str]:
+    """Raw files to reports: ingest, check, clean, save, aggregate, report. Gives the paths of the reports.
+
+    Team reports cover all teams, and each of ``team_ids`` on its own.
+    """
     warehouse = Warehouse(spark, warehouse_dir)
     ingest_raw(spark, raw_dir, landing_dir, warehouse, force)
     found = quality_report(check_all(load_from_landing(spark, landing_dir)))
@@ -103,5 +108,6 @@ def run(spark: SparkSession, raw_dir: str, landing_dir: str, warehouse_dir: str,
     view = store_player_view(warehouse, form)
     teams = warehouse.read(DATASETS["teams"].table)
     paths += write_player_reports(view, report_dir, form).values()
-    paths += write_team_reports(view, teams, report_dir, form=form).values()
+    for team_id in (None, *team_ids):
+        paths += write_team_reports(view, teams, report_dir, team_id, form).values()
     return paths

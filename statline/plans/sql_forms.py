@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from statline.operators.aggregates import Measure, Rate
-from statline.plans import marts
+from statline.plans import metrics
 
 
 def _round2_sql(value: str) -> str:
@@ -26,16 +26,16 @@ def _ratio_sql(measure: Measure) -> str:
 
 
 def player_view(players: DataFrame, teams: DataFrame, stats: DataFrame) -> DataFrame:
-    sums = ",\n".join(f"SUM({c}) AS {c}" for c in marts.TOTALS)
-    derived = ",\n".join(f"{_ratio_sql(m)} AS {name}" for name, m in marts.DERIVED.items())
-    metrics = ", ".join(f"s.{c}" for c in (*marts.TOTALS, *marts.DERIVED))
+    sums = ",\n".join(f"SUM({c}) AS {c}" for c in metrics.TOTALS)
+    derived = ",\n".join(f"{_ratio_sql(m)} AS {name}" for name, m in metrics.DERIVED.items())
+    season = ", ".join(f"s.{c}" for c in (*metrics.TOTALS, *metrics.DERIVED))
     query = f"""
         WITH season AS (
             SELECT player_id, {sums}, {derived}
             FROM {{stats}}
             GROUP BY player_id
         )
-        SELECT p.*, t.name AS team_name, {metrics}
+        SELECT p.*, t.name AS team_name, {season}
         FROM {{players}} p
         LEFT JOIN {{teams}} t ON p.team_id = t.team_id
         LEFT JOIN season s ON p.player_id = s.player_id
@@ -60,11 +60,11 @@ def search_players(view: DataFrame, bounds: dict[str, tuple[Any, Any]], position
 
 def team_summary(view: DataFrame, teams: DataFrame, team_id: str | None) -> DataFrame:
     columns = []
-    for c in marts.SUMMARY_ORDER:
-        if c in marts.SUMMARY_MEANS:
+    for c in metrics.SUMMARY_ORDER:
+        if c in metrics.SUMMARY_MEANS:
             mean = f"CAST(SUM(CAST(a.{c} AS DECIMAL(18, 2))) AS DOUBLE) / NULLIF(COUNT(a.{c}), 0)"
             columns.append(f"{_round2_sql(mean)} AS avg_{c}")
-        elif c in marts.SUMMARY_SUMS:
+        elif c in metrics.SUMMARY_SUMS:
             columns.append(f"{_round2_sql(f'CAST(SUM(a.{c}) AS DOUBLE)')} AS total_{c}")
         else:
             columns.append(f"SUM(a.{c}) AS total_{c}")
@@ -86,7 +86,7 @@ def team_top(view: DataFrame, teams: DataFrame, team_id: str | None, n: int) ->
     where = ""
     if team_id is not None:
         where, values["team_id"] = "AND r.team_id = :team_id", team_id
-    listed = ", ".join(f"r.{c}" for c in marts.TOP_COLUMNS)
+    listed = ", ".join(f"r.{c}" for c in metrics.TOP_COLUMNS)
     query = f"""
         WITH ranked AS (
             SELECT *, ROW_NUMBER() OVER (

@@ -23,7 +23,7 @@ from statline.sources.warehouse import Warehouse
 
 log = logging.getLogger(__name__)
 
-SUFFIXES = ("csv", "json")
+_NAMED = r"^(.+)\.(csv|json)$"
 
 
 @dataclass(frozen=True)
@@ -49,9 +49,8 @@ def list_sources(spark: SparkSession, raw_dir: str, since: dt.date | None = None
         .filter(F.size("steps") <= 2)
         .groupBy(F.col("steps")[0].alias("entry"))
         .agg(F.sum("length").alias("size"), F.max("modificationTime").alias("modified"))
-        .select("*", F.regexp_extract("entry", r"^(.*)\.([A-Za-z]+)$", 1).alias("name"),
-                F.lower(F.regexp_extract("entry", r"^(.*)\.([A-Za-z]+)$", 2)).alias("suffix"))
-        .filter(F.col("suffix").isin(*SUFFIXES))
+        .select("*", F.regexp_extract("entry", _NAMED, 1).alias("name"), F.regexp_extract("entry", _NAMED, 2).alias("suffix"))
+        .filter(F.col("suffix") != "")
     )
     if since is not None:
         found = found.filter(F.to_date("modified") >= F.lit(since))

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from statline.operators import range_filter, split_contract, top_n_per_group
 from statline.plans.clean import clean_all
-from statline.plans.marts import DERIVED, FORMS, SEARCHABLE, TOTALS, player_view, search_players, team_summary, team_top
+from statline.plans.metrics import DERIVED, SEARCHABLE, TOTALS
+from statline.plans.marts import FORMS, player_view, search_players, team_summary, team_top
 from statline.plans.reports import PROFILES, profile
 from statline.schemas import DATASETS
 

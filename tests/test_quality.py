@@ -128,12 +128,17 @@ def test_empty_and_absent_datasets(make):
 
 
 def test_report(make, clean_raw):
-    raw = dict(clean_raw, teams=make("teams", [team("T1"), team("T2", city=None)]))
+    events = [event(f"E{i}", team_id="T9") for i in range(2)]
+    raw = dict(clean_raw, teams=make("teams", [team("T1"), team("T1"), team("T2", city=None)]),
+               match_events=make("match_events", events))
     rows = {(r.dataset, r.section, r.item): r.detail for r in quality_report(check_all(raw)).collect()}
-    assert rows["teams", "rows", "teams"] == "2 rows, 1 correct (50.0%)"
+    assert rows["teams", "rows", "teams"] == "3 rows, 2 correct (66.7%)"
     assert rows["teams", "errors", "T2"] == "city value is missing"
     assert rows["players", "nulls", "market_value"] == "0 (0.0%)"
     assert rows["players", "warnings", "labels position"] == "4 keys, 4 rows"
+    assert rows["players", "labels", "position striker"] == "1 rows"
+    assert rows["match_events", "orphans", "team_id T9"] == "2 rows"
+    assert rows["teams", "duplicates", "T1"] == "2 rows"
     assert len([k for k in rows if k[1] == "errors"]) == 1
 
 

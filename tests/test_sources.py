@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from statline.plans.reports import clean_and_save, run, store_player_view, write_team_reports
+from statline.plans.reports import clean_and_save, run, store_player_view
 from statline.schemas import DATASETS, SEQ
 from statline.sources import (
     ContractError, Warehouse, advance_mark, ingest_raw, list_sources, load_from_landing, read_mark, write_report,
@@ -90,12 +90,12 @@ def test_only_changed_sources_are_taken_again(spark, place):
 
 def test_sources_are_listed_by_name(spark, place):
     root, _ = place
-    for name in ("b.csv", "a.json", "c.CSV"):
+    for name in ("b.csv", "a.json", "c.CSV", "e.x.csv", ".csv"):
         (root / "raw" / name).write_text("a\n1\n")
     (root / "raw" / "d.csv").mkdir()
     (root / "raw" / "d.csv" / "part-0.csv").write_text("a\n1\n")
     found = list_sources(spark, str(root / "raw"))
-    assert [(s.name, s.suffix, s.size) for s in found] == [("a", "json", 4), ("b", "csv", 4), ("c", "csv", 4), ("d", "csv", 4)]
+    assert [(s.name, s.suffix, s.size) for s in found] == [("a", "json", 4), ("b", "csv", 4), ("d", "csv", 4), ("e.x", "csv", 4)]
 
 
 def test_known_csv_keeps_text_and_order(spark, place):
@@ -200,16 +200,16 @@ def test_raw_files_to_reports(spark, place, form):
     root, warehouse = place
     season(root / "raw")
     folders = [str(root / n) for n in ("raw", "landing", "wh", "reports")]
-    paths = run(spark, *folders, as_of=dt.date(2024, 1, 1), form=form)
-    assert len(paths) == 6
+    paths = run(spark, *folders, as_of=dt.date(2024, 1, 1), form=form, team_ids=["T1"])
+    assert len(paths) == 8
     view = {r.player_id: r for r in warehouse.read("agg_player_stats").collect()}
     assert set(view) == {"P1", "P2"}
     assert (view["P1"].team_name, view["P1"].goals, view["P1"].g_xg, view["P1"].goals_90) == ("Renamed", 2, 1.5, 1.0)
     assert [(r.event_id, r.minute) for r in warehouse.read("fact_match_events").collect()] == [("E1", 7)]
     report = spark.read.option("header", True).csv(next(p for p in paths if "validation_report" in p))
     assert report.filter("section = 'rows'").count() == 5
-    assert set(write_team_reports(warehouse.read("agg_player_stats"), warehouse.read("dim_teams"),
-                                  str(root / "one"), "T1", form)) == {"team_summary_T1", "team_top3_T1"}
+    listed = spark.read.option("header", True).csv(next(p for p in paths if "team_top3_T1" in p))
+    assert [r.player_name for r in listed.collect()] == ["Player P1"]
     # A second run over the same landing changes nothing.
     before = sorted(map(tuple, warehouse.read("fact_player_match_stats").collect()))
     clean_and_save(spark, folders[1], warehouse, dt.date(2024, 1, 1))
