@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from statline.schemas import DATASETS, SEQ, SEQ_TYPE
 from statline.sources import files
-from statline.sources.raw import document_rows
+from statline.sources.raw import document_rows, file_position
 
 
 def empty(spark: SparkSession, dataset: str) -> DataFrame:
@@ -17,7 +18,8 @@ def empty(spark: SparkSession, dataset: str) -> DataFrame:
 def load_from_landing(spark: SparkSession, landing_dir: str) -> dict[str, DataFrame]:
     """``{dataset: rows}`` for all five; a missing one is an empty table.
 
-    Landed JSON documents (one cell per file) are expanded to rows.
+    Landed JSON documents (one cell per file) are expanded to rows. Tables landed by other means get their arrival
+    position from the Parquet files.
     """
     loaded = {}
     for name in DATASETS:
@@ -26,5 +28,7 @@ def load_from_landing(spark: SparkSession, landing_dir: str) -> dict[str, DataFr
             loaded[name] = empty(spark, name)
             continue
         rows = spark.read.parquet(path)
+        if SEQ not in rows.columns:
+            rows = rows.select("*", file_position(F.col("_metadata.row_index")))
         loaded[name] = document_rows(rows, name) if {"file", "data"} <= set(rows.columns) else rows
     return loaded

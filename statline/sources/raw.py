@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from statline.functions.text import json_rows
@@ -98,12 +98,10 @@ def documents(text: DataFrame) -> DataFrame:
 
 
 def document_rows(cells: DataFrame, dataset: str) -> DataFrame:
-    """Records of JSON documents as rows, all values as text, with their place in the document."""
+    """Records of JSON documents as rows, all values as text, with their place in the document as last part of ``_seq``."""
     rows = json_rows(cells, "data", DATASETS[dataset].text_schema, position="_place")
-    if SEQ not in cells.columns:
-        return rows.withColumn(SEQ, F.struct(F.col("file").alias("file"), F.col("_place").cast("bigint").alias("position"))
-                               ).drop("file", "_place")
-    return rows.withColumn(SEQ, F.col(SEQ).withField("position", F.col("_place").cast("bigint"))).drop("file", "_place")
+    placed = F.struct(F.col(SEQ).alias("cell"), F.col("_place").cast("bigint").alias("record"))
+    return rows.withColumn(SEQ, placed).drop("file", "_place")
 
 
 def land(spark: SparkSession, source: Source, landing_dir: str) -> bool:
@@ -112,24 +110,25 @@ def land(spark: SparkSession, source: Source, landing_dir: str) -> bool:
     if source.size == 0:
         log.warning("empty source, skipped: %s", source.path)
         return False
+    seen = Observation()
     if source.suffix == "csv":
-        rows = read_csv(spark, source.path, source.name)
-        if rows.isEmpty():
-            log.warning("no rows, skipped: %s", source.path)
-            return False
+        rows = read_csv(spark, source.path, source.name).observe(seen, F.count(F.lit(1)).alias("read"),
+                                                                 F.lit(0).alias("broken"))
     else:
-        cells = read_documents(spark, source.path)
-        broken = cells.filter(F.col("data").isNull()).select("file")
-        if not broken.isEmpty():
-            log.error("not valid JSON, listed in quarantine: %s", source.path)
-            broken.write.mode("overwrite").parquet(f"{landing}/_quarantine/{source.name}")
-        cells = cells.filter(F.col("data").isNotNull())
-        if cells.isEmpty():
-            return False
+        missing = F.col("data").isNull()
+        all_cells = read_documents(spark, source.path)
+        counted = all_cells.observe(seen, F.count_if(~missing).alias("read"), F.count_if(missing).alias("broken"))
+        cells = counted.filter(~missing)
         rows = document_rows(cells, source.name) if source.name in DATASETS else cells.drop(SEQ)
-    # What landed before is replaced only after the new rows are complete.
+    # The rows are counted as they are written, and replace what landed before only when they are complete.
     incoming = f"{landing}/_incoming/{source.name}"
     rows.write.mode("overwrite").parquet(incoming)
+    if seen.get["broken"]:
+        log.error("not valid JSON, listed in quarantine: %s", source.path)
+        all_cells.filter(missing).select("file").write.mode("overwrite").parquet(f"{landing}/_quarantine/{source.name}")
+    if not seen.get["read"]:
+        log.warning("nothing read, skipped: %s", source.path)
+        return False
     files.replace(spark, incoming, f"{landing}/{source.name}.parquet")
     return True
 

@@ -9,9 +9,10 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from statline.operators.keys import duplicate_keys
-from statline.operators.upsert import split_contract, upsert
+from statline.operators.upsert import breaks_contract, conform, upsert
 from statline.schemas import DATASETS
 from statline.sources import files
 
@@ -58,14 +59,17 @@ class Warehouse:
         times, so pass a stored table rather than a long plan.
         """
         spec = DATASETS[dataset]
-        good, broken = split_contract(df, spec.mart_schema)
-        if not broken.isEmpty():
-            log.warning("%s: rows that break the contract go to quarantine", spec.table)
-            self.write(f"{spec.table}_quarantine", broken)
-        if good.isEmpty():
+        broken = breaks_contract(df, spec.mart_schema)
+        # One pass over the columns the contract needs, whatever the number of broken rows.
+        found = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(broken).alias("broken")).first()
+        if found.broken:
+            log.warning("%s: %d rows break the contract and go to quarantine", spec.table, found.broken)
+            self.write(f"{spec.table}_quarantine", df.filter(broken))
+        if found.total == found.broken:
             log.warning("%s: nothing to save", spec.table)
             return self.read(spec.table)
-        if not duplicate_keys(good, spec.key).isEmpty():
+        good = conform(df.filter(~broken) if found.broken else df, spec.mart_schema)
+        if duplicate_keys(good, spec.key).count():
             raise ContractError(f"{spec.table}: repeated key {spec.key}")
         current = self.read(spec.table)
         return self.write(spec.table, good if current is None else upsert(current, good, spec.key))

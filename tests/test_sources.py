@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from statline.plans.clean import clean_teams
 from statline.plans.reports import clean_and_save, run, store_player_view
 from statline.schemas import DATASETS, SEQ
 from statline.sources import (
@@ -125,7 +126,7 @@ def test_landing_load(spark, place):
     assert set(loaded) == set(DATASETS)
     assert loaded["players"].isEmpty() and loaded["match_events"].isEmpty()
     rows = {r.match_id: r for r in loaded["matches"].collect()}
-    assert (rows["M1"].attendance, rows["M2"].attendance, rows["M2"][SEQ].position) == ("500", None, 1)
+    assert (rows["M1"].attendance, rows["M2"].attendance, rows["M2"][SEQ].record) == ("500", None, 1)
 
 
 def test_landed_documents_are_expanded(spark, place):
@@ -137,6 +138,14 @@ def test_landed_documents_are_expanded(spark, place):
     assert [(r.match_id, r.competition) for r in rows] == [("M1", "Cup"), ("M2", None)]
 
 
+def test_tables_landed_by_other_means_get_a_position(spark, place):
+    root, _ = place
+    rows = spark.createDataFrame([(f"T{i % 2}", f"n{i}") for i in range(20)], "team_id string, name string").coalesce(1)
+    rows.write.parquet(str(root / "landing/teams.parquet"))
+    loaded = load_from_landing(spark, str(root / "landing"))["teams"]
+    assert {r.team_id: r["name"] for r in clean_teams(loaded).collect()} == {"T0": "n18", "T1": "n19"}
+
+
 def test_mark(place):
     _, warehouse = place
     assert read_mark(warehouse) == dt.date(1900, 1, 1)
