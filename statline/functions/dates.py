@@ -2,61 +2,58 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The date layouts a cleaner accepts, as separator and order of year, month and day.
-YEAR_FIRST = (("-", "ymd"), ("/", "ymd"))
-MONTH_FIRST = ("/", "mdy")
-DAY_FIRST = ("/", "dmy")
-
-# The two layouts the quality rules accept.
-CHECKED_LAYOUTS = (("-", "ymd"), DAY_FIRST)
-
-_DIGITS = {"y": r"\d{4}", "m": r"\d{1,2}", "d": r"\d{1,2}"}
+# A date a cleaner accepts, parted by dashes, slashes or dots, year first or last, a time of day allowed.
+_DATE_TEXT = r"^(\d{4}([-/.])\d{1,2}\2\d{1,2}|\d{1,2}([-/.])\d{1,2}\3\d{4})([T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
 
-Layout = tuple[str, str]
+# The two layouts the quality rules accept, YYYY-MM-DD and DD/MM/YYYY.
+_YEAR_FIRST, _DAY_FIRST = r"^\d{4}-\d{1,2}-\d{1,2}$", r"^\d{1,2}/\d{1,2}/\d{4}$"
 
 
-def parse_layout(text: Column, layout: Layout) -> Column:
-    """Date from text in one layout, null if it does not fit.
+def _date(year: Column, month: Column, day: Column) -> Column:
+    """Date of three texts, null if there is none.
 
-    The parts are put in ISO order and cast: a format parser would raise and catch an error for every text in another
-    layout, which costs far more.
+    A cast, not a format parser: the parser raises and catches an error for every text it cannot read, which costs far
+    more than the reading.
     """
-    separator, order = layout
-    parts = F.split(text, separator)
-    iso = F.concat_ws("-", *[F.get(parts, F.lit(order.index(part))) for part in "ymd"])
-    return F.when(text.rlike(f"^{separator.join(_DIGITS[part] for part in order)}$"), iso.try_cast("date"))
+    return F.concat_ws("-", year, month, day).try_cast("date")
 
 
-def parse_first(text: Column, layouts: Sequence[Layout]) -> Column:
-    """Date from the first layout that fits, null if none does."""
-    return F.coalesce(*[parse_layout(text, layout) for layout in layouts])
+def _parts(text: Column) -> tuple[Column, Column, Column]:
+    """The three numbers of a date text, null where the text is none."""
+    day = F.translate(F.substring_index(F.substring_index(text, "T", 1), " ", 1), "/.", "--")
+    parts = F.split(F.when(text.rlike(_DATE_TEXT), day), "-")
+    return F.get(parts, F.lit(0)), F.get(parts, F.lit(1)), F.get(parts, F.lit(2))
 
 
 def normalize_date(value: Column, day_first: bool = False) -> Column:
     """Date from text in mixed layouts; unreadable text gives null.
 
-    A slash date is read month first, and day first where the first number cannot be a month. ``day_first`` turns the
-    preference round.
+    With the year last, the month is read first, or second where the first number cannot be a month. ``day_first`` turns
+    the preference round.
     """
-    slashed = (DAY_FIRST, MONTH_FIRST) if day_first else (MONTH_FIRST, DAY_FIRST)
-    return parse_first(F.trim(value), (*YEAR_FIRST, *slashed))
+    first, second, third = _parts(F.trim(value))
+    month_first, month_second = _date(third, first, second), _date(third, second, first)
+    year_last = F.coalesce(month_second, month_first) if day_first else F.coalesce(month_first, month_second)
+    return F.when(F.length(first) == 4, _date(first, second, third)).otherwise(year_last)
 
 
 def is_ambiguous_date(value: Column) -> Column:
-    """True where both slash readings give a date and the two dates differ."""
-    text = F.trim(value)
-    month_first, day_first = parse_layout(text, MONTH_FIRST), parse_layout(text, DAY_FIRST)
-    return F.coalesce(month_first != day_first, F.lit(False))
-
-
-def matches_layout(value: Column, layouts: Sequence[Layout] = CHECKED_LAYOUTS) -> Column:
-    """True where the text is a date in one of the layouts."""
-    return parse_first(value, layouts).isNotNull()
+    """True where the year is last and the two readings give different dates."""
+    first, second, third = _parts(F.trim(value))
+    differ = _date(third, first, second) != _date(third, second, first)
+    return F.coalesce(differ & (F.length(third) == 4), F.lit(False))
+
+
+def is_checked_date(text: Column) -> Column:
+    """True where the text is a date in one of the two layouts the quality rules accept."""
+    parts = F.split(text, "[-/]")
+    first, second, third = (F.get(parts, F.lit(i)) for i in range(3))
+    year_first = text.rlike(_YEAR_FIRST) & _date(first, second, third).isNotNull()
+    day_first = text.rlike(_DAY_FIRST) & _date(third, second, first).isNotNull()
+    return F.coalesce(year_first | day_first, F.lit(False))
 
 
 def age_at(born: Column, as_of: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statline.functions.dates import matches_layout
+from statline.functions.dates import is_checked_date
 from statline.functions.numbers import whole_number
 from statline.operators.rules import Rule, RuleSet
 from statline.schemas import COUNT_STATS, DATASETS, LONG
@@ -77,7 +77,7 @@ def _dated(columns: _Columns, name: str) -> list[Rule]:
     if name not in columns:
         return []
     value = F.col(name).cast("string")
-    bad = value.isNotNull() & ~matches_layout(value)
+    bad = value.isNotNull() & ~is_checked_date(value)
     return [Rule("date_layout", name, bad, F.concat(F.lit(f"unreadable date, {_LAYOUT_HINT}: "), value))]
 
 

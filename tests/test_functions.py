@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statline.functions import (
-    age_at, composite_key, exact_mean, is_ambiguous_date, json_rows, matches_layout, normalize_date, normalize_position,
+    age_at, composite_key, exact_mean, is_ambiguous_date, is_checked_date, json_rows, normalize_date, normalize_position,
     per_unit, ratio, round2, whole_number,
 )
 
@@ -38,9 +38,52 @@ def test_dates_in_mixed_layouts(spark):
     assert values(spark, texts, "string", lambda c: normalize_date(c, day_first=True)) == expected
 
 
+def test_dates_with_other_separators_and_times(spark):
+    texts = ["25-12-2023", "25.12.2023", "2023.12.25", "2023-12-25T10:30:00", "25/12/2023 10:30", "2023-12-25 late",
+             "2023-12/25", "12023-12-25", "25/12/23"]
+    day = dt.date(2023, 12, 25)
+    assert values(spark, texts, "string", normalize_date) == [day] * 5 + [None] * 4
+
+
+def random_dates(draw, n):
+    for _ in range(n):
+        y, m, d = draw.randint(1900, 2100), draw.randint(0, 15), draw.randint(0, 33)
+        order = draw.choice([(f"{y}", f"{m:02}", f"{d:02}"), (f"{d:02}", f"{m:02}", f"{y}"), (f"{m}", f"{d}", f"{y}")])
+        yield draw.choice("-/.").join(order)
+
+
+def test_dates_read_as_a_general_parser_reads_them(spark):
+    parser = pytest.importorskip("dateutil.parser")
+    texts = list(random_dates(random.Random(3), 3000))
+
+    def read(text):
+        try:
+            return parser.parse(text).date()
+        except ValueError:
+            return None
+
+    found = values(spark, texts, "string", normalize_date)
+    assert [t for t, a in zip(texts, found) if a != read(t)] == []
+
+
+def test_checked_dates_are_those_of_strptime(spark):
+    texts = list(random_dates(random.Random(4), 3000)) + ["", None, "2023-1-5", "5/1/2023", "2023-01-05 ", "x"]
+
+    def fits(text):
+        for layout in ("%Y-%m-%d", "%d/%m/%Y"):
+            try:
+                return text is not None and bool(dt.datetime.strptime(text, layout))
+            except ValueError:
+                pass
+        return False
+
+    found = values(spark, texts, "string", is_checked_date)
+    assert [t for t, a in zip(texts, found) if a != fits(t)] == []
+
+
 def test_date_checks(spark):
     texts = ["2023-04-09", "25/12/2023", "12/25/2023", "2023/04/09", None]
-    assert values(spark, texts, "string", matches_layout) == [True, True, False, False, False]
+    assert values(spark, texts, "string", is_checked_date) == [True, True, False, False, False]
     texts = ["08/10/2023", "10/10/2023", "25/12/2023", "2023-08-10", None]
     assert values(spark, texts, "string", is_ambiguous_date) == [True, False, False, False, False]
 
