@@ -172,8 +172,10 @@ def test_save_guards_the_contract(spark, place):
     assert [r.team_id for r in saved.collect()] == ["T1"]
     assert [r.team_id for r in warehouse.read("dim_teams_quarantine").collect()] == ["T2"]
     with pytest.raises(ContractError):
-        warehouse.save("teams", teams_frame(spark, ("T4", "a", "l", "s", "c"), ("T4", "b", "l", "s", "c")))
+        warehouse.save("teams", teams_frame(spark, ("T4", "a", "l", "s", "c"), ("T4", "b", "l", "s", "c"),
+                                            ("T5", None, "l", "s", "c")))
     assert [r.team_id for r in warehouse.read("dim_teams").collect()] == ["T1"]
+    assert [r.team_id for r in warehouse.read("dim_teams_quarantine").collect()] == ["T2"]
 
 
 def test_incomplete_version_is_not_read(spark, place):
