@@ -7,8 +7,8 @@ from statline.operators.search import equals, range_filter
 from statline.operators.upsert import breaks_contract, conform, split_contract, upsert
 
 __all__ = [
-    "Measure", "Rate", "Ratio", "Rule", "RuleSet", "add_derived", "breaks_contract", "conform", "drop_orphans", "duplicate_keys",
-    "equals", "keep_last",
-    "keep_matching", "label_census", "lookup", "null_profile", "orphan_keys", "orphan_rows", "range_filter",
-    "split_contract", "top_n_per_group", "totals", "upsert", "validity",
+    "Measure", "Rate", "Ratio", "Rule", "RuleSet", "add_derived", "breaks_contract", "conform", "drop_orphans",
+    "duplicate_keys", "equals", "keep_last", "keep_matching", "label_census", "lookup", "null_profile",
+    "orphan_keys", "orphan_rows", "range_filter", "split_contract", "top_n_per_group", "totals", "upsert",
+    "validity",
 ]

@@ -31,15 +31,16 @@ def keep_matching(df: DataFrame, parents: Mapping[str, tuple[DataFrame, str]], u
 
     ``unique`` says that no parent repeats a key. Adaptive execution splits a skewed child partition.
     """
+    columns = df.columns
     for column, (parent, parent_key) in parents.items():
         df = df.join(_parent_keys(parent, parent_key, column, unique), column, "left_semi")
-    return df
+    return df.select(columns)
 
 
 def orphan_rows(df: DataFrame, column: str, parent: DataFrame, parent_key: str, unique: bool = False) -> DataFrame:
     """Rows whose foreign key is set but missing from the parent."""
     keys = _parent_keys(parent, parent_key, column, unique)
-    return df.filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    return df.filter(F.col(column).isNotNull()).join(keys, column, "left_anti").select(df.columns)
 
 
 def orphan_keys(df: DataFrame, column: str, parent: DataFrame, parent_key: str, count: str = "n_rows",
@@ -61,7 +62,8 @@ def drop_orphans(df: DataFrame, parents: Mapping[str, tuple[DataFrame, str]], so
     ``store``. From the written table Spark knows their size: it broadcasts them if they are few, and joins by shuffle if
     they are not.
     """
+    columns = df.columns
     for column, (parent, parent_key) in parents.items():
         missing = store(column, orphan_keys(source, column, parent, parent_key, unique=True).select(column))
         df = df.filter(F.col(column).isNotNull()).join(missing, column, "left_anti")
-    return df
+    return df.select(columns)

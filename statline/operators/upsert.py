@@ -51,4 +51,4 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> Data
     existing table is then not shuffled at all.
     """
     kept = existing.join(incoming.select(*key), list(key), "left_anti")
-    return kept.unionByName(incoming)
+    return kept.select(existing.columns).unionByName(incoming)

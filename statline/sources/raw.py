@@ -49,7 +49,7 @@ def list_sources(spark: SparkSession, raw_dir: str, since: dt.date | None = None
         .filter(F.size("steps") <= 2)
         .groupBy(F.col("steps")[0].alias("entry"))
         .agg(F.sum("length").alias("size"), F.max("modificationTime").alias("modified"))
-        .select("*", F.regexp_extract("entry", _NAMED, 1).alias("name"), F.regexp_extract("entry", _NAMED, 2).alias("suffix"))
+        .withColumns({"name": F.regexp_extract("entry", _NAMED, 1), "suffix": F.regexp_extract("entry", _NAMED, 2)})
         .filter(F.col("suffix") != "")
     )
     if since is not None:
