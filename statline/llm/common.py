@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import re
 from array import array
+from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statline.session import work_dir
 
-TEXT_CHUNK = 2_000_000
+TEXT_CHUNK = 8_000_000
 BUCKET_CHARS = 16_000_000
 BROADCAST_IDS = 500_000
 U64 = np.uint64
@@ -89,24 +92,19 @@ class _Numbers(dict):
         return n
 
 
-class WordHashes:
-    """64-bit hashes of the words (A-Z lower-cased, parted by ASCII white space) of many texts."""
+def word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts one after another, and where each text begins among them.
 
-    def __init__(self, most: int = 400_000):
-        self.most, self.numbers, self.hashes = most, _Numbers(), array("Q")
-
-    def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all words one after another, and where each text begins among them."""
-        if len(self.numbers) > self.most:
-            self.numbers, self.hashes = _Numbers(), array("Q")
-        found, bounds, number = array("q"), [0], self.numbers.__getitem__
-        for text in texts:
-            found.extend(map(number, text.encode("utf-8", "surrogatepass").lower().split()))
-            bounds.append(len(found))
-        self.hashes.extend(map(xxhash.xxh3_64_intdigest, self.numbers.pending))
-        self.numbers.pending.clear()
-        known = np.frombuffer(self.hashes, np.uint64) if self.hashes else np.empty(0, np.uint64)
-        return known[np.frombuffer(found, np.int64)] if found else np.empty(0, np.uint64), np.array(bounds, np.int64)
+    Words are the runs between ASCII white space, A-Z in lower case. Each distinct word is hashed once.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+    coded = lists.flatten().dictionary_encode()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.cast(pa.large_binary()).to_pylist()), np.uint64,
+                         len(coded.dictionary))
+    words = coded.indices.to_numpy(zero_copy_only=False)
+    real = np.array([w != "" for w in coded.dictionary.to_pylist()], bool)[words] if len(words) else np.empty(0, bool)
+    kept = np.concatenate(([0], np.cumsum(real)))
+    return hashes[words[real]], kept[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -146,18 +144,15 @@ class TokenIds:
         self.numbers, self.flat, self.starts, self.lengths = _Numbers(), array("I"), array("q"), array("q")
 
     def _parts(self, text: str) -> list:
-        """The parts; one in a tuple has to be encoded alone."""
+        """The parts of an odd text; one in a tuple has to be encoded alone."""
         if not self.kept:
-            return text.split() if not self._unsure.search(text) else [(p,) for p in text.split(" ")]
-        if self._wide.search(text) or text[:1] == " " or text[-1:] == " ":
-            parts = self._lone.split(text)
-        else:
-            parts = text.split(" ")
+            return [(p,) for p in text.split(" ")]
+        parts = self._lone.split(text)
         parts[0] = (parts[0],)  # no blank before it
         return parts
 
     def _encode(self, keys: list) -> None:
-        """Ids of new parts, in their order."""
+        """Ids of new parts, in their order. Should tokens not line up with parts, each part is encoded alone."""
         at = np.fromiter((type(key) is tuple for key in keys), bool, len(keys))
         words = [key for key in keys if type(key) is str]
         if self.kept:
@@ -173,7 +168,7 @@ class TokenIds:
         covered, wanted = np.cumsum(self.bytes[ids]), np.cumsum(np.array(sizes, np.int64))
         ends = np.searchsorted(covered, wanted) + 1
         if len(sizes) != len(words) or len(words) and (ends[-1] != len(ids) or (covered[ends - 1] != wanted).any()):
-            raise ValueError("tokens do not line up with the parts of the text")
+            return self._encode([key if type(key) is tuple else (" " * self.kept + key,) for key in keys])
         lengths = np.empty(len(keys), np.int64)
         lengths[~at], lengths[at] = np.diff(ends, prepend=0), [len(own) for own in alone]
         starts = np.empty(len(keys), np.int64)
@@ -184,22 +179,43 @@ class TokenIds:
         self.starts.frombytes(starts.tobytes())
         self.lengths.frombytes(lengths.tobytes())
 
+    def _odd(self, text: str) -> bool:
+        """Whether a plain cut at every blank would not do."""
+        if self.kept:
+            return bool(self._wide.search(text)) or text[:1] == " " or text[-1:] == " "
+        return bool(self._unsure.search(text))
+
     def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another (unsigned 32-bit), and where each text begins among them."""
         if len(self.numbers) > self.most:
             self._reset()
-        found, bounds, number = array("q"), [0], self.numbers.__getitem__
-        for text in texts:
-            if text:
-                found.extend(map(number, self._parts(text)))
-            bounds.append(len(found))
+        number = self.numbers.__getitem__
+        odd = {i for i, text in enumerate(texts) if text and self._odd(text)}
+        plain = pa.array([None if i in odd or not t else t for i, t in enumerate(texts)], pa.large_string())
+        if not self.kept:
+            plain = pc.if_else(pc.string_is_ascii(plain), pc.ascii_lower(plain), plain)
+        lists = pc.split_pattern(plain, " ") if self.kept else pc.utf8_split_whitespace(plain)
+        coded = lists.flatten().dictionary_encode()
+        known = np.fromiter((number(w or (w,)) for w in coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        which = known[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.empty(0, np.int64)
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        if self.kept:  # the first part of a text has no blank before it
+            firsts = [i for i, text in enumerate(texts) if text and i not in odd]
+            which[bounds[firsts]] = [number((texts[i].partition(" ")[0],)) for i in firsts]
+        if odd:
+            own = [np.fromiter(map(number, self._parts(t)), np.int64) if i in odd else which[bounds[i]:bounds[i + 1]]
+                   for i, t in enumerate(texts)]
+            which, bounds = np.concatenate(own), np.concatenate(([0], np.cumsum([len(x) for x in own])))
         if self.numbers.pending:
             self._encode(self.numbers.pending)
             self.numbers.pending.clear()
-        if not found:
-            return np.empty(0, np.uint32), np.zeros(len(bounds), np.int64)
-        which = np.frombuffer(found, np.int64)
-        lengths = np.frombuffer(self.lengths, np.int64)[which]
+        lengths = np.frombuffer(self.lengths, np.int64)[which] if len(which) else np.empty(0, np.int64)
         flat = np.frombuffer(self.flat, np.uint32) if self.flat else np.empty(0, np.uint32)
-        ids = gather(flat, np.frombuffer(self.starts, np.int64)[which], lengths)
-        return ids, np.concatenate(([0], np.cumsum(lengths)))[np.array(bounds)]
+        ids = gather(flat, np.frombuffer(self.starts, np.int64)[which], lengths) if len(which) else flat[:0].copy()
+        return ids, np.concatenate(([0], np.cumsum(lengths)))[bounds]
+
+
+@lru_cache(maxsize=4)
+def token_ids(path: str, blanks: str) -> TokenIds:
+    """One cache of words for all tasks that a worker process runs."""
+    return TokenIds(path, blanks)

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statline.llm.common import TokenIds, chunks, store, texts_of
+from statline.llm.common import chunks, store, texts_of, token_ids
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, blanks: str = "kept", with_ids: bool = False,
@@ -25,7 +25,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, blanks
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = TokenIds(tokenizer, blanks)
+        ids_of = token_ids(tokenizer, blanks)
         for batch in batches:
             texts, doc_ids = batch["text"].tolist(), batch["doc_id"].astype("Int64")
             for a, b in chunks(texts):

@@ -11,9 +11,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statline.llm.common import TokenIds, chunks, texts_of
+from statline.llm.common import chunks, texts_of, token_ids
 
-SEGMENT_IDS = 1_000_000
+SEGMENT_IDS = 250_000
 SAMPLE = 256
 SEGMENT = ("part int, segment int, n_docs long, n_ids long, before long, id_bytes int, ids binary, low_bits int, low binary, "
            "high binary, samples binary, doc_ids array<long>")
@@ -72,7 +72,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, b
     """Encode whole texts, add ``end_id`` to each, and write the ids in ascending id order as segment files.
 
     Documents are range-partitioned and sorted by id (ties by text, a null id first), so segment order is document order.
-    A segment closes once it holds a million ids; it never cuts a document. An empty or null text is its end id alone; an
+    A segment closes once it holds a quarter of a million ids; it never cuts a document. An empty or null text is its end id alone; an
     empty table gives no segment. The folder is a Parquet data set: any store that Spark reaches will do, and a task that
     is run again replaces its own files. Ids take two bytes where the vocabulary allows, four otherwise.
     """
@@ -81,7 +81,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, b
     ordered = texts_of(docs, id_col, text_col).repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of, part = TokenIds(tokenizer, blanks), TaskContext.get().partitionId()
+        ids_of, part = token_ids(tokenizer, blanks), TaskContext.get().partitionId()
         width = 2 if max(ids_of.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         held: list[np.ndarray] = []
         lengths: list[int] = []
@@ -115,12 +115,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, b
 
 
 def _segments(spark: SparkSession, path: str) -> DataFrame:
-    """Segments with ``start``, the number of ids in all earlier ones: summed per part, then over the few parts."""
+    """Segments with ``start``, the number of ids in all earlier ones: summed per part, then over the parts. There is one
+    row a part, as many as the writing partitions, so these sums are broadcast."""
     segments = spark.read.schema(SEGMENT).parquet(path)
     parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier"))
-    return segments.join(parts, "part").withColumn("start", F.col("earlier") + F.col("before"))
+    return segments.join(F.broadcast(parts), "part").withColumn("start", F.col("earlier") + F.col("before"))
 
 
 def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
