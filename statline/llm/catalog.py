@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from statline.llm.common import table
 from statline.llm.decontaminate import benchmark_regions
+from statline.llm.dedup import repeated_passages
+from statline.llm.jaccard import jaccard_components
 from statline.llm.packing import best_fit_packing
 from statline.llm.quality import quality_scores
 from statline.llm.token_counts import token_counts
@@ -25,6 +27,10 @@ COUNT_MODEL = "piece_bpe_32k.model"
 VECTOR_SCALE, VECTOR_TOP, QUERY_EVERY = 64, 20, 20
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), size=4, part=85, whole=100)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_MODEL))
 
@@ -50,6 +56,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path(PACK_TOKENIZER), PACK_END, PACK_SIZE)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"), length=200).drop("spans")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(FILE_TOKENIZER), FILE_END)
@@ -63,22 +73,48 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_top_vectors": op5_top_vectors,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op10_token_files": op10_token_files,
 }
 
 SQL: dict[str, str] = {
+    "op1_ngram_jaccard": """
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM split WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+    WHERE 100 * c.i >= 85 * (x.n + y.n - c.i)
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT d.doc_id, coalesce(any_value(z.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id
+GROUP BY d.doc_id""",
     "op5_top_vectors": """
 WITH sound AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 ), scored AS (
     SELECT q.vec_id AS query_id, r.vec_id AS vec_id, list_dot_product(q.v, r.v)::BIGINT AS score
     FROM sound q JOIN sound r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v)
