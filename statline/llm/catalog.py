@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from statline.llm.dedup import repeated_passages
 from statline.llm.jaccard import jaccard_components
 from statline.llm.packing import best_fit_packing
 from statline.llm.quality import quality_scores
+from statline.llm.scoring import text_scores
 from statline.llm.token_counts import token_counts
 from statline.llm.token_files import read_token_files, write_token_files
 from statline.llm.toxicity import toxicity_scores
@@ -23,6 +25,7 @@ from statline.session import work_dir
 # Fixed values of the contracts.
 PACK_TOKENIZER, PACK_END, PACK_SIZE = "byte_bpe_50k.json", 2, 1024
 FILE_TOKENIZER, FILE_END = "word_bpe_49k.json", 1
+SCORE_TOKENIZER = "word_bpe_49k.json"
 COUNT_MODEL = "piece_bpe_32k.model"
 VECTOR_SCALE, VECTOR_TOP, QUERY_EVERY = 64, 20, 20
 
@@ -60,6 +63,10 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"), length=200).drop("spans")
 
 
+def op9_text_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_scores(table(spark, sf_dir, "documents"), public_tokenizers.path(SCORE_TOKENIZER), divisor=7, held_out=2)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(FILE_TOKENIZER), FILE_END)
@@ -67,8 +74,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline
-
     return corpus_pipeline.run(spark, sf_dir)
 
 
@@ -81,7 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_text_scores": op9_text_scores,
     "op10_token_files": op10_token_files,
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {

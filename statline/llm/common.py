@@ -92,19 +92,29 @@ class _Numbers(dict):
         return n
 
 
-def word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts one after another, and where each text begins among them.
+class Words:
+    """The words of many texts: runs between ASCII white space, A-Z in lower case.
 
-    Words are the runs between ASCII white space, A-Z in lower case. Each distinct word is hashed once.
+    ``coded`` numbers the distinct words for all words one after another, ``bounds`` says where each text begins, ``distinct``
+    holds the words and ``hashes`` their 64-bit hashes.
     """
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
-    coded = lists.flatten().dictionary_encode()
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.cast(pa.large_binary()).to_pylist()), np.uint64,
-                         len(coded.dictionary))
-    words = coded.indices.to_numpy(zero_copy_only=False)
-    real = np.array([w != "" for w in coded.dictionary.to_pylist()], bool)[words] if len(words) else np.empty(0, bool)
-    kept = np.concatenate(([0], np.cumsum(real)))
-    return hashes[words[real]], kept[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+
+    def __init__(self, texts):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+        coded = lists.flatten().dictionary_encode()
+        self.distinct = coded.dictionary.to_pylist()
+        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.cast(pa.large_binary()).to_pylist()),
+                                  np.uint64, len(self.distinct))
+        words = coded.indices.to_numpy(zero_copy_only=False)
+        real = words != (self.distinct.index("") if "" in self.distinct else -1)
+        kept = np.concatenate(([0], np.cumsum(real)))
+        self.coded, self.bounds = words[real], kept[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+
+
+def word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts one after another, and where each text begins among them."""
+    words = Words(texts)
+    return words.hashes[words.coded] if len(words.coded) else np.empty(0, np.uint64), words.bounds
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -215,6 +225,24 @@ class TokenIds:
         return ids, np.concatenate(([0], np.cumsum(lengths)))[bounds]
 
 
+    def of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words without ASCII white space, for a vocabulary that drops blanks: where each begins in the ids, how many
+        it has, and the ids."""
+        if len(self.numbers) > self.most:
+            self._reset()
+        number, blank = self.numbers.__getitem__, self._blank.search
+        which = np.fromiter((number((w,) if not w or not w.isascii() and blank(w) else w) for w in words), np.int64, len(words))
+        if self.numbers.pending:
+            self._encode(self.numbers.pending)
+            self.numbers.pending.clear()
+        if not len(which):
+            return which, which, np.empty(0, np.uint32)
+        starts, lengths = (np.frombuffer(x, np.int64)[which] for x in (self.starts, self.lengths))
+        return starts, lengths, np.frombuffer(self.flat, np.uint32).copy() if self.flat else np.empty(0, np.uint32)
+
+    _blank = re.compile(r"\s")
+
+
 @lru_cache(maxsize=4)
 def token_ids(path: str, blanks: str) -> TokenIds:
     """One cache of words for all tasks that a worker process runs."""
