@@ -12,13 +12,14 @@ SEEDS = 32
 LOWEST = np.float32(-1e9)
 
 
-def token_classes(ids: np.ndarray, vocabulary: int, classes: int = CLASSES, rounds: int = 12, seed: int = 7):
+def token_classes(ids: np.ndarray, opening: np.ndarray, classes: int = CLASSES, rounds: int = 12, seed: int = 7):
     """``(class of each id, features)``: ids gathered by what stands before and after them.
 
-    Neighbours are summed as random sign vectors, so an id's features need no table of pairs. Ids that the sample lacks form
-    class 0; the last id, the end of a text, forms a class of its own.
+    ``opening`` says which ids open a word; the upper half of the classes is for these, the lower half for the others. Of each
+    half the first class takes the ids that the sample lacks. The last id, the end of a text, opens too and has the last
+    class to itself. Neighbours are summed as random sign vectors, so an id's features need no table of pairs.
     """
-    rng = np.random.default_rng(seed)
+    rng, vocabulary, half = np.random.default_rng(seed), len(opening), classes // 2
     signs = rng.choice(np.array([-1.0, 1.0], np.float32), (vocabulary, SEEDS))
     counts = np.bincount(ids, minlength=vocabulary).astype(np.float64)
     after, before = ids[1:], ids[:-1]
@@ -29,11 +30,14 @@ def token_classes(ids: np.ndarray, vocabulary: int, classes: int = CLASSES, roun
         features[:, k] = np.bincount(before, column[after], vocabulary)
         features[:, SEEDS + k] = np.bincount(after, column[before], vocabulary)
     features /= np.linalg.norm(features, axis=1, keepdims=True) + 1e-6
-    seen = np.flatnonzero(counts[:-1] > 0)
-    out = np.zeros(vocabulary, np.int64)
-    out[-1] = 1
-    k = min(classes - 2, len(seen))
-    if k > 0:
+    out = np.where(opening, half, 0)
+    for first, kind in ((1, ~opening), (half + 1, opening)):
+        kind = kind.copy()
+        kind[-1] = False
+        seen = np.flatnonzero((counts > 0) & kind)
+        k = min(half - 2, len(seen))
+        if not k:
+            continue
         weight = np.sqrt(counts[seen])
         middle = features[rng.choice(seen, k, replace=False, p=weight / weight.sum())]
         for _ in range(rounds):
@@ -41,7 +45,8 @@ def token_classes(ids: np.ndarray, vocabulary: int, classes: int = CLASSES, roun
             total = np.bincount(own, weight, k)[:, None] + 1e-9
             middle = np.column_stack([np.bincount(own, weight * features[seen, j], k) for j in range(2 * SEEDS)]) / total
             middle = middle.astype(np.float32)
-        out[seen] = own + 2
+        out[seen] = own + first
+    out[-1] = classes - 1
     return out, features
 
 
@@ -65,26 +70,24 @@ class AttentionModel:
     def __init__(self, classes: np.ndarray, weights: dict[str, np.ndarray], log_within: np.ndarray):
         self.classes, self.log_within = classes, log_within.astype(np.float32)
         w = {k: v.astype(np.float32) for k, v in weights.items()}
+        self.token, self.out, self.offset = w["token"], w["out"], w["offset"]
         self.query = w["token"] @ w["query"] / np.float32(np.sqrt(WIDTH))
         self.key, self.value = w["token"] @ w["key"], w["token"] @ w["value"]
-        self.direct = w["token"] @ w["out"][:WIDTH] + w["offset"]
-        self.out = w["out"][WIDTH:]
         row, column = np.arange(WINDOW - SCORED, WINDOW)[:, None], np.arange(WINDOW)[None, :]
         self.mask = np.where(column <= row, w["near"][np.clip(row - column, 0, WINDOW - 1)], LOWEST).astype(np.float32)
 
-    def log10(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """log10 probability of each text, whose ids (end id last) lie between ``bounds``."""
+    def log_probabilities(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each id of texts that lie between ``bounds`` (end id last): the log probability of the id after those before
+        it, and that of any id that opens a word or ends the text."""
         owner, first, n = windows_of(bounds)
-        end, total = len(self.classes) - 1, np.zeros(len(bounds) - 1)
+        end, gained, opened = len(self.classes) - 1, np.zeros(len(ids), np.float32), np.zeros(len(ids), np.float32)
         # What is read at a place is the id before it; the first place of a text reads the end id.
         read = np.concatenate(([end], ids[:-1])) if len(ids) else ids
-        if len(ids):
-            read[bounds[:-1]] = end
+        read[bounds[:-1]] = end
         reach = np.arange(WINDOW) - (WINDOW - SCORED)
         for a in range(0, len(owner), 512):
-            o, f, m = owner[a:a + 512], first[a:a + 512], n[a:a + 512]
-            begin = bounds[o][:, None]
-            place = begin + f[:, None] + reach
+            begin = bounds[owner[a:a + 512]][:, None]
+            place = begin + first[a:a + 512, None] + reach
             seen = np.where(place >= begin, read[np.clip(place, 0, len(read) - 1)], end)
             now = seen[:, WINDOW - SCORED:]
             score = self.query[now] @ self.key[seen].transpose(0, 2, 1)
@@ -92,28 +95,58 @@ class AttentionModel:
             np.minimum(score, 60, out=score)
             np.exp(score, out=score)
             context = (score @ self.value[seen]) / score.sum(axis=2, keepdims=True)
-            logits = context.reshape(-1, WIDTH) @ self.out
-            logits += self.direct[now.ravel()]
+            logits = np.concatenate([self.token[now], context], axis=2).reshape(-1, 2 * WIDTH) @ self.out
+            logits += self.offset
             logits -= logits.max(axis=1, keepdims=True)
-            target = ids[np.clip(place[:, WINDOW - SCORED:], 0, len(ids) - 1)].ravel()
+            place = place[:, WINDOW - SCORED:].ravel()
+            target = ids[np.minimum(place, len(ids) - 1)]
             own = logits[np.arange(len(target)), self.classes[target]]
             np.exp(logits, out=logits)
-            gained = (own - np.log(logits.sum(axis=1)) + self.log_within[target]).reshape(len(o), SCORED)
-            gained[np.arange(SCORED) >= m[:, None]] = 0
-            total += np.bincount(o, gained.sum(axis=1, dtype=np.float64), len(total))
-        return total / np.log(10)
+            total = np.log(logits.sum(axis=1))
+            real = (np.arange(SCORED) < n[a:a + 512, None]).ravel()
+            gained[place[real]] = (own - total + self.log_within[target])[real]
+            opened[place[real]] = (np.log(logits[:, CLASSES // 2:].sum(axis=1) + np.float32(1e-30)) - total)[real]
+        return gained, opened
+
+
+def class_shares(classes: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Square root of the share of each class among the ids of each text."""
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    count = np.bincount(owner * CLASSES + classes[ids], minlength=(len(bounds) - 1) * CLASSES).reshape(-1, CLASSES)
+    return np.sqrt(count / np.maximum(np.diff(bounds), 1)[:, None])
+
+
+def kinds_of_text(shares: np.ndarray, kinds: int, rounds: int = 20, seed: int = 3) -> np.ndarray:
+    """Middles of ``kinds`` groups of texts, by k-means from middles that lie far apart."""
+    rng = np.random.default_rng(seed)
+    middle = np.zeros((kinds, CLASSES))
+    if not len(shares):
+        return middle
+    middle[:] = shares[rng.integers(len(shares))]
+    far = ((shares - middle[0]) ** 2).sum(axis=1)
+    for k in range(1, kinds):
+        middle[k] = shares[rng.choice(len(shares), p=far / far.sum())] if far.sum() > 0 else middle[0]
+        far = np.minimum(far, ((shares - middle[k]) ** 2).sum(axis=1))
+    for _ in range(rounds):
+        own = nearest(shares, middle)
+        middle = np.array([shares[own == k].mean(axis=0) if (own == k).any() else middle[k] for k in range(kinds)])
+    return middle
+
+
+def nearest(shares: np.ndarray, middle: np.ndarray) -> np.ndarray:
+    return np.argmax(shares @ middle.T - 0.5 * (middle ** 2).sum(axis=1), axis=1)
 
 
 def log_within(classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Log probability of each id within its class, from corpus counts plus one."""
     each = counts.astype(np.float64) + 1
-    return np.log(each) - np.log(np.bincount(classes, each))[classes]
+    return np.log(each) - np.log(np.maximum(np.bincount(classes, each, CLASSES), 1))[classes]
 
 
-def train(ids: np.ndarray, bounds: np.ndarray, vocabulary: int, steps: int = 400, batch: int = 256, rate: float = 0.01,
-          seed: int = 11) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+def train(ids: np.ndarray, bounds: np.ndarray, opening: np.ndarray, steps: int = 600, batch: int = 256,
+          rate: float = 0.01, seed: int = 11) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """Classes of ids, and the weights that predict the next id's class, by Adam over random windows of the texts."""
-    classes, features = token_classes(ids, vocabulary)
+    vocabulary, (classes, features) = len(opening), token_classes(ids, opening)
     rng = np.random.default_rng(seed)
     spread = rng.normal(0, 1, (features.shape[1], WIDTH)) / np.sqrt(features.shape[1])
     w = {"token": features @ spread * 2, "near": np.zeros(WINDOW), "offset": np.zeros(CLASSES),

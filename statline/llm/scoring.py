@@ -10,14 +10,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statline.llm.attention import AttentionModel, log_within, train
+from statline.llm.attention import AttentionModel, class_shares, kinds_of_text, log_within, nearest, train
 from statline.llm.common import BUCKET_CHARS, U64, Words, buckets_for, chunks, gather, store, texts_of, token_ids
 from statline.llm.labelled import fit_on_sample, held_out_column
 from statline.llm.shingles import unpack
 
 SAMPLE_DOCS = 1_500
+KINDS = 4
+OWN_KIND = 0.95
 COUNTS = "bucket int, chunk int, hashes binary, counts binary"
-KNOWN = "bucket int, chunk int, known binary, total long, kinds long"
+KNOWN = "bucket int, chunk int, known binary, kinds long, once long, totals array<long>"
 
 
 class _Group:
@@ -41,53 +43,63 @@ def _subwords(words: Words, tokenizer: str) -> tuple[np.ndarray, np.ndarray, np.
     return token_ids(tokenizer, "dropped").of_words(words.distinct)
 
 
-def _text_ids(words: Words, tokenizer: str, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Subword ids of all texts of a part, ``end`` after each, and where each begins."""
+def _text_ids(words: Words, tokenizer: str, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Subword ids of all texts of a part with an end after each, where each text begins, and where each word does.
+
+    Ids of subwords that open a word are moved up by the size of the tokenizer's vocabulary; the highest id is the end. An
+    end is a word too.
+    """
     starts, lengths, flat = _subwords(words, tokenizer)
     n = lengths[words.coded] if len(words.coded) else np.empty(0, np.int64)
-    ids = gather(flat, starts[words.coded], n) if len(n) else flat[:0]
+    ids = gather(flat, starts[words.coded], n).astype(np.int64) if len(n) else np.empty(0, np.int64)
+    before = np.cumsum(n) - n
+    ids[before[n > 0]] += size // 2
     bounds = np.concatenate(([0], np.cumsum(n)))[words.bounds]
-    return np.insert(ids.astype(np.int64), bounds[1:], end), bounds + np.arange(len(bounds))
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(words.bounds))
+    begins = np.insert(before + owner, words.bounds[1:], bounds[1:] + np.arange(len(bounds) - 1))
+    return np.insert(ids, bounds[1:], size - 1), bounds + np.arange(len(bounds)), begins
 
 
 def _vocabulary(tokenizer: str) -> int:
-    """Ids of the tokenizer and one more, which ends a text."""
-    return token_ids(tokenizer, "dropped").tokenizer.get_vocab_size() + 1
+    """Ids of the tokenizer, again as ids that open a word, and one that ends a text."""
+    return 2 * token_ids(tokenizer, "dropped").tokenizer.get_vocab_size() + 1
 
 
 def fit_attention(tokenizer: str):
     def fit(texts: list[str], _: list[int]):
-        end = _vocabulary(tokenizer) - 1
-        parts = [_text_ids(Words(texts[a:b]), tokenizer, end) for a, b in chunks(texts)]
-        ids = np.concatenate([i for i, _ in parts]) if parts else np.empty(0, np.int64)
-        lengths = np.concatenate([np.diff(b) for _, b in parts]) if parts else np.empty(0, np.int64)
-        return train(ids, np.concatenate(([0], np.cumsum(lengths))), end + 1)
+        size = _vocabulary(tokenizer)
+        parts = [_text_ids(Words(texts[a:b]), tokenizer, size) for a, b in chunks(texts)]
+        ids = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.int64)
+        lengths = np.concatenate([np.diff(p[1]) for p in parts]) if parts else np.empty(0, np.int64)
+        bounds = np.concatenate(([0], np.cumsum(lengths)))
+        classes, weights = train(ids, bounds, np.arange(size) >= size // 2)
+        return classes, weights, kinds_of_text(class_shares(classes, ids, bounds), KINDS)
 
     return fit
 
 
-def _count(tokenizer: str, buckets: int):
-    """Words of each group with their counts in its training texts, packed for the buckets of words; and, in bucket -1, the
-    counts of subword ids in the training texts."""
+def _count(tokenizer: str, buckets: int, classes: np.ndarray, kinds: np.ndarray):
+    """Words of each group with their counts in its training texts of each kind, packed for the buckets of words; and, in
+    bucket -1, the counts of subword ids and of texts of each kind."""
     def count(key: tuple, docs: pd.DataFrame) -> pd.DataFrame:
         docs = docs.sort_values(["doc_id", "row"])
-        texts, held_out = docs["text"].tolist(), docs["held_out"].to_numpy(bool)
-        group = _Group(texts, buckets)
-        total = np.zeros(len(group.hashes), np.int64)
-        ids = np.zeros(_vocabulary(tokenizer), np.int64)
+        texts, learnt = docs["text"].tolist(), ~docs["held_out"].to_numpy(bool)
+        group, size = _Group(texts, buckets), _vocabulary(tokenizer)
+        total, ids_of = np.zeros((len(group.hashes), KINDS), np.int64), np.zeros(size + KINDS, np.int64)
         for a, b, words in group.parts:
-            learnt = np.repeat(~held_out[a:b], np.diff(words.bounds))
-            n = np.bincount(words.coded[learnt], minlength=len(words.distinct)) if len(words.coded) else np.zeros(
-                len(words.distinct), np.int64)
-            np.add.at(total, group.numbers(words), n)
-            starts, lengths, flat = _subwords(words, tokenizer)
-            if len(flat):
-                ids += np.bincount(gather(flat, starts, lengths), np.repeat(n, lengths), len(ids)).astype(np.int64)
-        ids[-1] += int((~held_out).sum())
-        chunk, rows = int(key[0]), [(-1, int(key[0]), b"", ids.tobytes())]
+            ids, bounds, _ = _text_ids(words, tokenizer, size)
+            kind = nearest(class_shares(classes, ids, bounds), kinds)
+            ids_of[:size] += np.bincount(ids[np.repeat(learnt[a:b], np.diff(bounds))], minlength=size)
+            ids_of[size:] += np.bincount(kind[learnt[a:b]], minlength=KINDS)
+            if len(words.coded):
+                use = np.repeat(learnt[a:b], np.diff(words.bounds))
+                cell = words.coded[use] * KINDS + np.repeat(kind, np.diff(words.bounds))[use]
+                n = np.bincount(cell, minlength=len(words.distinct) * KINDS).reshape(-1, KINDS)
+                np.add.at(total, group.numbers(words), n)
+        chunk, rows = int(key[0]), [(-1, int(key[0]), b"", ids_of.tobytes())]
         for b in np.flatnonzero(np.diff(group.edges)).tolist():
             at = slice(group.edges[b], group.edges[b + 1])
-            rows.append((b, chunk, group.ordered[at].tobytes(), total[at].tobytes()))
+            rows.append((b, chunk, group.ordered[at].tobytes(), total[at].astype(np.uint32).tobytes()))
         return pd.DataFrame(rows, columns=["bucket", "chunk", "hashes", "counts"])
 
     return count
@@ -95,14 +107,15 @@ def _count(tokenizer: str, buckets: int):
 
 def _total(rows: pd.DataFrame) -> pd.DataFrame:
     """Corpus counts of the words of a bucket, handed back to each group in the order it asked."""
-    hashes, counts = unpack(rows["hashes"], np.uint64), unpack(rows["counts"], np.int64)
+    hashes, counts = unpack(rows["hashes"], np.uint64), unpack(rows["counts"], np.uint32).reshape(-1, KINDS)
     distinct, number = np.unique(hashes, return_inverse=True)
-    total = np.bincount(number, counts, len(distinct)).astype(np.int64)
+    total = np.column_stack([np.bincount(number, counts[:, k], len(distinct)) for k in range(KINDS)]).astype(np.int64)
     ends = np.cumsum([len(x) // 8 for x in rows["hashes"]])
     out = [total[number[e - len(x) // 8:e]].tobytes() for e, x in zip(ends, rows["hashes"])]
-    first = np.arange(len(rows)) == 0  # totals of the bucket stand in one row
+    every, first = total.sum(axis=1), np.arange(len(rows)) == 0  # totals of the bucket stand in one row
     return pd.DataFrame({"bucket": rows["bucket"], "chunk": rows["chunk"], "known": out,
-                         "total": np.where(first, total.sum(), 0), "kinds": np.where(first, (total > 0).sum(), 0)})
+                         "kinds": np.where(first, (every > 0).sum(), 0), "once": np.where(first, (every == 1).sum(), 0),
+                         "totals": [total.sum(axis=0) * f for f in first]})
 
 
 def _id_counts(size: int):
@@ -115,13 +128,26 @@ def _id_counts(size: int):
     return add
 
 
+def _word_logs(gained: np.ndarray, opened: np.ndarray, bounds: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Log probability that the model spells each word just so: its first subword among those that open a word, the others
+    after it, and then an opening again. An end is spelt by itself."""
+    total = np.concatenate(([0.0], np.cumsum(gained, dtype=np.float64)))
+    ends = np.append(begins[1:], len(gained))
+    is_end = np.zeros(len(gained) + 1, bool)
+    is_end[bounds[1:] - 1] = True
+    after = np.where(is_end[begins] | (ends == begins), 0, np.append(opened, 0)[ends])
+    return total[ends] - total[begins] - np.where(ends == begins, 0, np.append(opened, 0)[begins]) + after
+
+
 def text_scores(docs: DataFrame, tokenizer: str, divisor: int = 7, held_out: int = 2, most: int = SAMPLE_DOCS) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     Tokens are words and one end. The base is the log10 probability under counts plus one of all words of all texts that are
     not held out; an unseen word shares what one more kind would have. ``score`` is the log10 probability of the text under
-    the attention model, whose counts of ids within classes come from all those texts too; its classes and weights are
-    learnt from at most ``most`` of them. A null or empty text is its end alone. Repeated rows are scored, and counted, each.
+    the model: each word is either one the corpus holds, drawn by its count in texts of one kind, or spelt by causal attention
+    over the subwords before it; the chance of spelling is the share of words that the corpus holds once. A text is of one of
+    four kinds, known from its words so far as Bayes has it, so its score is the sum over kinds. Counts of words, kinds and
+    ids within classes come from all those texts; classes, weights and the middles of kinds are learnt from at most ``most``. A null or empty text is its end alone. Repeated rows are scored, and counted, each.
 
     Texts are dealt into groups by a hash of the row. A group sends its distinct words to the buckets of their hashes and
     gets their counts back, so what moves is each distinct word once a group; no count of words reaches the driver.
@@ -130,40 +156,52 @@ def text_scores(docs: DataFrame, tokenizer: str, divisor: int = 7, held_out: int
     buckets = buckets_for(texts, BUCKET_CHARS)
     dealt = (texts.withColumn("row", F.xxhash64("doc_id", "text"))
              .withColumn("chunk", F.pmod("row", F.lit(buckets)).cast("int")))
-    counted = store(dealt.groupBy("chunk").applyInPandas(_count(tokenizer, buckets), COUNTS), "word-counts")
+    learnable = texts.where(~F.col("held_out") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    classes, weights, middles = pickle.loads(fit_on_sample(
+        docs, learnable.withColumn("label", F.lit(0)), fit_attention(tokenizer), most))
+    counted = store(dealt.groupBy("chunk").applyInPandas(_count(tokenizer, buckets, classes, middles), COUNTS), "word-counts")
     known = store(counted.where("bucket >= 0").groupBy("bucket").applyInPandas(_total, KNOWN), "known-words")
     size = _vocabulary(tokenizer)
-    ids = counted.where("bucket < 0").select("counts").mapInPandas(_id_counts(size), "counts binary")
+    summed = counted.where("bucket < 0").select("counts").mapInPandas(_id_counts(size + KINDS), "counts binary")
     # A partition sums its groups first, so one row a partition reaches the second sum.
-    ids = ids.repartition(1).mapInPandas(_id_counts(size), "counts binary").first()
-    id_counts = np.frombuffer(bytes(ids["counts"]), np.int64) if ids else np.zeros(size, np.int64)
-    sums = known.agg(F.sum("total").alias("total"), F.sum("kinds").alias("kinds")).first()
-    learnt = int(id_counts[-1])
-    n, kinds = int(sums["total"] or 0) + learnt, int(sums["kinds"] or 0) + (learnt > 0)
-    rows = texts.where(~F.col("held_out") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    classes, weights = pickle.loads(fit_on_sample(docs, rows.withColumn("label", F.lit(0)), fit_attention(tokenizer), most))
+    summed = summed.repartition(1).mapInPandas(_id_counts(size + KINDS), "counts binary").first()
+    id_counts, texts_of_kind = np.split(np.frombuffer(bytes(summed["counts"]), np.int64), [size])
+    sums = known.agg(F.sum("kinds").alias("kinds"), F.sum("once").alias("once"),
+                     *[F.sum(F.col("totals")[k]).alias(f"total_{k}") for k in range(KINDS)]).first()
+    words_of_kind = np.array([int(sums[f"total_{k}"] or 0) for k in range(KINDS)]) + texts_of_kind
+    learnt, n = int(texts_of_kind.sum()), int(words_of_kind.sum())
+    distinct = int(sums["kinds"] or 0) + (learnt > 0)
     within = log_within(classes, id_counts)
-    base = np.log10(n + kinds + 1)
-    end_score = np.log10(learnt + 1) - base
+    base = np.log10(n + distinct + 1)
+    whole = 1 - int(sums["once"] or 0) / n if n else 0.0
+    prior = np.log10((texts_of_kind + 1) / (learnt + KINDS))
 
     def score(_: tuple, docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
             return pd.DataFrame({c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
         docs = docs.sort_values(["doc_id", "row"])
         group = _Group(docs["text"].tolist(), buckets)
-        counts = unpack(known.sort_values("bucket")["known"], np.int64)
+        counts = unpack(known.sort_values("bucket")["known"], np.int64).reshape(-1, KINDS)
         model, out = AttentionModel(classes, weights, within), []
         for a, b, words in group.parts:
-            c = counts[group.numbers(words)] if len(words.distinct) else np.empty(0, np.int64)
-            owner = np.repeat(np.arange(b - a), np.diff(words.bounds))
-            own = c[words.coded] if len(words.coded) else np.empty(0, np.int64)
+            c = counts[group.numbers(words)] if len(words.distinct) else np.empty((0, KINDS), np.int64)
             tokens = np.diff(words.bounds) + 1
-            ids, bounds = _text_ids(words, tokenizer, size - 1)
+            owner = np.repeat(np.arange(b - a), tokens)
+            # Rows: each distinct word and, last, the end.
+            by_kind = np.concatenate([c, texts_of_kind[None, :]])
+            each = np.insert(words.coded, words.bounds[1:], len(c))
+            every = by_kind.sum(axis=1)
+            drawn = whole * (OWN_KIND * by_kind / np.maximum(words_of_kind, 1) + (1 - OWN_KIND) * every[:, None] / max(n, 1))
+            ids, bounds, begins = _text_ids(words, tokenizer, size)
+            spelt = (1 - whole) * np.exp(_word_logs(*model.log_probabilities(ids, bounds), bounds, begins))
+            of_kind = np.column_stack([prior[k] + np.bincount(owner, np.log10(drawn[each, k] + spelt + 1e-300), b - a)
+                                       for k in range(KINDS)])
+            top = of_kind.max(axis=1, keepdims=True)
             out.append(pd.DataFrame({
                 "doc_id": docs["doc_id"].iloc[a:b], "held_out": docs["held_out"].iloc[a:b], "n_tokens": tokens,
-                "n_known": np.bincount(owner, own > 0, b - a).astype(np.int64) + (learnt > 0), "train_tokens": n,
-                "base_score": np.bincount(owner, np.log10(own + 1) - base, b - a) + end_score,
-                "score": model.log10(ids, bounds)}))
+                "n_known": np.bincount(owner, every[each] > 0, b - a).astype(np.int64), "train_tokens": n,
+                "base_score": np.bincount(owner, (np.log10(every + 1) - base)[each], b - a),
+                "score": top[:, 0] + np.log10((10 ** (of_kind - top)).sum(axis=1))}))
         return pd.concat(out)
 
     return dealt.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(
