@@ -25,7 +25,7 @@ from statline.session import work_dir
 # Fixed values of the contracts.
 PACK_TOKENIZER, PACK_END, PACK_SIZE = "byte_bpe_50k.json", 2, 1024
 FILE_TOKENIZER, FILE_END = "word_bpe_49k.json", 1
-SCORE_TOKENIZER = "word_bpe_49k.json"
+SCORE_RANKS = "byte_bpe_50k.tiktoken"
 COUNT_MODEL = "piece_bpe_32k.model"
 VECTOR_SCALE, VECTOR_TOP, QUERY_EVERY = 64, 20, 20
 
@@ -64,7 +64,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_text_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_scores(table(spark, sf_dir, "documents"), public_tokenizers.path(SCORE_TOKENIZER), divisor=7, held_out=2)
+    return text_scores(table(spark, sf_dir, "documents"), public_tokenizers.path(SCORE_RANKS), divisor=7, held_out=2)
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statline.llm.attention import AttentionModel, class_shares, kinds_of_text, log_within, nearest, train
-from statline.llm.common import BUCKET_CHARS, U64, Words, buckets_for, chunks, gather, store, texts_of, token_ids
+from statline.llm.common import BUCKET_CHARS, U64, Words, buckets_for, chunks, gather, store, subwords, texts_of
 from statline.llm.labelled import fit_on_sample, held_out_column
 from statline.llm.shingles import unpack
 
@@ -39,17 +39,13 @@ class _Group:
         return self.rank[np.searchsorted(self.hashes, words.hashes)]
 
 
-def _subwords(words: Words, tokenizer: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return token_ids(tokenizer, "dropped").of_words(words.distinct)
-
-
-def _text_ids(words: Words, tokenizer: str, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _text_ids(words: Words, ranks: str, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Subword ids of all texts of a part with an end after each, where each text begins, and where each word does.
 
-    Ids of subwords that open a word are moved up by the size of the tokenizer's vocabulary; the highest id is the end. An
+    Ids of subwords that open a word are moved up by the size of the vocabulary; the highest id is the end. An
     end is a word too.
     """
-    starts, lengths, flat = _subwords(words, tokenizer)
+    starts, lengths, flat = subwords(ranks)(words.distinct)
     n = lengths[words.coded] if len(words.coded) else np.empty(0, np.int64)
     ids = gather(flat, starts[words.coded], n).astype(np.int64) if len(n) else np.empty(0, np.int64)
     before = np.cumsum(n) - n
@@ -60,15 +56,15 @@ def _text_ids(words: Words, tokenizer: str, size: int) -> tuple[np.ndarray, np.n
     return np.insert(ids, bounds[1:], size - 1), bounds + np.arange(len(bounds)), begins
 
 
-def _vocabulary(tokenizer: str) -> int:
-    """Ids of the tokenizer, again as ids that open a word, and one that ends a text."""
-    return 2 * token_ids(tokenizer, "dropped").tokenizer.get_vocab_size() + 1
+def _vocabulary(ranks: str) -> int:
+    """Ids of the rank file, again as ids that open a word, and one that ends a text."""
+    return 2 * subwords(ranks).size + 1
 
 
-def fit_attention(tokenizer: str):
+def fit_attention(ranks: str):
     def fit(texts: list[str], _: list[int]):
-        size = _vocabulary(tokenizer)
-        parts = [_text_ids(Words(texts[a:b]), tokenizer, size) for a, b in chunks(texts)]
+        size = _vocabulary(ranks)
+        parts = [_text_ids(Words(texts[a:b]), ranks, size) for a, b in chunks(texts)]
         ids = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.int64)
         lengths = np.concatenate([np.diff(p[1]) for p in parts]) if parts else np.empty(0, np.int64)
         bounds = np.concatenate(([0], np.cumsum(lengths)))
@@ -78,16 +74,16 @@ def fit_attention(tokenizer: str):
     return fit
 
 
-def _count(tokenizer: str, buckets: int, classes: np.ndarray, kinds: np.ndarray):
+def _count(ranks: str, buckets: int, classes: np.ndarray, kinds: np.ndarray):
     """Words of each group with their counts in its training texts of each kind, packed for the buckets of words; and, in
     bucket -1, the counts of subword ids and of texts of each kind."""
     def count(key: tuple, docs: pd.DataFrame) -> pd.DataFrame:
         docs = docs.sort_values(["doc_id", "row"])
         texts, learnt = docs["text"].tolist(), ~docs["held_out"].to_numpy(bool)
-        group, size = _Group(texts, buckets), _vocabulary(tokenizer)
+        group, size = _Group(texts, buckets), _vocabulary(ranks)
         total, ids_of = np.zeros((len(group.hashes), KINDS), np.int64), np.zeros(size + KINDS, np.int64)
         for a, b, words in group.parts:
-            ids, bounds, _ = _text_ids(words, tokenizer, size)
+            ids, bounds, _ = _text_ids(words, ranks, size)
             kind = nearest(class_shares(classes, ids, bounds), kinds)
             ids_of[:size] += np.bincount(ids[np.repeat(learnt[a:b], np.diff(bounds))], minlength=size)
             ids_of[size:] += np.bincount(kind[learnt[a:b]], minlength=KINDS)
@@ -139,7 +135,7 @@ def _word_logs(gained: np.ndarray, opened: np.ndarray, bounds: np.ndarray, begin
     return total[ends] - total[begins] - np.where(ends == begins, 0, np.append(opened, 0)[begins]) + after
 
 
-def text_scores(docs: DataFrame, tokenizer: str, divisor: int = 7, held_out: int = 2, most: int = SAMPLE_DOCS) -> DataFrame:
+def text_scores(docs: DataFrame, ranks: str, divisor: int = 7, held_out: int = 2, most: int = SAMPLE_DOCS) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     Tokens are words and one end. The base is the log10 probability under counts plus one of all words of all texts that are
@@ -158,10 +154,10 @@ def text_scores(docs: DataFrame, tokenizer: str, divisor: int = 7, held_out: int
              .withColumn("chunk", F.pmod("row", F.lit(buckets)).cast("int")))
     learnable = texts.where(~F.col("held_out") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     classes, weights, middles = pickle.loads(fit_on_sample(
-        docs, learnable.withColumn("label", F.lit(0)), fit_attention(tokenizer), most))
-    counted = store(dealt.groupBy("chunk").applyInPandas(_count(tokenizer, buckets, classes, middles), COUNTS), "word-counts")
+        docs, learnable.withColumn("label", F.lit(0)), fit_attention(ranks), most))
+    counted = store(dealt.groupBy("chunk").applyInPandas(_count(ranks, buckets, classes, middles), COUNTS), "word-counts")
     known = store(counted.where("bucket >= 0").groupBy("bucket").applyInPandas(_total, KNOWN), "known-words")
-    size = _vocabulary(tokenizer)
+    size = _vocabulary(ranks)
     summed = counted.where("bucket < 0").select("counts").mapInPandas(_id_counts(size + KINDS), "counts binary")
     # A partition sums its groups first, so one row a partition reaches the second sum.
     summed = summed.repartition(1).mapInPandas(_id_counts(size + KINDS), "counts binary").first()
@@ -192,7 +188,7 @@ def text_scores(docs: DataFrame, tokenizer: str, divisor: int = 7, held_out: int
             each = np.insert(words.coded, words.bounds[1:], len(c))
             every = by_kind.sum(axis=1)
             drawn = whole * (OWN_KIND * by_kind / np.maximum(words_of_kind, 1) + (1 - OWN_KIND) * every[:, None] / max(n, 1))
-            ids, bounds, begins = _text_ids(words, tokenizer, size)
+            ids, bounds, begins = _text_ids(words, ranks, size)
             spelt = (1 - whole) * np.exp(_word_logs(*model.log_probabilities(ids, bounds), bounds, begins))
             of_kind = np.column_stack([prior[k] + np.bincount(owner, np.log10(drawn[each, k] + spelt + 1e-300), b - a)
                                        for k in range(KINDS)])
