@@ -100,11 +100,12 @@ def top_inner_products(rows: DataFrame, queries: DataFrame, k: int = 20) -> Data
     blocks = max(1, -(-rows.count() // ROWS), min(6, rows.count() // 4096))
     groups = max(1, -(-queries.count() // QUERIES))
     everywhere = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda n, *of: F.pmod(F.xxhash64(*of), F.lit(n)).cast("int")  # noqa: E731  keys of both sides are ints
     left = rows.select("vec_id", "v", F.size("v").alias("dims"),
-                       F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(blocks)).alias("block"),
+                       dealt(blocks, "vec_id", F.monotonically_increasing_id()).alias("block"),
                        everywhere(groups).alias("chunk"))
     right = queries.select("vec_id", "v", F.size("v").alias("dims"),
-                           F.pmod(F.xxhash64("vec_id"), F.lit(groups)).alias("chunk"), everywhere(blocks).alias("block"))
+                           dealt(groups, "vec_id").alias("chunk"), everywhere(blocks).alias("block"))
 
     def search(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
