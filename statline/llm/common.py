@@ -97,7 +97,7 @@ class Words:
     """The words of many texts: runs between ASCII white space, A-Z in lower case.
 
     ``coded`` numbers the distinct words for all words one after another, ``bounds`` says where each text begins, ``distinct``
-    holds the words and ``hashes`` their 64-bit hashes.
+    holds the words, ``sizes`` their bytes and ``hashes`` their 64-bit hashes.
     """
 
     def __init__(self, texts):
@@ -106,6 +106,7 @@ class Words:
         self.distinct = coded.dictionary.to_pylist()
         self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.cast(pa.large_binary()).to_pylist()),
                                   np.uint64, len(self.distinct))
+        self.sizes = pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False).astype(np.int64)
         words = coded.indices.to_numpy(zero_copy_only=False)
         real = words != (self.distinct.index("") if "" in self.distinct else -1)
         kept = np.concatenate(([0], np.cumsum(real)))
@@ -247,13 +248,15 @@ class Subwords:
         self.bytes = np.zeros(self.size, np.int64)
         self.bytes[list(ranks.values())] = [len(token) for token in ranks]
 
-    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Where each word's ids begin, how many there are, and the ids of all words one after another."""
+    def __call__(self, words: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each word's ids begin, how many there are, and the ids of all words one after another. ``sizes`` are the
+        words' bytes."""
         if not words:
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
         encode = self.encoding.encode_ordinary
-        ids = np.array([i for a in range(0, len(words), 2_000) for i in encode(" " + " ".join(words[a:a + 2_000]))], np.int64)
-        wanted = np.cumsum(np.array([len(w.encode("utf-8", "surrogatepass")) + 1 for w in words], np.int64))
+        ids = np.concatenate([np.array(encode(" " + " ".join(words[a:a + 2_000])), np.int64)
+                              for a in range(0, len(words), 2_000)])
+        wanted = np.cumsum(sizes + 1)
         covered = np.cumsum(self.bytes[ids])
         ends = np.searchsorted(covered, wanted) + 1
         if ends[-1] != len(ids) or (covered[ends - 1] != wanted).any():

@@ -19,6 +19,7 @@ from statline.llm.components import connected_components
 from statline.llm.shingles import Dealer, shingle_sets, unpack
 
 DIMS = 32
+MOST_DIMS = 256
 LEAF = 16
 SPARE = 3
 CELL = 2_000
@@ -94,19 +95,34 @@ def group_keys(flat: np.ndarray, sizes: np.ndarray, similar: Similarity) -> tupl
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def count_points(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """How many shingles of each set fall into each of 32 groups (by other bits than the keys use)."""
-    index = np.repeat(np.arange(len(sizes)), sizes)
-    cell = index * DIMS + (flat & U64(DIMS - 1)).astype(np.int64)
-    return np.bincount(cell, minlength=len(sizes) * DIMS).reshape(-1, DIMS).astype(np.int32)
+def count_points(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """How many shingles of each set fall into each of its groups: 32 groups for small sets, about a quarter of the set's size
+    for larger ones, always a power of two. Groups go by bits that the keys do not use, and those of a coarser point are
+    neighbouring ones of a finer point together."""
+    ends, out = np.cumsum(sizes), []
+    for end, n in zip(ends.tolist(), sizes.tolist()):
+        bits = max(DIMS.bit_length() - 1, min(16, (n // 4).bit_length()))
+        cell = (flat[end - n:end] >> U64(8) & U64(0xFFFFFF)) >> U64(24 - bits)
+        out.append(np.bincount(cell.astype(np.int64), minlength=1 << bits).astype(np.uint16))
+    return out
+
+
+def coarse(points: list[np.ndarray], dims: int = DIMS) -> np.ndarray:
+    return np.array([p.reshape(dims, -1).sum(axis=1) for p in points], np.int32).reshape(-1, dims)
+
+
+def overlap_bound(a: np.ndarray, b: np.ndarray) -> int:
+    """Summed coordinate minima of two points, the finer one made as coarse as the other."""
+    if len(a) < len(b):
+        a, b = b, a
+    return int(np.minimum(a.reshape(len(b), -1).sum(axis=1), b).sum())
 
 
 class CountTree:
     """A packed R-tree over count points. A node keeps the largest count of each coordinate and the least size below it."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        widest = np.argsort(-points.var(axis=0), kind="stable")[:2] if len(points) else [0, 1]
-        self.order = np.lexsort((points[:, widest[1]], points[:, widest[0]] // 4, sizes))
+        self.order = np.lexsort((points[:, 1], points[:, 0] // 4, sizes))
         self.levels = [(points[self.order], sizes[self.order])]
         while len(self.levels[-1][1]) > LEAF:
             high, least = self.levels[-1]
@@ -122,8 +138,8 @@ class CountTree:
             query, node = np.repeat(np.arange(len(own)), top), np.tile(np.arange(top), len(own))
             for high, least in reversed(self.levels):
                 keep = []
-                for b in range(0, len(query), 200_000):
-                    q, n = query[b:b + 200_000], node[b:b + 200_000]
+                for b in range(0, len(query), 20_000):
+                    q, n = query[b:b + 20_000], node[b:b + 20_000]
                     bound = np.minimum(own[q], high[n]).sum(axis=1)
                     keep.append(bound >= similar.overlap(size[q], np.maximum(least[n], similar.partner(size[q]))))
                 keep = np.concatenate(keep) if keep else np.empty(0, bool)
@@ -189,8 +205,8 @@ def _points(size: int):
     return emit
 
 
-def _matrix(points: pd.Series) -> np.ndarray:
-    return unpack(points, np.int32).reshape(-1, DIMS)
+def _unpacked(points: pd.Series) -> list[np.ndarray]:
+    return [np.frombuffer(p, np.uint16).astype(np.int32) for p in points]
 
 
 def _verified(pairs: DataFrame, known: DataFrame, size: int, similar: Similarity) -> DataFrame:
@@ -201,7 +217,7 @@ def _verified(pairs: DataFrame, known: DataFrame, size: int, similar: Similarity
 
     def bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            bound = np.minimum(_matrix(batch["point_a"]), _matrix(batch["point_b"])).sum(axis=1)
+            bound = np.array([overlap_bound(a, b) for a, b in zip(_unpacked(batch["point_a"]), _unpacked(batch["point_b"]))], int)
             yield batch[["a", "b"]][bound >= similar.overlap(batch["n_a"].to_numpy(), batch["n_b"].to_numpy())]
 
     near = store(pairs.join(sides[0], "a").join(sides[1], "b").mapInPandas(bounded, "a long, b long"), "near")
@@ -223,7 +239,7 @@ def _verified(pairs: DataFrame, known: DataFrame, size: int, similar: Similarity
 
 
 def _across(runs: DataFrame, similar: Similarity) -> DataFrame:
-    """Pairs ``a, b`` of one run and different components whose points allow similarity.
+    """Pairs ``a, b`` of one run and different components whose points, coarse in the tree and then fine, allow similarity.
 
     A run is cut into parts of about ``CELL`` documents; each two parts, and each part with itself, are a cell, and a cell is
     one tree and its queries, so no run is too large for a task.
@@ -237,17 +253,36 @@ def _across(runs: DataFrame, similar: Similarity) -> DataFrame:
              .select("bucket", "run", "low", "high", "part", "doc_id", "component_id", "n", "point"))
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
-        found = [np.empty((0, 2), np.int64)]
-        for (_, low, high), cell in rows.groupby(["run", "low", "high"]):
-            ids, points = cell["doc_id"].to_numpy(), _matrix(cell["point"])
-            sizes, home = cell["n"].to_numpy(np.int64), cell["component_id"].to_numpy()
-            left, right = cell["part"].to_numpy() == low, cell["part"].to_numpy() == high
-            query, point = CountTree(points[left], sizes[left]).near(points[right], sizes[right], similar)
-            query, point = np.flatnonzero(right)[query], np.flatnonzero(left)[point]
-            cross = home[query] != home[point]
-            pair = np.sort(np.column_stack([ids[query[cross]], ids[point[cross]]]), axis=1)
-            found.append(np.unique(pair, axis=0))
-        return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+        rows = rows.sort_values(["run", "low", "high", "doc_id"], ignore_index=True)
+        ids, home, sizes = (rows[c].to_numpy(np.int64) for c in ("doc_id", "component_id", "n"))
+        fine, part = _unpacked(rows["point"]), rows["part"].to_numpy()
+        low, high = rows["low"].to_numpy(), rows["high"].to_numpy()
+        cell = rows["run"].to_numpy()
+        edges = np.append(np.flatnonzero(np.concatenate(
+            ([True], (cell[1:] != cell[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])))), len(rows))
+        members = np.diff(edges)
+        pairs = [np.empty((0, 2), np.int64)]
+        for m in range(2, LEAF + 1):  # cells of one leaf, all of one size at once
+            first, second = np.triu_indices(m, 1)
+            at = edges[:-1][members == m][:, None]
+            pairs.append(np.column_stack([(at + first).ravel(), (at + second).ravel()]))
+        for a, b in zip(edges[:-1][members > LEAF].tolist(), edges[1:][members > LEAF].tolist()):
+            points = coarse(fine[a:b], min(MOST_DIMS, min(map(len, fine[a:b]))))
+            # Of two documents of different components one at least is not of the largest.
+            kinds, count = np.unique(home[a:b], return_counts=True)
+            left, right = part[a:b] == low[a], part[a:b] == high[a]
+            few = home[a:b] != kinds[count.argmax()]
+            for tree, ask in ((left, right & few), (right, left & few)):
+                if tree.any() and ask.any():
+                    query, point = CountTree(points[tree], sizes[a:b][tree]).near(points[ask], sizes[a:b][ask], similar)
+                    pairs.append(np.column_stack([a + np.flatnonzero(ask)[query], a + np.flatnonzero(tree)[point]]))
+        pairs = np.concatenate(pairs)
+        pairs = pairs[(home[pairs[:, 0]] != home[pairs[:, 1]]) & ((part[pairs[:, 0]] != part[pairs[:, 1]])
+                                                                   | (low == high)[pairs[:, 0]])]
+        named = np.sort(ids[pairs], axis=1)
+        named, which = np.unique(named, axis=0, return_index=True)
+        keep = [overlap_bound(fine[x], fine[y]) >= similar.overlap(sizes[x], sizes[y]) for x, y in pairs[which].tolist()]
+        return pd.DataFrame(named[np.array(keep, bool)], columns=["a", "b"])
 
     return cells.groupBy("bucket").applyInPandas(search, "a long, b long").distinct()
 

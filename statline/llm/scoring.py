@@ -16,6 +16,7 @@ from statline.llm.labelled import fit_on_sample, held_out_column
 from statline.llm.shingles import unpack
 
 SAMPLE_DOCS = 1_500
+PART = 8_000_000
 KINDS = 4
 OWN_KIND = 0.95
 COUNTS = "bucket int, chunk int, hashes binary, counts binary"
@@ -26,7 +27,7 @@ class _Group:
     """The distinct words of a group of texts, ordered by bucket and hash, so that both passes over it see one order."""
 
     def __init__(self, texts: list[str], buckets: int):
-        self.parts = [(a, b, Words(texts[a:b])) for a, b in chunks(texts)]
+        self.parts = [(a, b, Words(texts[a:b])) for a, b in chunks(texts, PART)]
         self.hashes = np.unique(np.concatenate([w.hashes for _, _, w in self.parts] or [np.empty(0, np.uint64)]))
         bucket = (self.hashes % U64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
@@ -45,7 +46,7 @@ def _text_ids(words: Words, ranks: str, size: int) -> tuple[np.ndarray, np.ndarr
     Ids of subwords that open a word are moved up by the size of the vocabulary; the highest id is the end. An
     end is a word too.
     """
-    starts, lengths, flat = subwords(ranks)(words.distinct)
+    starts, lengths, flat = subwords(ranks)(words.distinct, words.sizes)
     n = lengths[words.coded] if len(words.coded) else np.empty(0, np.int64)
     ids = gather(flat, starts[words.coded], n).astype(np.int64) if len(n) else np.empty(0, np.int64)
     before = np.cumsum(n) - n
@@ -64,7 +65,7 @@ def _vocabulary(ranks: str) -> int:
 def fit_attention(ranks: str):
     def fit(texts: list[str], _: list[int]):
         size = _vocabulary(ranks)
-        parts = [_text_ids(Words(texts[a:b]), ranks, size) for a, b in chunks(texts)]
+        parts = [_text_ids(Words(texts[a:b]), ranks, size) for a, b in chunks(texts, PART)]
         ids = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.int64)
         lengths = np.concatenate([np.diff(p[1]) for p in parts]) if parts else np.empty(0, np.int64)
         bounds = np.concatenate(([0], np.cumsum(lengths)))
