@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-CLASSES = 64
+CLASSES = 48
 WIDTH = 8
 WINDOW = 32
 SCORED = 24

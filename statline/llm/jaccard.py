@@ -101,12 +101,20 @@ def count_points(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     neighbouring ones of a finer point together."""
     ends, out = np.cumsum(sizes), []
     for end, n in zip(ends.tolist(), sizes.tolist()):
-        bits = max(DIMS.bit_length() - 1, min(16, (n // 4).bit_length()))
+        bits = max(DIMS.bit_length() - 1, min(22, (n // 4).bit_length()))
         cell = (flat[end - n:end] >> U64(8) & U64(0xFFFFFF)) >> U64(24 - bits)
         out.append(np.bincount(cell.astype(np.int64), minlength=1 << bits).astype(np.uint16))
     return out
 
 
+def packed_point(point: np.ndarray) -> bytes:
+    """A point at a quarter of its groups (32 at least) as one byte a group, or as many groups as that takes."""
+    dims = max(DIMS, len(point) // 4)
+    while dims < len(point) and point.reshape(dims, -1).sum(axis=1).max() > 255:
+        dims *= 2
+    return np.minimum(point.reshape(dims, -1).sum(axis=1), 255).astype(np.uint8).tobytes()
+
+
 def coarse(points: list[np.ndarray], dims: int = DIMS) -> np.ndarray:
     return np.array([p.reshape(dims, -1).sum(axis=1) for p in points], np.int32).reshape(-1, dims)
 
@@ -199,8 +207,10 @@ def _points(size: int):
             texts = batch["text"].tolist()
             for a, b in chunks(texts):
                 flat, sizes = shingle_sets(texts[a:b], size)
+                points = count_points(flat, sizes)
                 yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[a:b], "n": sizes,
-                                    "point": [p.tobytes() for p in count_points(flat, sizes)], "text": texts[a:b]})
+                                    "point": [p.tobytes() for p in points],
+                                    "small": [packed_point(p) for p in points], "text": texts[a:b]})
 
     return emit
 
@@ -239,7 +249,7 @@ def _verified(pairs: DataFrame, known: DataFrame, size: int, similar: Similarity
 
 
 def _across(runs: DataFrame, similar: Similarity) -> DataFrame:
-    """Pairs ``a, b`` of one run and different components whose points, coarse in the tree and then fine, allow similarity.
+    """Pairs ``a, b`` of one run and different components whose points, as coarse as rows of runs carry them, allow similarity.
 
     A run is cut into parts of about ``CELL`` documents; each two parts, and each part with itself, are a cell, and a cell is
     one tree and its queries, so no run is too large for a task.
@@ -250,12 +260,13 @@ def _across(runs: DataFrame, similar: Similarity) -> DataFrame:
              .withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
              .withColumn("bucket", F.when(F.col("parts") > 1, F.xxhash64("run", "low", "high")).otherwise(
                  F.pmod(F.xxhash64("run"), F.lit(512))))
-             .select("bucket", "run", "low", "high", "part", "doc_id", "component_id", "n", "point"))
+             .select("bucket", "run", "low", "high", "part", "doc_id", "component_id", "n", "small"))
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["run", "low", "high", "doc_id"], ignore_index=True)
         ids, home, sizes = (rows[c].to_numpy(np.int64) for c in ("doc_id", "component_id", "n"))
-        fine, part = _unpacked(rows["point"]), rows["part"].to_numpy()
+        points = [np.frombuffer(p, np.uint8).astype(np.int32) for p in rows["small"]]
+        part = rows["part"].to_numpy()
         low, high = rows["low"].to_numpy(), rows["high"].to_numpy()
         cell = rows["run"].to_numpy()
         edges = np.append(np.flatnonzero(np.concatenate(
@@ -267,21 +278,21 @@ def _across(runs: DataFrame, similar: Similarity) -> DataFrame:
             at = edges[:-1][members == m][:, None]
             pairs.append(np.column_stack([(at + first).ravel(), (at + second).ravel()]))
         for a, b in zip(edges[:-1][members > LEAF].tolist(), edges[1:][members > LEAF].tolist()):
-            points = coarse(fine[a:b], min(MOST_DIMS, min(map(len, fine[a:b]))))
+            own = coarse(points[a:b], min(MOST_DIMS, min(map(len, points[a:b]))))
             # Of two documents of different components one at least is not of the largest.
             kinds, count = np.unique(home[a:b], return_counts=True)
             left, right = part[a:b] == low[a], part[a:b] == high[a]
             few = home[a:b] != kinds[count.argmax()]
             for tree, ask in ((left, right & few), (right, left & few)):
                 if tree.any() and ask.any():
-                    query, point = CountTree(points[tree], sizes[a:b][tree]).near(points[ask], sizes[a:b][ask], similar)
+                    query, point = CountTree(own[tree], sizes[a:b][tree]).near(own[ask], sizes[a:b][ask], similar)
                     pairs.append(np.column_stack([a + np.flatnonzero(ask)[query], a + np.flatnonzero(tree)[point]]))
         pairs = np.concatenate(pairs)
         pairs = pairs[(home[pairs[:, 0]] != home[pairs[:, 1]]) & ((part[pairs[:, 0]] != part[pairs[:, 1]])
                                                                    | (low == high)[pairs[:, 0]])]
         named = np.sort(ids[pairs], axis=1)
         named, which = np.unique(named, axis=0, return_index=True)
-        keep = [overlap_bound(fine[x], fine[y]) >= similar.overlap(sizes[x], sizes[y]) for x, y in pairs[which].tolist()]
+        keep = [overlap_bound(points[x], points[y]) >= similar.overlap(sizes[x], sizes[y]) for x, y in pairs[which].tolist()]
         return pd.DataFrame(named[np.array(keep, bool)], columns=["a", "b"])
 
     return cells.groupBy("bucket").applyInPandas(search, "a long, b long").distinct()
@@ -300,7 +311,7 @@ def similar_links(docs: DataFrame, size: int, similar: Similarity) -> tuple[Data
     sizes = packed.where("bucket < 0").mapInPandas(_sizes, "doc_id long, n_shingles long")
     runs = store(packed.where("bucket >= 0").groupBy("bucket").applyInPandas(_meet, "run long, doc_id long, leader long"), "runs")
     known = store(only_ids(texts, store(runs.select("doc_id").distinct(), "met"))
-                  .mapInPandas(_points(size), "doc_id long, n long, point binary, text string"), "known")
+                  .mapInPandas(_points(size), "doc_id long, n long, point binary, small binary, text string"), "known")
     first = runs.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = store(_verified(first, known, size, similar), "links")
     parts = store(connected_components(links), "components")
@@ -309,7 +320,7 @@ def similar_links(docs: DataFrame, size: int, similar: Similarity) -> tuple[Data
     placed = store(placed, "placed")
     apart = (placed.groupBy("run").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"))
              .where("x <> y").select("run"))
-    open_runs = placed.join(apart, "run").join(known.select("doc_id", "n", "point"), "doc_id")
+    open_runs = placed.join(apart, "run").join(known.select("doc_id", "n", "small"), "doc_id")
     more = _verified(store(_across(open_runs, similar), "across"), known, size, similar)
     return store(links.unionByName(more), "all-links"), sizes
 

@@ -16,7 +16,7 @@ from statline.llm.labelled import fit_on_sample, held_out_column
 from statline.llm.shingles import unpack
 
 SAMPLE_DOCS = 1_500
-PART = 8_000_000
+PART = 6_000_000
 KINDS = 4
 OWN_KIND = 0.95
 COUNTS = "bucket int, chunk int, hashes binary, counts binary"
