@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import re
 from array import array
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from statline.session import work_dir
 
-TEXT_CHUNK = 4_000_000
+TEXT_CHUNK = 2_000_000
 BUCKET_CHARS = 16_000_000
 BROADCAST_IDS = 500_000
 U64 = np.uint64
@@ -45,6 +46,18 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500):
+    """Steps stored inside hand Python this many rows at a time, for rows that hold whole texts side by side."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def buckets_for(docs: DataFrame, chars: int = BUCKET_CHARS, least: int = 32) -> int:
     """Buckets for keys made from these texts, from their measured length: each stays small however large the input."""
     total = docs.agg(F.sum(F.length("text"))).first()[0] or 0

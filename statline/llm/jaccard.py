@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statline.llm.common import BUCKET_CHARS, U64, buckets_for, chunks, gather, mix, only_ids, store, texts_of
+from statline.llm.common import BUCKET_CHARS, U64, buckets_for, chunks, gather, mix, only_ids, small_batches, store, texts_of
 from statline.llm.components import connected_components
 from statline.llm.shingles import Dealer, shingle_sets, unpack
 
@@ -187,7 +187,7 @@ def _sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _meet(rows: pd.DataFrame) -> pd.DataFrame:
-    """``run, doc_id, leader`` of the documents of a bucket that share a key; the leader is the smallest id of the run."""
+    """``run, doc_id`` of the documents of a bucket that share a key."""
     key, ids = unpack(rows["key"], np.uint32), unpack(rows["doc_id"], np.int64)
     order = np.lexsort((ids, key))
     key, ids = key[order], ids[order]
@@ -197,8 +197,14 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
     _, first, count = np.unique(key, return_index=True, return_counts=True)
     run = np.repeat(np.arange(len(first)), count)
     shared = count[run] > 1
-    return pd.DataFrame({"run": np.int64(rows["bucket"].iloc[0]) << 32 | key[shared].astype(np.int64), "doc_id": ids[shared],
-                         "leader": ids[first][run][shared]})
+    return pd.DataFrame({"run": np.int64(rows["bucket"].iloc[0]) << 32 | key[shared].astype(np.int64), "doc_id": ids[shared]})
+
+
+def _set_hashes(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each whole set; equal sets have equal ones."""
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(flat + U64(7)))))
+    ends = np.cumsum(sizes)
+    return mix(total[ends] - total[ends - sizes]).view(np.int64)
 
 
 def _points(size: int):
@@ -210,7 +216,8 @@ def _points(size: int):
                 points = count_points(flat, sizes)
                 yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[a:b], "n": sizes,
                                     "point": [p.tobytes() for p in points],
-                                    "small": [packed_point(p) for p in points], "text": texts[a:b]})
+                                    "small": [packed_point(p) for p in points], "text": texts[a:b],
+                                    "same": _set_hashes(flat, sizes)})
 
     return emit
 
@@ -245,7 +252,8 @@ def _verified(pairs: DataFrame, known: DataFrame, size: int, similar: Similarity
                     keep.append(common > 0 and common >= similar.overlap(ln, rn))
             yield batch[["a", "b"]][np.array(keep, bool)]
 
-    return near.join(texts[0], "a").join(texts[1], "b").mapInPandas(same, "a long, b long")
+    with small_batches(pairs.sparkSession):
+        return store(near.join(texts[0], "a").join(texts[1], "b").mapInPandas(same, "a long, b long"), "similar")
 
 
 def _across(runs: DataFrame, similar: Similarity) -> DataFrame:
@@ -302,27 +310,38 @@ def similar_links(docs: DataFrame, size: int, similar: Similarity) -> tuple[Data
     """``(links, sizes)``: links ``a, b`` that join exactly the documents that links of similarity join, and ``doc_id,
     n_shingles`` of all documents with an id.
 
-    Every run of documents that share a key first tries its smallest id against the others. Components of these links then
+    Documents of equal sets are one. Every run of documents that share a key first tries its smallest id against the others. Components of these links then
     tell which runs still hold documents apart, and only there are all pairs across components searched by the tree. So a
     group of very many near copies costs a link each, and no link between components is lost.
     """
     texts = texts_of(docs).where(F.col("doc_id").isNotNull())
     packed = store(_keys(texts, size, similar, buckets_for(texts, BUCKET_CHARS)), "keys")
     sizes = packed.where("bucket < 0").mapInPandas(_sizes, "doc_id long, n_shingles long")
-    runs = store(packed.where("bucket >= 0").groupBy("bucket").applyInPandas(_meet, "run long, doc_id long, leader long"), "runs")
-    known = store(only_ids(texts, store(runs.select("doc_id").distinct(), "met"))
-                  .mapInPandas(_points(size), "doc_id long, n long, point binary, small binary, text string"), "known")
-    first = runs.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = store(_verified(first, known, size, similar), "links")
+    runs = store(packed.where("bucket >= 0").groupBy("bucket").applyInPandas(_meet, "run long, doc_id long"), "runs")
+    with small_batches(docs.sparkSession):
+        known = store(only_ids(texts, store(runs.select("doc_id").distinct(), "met"))
+                      .mapInPandas(_points(size), "doc_id long, n long, point binary, small binary, text string, same long"), "known")
+    # Documents of equal sets are one class from here on, its smallest id; the others are linked to it.
+    classes = store(known.join(known.groupBy("n", "same").agg(F.min("doc_id").alias("head")), ["n", "same"])
+                    .select("doc_id", "head"), "classes")
+    copies = classes.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
+    heads = classes.where("doc_id = head").select("doc_id").distinct()
+    runs = store(runs.join(heads, "doc_id", "left_semi"), "heads")
+    first = runs.groupBy("run").agg(F.min("doc_id").alias("leader"))
+    first = (runs.join(first, "run").where("doc_id <> leader")
+             .select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct())
+    links = _verified(first, known, size, similar)
     parts = store(connected_components(links), "components")
     placed = runs.join(parts, "doc_id", "left").select(
         "run", "doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
     placed = store(placed, "placed")
-    apart = (placed.groupBy("run").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"))
-             .where("x <> y").select("run"))
+    # Of the runs that hold documents apart, one of each set of members.
+    apart = (placed.groupBy("run").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"), F.count("*").alias("m"),
+                                       F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("members"))
+             .where("x <> y").groupBy("m", "members", "x", "y").agg(F.min("run").alias("run")).select("run"))
     open_runs = placed.join(apart, "run").join(known.select("doc_id", "n", "small"), "doc_id")
     more = _verified(store(_across(open_runs, similar), "across"), known, size, similar)
-    return store(links.unionByName(more), "all-links"), sizes
+    return store(links.unionByName(more).unionByName(copies), "all-links"), sizes
 
 
 def jaccard_components(docs: DataFrame, size: int = 4, part: int = 85, whole: int = 100) -> DataFrame:

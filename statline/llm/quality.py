@@ -16,13 +16,14 @@ from statline.llm.labelled import fit_on_sample, held_out_column, training_rows
 SAMPLE_DOCS = 3_000
 MOST_LINES = 400
 CUTOFF = 0.7
+PART = 500_000
 GOOD = 1
 
 
 def _byte_classes() -> np.ndarray:
     """Class of each byte: 0 lower-case and other letters, 1 A-Z, 2 digits, 3 blanks, 4 stops and commas, 5 exclamation and
     question marks, 6 bars, 7 other signs, 8 later bytes of a letter."""
-    kind = np.full(256, 7, np.int64)
+    kind = np.full(256, 7, np.uint8)
     for first, last, value in ((97, 122, 0), (0xC0, 0xFF, 0), (65, 90, 1), (48, 57, 2), (0x80, 0xBF, 8)):
         kind[first:last + 1] = value
     for signs, value in ((b" \t\r\n\v\f", 3), (b".,;:'\"-()", 4), (b"!?", 5), (b"|", 6)):
@@ -44,11 +45,11 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     kinds = CLASSES[data]
     counts = np.empty((len(ends), 9), np.float64)
     for k in range(9):
-        total = np.concatenate(([0], np.cumsum(kinds == k)))
+        total = np.concatenate(([0], np.cumsum(kinds == k, dtype=np.int32)))
         counts[:, k] = total[ends] - total[starts]
     wide = np.zeros(len(data), bool)
     wide[1:] = (data[:-1] == 0xC3) & CAPITALS[data[1:]]
-    total = np.concatenate(([0], np.cumsum(wide)))
+    total = np.concatenate(([0], np.cumsum(wide, dtype=np.int32)))
     capitals = counts[:, 1] + total[ends] - total[starts]
     letters = counts[:, 0] + counts[:, 1] + 1e-9
     size = (ends - starts) - counts[:, 8] + 1e-9
@@ -209,7 +210,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, divisor: int = 4, held_ou
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch["text"].tolist()
-            found = [score_quality(model, texts[a:b]) for a, b in chunks(texts)]
+            found = [score_quality(model, texts[a:b]) for a, b in chunks(texts, PART)]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": np.concatenate(found) if found else []})
 
     return (texts_of(docs).mapInPandas(score, "doc_id long, score double")
@@ -225,7 +226,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, reject_below: float = 0.5) ->
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            good = np.concatenate([score_quality(model, texts[a:b]) for a, b in chunks(texts)] or [np.empty(0)])
+            good = np.concatenate([score_quality(model, texts[a:b]) for a, b in chunks(texts, PART)] or [np.empty(0)])
             yield batch[columns][good >= reject_below]
 
     return docs.mapInPandas(keep, schema)

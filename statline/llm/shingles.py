@@ -50,7 +50,7 @@ class Dealer:
     one with a chance of two to the minus 32, which costs a needless comparison and changes no result.
     """
 
-    def __init__(self, buckets: int, most: int = 4_000_000):
+    def __init__(self, buckets: int, most: int = 1_500_000):
         self.buckets, self.most, self.held, self.n = buckets, most, [], 0
 
     def add(self, key: np.ndarray, *values: np.ndarray) -> bool:
