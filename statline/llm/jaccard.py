@@ -108,8 +108,8 @@ def count_points(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
 
 
 def packed_point(point: np.ndarray) -> bytes:
-    """A point at a quarter of its groups (32 at least) as one byte a group, or as many groups as that takes."""
-    dims = max(DIMS, len(point) // 4)
+    """A point at half of its groups (32 at least) as one byte a group, or as many groups as that takes."""
+    dims = max(DIMS, len(point) // 2)
     while dims < len(point) and point.reshape(dims, -1).sum(axis=1).max() > 255:
         dims *= 2
     return np.minimum(point.reshape(dims, -1).sum(axis=1), 255).astype(np.uint8).tobytes()
@@ -310,7 +310,8 @@ def similar_links(docs: DataFrame, size: int, similar: Similarity) -> tuple[Data
     """``(links, sizes)``: links ``a, b`` that join exactly the documents that links of similarity join, and ``doc_id,
     n_shingles`` of all documents with an id.
 
-    Documents of equal sets are one. Every run of documents that share a key first tries its smallest id against the others. Components of these links then
+    Documents of equal sets are one. The smallest id of a run of documents that share a key is their leader. Each document is
+    first tried against the leader it shares most runs with, then against the others it is not joined to yet. Components then
     tell which runs still hold documents apart, and only there are all pairs across components searched by the tree. So a
     group of very many near copies costs a link each, and no link between components is lost.
     """
@@ -327,10 +328,16 @@ def similar_links(docs: DataFrame, size: int, similar: Similarity) -> tuple[Data
     copies = classes.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
     heads = classes.where("doc_id = head").select("doc_id").distinct()
     runs = store(runs.join(heads, "doc_id", "left_semi"), "heads")
-    first = runs.groupBy("run").agg(F.min("doc_id").alias("leader"))
-    first = (runs.join(first, "run").where("doc_id <> leader")
-             .select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct())
-    links = _verified(first, known, size, similar)
+    leaders = runs.groupBy("run").agg(F.min("doc_id").alias("a"))
+    stars = store(runs.join(leaders, "run").where("doc_id <> a").groupBy("a", F.col("doc_id").alias("b"))
+                  .agg(F.count("*").alias("shared")), "stars")
+    best = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b")
+    links = _verified(best, known, size, similar)
+    parts = store(connected_components(links), "components")
+    ends = [parts.select(F.col("doc_id").alias(x), F.col("component_id").alias(f"of_{x}")) for x in "ab"]
+    others = (stars.select("a", "b").join(best, ["a", "b"], "left_anti").join(ends[0], "a", "left").join(ends[1], "b", "left")
+              .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
+    links = links.unionByName(_verified(others, known, size, similar))
     parts = store(connected_components(links), "components")
     placed = runs.join(parts, "doc_id", "left").select(
         "run", "doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from statline.llm.common import chunks, texts_of
 from statline.llm.labelled import fit_on_sample, held_out_column, training_rows
 
-SAMPLE_DOCS = 3_000
+SAMPLE_DOCS = 2_000
 MOST_LINES = 400
 CUTOFF = 0.7
 PART = 500_000

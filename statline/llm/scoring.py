@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statline.llm.attention import AttentionModel, class_shares, kinds_of_text, log_within, nearest, train
-from statline.llm.common import BUCKET_CHARS, U64, Words, buckets_for, chunks, gather, store, subwords, texts_of
+from statline.llm.common import U64, Words, buckets_for, chunks, gather, store, subwords, texts_of
 from statline.llm.labelled import fit_on_sample, held_out_column
 from statline.llm.shingles import unpack
 
 SAMPLE_DOCS = 1_500
-PART = 6_000_000
+PART, GROUP_CHARS = 6_000_000, 16_000_000
 KINDS = 4
 OWN_KIND = 0.95
 COUNTS = "bucket int, chunk int, hashes binary, counts binary"
@@ -150,7 +150,7 @@ def text_scores(docs: DataFrame, ranks: str, divisor: int = 7, held_out: int = 2
     gets their counts back, so what moves is each distinct word once a group; no count of words reaches the driver.
     """
     texts = texts_of(docs).withColumn("held_out", held_out_column(divisor, held_out))
-    buckets = buckets_for(texts, BUCKET_CHARS)
+    buckets = buckets_for(texts, GROUP_CHARS)
     dealt = (texts.withColumn("row", F.xxhash64("doc_id", "text"))
              .withColumn("chunk", F.pmod("row", F.lit(buckets)).cast("int")))
     learnable = texts.where(~F.col("held_out") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
