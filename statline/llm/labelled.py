@@ -34,7 +34,8 @@ def fit_on_sample(docs: DataFrame, rows: DataFrame, fit: Callable[[list[str], li
         yield pd.DataFrame({"model": [pickle.dumps(fit(got["text"].tolist(), got["label"].astype(int).tolist()))]})
 
     sample = texts_of(docs).join(F.broadcast(chosen), "doc_id")
-    return bytes(sample.repartition(1).mapInPandas(learn, "model binary").first()["model"])
+    learnt = sample.repartition(1).mapInPandas(learn, "model binary").first()
+    return bytes(learnt["model"]) if learnt else pickle.dumps(fit([], []))
 
 
 def held_out_column(divisor: int, held_out: int):

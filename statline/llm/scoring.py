@@ -162,7 +162,8 @@ def text_scores(docs: DataFrame, ranks: str, divisor: int = 7, held_out: int = 2
     summed = counted.where("bucket < 0").select("counts").mapInPandas(_id_counts(size + KINDS), "counts binary")
     # A partition sums its groups first, so one row a partition reaches the second sum.
     summed = summed.repartition(1).mapInPandas(_id_counts(size + KINDS), "counts binary").first()
-    id_counts, texts_of_kind = np.split(np.frombuffer(bytes(summed["counts"]), np.int64), [size])
+    id_counts, texts_of_kind = np.split(
+        np.frombuffer(bytes(summed["counts"]), np.int64) if summed else np.zeros(size + KINDS, np.int64), [size])
     sums = known.agg(F.sum("kinds").alias("kinds"), F.sum("once").alias("once"),
                      *[F.sum(F.col("totals")[k]).alias(f"total_{k}") for k in range(KINDS)]).first()
     words_of_kind = np.array([int(sums[f"total_{k}"] or 0) for k in range(KINDS)]) + texts_of_kind

@@ -21,7 +21,7 @@ def shingle_sets(texts, size: int) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.uint64), np.zeros(len(bounds) - 1, np.int64)
     counts = np.diff(bounds)
     hashes = words.copy()
-    for k in range(1, size):
+    for k in range(1, min(size, len(words))):
         hashes[:len(words) - k] = hashes[:len(words) - k] * TURN + words[k:]
     hashes = mix(hashes)
     sets, sizes = [], np.zeros(len(counts), np.int64)
