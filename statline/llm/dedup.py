@@ -25,7 +25,7 @@ GRAM = 32
 LONGEST_RUN = 2_000
 HOT = 500
 PLACE_BITS = 24
-SEGMENT = 2_000_000
+SEGMENT = 1_000_000
 ODD = 0x9E3779B97F4A7C15
 PIECES = "bucket int, key binary, content binary, row binary, first binary, windows binary, moved binary"
 
@@ -53,7 +53,7 @@ class Windows:
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.text = np.frombuffer(b"".join(texts), np.uint8)
         n = len(self.text)
-        up, down = _powers(1 << max(PLACE_BITS, n.bit_length()))
+        up, down = _powers(1 << n.bit_length())
         self.up = up
         self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTES[self.text] * down[:n])))
 
@@ -194,8 +194,8 @@ def _fetch(buckets: int, length: int):
             out.append((False, b, shard[i].tobytes(), row[i].tobytes(), first[i].tobytes(), (end - first)[i].tobytes(),
                         mark[i].tobytes(), b"".join([piece[k] for k in i.tolist()])))
         warm = np.flatnonzero(mark >= 2)
-        for a in range(0, len(warm), 20_000):
-            i = warm[a:a + 20_000]
+        for a in range(0, len(warm), 4_000):
+            i = warm[a:a + 4_000]
             windows = Windows([piece[k] for k in i.tolist()], length)
             n = windows.sizes - length + 1
             place = gather(np.arange(len(windows.text)), windows.begins, n)

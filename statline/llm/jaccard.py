@@ -108,11 +108,15 @@ def count_points(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
 
 
 def packed_point(point: np.ndarray) -> bytes:
-    """A point at half of its groups (32 at least) as one byte a group, or as many groups as that takes."""
-    dims = max(DIMS, len(point) // 2)
-    while dims < len(point) and point.reshape(dims, -1).sum(axis=1).max() > 255:
-        dims *= 2
-    return np.minimum(point.reshape(dims, -1).sum(axis=1), 255).astype(np.uint8).tobytes()
+    """A point as one byte a group. Groups hold a few shingles each; a point with a group of more than 255 takes two bytes a
+    group and a mark that makes its length odd."""
+    if len(point) and point.max() > 255:
+        return point.tobytes() + b"2"
+    return point.astype(np.uint8).tobytes()
+
+
+def unpacked_point(data: bytes) -> np.ndarray:
+    return np.frombuffer(data[:-1], np.uint16).astype(np.int32) if len(data) % 2 else np.frombuffer(data, np.uint8).astype(np.int32)
 
 
 def coarse(points: list[np.ndarray], dims: int = DIMS) -> np.ndarray:
@@ -273,7 +277,7 @@ def _across(runs: DataFrame, similar: Similarity) -> DataFrame:
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["run", "low", "high", "doc_id"], ignore_index=True)
         ids, home, sizes = (rows[c].to_numpy(np.int64) for c in ("doc_id", "component_id", "n"))
-        points = [np.frombuffer(p, np.uint8).astype(np.int32) for p in rows["small"]]
+        points = [unpacked_point(p) for p in rows["small"]]
         part = rows["part"].to_numpy()
         low, high = rows["low"].to_numpy(), rows["high"].to_numpy()
         cell = rows["run"].to_numpy()
