@@ -77,11 +77,13 @@ class RuleSet:
     def _failures(self, df: DataFrame) -> DataFrame:
         """One row per failure; ``_first`` is the place of the first failure of the row, counted from 1.
 
-        The outer form keeps Spark from adding a filter that would evaluate all rules a second time.
+        Only failing places are exploded, so a sound row stays one row until it is dropped. The outer form keeps Spark from
+        adding a filter that would evaluate all rules a second time.
         """
         flagged = self._flags(df).withColumn("_first", F.array_position("_flags", True))
-        exploded = flagged.select(*df.columns, "_first", F.posexplode_outer("_flags").alias("_place", "_failed"))
-        return exploded.filter("_failed")
+        places = F.array_compact(F.transform("_flags", lambda failed, place: F.when(failed, place)))
+        exploded = flagged.select(*df.columns, "_first", F.explode_outer(places).alias("_place"))
+        return exploded.filter(F.col("_place").isNotNull())
 
     def violations(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """One row per failure, with the ``place`` of the rule among the rules."""

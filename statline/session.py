@@ -50,9 +50,9 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="statline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="statline-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:

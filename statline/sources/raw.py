@@ -14,8 +14,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from statline.functions.text import json_rows
 from statline.schemas import DATASETS, SEQ
 from statline.sources import files
 from statline.sources.state import advance_mark, read_mark
@@ -26,6 +26,11 @@ log = logging.getLogger(__name__)
 _NAMED = r"^(.+)\.(csv|json)$"
 
 
+# Standard quoting: a quote inside a quoted field is written twice.
+CSV = {"header": "true", "quote": '"', "escape": '"'}
+BROKEN = "_corrupt_record"
+
+
 @dataclass(frozen=True)
 class Source:
     path: str
@@ -36,17 +41,17 @@ class Source:
 
 
 def list_sources(spark: SparkSession, raw_dir: str, since: dt.date | None = None) -> list[Source]:
-    """Sources changed on or after the day ``since``, by name. Other suffixes and nested folders are passed over.
+    """Sources changed on or after the day ``since``, by name. Other suffixes are passed over; part files may lie
+    in folders below a source.
 
     Only the listing is read, not the files. Days are compared, not times, so a source changed on the day of the last
     run comes again; the upsert makes that harmless.
     """
     base = files.qualified(spark, raw_dir)
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
-    steps = F.split(F.substring("path", len(base) + 2, 100_000), "/")
+    steps = F.split(F.expr(f"substring(path, {len(base) + 2})"), "/")
     found = (
         listed.select("length", "modificationTime", steps.alias("steps"))
-        .filter(F.size("steps") <= 2)
         .groupBy(F.col("steps")[0].alias("entry"))
         .agg(F.sum("length").alias("size"), F.max("modificationTime").alias("modified"))
         .withColumns({"name": F.regexp_extract("entry", _NAMED, 1), "suffix": F.regexp_extract("entry", _NAMED, 2)})
@@ -70,21 +75,23 @@ def file_position(position: Column) -> Column:
 def read_csv(spark: SparkSession, path: str, dataset: str | None = None) -> DataFrame:
     """Rows of a CSV source with their arrival position.
 
-    Columns of a known dataset stay text until the type rules have seen them; others get inferred types. A part file
+    Columns of a known dataset stay text until the type rules have seen them; others get inferred types. A row of a known
+    dataset with more or fewer fields than the header comes with its text in ``_corrupt_record``. A part file
     whose header differs from the first one stops the read instead of shifting columns.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.options(**CSV).option("recursiveFileLookup", True)
     if dataset not in DATASETS:
         return reader.option("inferSchema", True).csv(path)
     header = reader.csv(path)
-    rows = reader.schema(header.schema).option("enforceSchema", False).csv(path)
+    schema = T.StructType([*header.schema, T.StructField(BROKEN, T.StringType())])
+    rows = reader.schema(schema).option("enforceSchema", False).option("columnNameOfCorruptRecord", BROKEN).csv(path)
     # Rows of one block are read in order by one task, where this number grows.
     return rows.select("*", file_position(F.monotonically_increasing_id()))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row ``(file, data, _seq)`` per JSON file; ``data`` is null where the text is no JSON document."""
-    text = spark.read.text(path, wholetext=True)
+    text = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     return documents(text.filter(F.length(F.trim("value")) > 0))
 
 
@@ -99,34 +106,71 @@ def documents(text: DataFrame) -> DataFrame:
 
 def document_rows(cells: DataFrame, dataset: str) -> DataFrame:
     """Records of JSON documents as rows, all values as text, with their place in the document as last part of ``_seq``."""
-    rows = json_rows(cells, "data", DATASETS[dataset].text_schema, position="_place")
+    rows = record_texts(cells, dataset).filter(F.col("_record").isNotNull()).select(
+        *[c for c in cells.columns if c != "data"], "_place", "_record.*")
     placed = F.struct(F.col(SEQ).alias("cell"), F.col("_place").cast("bigint").alias("record"))
     return rows.withColumn(SEQ, placed).drop("file", "_place")
 
 
+def record_texts(cells: DataFrame, dataset: str) -> DataFrame:
+    """Each element of the documents with its ``_place``, its ``_text`` and, if it is a record, its ``_record``.
+
+    A document is read as a list of records at once. Only where an element is no record, which empties that reading, are
+    its elements read one by one. An element with none of the fields is no record.
+    """
+    schema = DATASETS[dataset].text_schema
+    whole = F.from_json("data", T.ArrayType(schema))
+    texts = F.coalesce(F.from_json("data", T.ArrayType(T.StringType())), F.array("data"))
+    element = T.StructType([T.StructField("text", T.StringType()), T.StructField("record", schema)])
+    each = F.when(whole.isNotNull(), F.transform(whole, lambda r: F.struct(F.to_json(r).alias("text"), r.alias("record"))))
+    each = F.coalesce(each, F.transform(texts, lambda t: F.struct(t.alias("text"), F.from_json(t, schema).alias("record"))))
+    kept = [c for c in cells.columns if c != "data"]
+    rows = cells.select(*kept, F.posexplode(each.cast(T.ArrayType(element))).alias("_place", "_element"))
+    filled = F.coalesce(*[F.col(f"_element.record.{f.name}") for f in schema])
+    return rows.select(*kept, "_place", F.col("_element.text").alias("_text"),
+                       F.when(filled.isNotNull(), F.col("_element.record")).alias("_record"))
+
+
 def land(spark: SparkSession, source: Source, landing_dir: str) -> bool:
     """Write one source to landing, replacing what it landed before; False if it holds nothing readable."""
     landing = landing_dir.rstrip("/")
     if source.size == 0:
         log.warning("empty source, skipped: %s", source.path)
         return False
-    seen = Observation()
+    seen, elements = Observation(), Observation()
     if source.suffix == "csv":
-        rows = read_csv(spark, source.path, source.name).observe(seen, F.count(F.lit(1)).alias("read"),
-                                                                 F.lit(0).alias("broken"))
+        all_rows = read_csv(spark, source.path, source.name)
+        wrong = F.col(BROKEN).isNotNull() if BROKEN in all_rows.columns else F.lit(False)
+        rows = all_rows.observe(seen, F.count_if(~wrong).alias("read"), F.count_if(wrong).alias("broken"))
+        rows = rows.filter(~wrong).drop(BROKEN)
+        rejected = all_rows.filter(wrong).select(F.lit(source.path).alias("file"), *[c for c in all_rows.columns if c != SEQ])
     else:
         missing = F.col("data").isNull()
         all_cells = read_documents(spark, source.path)
         counted = all_cells.observe(seen, F.count_if(~missing).alias("read"), F.count_if(missing).alias("broken"))
         cells = counted.filter(~missing)
-        rows = document_rows(cells, source.name) if source.name in DATASETS else cells.drop(SEQ)
+        rejected = all_cells.filter(missing).select("file")
+        if source.name in DATASETS:
+            records = record_texts(cells, source.name).observe(
+                elements, F.count_if(F.col("_record").isNotNull()).alias("read"),
+                F.count_if(F.col("_record").isNull()).alias("broken"))
+            placed = F.struct(F.col(SEQ).alias("cell"), F.col("_place").cast("bigint").alias("record"))
+            rows = (records.filter(F.col("_record").isNotNull()).withColumn(SEQ, placed)
+                    .select(SEQ, "_record.*"))
+        else:
+            rows = cells.drop(SEQ)
     # The rows are counted as they are written, and replace what landed before only when they are complete.
     incoming = f"{landing}/_incoming/{source.name}"
     rows.write.mode("overwrite").parquet(incoming)
-    if seen.get["broken"]:
-        log.error("not valid JSON, listed in quarantine: %s", source.path)
-        all_cells.filter(missing).select("file").write.mode("overwrite").parquet(f"{landing}/_quarantine/{source.name}")
-    if not seen.get["read"]:
+    by_record = source.suffix == "json" and source.name in DATASETS and seen.get["read"] > 0
+    odd = elements.get["broken"] if by_record else 0
+    if seen.get["broken"] or odd:
+        log.error("%d parts are no records, kept in quarantine: %s", seen.get["broken"] + odd, source.path)
+        if odd:
+            texts = record_texts(read_documents(spark, source.path).filter(F.col("data").isNotNull()), source.name).filter(F.col("_record").isNull())
+            rejected = rejected.unionByName(texts.select("file", "_place", "_text"), allowMissingColumns=True)
+        rejected.write.mode("overwrite").parquet(f"{landing}/_quarantine/{source.name}")
+    if not (elements.get["read"] if by_record else seen.get["read"]):
         log.warning("nothing read, skipped: %s", source.path)
         return False
     files.replace(spark, incoming, f"{landing}/{source.name}.parquet")

@@ -13,5 +13,5 @@ def write_report(df: DataFrame, folder: str, name: str, stamp: dt.datetime | Non
     Tasks write their part files side by side; a sorted report is sorted across the part files in name order.
     """
     path = f"{folder.rstrip('/')}/{name}_{(stamp or dt.datetime.now()).strftime('%Y%m%d%H%M%S%f')}"
-    df.write.option("header", True).csv(path)
+    df.write.option("header", True).option("escape", '"').csv(path)
     return path

@@ -54,7 +54,7 @@ class Warehouse:
     def save(self, dataset: str, df: DataFrame) -> DataFrame | None:
         """Upsert a cleaned dataset under its contract; gives back the new table.
 
-        Rows that break the contract go to ``<table>_quarantine`` with their values as they came. A repeated key among
+        Rows that break the contract are added to ``<table>_quarantine`` with their values as they came. A repeated key among
         the rest stops the save before anything is written. An empty delivery changes nothing. ``df`` is read several
         times, so pass a stored table rather than a long plan.
         """
@@ -67,7 +67,9 @@ class Warehouse:
             raise ContractError(f"{spec.table}: repeated key {spec.key}")
         if found.broken:
             log.warning("%s: %d rows break the contract and go to quarantine", spec.table, found.broken)
-            self.write(f"{spec.table}_quarantine", df.filter(broken))
+            rejected, earlier = df.filter(broken), self.read(f"{spec.table}_quarantine")
+            self.write(f"{spec.table}_quarantine",
+                       rejected if earlier is None else earlier.unionByName(rejected, allowMissingColumns=True))
         current = self.read(spec.table)
         if found.total == found.broken:
             log.warning("%s: nothing to save", spec.table)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from statline.schemas import DATASETS, SEQ
-from statline.sources.raw import document_rows, documents, file_position
+from statline.sources.raw import CSV, document_rows, documents, file_position
 
 _PLACE = "_place"
 
@@ -27,7 +27,7 @@ def _number_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _csv_stream(spark: SparkSession, raw_dir: str, dataset: str, pattern: str) -> DataFrame:
-    files = spark.readStream.schema(DATASETS[dataset].text_schema).option("header", True)
+    files = spark.readStream.schema(DATASETS[dataset].text_schema).options(**CSV)
     rows = files.option("enforceSchema", False).option("pathGlobFilter", pattern).csv(raw_dir)
     placed = rows.select("*", file_position(F.lit(0)), F.lit(0).cast("bigint").alias(_PLACE))
     # The JVM row counter is not available on streams.

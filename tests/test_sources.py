@@ -257,3 +257,42 @@ def test_stream_lands_json_documents(spark, place):
     (root / "raw" / "matches_2.json").write_text("{no json}")
     rows = stream(spark, root, "matches").orderBy(SEQ).collect()
     assert [(r.match_id, r.home_score) for r in rows] == [("M1", "2"), ("M2", "2")]
+
+
+def test_one_odd_element_costs_only_itself(spark, tmp_path):
+    raw, landing = tmp_path / "raw", tmp_path / "landing"
+    raw.mkdir()
+    (raw / "matches.json").write_text(json.dumps([match("M1"), 7, match("M2"), {"other": 1}]))
+    assert ingest_raw(spark, str(raw), str(landing), Warehouse(spark, str(tmp_path / "house"))) == ["matches"]
+    assert {r.match_id for r in spark.read.parquet(f"{landing}/matches.parquet").collect()} == {"M1", "M2"}
+    kept = spark.read.parquet(f"{landing}/_quarantine/matches").collect()
+    assert sorted((r._place, r._text) for r in kept) == [(1, "7"), (3, '{"other":1}')]
+
+
+def test_rows_without_a_record_do_not_replace_landed_ones(spark, tmp_path):
+    raw, landing, house = tmp_path / "raw", tmp_path / "landing", Warehouse(spark, str(tmp_path / "house"))
+    raw.mkdir()
+    (raw / "matches.json").write_text(json.dumps([match("M1")]))
+    ingest_raw(spark, str(raw), str(landing), house)
+    (raw / "matches.json").write_text(json.dumps({"matches": [match("M2")]}))
+    assert ingest_raw(spark, str(raw), str(landing), house, force=True) == []
+    assert [r.match_id for r in spark.read.parquet(f"{landing}/matches.parquet").collect()] == ["M1"]
+
+
+def test_csv_quotes_odd_rows_and_nested_parts(spark, tmp_path):
+    raw, landing = tmp_path / "raw", tmp_path / "landing"
+    (raw / "teams.csv" / "day=1").mkdir(parents=True)
+    (raw / "teams.csv" / "day=1" / "p.csv").write_text(
+        'team_id,name,league,stadium,city\nT1,"The ""Reds"" FC",First,Ground,Town\nT2,Blues,First,Ground,Town,extra\n'
+        "T3,Short,First\nT4,Greens,First,Ground,Town\n")
+    assert ingest_raw(spark, str(raw), str(landing), Warehouse(spark, str(tmp_path / "house"))) == ["teams"]
+    rows = {r.team_id: r["name"] for r in spark.read.parquet(f"{landing}/teams.parquet").collect()}
+    assert rows == {"T1": 'The "Reds" FC', "T4": "Greens"}
+    broken = spark.read.parquet(f"{landing}/_quarantine/teams").collect()
+    assert {r.team_id for r in broken} == {"T2", "T3"} and all(r._corrupt_record for r in broken)
+
+
+def test_reports_double_their_quotes(spark, tmp_path):
+    path = write_report(spark.createDataFrame([('a "q" b',)], "x string").coalesce(1), str(tmp_path), "r")
+    text = "".join(p.read_text() for p in (tmp_path / path.rsplit("/", 1)[1]).glob("part-*"))
+    assert '"a ""q"" b"' in text
