@@ -108,10 +108,12 @@ def count_points(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
 
 
 def packed_point(point: np.ndarray) -> bytes:
-    """A point as one byte a group. Groups hold a few shingles each; a point with a group of more than 255 takes two bytes a
-    group and a mark that makes its length odd."""
+    """A point at a quarter of its groups (32 at least) as one byte a group; one with a group of more than 255 takes two bytes
+    a group and a mark that makes its length odd."""
+    dims = max(DIMS, len(point) // 4)
+    point = point.reshape(dims, -1).sum(axis=1) if len(point) else point
     if len(point) and point.max() > 255:
-        return point.tobytes() + b"2"
+        return point.astype(np.uint16).tobytes() + b"2"
     return point.astype(np.uint8).tobytes()
 
 
