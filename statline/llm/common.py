@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from statline.session import work_dir
 
 TEXT_CHUNK = 2_000_000
+TOKEN_CHUNK = 7_000_000
 BUCKET_CHARS = 8_000_000
 BROADCAST_IDS = 500_000
 U64 = np.uint64
@@ -153,7 +154,7 @@ class TokenIds:
     _unsure = re.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizers
     _word_end = "</w>"
 
-    def __init__(self, path: str, blanks: str, most: int = 250_000):
+    def __init__(self, path: str, blanks: str, most: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

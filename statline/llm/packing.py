@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statline.llm.common import chunks, store, texts_of, token_ids
+from statline.llm.common import TOKEN_CHUNK, chunks, store, texts_of, token_ids
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, blanks: str = "kept", with_ids: bool = False,
@@ -28,7 +28,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, blanks
         ids_of = token_ids(tokenizer, blanks)
         for batch in batches:
             texts, doc_ids = batch["text"].tolist(), batch["doc_id"].astype("Int64")
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, TOKEN_CHUNK):
                 ids, bounds = ids_of(texts[a:b])
                 rows = []
                 for i in range(b - a):

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statline.llm.common import chunks, texts_of, token_ids
+from statline.llm.common import TOKEN_CHUNK, chunks, texts_of, token_ids
 
 SEGMENT_IDS = 250_000
 SAMPLE = 256
@@ -99,7 +99,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, b
 
         for batch in batches:
             texts, doc_ids = batch["text"].tolist(), batch["doc_id"].astype("object").tolist()
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, TOKEN_CHUNK):
                 ids, bounds = ids_of(texts[a:b])
                 for i in range(b - a):
                     held += (ids[bounds[i]:bounds[i + 1]], np.array([end_id], np.uint32))
