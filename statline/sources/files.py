@@ -28,6 +28,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(target).toString().rstrip("/")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all in it; one that is not there is no error."""
+    fs, target = _hadoop(spark, path)
+    fs.delete(target, True)
+
+
 def replace(spark: SparkSession, new: str, target: str) -> None:
     """Put the folder ``new`` in the place of ``target``."""
     fs, source = _hadoop(spark, new)
