@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statline.session import work_dir
+from statline.sources.files import remove
 
 TEXT_CHUNK = 2_000_000
 TOKEN_CHUNK = 7_000_000
@@ -44,7 +45,16 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     folder = work_dir(spark, purpose)
     df.write.option("compression", "zstd").parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    step = spark.read.schema(df.schema).parquet(folder)
+    step._stored_in = folder
+    return step
+
+
+def forget(*steps: DataFrame) -> None:
+    """Remove stored steps. Only for those whose every reader has been stored in turn, so that a lost executor never asks
+    for them again; large steps go as soon as that is so, or the shared folder fills with what nobody reads."""
+    for step in steps:
+        remove(step.sparkSession, step._stored_in)
 
 
 @contextmanager

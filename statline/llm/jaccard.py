@@ -14,15 +14,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statline.llm.common import BUCKET_CHARS, U64, buckets_for, chunks, gather, mix, only_ids, small_batches, store, texts_of
+from statline.llm.common import BUCKET_CHARS, U64, buckets_for, chunks, forget, gather, mix, only_ids, small_batches, store, texts_of
 from statline.llm.components import connected_components
 from statline.llm.shingles import Dealer, shingle_sets, unpack
 
 DIMS = 32
 MOST_DIMS = 256
+TREE_DIMS = 64
 LEAF = 16
 SPARE = 3
 CELL = 2_000
+ROWS_A_BUCKET = 12_000
 EMPTY = U64(0x1F83D9ABFB41BD6B)
 PACKED = "bucket int, key binary, doc_id binary"
 
@@ -108,9 +110,9 @@ def count_points(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
 
 
 def packed_point(point: np.ndarray) -> bytes:
-    """A point at a quarter of its groups (32 at least) as one byte a group; one with a group of more than 255 takes two bytes
-    a group and a mark that makes its length odd."""
-    dims = max(DIMS, len(point) // 4)
+    """A point as one byte a group: whole up to 256 groups, a quarter of its groups (256 at least) beyond. One with a group of
+    more than 255 takes two bytes a group and a mark that makes its length odd."""
+    dims = max(min(MOST_DIMS, len(point)), len(point) // 4)
     point = point.reshape(dims, -1).sum(axis=1) if len(point) else point
     if len(point) and point.max() > 255:
         return point.astype(np.uint16).tobytes() + b"2"
@@ -121,6 +123,45 @@ def unpacked_point(data: bytes) -> np.ndarray:
     return np.frombuffer(data[:-1], np.uint16).astype(np.int32) if len(data) % 2 else np.frombuffer(data, np.uint8).astype(np.int32)
 
 
+def packed_groups(packed: list[bytes]) -> np.ndarray:
+    """How many groups each packed point has."""
+    lengths = np.fromiter(map(len, packed), np.int64, len(packed))
+    return np.where(lengths % 2, lengths // 2, lengths)
+
+
+def made_coarse(packed: list[bytes], dims: int) -> np.ndarray:
+    """Packed points of at least ``dims`` groups as points of ``dims`` groups, those of one length all at once."""
+    out = np.zeros((len(packed), dims), np.int32)
+    lengths = np.fromiter(map(len, packed), np.int64, len(packed))
+    for n in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == n)
+        data = b"".join([packed[i][:n // 2 * 2] for i in at.tolist()])
+        out[at] = np.frombuffer(data, np.uint16 if n % 2 else np.uint8).reshape(len(at), dims, -1).sum(axis=2)
+    return out
+
+
+def bounded_pairs(pairs: np.ndarray, packed: list[bytes], sizes: np.ndarray, similar: Similarity) -> np.ndarray:
+    """The pairs of rows whose sizes and points allow similarity: all at once by coarse points, then by ever finer ones that
+    both have, and one by one where both are finer still."""
+    small, large = np.sort(sizes[pairs], axis=1).T
+    pairs = pairs[small >= similar.partner(large)]
+    groups, dims = packed_groups(packed), DIMS
+    while dims <= MOST_DIMS:
+        fine = groups[pairs].min(axis=1) >= dims
+        rows, place = np.unique(pairs[fine], return_inverse=True)
+        points, place = made_coarse([packed[i] for i in rows.tolist()], dims), place.reshape(-1, 2)
+        keep = np.ones(len(pairs), bool)
+        keep[fine] = np.concatenate([np.empty(0, bool)] + [
+            np.minimum(points[place[a:a + 5_000, 0]], points[place[a:a + 5_000, 1]]).sum(axis=1, dtype=np.int32)
+            >= similar.overlap(*sizes[pairs[fine][a:a + 5_000]].T) for a in range(0, len(place), 5_000)])
+        pairs, dims = pairs[keep], dims * 2
+    finer = np.flatnonzero(groups[pairs].min(axis=1) > MOST_DIMS)
+    keep = np.ones(len(pairs), bool)
+    keep[finer] = [overlap_bound(unpacked_point(packed[x]), unpacked_point(packed[y])) >= similar.overlap(sizes[x], sizes[y])
+                   for x, y in pairs[finer].tolist()]
+    return pairs[keep]
+
+
 def coarse(points: list[np.ndarray], dims: int = DIMS) -> np.ndarray:
     return np.array([p.reshape(dims, -1).sum(axis=1) for p in points], np.int32).reshape(-1, dims)
 
@@ -133,41 +174,45 @@ def overlap_bound(a: np.ndarray, b: np.ndarray) -> int:
 
 
 class CountTree:
-    """A packed R-tree over count points. A node keeps the largest count of each coordinate and the least size below it."""
+    """A packed R-tree over count points. A node keeps the largest count of each coordinate and the least and the largest size
+    below it."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
         self.order = np.lexsort((points[:, 1], points[:, 0] // 4, sizes))
-        self.levels = [(points[self.order], sizes[self.order])]
+        self.levels = [(points[self.order], sizes[self.order], sizes[self.order])]
         while len(self.levels[-1][1]) > LEAF:
-            high, least = self.levels[-1]
+            high, least, most = self.levels[-1]
             edges = np.arange(0, len(least), LEAF)
-            self.levels.append((np.maximum.reduceat(high, edges), np.minimum.reduceat(least, edges)))
+            self.levels.append((np.maximum.reduceat(high, edges), np.minimum.reduceat(least, edges),
+                                np.maximum.reduceat(most, edges)))
 
     def near(self, points: np.ndarray, sizes: np.ndarray, similar: Similarity) -> tuple[np.ndarray, np.ndarray]:
-        """``(query, point)`` pairs whose summed coordinate minima reach the overlap that similarity asks for."""
+        """``(query, point)`` pairs whose sizes allow similarity and whose summed coordinate minima reach the overlap that
+        it asks for."""
         found = []
         for a in range(0, len(points), 256):
             own, size = points[a:a + 256], sizes[a:a + 256]
+            partner = similar.partner(size)
             top = len(self.levels[-1][1])
             query, node = np.repeat(np.arange(len(own)), top), np.tile(np.arange(top), len(own))
-            for high, least in reversed(self.levels):
-                keep = []
+            for level in range(len(self.levels) - 1, -1, -1):
+                high, least, most = self.levels[level]
+                fits = (most[node] >= partner[query]) & (similar.partner(least)[node] <= size[query])
+                query, node = query[fits], node[fits]
+                keep = [np.empty(0, bool)]
                 for b in range(0, len(query), 20_000):
                     q, n = query[b:b + 20_000], node[b:b + 20_000]
-                    bound = np.minimum(own[q], high[n]).sum(axis=1)
-                    keep.append(bound >= similar.overlap(size[q], np.maximum(least[n], similar.partner(size[q]))))
-                keep = np.concatenate(keep) if keep else np.empty(0, bool)
+                    bound = np.minimum(own[q], high[n]).sum(axis=1, dtype=np.int32)
+                    keep.append(bound >= similar.overlap(size[q], np.maximum(least[n], partner[q])))
+                keep = np.concatenate(keep)
                 query, node = query[keep], node[keep]
-                if high is not self.levels[0][0]:
-                    below = self.levels[self._at(high) - 1]
-                    n = np.minimum(LEAF, len(below[1]) - node * LEAF)
-                    query, node = np.repeat(query, n), gather(np.arange(len(below[1])), node * LEAF, n)
+                if level:
+                    below = len(self.levels[level - 1][1])
+                    n = np.minimum(LEAF, below - node * LEAF)
+                    query, node = np.repeat(query, n), gather(np.arange(below), node * LEAF, n)
             found.append((query + a, self.order[node]))
         return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, int), np.empty(0, int))
 
-    def _at(self, high: np.ndarray) -> int:
-        return next(i for i, (h, _) in enumerate(self.levels) if h is high)
-
 
 def _keys(docs: DataFrame, size: int, similar: Similarity, buckets: int) -> DataFrame:
     """Packed rows: in bucket -1 ids and set sizes, in the others group keys and ids."""
@@ -262,24 +307,27 @@ def _verified(pairs: DataFrame, known: DataFrame, size: int, similar: Similarity
         return store(near.join(texts[0], "a").join(texts[1], "b").mapInPandas(same, "a long, b long"), "similar")
 
 
-def _across(runs: DataFrame, similar: Similarity) -> DataFrame:
+def _across(runs: DataFrame, points: DataFrame, similar: Similarity) -> DataFrame:
     """Pairs ``a, b`` of one run and different components whose points, as coarse as rows of runs carry them, allow similarity.
 
     A run is cut into parts of about ``CELL`` documents; each two parts, and each part with itself, are a cell, and a cell is
-    one tree and its queries, so no run is too large for a task.
+    one tree and its queries, so no run is too large for a task. Runs of one part share buckets, as many as their rows ask
+    for. Points join the rows last, so that they are shuffled once. ``runs`` is a stored step.
     """
+    buckets = max(512, runs.count() // ROWS_A_BUCKET)
     counts = runs.groupBy("run").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
     cut = runs.join(counts, "run").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
     cells = (cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
              .withColumn("bucket", F.when(F.col("parts") > 1, F.xxhash64("run", "low", "high")).otherwise(
-                 F.pmod(F.xxhash64("run"), F.lit(512))))
+                 F.pmod(F.xxhash64("run"), F.lit(buckets))))
+             .join(points, "doc_id")
              .select("bucket", "run", "low", "high", "part", "doc_id", "component_id", "n", "small"))
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["run", "low", "high", "doc_id"], ignore_index=True)
         ids, home, sizes = (rows[c].to_numpy(np.int64) for c in ("doc_id", "component_id", "n"))
-        points = [unpacked_point(p) for p in rows["small"]]
+        packed = rows["small"].tolist()
         part = rows["part"].to_numpy()
         low, high = rows["low"].to_numpy(), rows["high"].to_numpy()
         cell = rows["run"].to_numpy()
@@ -292,57 +340,71 @@ def _across(runs: DataFrame, similar: Similarity) -> DataFrame:
             at = edges[:-1][members == m][:, None]
             pairs.append(np.column_stack([(at + first).ravel(), (at + second).ravel()]))
         for a, b in zip(edges[:-1][members > LEAF].tolist(), edges[1:][members > LEAF].tolist()):
-            own = coarse(points[a:b], min(MOST_DIMS, min(map(len, points[a:b]))))
+            points = [unpacked_point(p) for p in packed[a:b]]
+            own = coarse(points, min(TREE_DIMS, min(map(len, points))))
             # Of two documents of different components one at least is not of the largest.
             kinds, count = np.unique(home[a:b], return_counts=True)
             left, right = part[a:b] == low[a], part[a:b] == high[a]
             few = home[a:b] != kinds[count.argmax()]
-            for tree, ask in ((left, right & few), (right, left & few)):
+            both = ((left, right & few), (right, left & few))
+            for tree, ask in both[:1] if low[a] == high[a] else both:
                 if tree.any() and ask.any():
                     query, point = CountTree(own[tree], sizes[a:b][tree]).near(own[ask], sizes[a:b][ask], similar)
                     pairs.append(np.column_stack([a + np.flatnonzero(ask)[query], a + np.flatnonzero(tree)[point]]))
         pairs = np.concatenate(pairs)
         pairs = pairs[(home[pairs[:, 0]] != home[pairs[:, 1]]) & ((part[pairs[:, 0]] != part[pairs[:, 1]])
                                                                    | (low == high)[pairs[:, 0]])]
-        named = np.sort(ids[pairs], axis=1)
-        named, which = np.unique(named, axis=0, return_index=True)
-        keep = [overlap_bound(points[x], points[y]) >= similar.overlap(sizes[x], sizes[y]) for x, y in pairs[which].tolist()]
-        return pd.DataFrame(named[np.array(keep, bool)], columns=["a", "b"])
+        _, which = np.unique(np.sort(ids[pairs], axis=1), axis=0, return_index=True)
+        pairs = bounded_pairs(pairs[which], packed, sizes, similar)
+        return pd.DataFrame(np.sort(ids[pairs], axis=1), columns=["a", "b"])
 
     return cells.groupBy("bucket").applyInPandas(search, "a long, b long").distinct()
 
 
+def _apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """``pairs`` (``a, b`` and more) with the components ``of_a, of_b`` of their ends, of those the links do not join yet."""
+    parts = store(connected_components(links), "components")
+    ends = [parts.select(F.col("doc_id").alias(x), F.col("component_id").alias(f"of_{x}")) for x in "ab"]
+    return (pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
+            .withColumn("of_a", F.coalesce("of_a", "a")).withColumn("of_b", F.coalesce("of_b", "b")).where("of_a <> of_b"))
+
+
 def similar_links(docs: DataFrame, size: int, similar: Similarity) -> tuple[DataFrame, DataFrame]:
     """``(links, sizes)``: links ``a, b`` that join exactly the documents that links of similarity join, and ``doc_id,
     n_shingles`` of all documents with an id.
 
     Documents of equal sets are one. The smallest id of a run of documents that share a key is their leader. Each document is
-    first tried against the leader it shares most runs with, then against the others it is not joined to yet. Components then
+    first tried against the leader it shares most runs with; then each component against the one other component that its
+    documents share most runs with by a leader; then documents against all leaders they are not joined to yet. Components then
     tell which runs still hold documents apart, and only there are all pairs across components searched by the tree. So a
     group of very many near copies costs a link each, and no link between components is lost.
     """
     texts = texts_of(docs).where(F.col("doc_id").isNotNull())
     packed = store(_keys(texts, size, similar, buckets_for(texts, BUCKET_CHARS)), "keys")
-    sizes = packed.where("bucket < 0").mapInPandas(_sizes, "doc_id long, n_shingles long")
-    runs = store(packed.where("bucket >= 0").groupBy("bucket").applyInPandas(_meet, "run long, doc_id long"), "runs")
+    sizes = store(packed.where("bucket < 0").mapInPandas(_sizes, "doc_id long, n_shingles long"), "sizes")
+    shared = store(packed.where("bucket >= 0").groupBy("bucket").applyInPandas(_meet, "run long, doc_id long"), "runs")
+    forget(packed)
     with small_batches(docs.sparkSession):
-        known = store(only_ids(texts, store(runs.select("doc_id").distinct(), "met"))
+        known = store(only_ids(texts, store(shared.select("doc_id").distinct(), "met"))
                       .mapInPandas(_points(size), "doc_id long, n long, point binary, small binary, text string, same long"), "known")
     # Documents of equal sets are one class from here on, its smallest id; the others are linked to it.
     classes = store(known.join(known.groupBy("n", "same").agg(F.min("doc_id").alias("head")), ["n", "same"])
                     .select("doc_id", "head"), "classes")
     copies = classes.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
     heads = classes.where("doc_id = head").select("doc_id").distinct()
-    runs = store(runs.join(heads, "doc_id", "left_semi"), "heads")
+    runs = store(shared.join(heads, "doc_id", "left_semi"), "heads")
+    forget(shared)
     leaders = runs.groupBy("run").agg(F.min("doc_id").alias("a"))
     stars = store(runs.join(leaders, "run").where("doc_id <> a").groupBy("a", F.col("doc_id").alias("b"))
                   .agg(F.count("*").alias("shared")), "stars")
     best = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b")
     links = _verified(best, known, size, similar)
-    parts = store(connected_components(links), "components")
-    ends = [parts.select(F.col("doc_id").alias(x), F.col("component_id").alias(f"of_{x}")) for x in "ab"]
-    others = (stars.select("a", "b").join(best, ["a", "b"], "left_anti").join(ends[0], "a", "left").join(ends[1], "b", "left")
-              .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
+    left = store(_apart(stars.join(best, ["a", "b"], "left_anti"), links), "left")
+    ends = left.unionByName(left.withColumn("of_a", F.col("of_b")))
+    bridges = (ends.groupBy("of_a").agg(F.max_by(F.struct("a", "b"), F.struct("shared", -F.col("a"), -F.col("b"))).alias("pair"))
+               .select("pair.a", "pair.b").distinct())
+    links = links.unionByName(_verified(bridges, known, size, similar))
+    others = _apart(left.select("a", "b", "shared").join(bridges, ["a", "b"], "left_anti"), links).select("a", "b")
     links = links.unionByName(_verified(others, known, size, similar))
     parts = store(connected_components(links), "components")
     placed = runs.join(parts, "doc_id", "left").select(
@@ -352,9 +414,12 @@ def similar_links(docs: DataFrame, size: int, similar: Similarity) -> tuple[Data
     apart = (placed.groupBy("run").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"), F.count("*").alias("m"),
                                        F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("members"))
              .where("x <> y").groupBy("m", "members", "x", "y").agg(F.min("run").alias("run")).select("run"))
-    open_runs = placed.join(apart, "run").join(known.select("doc_id", "n", "small"), "doc_id")
-    more = _verified(store(_across(open_runs, similar), "across"), known, size, similar)
-    return store(links.unionByName(more).unionByName(copies), "all-links"), sizes
+    open_runs = store(placed.join(apart, "run"), "open")
+    forget(runs, stars, placed)
+    across = store(_across(open_runs, known.select("doc_id", "n", "small"), similar), "across")
+    out = store(links.unionByName(_verified(across, known, size, similar)).unionByName(copies), "all-links")
+    forget(known, classes, open_runs, across)
+    return out, sizes
 
 
 def jaccard_components(docs: DataFrame, size: int = 4, part: int = 85, whole: int = 100) -> DataFrame:
