@@ -98,12 +98,12 @@ def group_keys(flat: np.ndarray, sizes: np.ndarray, similar: Similarity) -> tupl
 
 
 def count_points(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    """How many shingles of each set fall into each of its groups: 32 groups for small sets, about a quarter of the set's size
-    for larger ones, always a power of two. Groups go by bits that the keys do not use, and those of a coarser point are
-    neighbouring ones of a finer point together."""
+    """How many shingles of each set fall into each of its groups: about twice as many groups as shingles up to 256 groups, a
+    quarter as many for the largest sets, 32 at least, always a power of two. Groups go by bits that the keys do not use, and
+    those of a coarser point are neighbouring ones of a finer point together."""
     ends, out = np.cumsum(sizes), []
     for end, n in zip(ends.tolist(), sizes.tolist()):
-        bits = max(DIMS.bit_length() - 1, min(22, (n // 4).bit_length()))
+        bits = max(DIMS.bit_length() - 1, min(MOST_DIMS.bit_length() - 1, (2 * n).bit_length()), min(22, (n // 4).bit_length()))
         cell = (flat[end - n:end] >> U64(8) & U64(0xFFFFFF)) >> U64(24 - bits)
         out.append(np.bincount(cell.astype(np.int64), minlength=1 << bits).astype(np.uint16))
     return out

@@ -13,7 +13,7 @@ from statline.llm import dedup, jaccard, vector_search
 from statline.llm.catalog import QUERIES, SQL
 from statline.llm.common import TokenIds, Words, subwords, token_ids, word_hashes
 from statline.llm.decontaminate import Passages, benchmark_regions, codes, without_benchmark
-from statline.llm.jaccard import CountTree, Similarity, coarse, count_points, group_keys, jaccard_components, one_of_each, shingle_sets
+from statline.llm.jaccard import CountTree, Similarity, bounded_pairs, coarse, count_points, group_keys, jaccard_components, one_of_each, packed_point, shingle_sets
 from statline.llm.packing import best_fit_packing, pack, plan_best_fit
 from statline.llm.quality import fit_quality, keep_good, quality_scores, score_quality
 from statline.llm.scoring import text_scores
@@ -149,6 +149,24 @@ def test_similar_sets_share_a_key_and_pass_the_tree():
                 assert keys[i] & keys[j] and (i, j) in passed and (j, i) in passed
 
 
+def test_packed_points_lose_no_similar_pair():
+    random, similar, sets = np.random.default_rng(3), Similarity(80, 100), []
+    for n in (1, 20, 90, 300, 3_000, 9_000):
+        base = random.integers(0, 1 << 63, n, np.uint64)
+        for share in (0.0, 0.05, 0.1, 0.5):
+            other = np.where(random.random(n) < share, random.integers(0, 1 << 63, n, np.uint64), base)
+            sets.append(np.unique(other))
+    sets.append(np.unique(np.arange(400, dtype=np.uint64) << np.uint64(40)))  # all in one group: counts of more than a byte
+    sets.append(sets[-1].copy())
+    sizes = np.array([len(x) for x in sets])
+    packed = [packed_point(p) for p in count_points(np.concatenate(sets), sizes)]
+    pairs = np.array([(i, j) for i in range(len(sets)) for j in range(i)])
+    kept = {tuple(p) for p in bounded_pairs(pairs, packed, sizes, similar).tolist()}
+    common = {(i, j): len(np.intersect1d(sets[i], sets[j])) for i, j in pairs.tolist()}
+    true = {p for p, c in common.items() if c >= similar.overlap(sizes[p[0]], sizes[p[1]])}
+    assert len(packed[-1]) % 2 and true <= kept and len(kept) < 2 * len(true)
+
+
 @pytest.mark.parametrize("cell", [2_000, 3])
 def test_components_are_those_of_all_pairs(spark, monkeypatch, cell):
     monkeypatch.setattr(jaccard, "CELL", cell)
