@@ -2,7 +2,7 @@
 
 A window of 200 bytes is known by the least hash of the 32-byte strings in it, so equal windows share it. Runs of windows with
 one least hash are pieces; equal pieces are known by a hash of their bytes, and what differs among the pieces of one least hash
-meets in a suffix array.
+meets in a suffix array. Where that would be very much, windows are told apart by 128 bits of hash of their bytes.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -171,13 +172,24 @@ def _judge(buckets: int, length: int):
     return judge
 
 
-BYTES_ASKED = "hot boolean, bucket int, key binary, row binary, first binary, size binary, known binary, bytes binary"
+BYTES_ASKED = ("hot boolean, bucket int, key binary, row binary, first binary, size binary, known binary, bytes binary, "
+               "hashes binary")
+
+
+HASH = np.dtype([("high", ">u8"), ("low", ">u8")])
+
+
+def _window_hashes(pieces: list[bytes], length: int) -> np.ndarray:
+    """128 bits of hash of the bytes of every window of every piece."""
+    digest = xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([digest(p[k:k + length]) for p in pieces for k in range(len(p) - length + 1)]), HASH)
 
 
 def _fetch(buckets: int, length: int):
-    """Bytes of the asked pieces, dealt by least hash; windows of pieces of a hot one by their content hash instead."""
+    """Bytes of the asked pieces, dealt by least hash; windows of pieces of a hot one by a hash of their bytes instead, with
+    all 128 bits of it beside the key."""
     def fetch(_: tuple, docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({c: [] for c in ("hot", "bucket", "key", "row", "first", "size", "known", "bytes")})
+        empty = pd.DataFrame({c: [] for c in ("hot", "bucket", "key", "row", "first", "size", "known", "bytes", "hashes")})
         if not len(docs) or not len(asked):
             return empty
         docs = docs.drop_duplicates("row")
@@ -192,33 +204,36 @@ def _fetch(buckets: int, length: int):
         for b in np.unique(bucket).tolist():
             i = cold[np.searchsorted(bucket, b):np.searchsorted(bucket, b, "right")]
             out.append((False, b, shard[i].tobytes(), row[i].tobytes(), first[i].tobytes(), (end - first)[i].tobytes(),
-                        mark[i].tobytes(), b"".join([piece[k] for k in i.tolist()])))
+                        mark[i].tobytes(), b"".join([piece[k] for k in i.tolist()]), b""))
         warm = np.flatnonzero(mark >= 2)
         for a in range(0, len(warm), 4_000):
             i = warm[a:a + 4_000]
-            windows = Windows([piece[k] for k in i.tolist()], length)
-            n = windows.sizes - length + 1
-            place = gather(np.arange(len(windows.text)), windows.begins, n)
-            owner = np.repeat(i, n)
+            own = [piece[k] for k in i.tolist()]
+            n = np.array([len(p) for p in own], np.int64) - length + 1
+            owner, inside = np.repeat(i, n), gather(np.arange(int(n.max())), np.zeros(len(n), np.int64), n)
+            hashes = _window_hashes(own, length)
             dealer = Dealer(buckets)
-            inside = place - np.repeat(windows.begins, n)
-            dealer.add(windows.content(place, place + length), row[owner], first[owner] + inside, mark[owner])
-            for r in dealer.deal(("row", "first", "known")).itertuples(index=False):
-                out.append((True, r.bucket, r.key, r.row, r.first, b"", r.known, b""))
+            dealer.add(hashes["low"], row[owner], first[owner] + inside, mark[owner], hashes)
+            for r in dealer.deal(("row", "first", "known", "hashes")).itertuples(index=False):
+                out.append((True, r.bucket, r.key, r.row, r.first, b"", r.known, b"", r.hashes))
         return pd.DataFrame(out, columns=empty.columns) if out else empty
 
     return fetch
 
 
 def _repeated(buckets: int, length: int):
-    """Spans of the repeated windows among the pieces of a shard, by a suffix array; of a hot shard, by window hashes."""
+    """Spans of the repeated windows among the pieces of a shard, by a suffix array; of a hot shard, by all bits of the
+    window hashes."""
     def find(rows: pd.DataFrame) -> pd.DataFrame:
         row, first = unpack(rows["row"], np.int64), unpack(rows["first"], np.int64)
         if bool(rows["hot"].iloc[0]):
-            key, known = unpack(rows["key"], np.uint32), unpack(rows["known"], np.uint8) & 1
-            order = np.argsort(key, kind="stable")
-            _, start, n = np.unique(key[order], return_index=True, return_counts=True)
-            twice = np.repeat((n > 1) | (np.add.reduceat(known[order], start) > 0), n) if len(order) else order > 0
+            hashes, known = unpack(rows["hashes"], HASH), unpack(rows["known"], np.uint8) & 1
+            high, low = hashes["high"].astype(np.uint64), hashes["low"].astype(np.uint64)
+            order = np.lexsort((high, low))
+            high, low = high[order], low[order]
+            start = np.flatnonzero(np.concatenate(([True], (low[1:] != low[:-1]) | (high[1:] != high[:-1]))))
+            n = np.diff(np.append(start, len(order)))
+            twice = np.repeat((n > 1) | (np.add.reduceat(known[order], start) > 0), n)
             hit = order[twice]
             return _spans(0, row[hit], first[hit], first[hit] + length, buckets)
         size = unpack(rows["size"], np.int64)

@@ -46,8 +46,8 @@ def _step(total: np.uint64, word: np.uint64) -> np.uint64:
 class Dealer:
     """Collects ``(key, values...)`` arrays and hands them out as one packed row for each bucket.
 
-    A key's bucket is its remainder; the row holds 32 bits of what is left of the key. Two keys of a bucket are taken for
-    one with a chance of two to the minus 32, which costs a needless comparison and changes no result.
+    A key's bucket is its remainder; the row holds 32 bits of what is left of the key. Two keys of a bucket look
+    alike with a chance of two to the minus 32. Whoever reads the rows must tell such keys apart by the values.
     """
 
     def __init__(self, buckets: int, most: int = 1_500_000):

@@ -218,6 +218,16 @@ def test_repeats_are_those_of_all_windows(spark, monkeypatch, hot, run):
         assert (rows[i].n_bytes, rows[i].n_removed, rows[i].n_spans, rows[i].kept_sha256) == want, i
 
 
+def test_windows_of_a_hot_hash_need_all_their_bits(spark, monkeypatch):
+    """Two windows that share a least hash and 37 bits of their content hash, but not their bytes."""
+    monkeypatch.setattr(dedup, "HOT", 0)
+    shared = "ruavmnqhzbhjokdbabdzeqtghlgzexuvdkqmrrrbyoxhjwebjrdwifoxwwhausuaanilyfnihudiddhs"
+    texts = [shared + "gfodbpjgnfyuoyjcfrty", shared + "lzriknuwgogiuvcxfpjt", "x" + shared + "q" * 20, shared + "q" * 20]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    removed = {r.doc_id: r.n_removed for r in dedup.repeated_passages(docs, 100).collect()}
+    assert removed == {0: 0, 1: 0, 2: 100, 3: 100}
+
+
 def test_repeats_in_odd_rows(odd_docs):
     rows = dedup.repeated_passages(odd_docs).collect()
     assert len(rows) == odd_docs.count() and all(r.n_removed == 0 for r in rows if r.doc_id in (1, 2, 6))
