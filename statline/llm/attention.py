@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
-CLASSES = 48
-WIDTH = 8
+CLASSES = 384
+WIDTH = 16
+BATCH = 512
 WINDOW = 32
 SCORED = 24
 SEEDS = 32
@@ -13,24 +14,17 @@ LOWEST = np.float32(-1e9)
 
 
 def token_classes(ids: np.ndarray, opening: np.ndarray, classes: int = CLASSES, rounds: int = 12, seed: int = 7):
-    """``(class of each id, features)``: ids gathered by what stands before and after them.
+    """``(class of each id, features, middles of classes)``: ids gathered by what stands before and after them.
 
     ``opening`` says which ids open a word; the upper half of the classes is for these, the lower half for the others. Of each
     half the first class takes the ids that the sample lacks. The last id, the end of a text, opens too and has the last
     class to itself. Neighbours are summed as random sign vectors, so an id's features need no table of pairs.
     """
     rng, vocabulary, half = np.random.default_rng(seed), len(opening), classes // 2
-    signs = rng.choice(np.array([-1.0, 1.0], np.float32), (vocabulary, SEEDS))
     counts = np.bincount(ids, minlength=vocabulary).astype(np.float64)
-    after, before = ids[1:], ids[:-1]
-    rare = (1 / np.sqrt(counts + 1)).astype(np.float32)
-    features = np.empty((vocabulary, 2 * SEEDS), np.float32)
-    for k in range(SEEDS):
-        column = signs[:, k] * rare
-        features[:, k] = np.bincount(before, column[after], vocabulary)
-        features[:, SEEDS + k] = np.bincount(after, column[before], vocabulary)
+    features = neighbour_sums(ids, np.arange(vocabulary), counts)
     features /= np.linalg.norm(features, axis=1, keepdims=True) + 1e-6
-    out = np.where(opening, half, 0)
+    out, middles = np.where(opening, half, 0), np.full((classes, 2 * SEEDS), np.inf, np.float32)
     for first, kind in ((1, ~opening), (half + 1, opening)):
         kind = kind.copy()
         kind[-1] = False
@@ -45,9 +39,33 @@ def token_classes(ids: np.ndarray, opening: np.ndarray, classes: int = CLASSES,
             total = np.bincount(own, weight, k)[:, None] + 1e-9
             middle = np.column_stack([np.bincount(own, weight * features[seen, j], k) for j in range(2 * SEEDS)]) / total
             middle = middle.astype(np.float32)
-        out[seen] = own + first
+        out[seen], middles[first:first + k] = own + first, middle
     out[-1] = classes - 1
-    return out, features
+    return out, features, middles
+
+
+def neighbour_sums(ids: np.ndarray, wanted: np.ndarray, counts: np.ndarray, seed: int = 5) -> np.ndarray:
+    """For each of the ``wanted`` ids (sorted) the sum of the sign vectors of the ids before it and of those after it; an id
+    of many ``counts`` weighs less."""
+    signs = np.random.default_rng(seed).choice(np.array([-1.0, 1.0], np.float32), (len(counts), SEEDS))
+    signs *= (1 / np.sqrt(counts + 1)).astype(np.float32)[:, None]
+    number = np.full(len(counts), -1)
+    number[wanted] = np.arange(len(wanted))
+    out = np.empty((len(wanted), 2 * SEEDS), np.float32)
+    for at, own, other in ((0, ids[:-1], ids[1:]), (SEEDS, ids[1:], ids[:-1])):
+        own, other = number[own][number[own] >= 0], other[number[own] >= 0]
+        for k in range(SEEDS):
+            out[:, at + k] = np.bincount(own, signs[other, k], len(wanted))
+    return out
+
+
+def late_classes(features: np.ndarray, opening: np.ndarray, middles: np.ndarray) -> np.ndarray:
+    """The class of ids that the sample lacks, from the sums of their neighbours in all texts."""
+    features = features / (np.linalg.norm(features, axis=1, keepdims=True) + 1e-6)
+    half, known = len(middles) // 2, np.isfinite(middles).all(axis=1)
+    near = features @ np.where(known[:, None], middles, 0).T - 0.5 * np.where(known, (np.where(known[:, None], middles, 0) ** 2).sum(axis=1), np.inf)
+    near[:, 0], near[:, half] = -1e6, -1e6  # taken where a half has no middles
+    return np.where(opening, half + np.argmax(near[:, half:], axis=1), np.argmax(near[:, :half], axis=1))
 
 
 def windows_of(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,11 +99,11 @@ class AttentionModel:
         row, column = np.arange(WINDOW - SCORED, WINDOW)[:, None], np.arange(WINDOW)[None, :]
         self.mask = np.where(column <= row, w["near"][np.clip(row - column, 0, WINDOW - 1)], LOWEST).astype(np.float32)
 
-    def log_probabilities(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def log_probabilities(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """For each id of texts that lie between ``bounds`` (end id last): the log probability of the id after those before
-        it, and that of any id that opens a word or ends the text."""
+        it."""
         owner, first, n = windows_of(bounds)
-        end, gained, opened = len(self.classes) - 1, np.zeros(len(ids), np.float32), np.zeros(len(ids), np.float32)
+        end, gained = len(self.classes) - 1, np.zeros(len(ids), np.float32)
         # What is read at a place is the id before it; the first place of a text reads the end id.
         read = np.concatenate(([end], ids[:-1])) if len(ids) else ids
         read[bounds[:-1]] = end
@@ -112,36 +130,7 @@ class AttentionModel:
             total = np.log(logits.sum(axis=1))
             real = (np.arange(SCORED) < n[a:a + 512, None]).ravel()
             gained[place[real]] = (own - total + self.log_within[target])[real]
-            opened[place[real]] = (np.log(logits[:, CLASSES // 2:].sum(axis=1) + np.float32(1e-30)) - total)[real]
-        return gained, opened
-
-
-def class_shares(classes: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Square root of the share of each class among the ids of each text."""
-    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    count = np.bincount(owner * CLASSES + classes[ids], minlength=(len(bounds) - 1) * CLASSES).reshape(-1, CLASSES)
-    return np.sqrt(count / np.maximum(np.diff(bounds), 1)[:, None])
-
-
-def kinds_of_text(shares: np.ndarray, kinds: int, rounds: int = 20, seed: int = 3) -> np.ndarray:
-    """Middles of ``kinds`` groups of texts, by k-means from middles that lie far apart."""
-    rng = np.random.default_rng(seed)
-    middle = np.zeros((kinds, CLASSES))
-    if not len(shares):
-        return middle
-    middle[:] = shares[rng.integers(len(shares))]
-    far = ((shares - middle[0]) ** 2).sum(axis=1)
-    for k in range(1, kinds):
-        middle[k] = shares[rng.choice(len(shares), p=far / far.sum())] if far.sum() > 0 else middle[0]
-        far = np.minimum(far, ((shares - middle[k]) ** 2).sum(axis=1))
-    for _ in range(rounds):
-        own = nearest(shares, middle)
-        middle = np.array([shares[own == k].mean(axis=0) if (own == k).any() else middle[k] for k in range(kinds)])
-    return middle
-
-
-def nearest(shares: np.ndarray, middle: np.ndarray) -> np.ndarray:
-    return np.argmax(shares @ middle.T - 0.5 * (middle ** 2).sum(axis=1), axis=1)
+        return gained
 
 
 def log_within(classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -151,17 +140,39 @@ def log_within(classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def train(ids: np.ndarray, bounds: np.ndarray, opening: np.ndarray, steps: int = 600, batch: int = 256,
-          rate: float = 0.01, seed: int = 11) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Classes of ids, and the weights that predict the next id's class, by Adam over random windows of the texts."""
-    vocabulary, (classes, features) = len(opening), token_classes(ids, opening)
+          rate: float = 0.01, seed: int = 11) -> tuple[np.ndarray, dict[str, np.ndarray], np.ndarray]:
+    """Classes of ids, the weights that predict the next id's class, by Adam over random windows of a sample of texts, and
+    the middles of the classes."""
+    classes, features, middles = token_classes(ids, opening)
     rng = np.random.default_rng(seed)
     spread = rng.normal(0, 1, (features.shape[1], WIDTH)) / np.sqrt(features.shape[1])
     w = {"token": features @ spread * 2, "near": np.zeros(WINDOW), "offset": np.zeros(CLASSES),
          "out": rng.normal(0, 0.1, (2 * WIDTH, CLASSES))}
     w |= {k: rng.normal(0, 1 / np.sqrt(WIDTH), (WIDTH, WIDTH)) for k in ("query", "key", "value")}
     w = {k: v.astype(np.float32) for k, v in w.items()}
+    windows = len(windows_of(bounds)[0])
+    picks = [rng.integers(0, windows, batch) for _ in range(steps)] if windows else []
+    return classes, learn(w, classes, ids, bounds, picks, rate), middles
+
+
+def learn_all(w: dict[str, np.ndarray], classes: np.ndarray, ids: np.ndarray, bounds: np.ndarray, seed: int,
+              rate: float = 0.003) -> tuple[int, dict[str, np.ndarray]]:
+    """The windows of these texts, and the weights after each of them has been learnt from once."""
+    order = np.random.default_rng(seed).permutation(len(windows_of(bounds)[0]))
+    return len(order), learn(w, classes, ids, bounds, [order[a:a + BATCH] for a in range(0, len(order), BATCH)], rate)
+
+
+def learn(w: dict[str, np.ndarray], classes: np.ndarray, ids: np.ndarray, bounds: np.ndarray, picks: list[np.ndarray],
+          rate: float) -> dict[str, np.ndarray]:
+    """The weights after a step of Adam for each of ``picks``, numbers of windows."""
     if not len(ids):
-        return classes, w
+        return w
+    # Only ids of these texts can change, so the steps work on their rows of the table.
+    used, whole = np.unique(np.append(ids, len(classes) - 1)), w["token"]
+    number = np.zeros(len(classes), np.int64)
+    number[used] = np.arange(len(used))
+    w, vocabulary, steps = w | {"token": whole[used]}, len(used), len(picks)
+    kinds, ids = classes[ids], number[ids]
     mean, square = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     owner, first, n = windows_of(bounds)
     read = np.concatenate(([vocabulary - 1], ids[:-1]))
@@ -169,12 +180,12 @@ def train(ids: np.ndarray, bounds: np.ndarray, opening: np.ndarray, steps: int =
     reach, rows = np.arange(WINDOW) - (WINDOW - SCORED), np.arange(WINDOW - SCORED, WINDOW)[:, None]
     back = np.clip(rows - np.arange(WINDOW), 0, WINDOW - 1)
     masked, scale = np.arange(WINDOW) > rows, np.float32(1 / np.sqrt(WIDTH))
-    for step in range(1, steps + 1):
-        pick = rng.integers(0, len(owner), batch)
+    for step, pick in enumerate(picks, 1):
+        batch = len(pick)
         begin = bounds[owner[pick]][:, None]
         place = begin + first[pick][:, None] + reach
         seen = np.where(place >= begin, read[np.clip(place, 0, len(read) - 1)], vocabulary - 1)
-        target = classes[ids[np.clip(place[:, WINDOW - SCORED:], 0, len(ids) - 1)]]
+        target = kinds[np.clip(place[:, WINDOW - SCORED:], 0, len(ids) - 1)]
         x = w["token"][seen]
         now = x[:, WINDOW - SCORED:]
         q, k, v = now @ w["query"], x @ w["key"], x @ w["value"]
@@ -213,4 +224,6 @@ def train(ids: np.ndarray, bounds: np.ndarray, opening: np.ndarray, steps: int =
             w[name] = w[name] - np.float32(pace) * (mean[name] / (1 - 0.9 ** step)) / (
                 np.sqrt(square[name] / (1 - 0.99 ** step)) + 1e-8)
             w[name] = w[name].astype(np.float32)
-    return classes, w
+    token = whole.copy()
+    token[used] = w["token"]
+    return w | {"token": token}

@@ -1,4 +1,4 @@
-"""Scoring of texts by a language model, beside a unigram base from the counts of the whole training corpus."""
+"""Scoring of texts by a causal attention model, beside a unigram base from the counts of the whole training corpus."""
 
 from __future__ import annotations
 
@@ -10,17 +10,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statline.llm.attention import AttentionModel, class_shares, kinds_of_text, log_within, nearest, train
+from statline.llm.attention import SEEDS, AttentionModel, late_classes, learn_all, log_within, neighbour_sums, train
 from statline.llm.common import U64, Words, buckets_for, chunks, gather, store, subwords, texts_of
 from statline.llm.labelled import fit_on_sample, held_out_column
 from statline.llm.shingles import unpack
 
 SAMPLE_DOCS = 1_500
 PART, GROUP_CHARS = 6_000_000, 16_000_000
-KINDS = 4
-OWN_KIND = 0.95
+LATE_BUCKETS = 64
+SLICE = 16_384
 COUNTS = "bucket int, chunk int, hashes binary, counts binary"
-KNOWN = "bucket int, chunk int, known binary, kinds long, once long, totals array<long>"
+KNOWN = "bucket int, chunk int, known binary, kinds long, total long"
 
 
 class _Group:
@@ -40,11 +40,10 @@ class _Group:
         return self.rank[np.searchsorted(self.hashes, words.hashes)]
 
 
-def _text_ids(words: Words, ranks: str, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Subword ids of all texts of a part with an end after each, where each text begins, and where each word does.
+def _text_ids(words: Words, ranks: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Subword ids of all texts of a part with an end after each, and where each text begins.
 
-    Ids of subwords that open a word are moved up by the size of the vocabulary; the highest id is the end. An
-    end is a word too.
+    Ids of subwords that open a word are moved up by the size of the vocabulary; the highest id is the end.
     """
     starts, lengths, flat = subwords(ranks)(words.distinct, words.sizes)
     n = lengths[words.coded] if len(words.coded) else np.empty(0, np.int64)
@@ -52,9 +51,7 @@ def _text_ids(words: Words, ranks: str, size: int) -> tuple[np.ndarray, np.ndarr
     before = np.cumsum(n) - n
     ids[before[n > 0]] += size // 2
     bounds = np.concatenate(([0], np.cumsum(n)))[words.bounds]
-    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(words.bounds))
-    begins = np.insert(before + owner, words.bounds[1:], bounds[1:] + np.arange(len(bounds) - 1))
-    return np.insert(ids, bounds[1:], size - 1), bounds + np.arange(len(bounds)), begins
+    return np.insert(ids, bounds[1:], size - 1), bounds + np.arange(len(bounds))
 
 
 def _vocabulary(ranks: str) -> int:
@@ -62,38 +59,45 @@ def _vocabulary(ranks: str) -> int:
     return 2 * subwords(ranks).size + 1
 
 
+def _all_ids(texts: list[str], ranks: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Subword ids of many texts, and where each text begins."""
+    parts = [_text_ids(Words(texts[a:b]), ranks, size) for a, b in chunks(texts, PART)]
+    ids = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.int64)
+    lengths = np.concatenate([np.diff(p[1]) for p in parts]) if parts else np.empty(0, np.int64)
+    return ids, np.concatenate(([0], np.cumsum(lengths)))
+
+
 def fit_attention(ranks: str):
     def fit(texts: list[str], _: list[int]):
         size = _vocabulary(ranks)
-        parts = [_text_ids(Words(texts[a:b]), ranks, size) for a, b in chunks(texts, PART)]
-        ids = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.int64)
-        lengths = np.concatenate([np.diff(p[1]) for p in parts]) if parts else np.empty(0, np.int64)
-        bounds = np.concatenate(([0], np.cumsum(lengths)))
-        classes, weights = train(ids, bounds, np.arange(size) >= size // 2)
-        return classes, weights, kinds_of_text(class_shares(classes, ids, bounds), KINDS)
+        ids, bounds = _all_ids(texts, ranks, size)
+        return *train(ids, bounds, np.arange(size) >= size // 2), np.bincount(ids, minlength=size)
 
     return fit
 
 
-def _count(ranks: str, buckets: int, classes: np.ndarray, kinds: np.ndarray):
-    """Words of each group with their counts in its training texts of each kind, packed for the buckets of words; and, in
-    bucket -1, the counts of subword ids and of texts of each kind."""
+def _count(ranks: str, buckets: int, sampled: np.ndarray):
+    """Words of each group with their counts in its training texts, packed for the buckets of words; in bucket -1 the counts
+    of subword ids; in the buckets below, ids that the sample lacks with the sums of their neighbours."""
     def count(key: tuple, docs: pd.DataFrame) -> pd.DataFrame:
         docs = docs.sort_values(["doc_id", "row"])
         texts, learnt = docs["text"].tolist(), ~docs["held_out"].to_numpy(bool)
         group, size = _Group(texts, buckets), _vocabulary(ranks)
-        total, ids_of = np.zeros((len(group.hashes), KINDS), np.int64), np.zeros(size + KINDS, np.int64)
+        total, ids_of = np.zeros(len(group.hashes), np.int64), np.zeros(size, np.int64)
+        chunk, rows = int(key[0]), []
         for a, b, words in group.parts:
-            ids, bounds, _ = _text_ids(words, ranks, size)
-            kind = nearest(class_shares(classes, ids, bounds), kinds)
-            ids_of[:size] += np.bincount(ids[np.repeat(learnt[a:b], np.diff(bounds))], minlength=size)
-            ids_of[size:] += np.bincount(kind[learnt[a:b]], minlength=KINDS)
+            ids, bounds = _text_ids(words, ranks, size)
+            ids = ids[np.repeat(learnt[a:b], np.diff(bounds))]
+            own = np.bincount(ids, minlength=size)
+            ids_of += own
+            late = np.flatnonzero((own > 0) & (sampled == 0))
+            if len(late):
+                sums, bucket = neighbour_sums(ids, late, sampled), late % LATE_BUCKETS
+                rows += [(-2 - k, chunk, late[bucket == k].tobytes(), sums[bucket == k].tobytes()) for k in np.unique(bucket).tolist()]
             if len(words.coded):
                 use = np.repeat(learnt[a:b], np.diff(words.bounds))
-                cell = words.coded[use] * KINDS + np.repeat(kind, np.diff(words.bounds))[use]
-                n = np.bincount(cell, minlength=len(words.distinct) * KINDS).reshape(-1, KINDS)
-                np.add.at(total, group.numbers(words), n)
-        chunk, rows = int(key[0]), [(-1, int(key[0]), b"", ids_of.tobytes())]
+                np.add.at(total, group.numbers(words), np.bincount(words.coded[use], minlength=len(words.distinct)))
+        rows.append((-1, chunk, b"", ids_of.tobytes()))
         for b in np.flatnonzero(np.diff(group.edges)).tolist():
             at = slice(group.edges[b], group.edges[b + 1])
             rows.append((b, chunk, group.ordered[at].tobytes(), total[at].astype(np.uint32).tobytes()))
@@ -104,36 +108,71 @@ def _count(ranks: str, buckets: int, classes: np.ndarray, kinds: np.ndarray):
 
 def _total(rows: pd.DataFrame) -> pd.DataFrame:
     """Corpus counts of the words of a bucket, handed back to each group in the order it asked."""
-    hashes, counts = unpack(rows["hashes"], np.uint64), unpack(rows["counts"], np.uint32).reshape(-1, KINDS)
+    hashes, counts = unpack(rows["hashes"], np.uint64), unpack(rows["counts"], np.uint32)
     distinct, number = np.unique(hashes, return_inverse=True)
-    total = np.column_stack([np.bincount(number, counts[:, k], len(distinct)) for k in range(KINDS)]).astype(np.int64)
+    total = np.bincount(number, counts, len(distinct)).astype(np.int64)
     ends = np.cumsum([len(x) // 8 for x in rows["hashes"]])
     out = [total[number[e - len(x) // 8:e]].tobytes() for e, x in zip(ends, rows["hashes"])]
-    every, first = total.sum(axis=1), np.arange(len(rows)) == 0  # totals of the bucket stand in one row
+    first = np.arange(len(rows)) == 0  # totals of the bucket stand in one row
     return pd.DataFrame({"bucket": rows["bucket"], "chunk": rows["chunk"], "known": out,
-                         "kinds": np.where(first, (every > 0).sum(), 0), "once": np.where(first, (every == 1).sum(), 0),
-                         "totals": [total.sum(axis=0) * f for f in first]})
+                         "kinds": np.where(first, (total > 0).sum(), 0), "total": np.where(first, total.sum(), 0)})
+
+
+def _late(middles: np.ndarray, size: int):
+    """Ids that the sample lacks and their classes."""
+    def late(rows: pd.DataFrame) -> pd.DataFrame:
+        ids, sums = unpack(rows["hashes"], np.int64), unpack(rows["counts"], np.float32).reshape(-1, 2 * SEEDS)
+        distinct, number = np.unique(ids, return_inverse=True)
+        total = np.column_stack([np.bincount(number, sums[:, k], len(distinct)) for k in range(2 * SEEDS)])
+        return pd.DataFrame({"id": distinct, "class": late_classes(total, distinct >= size // 2, middles)})
+
+    return late
+
+
+def _learn(ranks: str, classes: np.ndarray, weights: dict[str, np.ndarray]):
+    """What the training texts of a group make of the weights, in small slices, and the number of their windows."""
+    def learnt(key: tuple, docs: pd.DataFrame) -> pd.DataFrame:
+        docs = docs.sort_values(["doc_id", "row"])
+        n, w = learn_all(weights, classes, *_all_ids(docs["text"].tolist(), ranks, len(classes)), int(key[0]))
+        flat = _flat(w)
+        slices = [flat[a:a + SLICE].tobytes() for a in range(0, len(flat), SLICE)]
+        return pd.DataFrame({"slice": np.arange(len(slices)), "windows": n, "weights": slices})
+
+    return learnt
+
+
+def _mean(rows: pd.DataFrame) -> pd.DataFrame:
+    """The mean of a slice of the weights over windows."""
+    total = sum(n * np.frombuffer(w, np.float32).astype(np.float64) for n, w in zip(rows["windows"], rows["weights"]))
+    return pd.DataFrame({"slice": rows["slice"].iloc[:1], "weights": [(total / rows["windows"].sum()).astype(np.float32).tobytes()]})
+
+
+def _flat(weights: dict[str, np.ndarray]) -> np.ndarray:
+    return np.concatenate([weights[k].ravel() for k in sorted(weights)]).astype(np.float32)
+
+
+def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    names = sorted(like)
+    parts = np.split(flat, np.cumsum([like[k].size for k in names])[:-1])
+    return {k: v.reshape(like[k].shape).astype(np.float32) for k, v in zip(names, parts)}
 
 
-def _id_counts(size: int):
+def _sums(size: int, kind):
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size, np.int64)
+        total = np.zeros(size, kind)
         for batch in batches:
-            total += unpack(batch["counts"], np.int64).reshape(-1, size).sum(axis=0)
+            for row in batch["counts"]:
+                total += np.frombuffer(row, kind)
         yield pd.DataFrame({"counts": [total.tobytes()]})
 
     return add
 
 
-def _word_logs(gained: np.ndarray, opened: np.ndarray, bounds: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Log probability that the model spells each word just so: its first subword among those that open a word, the others
-    after it, and then an opening again. An end is spelt by itself."""
-    total = np.concatenate(([0.0], np.cumsum(gained, dtype=np.float64)))
-    ends = np.append(begins[1:], len(gained))
-    is_end = np.zeros(len(gained) + 1, bool)
-    is_end[bounds[1:] - 1] = True
-    after = np.where(is_end[begins] | (ends == begins), 0, np.append(opened, 0)[ends])
-    return total[ends] - total[begins] - np.where(ends == begins, 0, np.append(opened, 0)[begins]) + after
+def _summed(rows: DataFrame, size: int, kind) -> np.ndarray:
+    """The sum of packed arrays. A partition sums its own first, so one row a partition reaches the second sum."""
+    first = rows.select("counts").mapInPandas(_sums(size, kind), "counts binary")
+    total = first.repartition(1).mapInPandas(_sums(size, kind), "counts binary").first()
+    return np.frombuffer(bytes(total["counts"]), kind) if total else np.zeros(size, kind)
 
 
 def text_scores(docs: DataFrame, ranks: str, divisor: int = 7, held_out: int = 2, most: int = SAMPLE_DOCS) -> DataFrame:
@@ -141,10 +180,10 @@ def text_scores(docs: DataFrame, ranks: str, divisor: int = 7, held_out: int = 2
 
     Tokens are words and one end. The base is the log10 probability under counts plus one of all words of all texts that are
     not held out; an unseen word shares what one more kind would have. ``score`` is the log10 probability of the text under
-    the model: each word is either one the corpus holds, drawn by its count in texts of one kind, or spelt by causal attention
-    over the subwords before it; the chance of spelling is the share of words that the corpus holds once. A text is of one of
-    four kinds, known from its words so far as Bayes has it, so its score is the sum over kinds. Counts of words, kinds and
-    ids within classes come from all those texts; classes, weights and the middles of kinds are learnt from at most ``most``. A null or empty text is its end alone. Repeated rows are scored, and counted, each.
+    causal attention over the subwords before each: every subword has the chance of its class given those, times its share of
+    the class in the counts of all those texts. The middles of classes and the weights to start from are learnt from at most
+    ``most`` texts; then each group learns from every window of its texts once, and the weights are the mean over windows.
+    A null or empty text is its end alone. Repeated rows are scored, and counted, each.
 
     Texts are dealt into groups by a hash of the row. A group sends its distinct words to the buckets of their hashes and
     gets their counts back, so what moves is each distinct word once a group; no count of words reaches the driver.
@@ -154,52 +193,50 @@ def text_scores(docs: DataFrame, ranks: str, divisor: int = 7, held_out: int = 2
     dealt = (texts.withColumn("row", F.xxhash64("doc_id", "text"))
              .withColumn("chunk", F.pmod("row", F.lit(buckets)).cast("int")))
     learnable = texts.where(~F.col("held_out") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    classes, weights, middles = pickle.loads(fit_on_sample(
+    classes, weights, middles, sampled = pickle.loads(fit_on_sample(
         docs, learnable.withColumn("label", F.lit(0)), fit_attention(ranks), most))
-    counted = store(dealt.groupBy("chunk").applyInPandas(_count(ranks, buckets, classes, middles), COUNTS), "word-counts")
+    counted = store(dealt.groupBy("chunk").applyInPandas(_count(ranks, buckets, sampled), COUNTS), "word-counts")
     known = store(counted.where("bucket >= 0").groupBy("bucket").applyInPandas(_total, KNOWN), "known-words")
     size = _vocabulary(ranks)
-    summed = counted.where("bucket < 0").select("counts").mapInPandas(_id_counts(size + KINDS), "counts binary")
-    # A partition sums its groups first, so one row a partition reaches the second sum.
-    summed = summed.repartition(1).mapInPandas(_id_counts(size + KINDS), "counts binary").first()
-    id_counts, texts_of_kind = np.split(
-        np.frombuffer(bytes(summed["counts"]), np.int64) if summed else np.zeros(size + KINDS, np.int64), [size])
-    sums = known.agg(F.sum("kinds").alias("kinds"), F.sum("once").alias("once"),
-                     *[F.sum(F.col("totals")[k]).alias(f"total_{k}") for k in range(KINDS)]).first()
-    words_of_kind = np.array([int(sums[f"total_{k}"] or 0) for k in range(KINDS)]) + texts_of_kind
-    learnt, n = int(texts_of_kind.sum()), int(words_of_kind.sum())
-    distinct = int(sums["kinds"] or 0) + (learnt > 0)
+    id_counts = _summed(counted.where("bucket = -1"), size, np.int64)
+    late = counted.where("bucket < -1").groupBy("bucket").applyInPandas(_late(middles, size), "id long, class long").toPandas()
+    classes, token = classes.copy(), weights["token"].copy()
+    average = np.column_stack([np.bincount(classes, token[:, k], len(middles)) for k in range(token.shape[1])])
+    average /= np.maximum(np.bincount(classes, minlength=len(middles)), 1)[:, None]
+    classes[late["id"]] = late["class"]
+    token[late["id"]] = average[classes[late["id"]]]
+    weights["token"] = token
+    # Rows are slices, as rows of all weights fill the heap of an executor; the mean has the size of the model.
+    steps = dealt.where(~F.col("held_out")).groupBy("chunk").applyInPandas(
+        _learn(ranks, classes, weights), "slice int, windows long, weights binary")
+    mean = steps.groupBy("slice").applyInPandas(_mean, "slice int, weights binary").toPandas().sort_values("slice")
+    weights = _shaped(unpack(mean["weights"], np.float32) if len(mean) else _flat(weights), weights)
+    sums = known.agg(F.sum("kinds").alias("kinds"), F.sum("total").alias("total")).first()
+    learnt = int(id_counts[-1])
+    n, distinct = int(sums["total"] or 0) + learnt, int(sums["kinds"] or 0) + (learnt > 0)
     within = log_within(classes, id_counts)
     base = np.log10(n + distinct + 1)
-    whole = 1 - int(sums["once"] or 0) / n if n else 0.0
-    prior = np.log10((texts_of_kind + 1) / (learnt + KINDS))
 
     def score(_: tuple, docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
             return pd.DataFrame({c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
         docs = docs.sort_values(["doc_id", "row"])
         group = _Group(docs["text"].tolist(), buckets)
-        counts = unpack(known.sort_values("bucket")["known"], np.int64).reshape(-1, KINDS)
+        counts = unpack(known.sort_values("bucket")["known"], np.int64)
         model, out = AttentionModel(classes, weights, within), []
         for a, b, words in group.parts:
-            c = counts[group.numbers(words)] if len(words.distinct) else np.empty((0, KINDS), np.int64)
             tokens = np.diff(words.bounds) + 1
             owner = np.repeat(np.arange(b - a), tokens)
-            # Rows: each distinct word and, last, the end.
-            by_kind = np.concatenate([c, texts_of_kind[None, :]])
-            each = np.insert(words.coded, words.bounds[1:], len(c))
-            every = by_kind.sum(axis=1)
-            drawn = whole * (OWN_KIND * by_kind / np.maximum(words_of_kind, 1) + (1 - OWN_KIND) * every[:, None] / max(n, 1))
-            ids, bounds, begins = _text_ids(words, ranks, size)
-            spelt = (1 - whole) * np.exp(_word_logs(*model.log_probabilities(ids, bounds), bounds, begins))
-            of_kind = np.column_stack([prior[k] + np.bincount(owner, np.log10(drawn[each, k] + spelt + 1e-300), b - a)
-                                       for k in range(KINDS)])
-            top = of_kind.max(axis=1, keepdims=True)
+            # Counts of each distinct word and, last, of the end.
+            every = np.append(counts[group.numbers(words)] if len(words.distinct) else counts[:0], learnt)
+            each = np.insert(words.coded, words.bounds[1:], len(every) - 1)
+            ids, bounds = _text_ids(words, ranks, size)
+            gained = model.log_probabilities(ids, bounds).astype(np.float64)
             out.append(pd.DataFrame({
                 "doc_id": docs["doc_id"].iloc[a:b], "held_out": docs["held_out"].iloc[a:b], "n_tokens": tokens,
                 "n_known": np.bincount(owner, every[each] > 0, b - a).astype(np.int64), "train_tokens": n,
                 "base_score": np.bincount(owner, (np.log10(every + 1) - base)[each], b - a),
-                "score": top[:, 0] + np.log10((10 ** (of_kind - top)).sum(axis=1))}))
+                "score": np.add.reduceat(gained, bounds[:-1]) / np.log(10)}))
         return pd.concat(out)
 
     return dealt.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(

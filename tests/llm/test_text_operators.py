@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from statline.llm import dedup, jaccard, vector_search
@@ -445,6 +446,19 @@ def test_text_scores(documents):
         assert r.base_score == pytest.approx(base, rel=1e-9) and np.isfinite(r.score) and r.score < 0
 
 
+def test_text_scores_learn_from_the_texts_outside_the_sample(documents):
+    """The same words in another order, in texts that are neither in the sample nor scored: counts are the same."""
+    docs = documents.orderBy("doc_id").limit(120).select("doc_id", "text").cache()
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    sample = docs.where(~held_out).orderBy(F.xxhash64("doc_id"), "doc_id").first().doc_id
+    turned = docs.withColumn("text", F.when(held_out | (F.col("doc_id") == sample), F.col("text")).otherwise(
+        F.array_join(F.reverse(F.split("text", r"\s+")), " ")))
+    scored = [{r.doc_id: r for r in text_scores(d, public_tokenizers.path("byte_bpe_50k.tiktoken"), most=1).where("held_out").collect()}
+              for d in (docs, turned)]
+    assert all(a.base_score == pytest.approx(scored[1][i].base_score, rel=1e-9) for i, a in scored[0].items())
+    assert any(abs(a.score - scored[1][i].score) > 1e-4 * abs(a.score) for i, a in scored[0].items())
+
+
 def test_text_scores_of_odd_rows(odd_docs):
     scored = text_scores(odd_docs, public_tokenizers.path("byte_bpe_50k.tiktoken")).collect()
     assert len(scored) == odd_docs.count() and all(np.isfinite(r.score) for r in scored)
