@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 from statline.llm.common import chunks, texts_of
 from statline.llm.labelled import fit_on_sample, held_out_column, training_rows
 
-SAMPLE_DOCS = 2_000
-MOST_LINES = 400
+SAMPLE_DOCS = 3_000
 CUTOFF = 0.7
 PART = 500_000
 GOOD = 1
@@ -144,13 +143,11 @@ def fit_quality(texts: list[str], labels: list[int]) -> dict:
     """The field and the calibration of the document score.
 
     All lines of a document start with its label. Then, in documents labelled bad, lines the field holds to be good become
-    good, except the worst of each document, and the field is fitted again. Of a long training document as many lines as
-    ``MOST_LINES`` are learnt from; scoring takes all lines.
+    good, except the worst of each document, and the field is fitted again.
     """
     y = np.array(labels, int)
     if len(y) < 4 or len(set(labels)) < 2:
         return {"constant": float(y.mean()) if len(y) else 0.5}
-    texts = ["\n".join(t.split("\n")[:MOST_LINES]) for t in texts]
     features, size, bounds = line_features(texts)
     centre, spread = features.mean(axis=0), features.std(axis=0) + 1e-6
     x = with_neighbours(np.clip((features - centre) / spread, -6, 6), bounds)

@@ -413,6 +413,13 @@ def test_held_out_accuracy(spark):
     assert accuracy(quality, marks, "quality") >= 0.97 and accuracy(toxic, marks, "toxic") >= 0.93
 
 
+def test_quality_learns_from_lines_far_down():
+    plain = "\n".join(f"The river runs past field {i} and the mill." for i in range(420))
+    texts = [plain + ("\n" + "\n".join(["BUY NOW!!! $$$ CLICK | HERE"] * 420)) * (i % 2) for i in range(8)]
+    good = score_quality(fit_quality(texts, [1 - i % 2 for i in range(8)]), texts)
+    assert min(good[::2]) > 0.5 > max(good[1::2])
+
+
 def test_offending_sentences_are_found(spark):
     texts = [f"Fine words {i}. More of them here.\nAnd a line {i}" for i in range(60)]
     bad = [f"Fine words {i}. You are a rotter. More of them here." for i in range(30)]
