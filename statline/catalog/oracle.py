@@ -545,6 +545,9 @@ def oracle_sql() -> dict[str, str]:
             first_players=_delivery(1), later_players=_delivery(2)),
         "landed_csv_players": raw["players"],
         "landed_json_events": raw["match_events"],
+        "landed_json_matches": with_ctes(
+            "SELECT * EXCLUDE (_seq) REPLACE (TRY_CAST(attendance AS BIGINT) AS attendance) FROM raw_matches"),
+        "second_delivery_players": with_ctes("SELECT * EXCLUDE (_seq) FROM raw_players WHERE _seq = 2"),
         "streamed_csv_players": raw["players"],
     }
     for d, key in KEYS.items():

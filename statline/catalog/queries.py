@@ -202,6 +202,38 @@ def landed_json_events(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(*[F.col(n).try_cast(t).alias(n) for n, t in spec.raw.items()])
 
 
+def _write_json_documents(rows: DataFrame, path: str, documents: int) -> None:
+    """Rows as ``documents`` files, each one list of all its records between two elements that are no records."""
+    of = F.pmod(F.crc32(F.col(rows.columns[0])), F.lit(documents)).cast("int").alias("document")
+    spark = rows.sparkSession
+    ends = spark.range(documents).select(F.col("id").cast("int").alias("document"), F.explode(F.array(
+        F.struct(F.lit(0).alias("place"), F.lit("[5").alias("value")), F.struct(F.lit(2), F.lit(', "odd"]')))).alias("e"))
+    lines = rows.select(of, F.lit(1).alias("place"), F.concat(F.lit(","), F.to_json(F.struct(*rows.columns))).alias("value"))
+    (ends.select("document", "e.*").unionByName(lines).repartition("document").sortWithinPartitions("document", "place")
+     .drop("place").write.partitionBy("document").text(path))
+
+
+def landed_json_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """Matches written as JSON files of very many records, ingested block by block and loaded from landing."""
+    root, spec = work_dir(spark, "documents"), DATASETS["matches"]
+    raw = raw_datasets(spark, folder, "matches")["matches"]
+    _write_json_documents(raw.select(*spec.raw), f"{root}/raw/matches.json", documents=256)
+    ingest_raw(spark, f"{root}/raw", f"{root}/landing", Warehouse(spark, f"{root}/state"))
+    rows = load_from_landing(spark, f"{root}/landing")["matches"]
+    return rows.select(*[F.col(n).try_cast(t).alias(n) for n, t in spec.raw.items()])
+
+
+def second_delivery_players(spark: SparkSession, folder: str) -> DataFrame:
+    """Players in two deliveries, taken by manifest: what the second run lands."""
+    root = work_dir(spark, "deliveries")
+    house, raw = Warehouse(spark, f"{root}/state"), raw_datasets(spark, folder, "players")["players"]
+    for seq in (1, 2):
+        part = raw.filter(F.col(SEQ) == seq).drop(SEQ)
+        part.coalesce(4).write.option("header", True).csv(f"{root}/raw/players.csv/delivery={seq}")
+        ingest_raw(spark, f"{root}/raw", f"{root}/landing", house, by="manifest")
+    return load_from_landing(spark, f"{root}/landing")["players"].drop(SEQ)
+
+
 def streamed_csv_players(spark: SparkSession, folder: str) -> DataFrame:
     """Raw players written as CSV files and landed by the stream."""
     root = work_dir(spark, "stream")
@@ -396,6 +428,8 @@ QUERIES: dict[str, Query] = {
     "upsert_players": upsert_players,
     "landed_csv_players": landed_csv_players,
     "landed_json_events": landed_json_events,
+    "landed_json_matches": landed_json_matches,
+    "second_delivery_players": second_delivery_players,
     "streamed_csv_players": streamed_csv_players,
     "supplier_season": supplier_season,
     "keep_last_lineitem": keep_last_lineitem,

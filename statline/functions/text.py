@@ -40,8 +40,15 @@ def composite_key(*parts: Column) -> Column:
 
 
 def json_rows(df: DataFrame, cell: str, record: T.StructType, position: str | None = None) -> DataFrame:
-    """One row per record of the JSON list (or single object) in ``cell``, next to the other columns."""
-    records = F.from_json(F.col(cell), T.ArrayType(record))
+    """One row per record of the JSON list (or single object) in ``cell``, next to the other columns.
+
+    A list is read at once; only where an element is no record, which empties that reading, are its elements read one by
+    one. An element that is no object is left out.
+    """
+    whole = F.from_json(F.col(cell), T.ArrayType(record))
+    texts = F.from_json(F.col(cell), T.ArrayType(T.StringType()))
+    each = F.transform(F.filter(texts, lambda t: F.ltrim(t).startswith("{")), lambda t: F.from_json(t, record))
+    records = F.coalesce(whole, each)
     kept = [c for c in df.columns if c != cell]
     if position is None:
         return df.select(*kept, F.inline(records))

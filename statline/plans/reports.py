@@ -15,7 +15,7 @@ from statline.plans.quality import check_all, quality_report
 from statline.schemas import DATASETS
 from statline.session import stored_in, work_dir
 from statline.sources.landing import load_from_landing
-from statline.sources.raw import ingest_raw
+from statline.sources.raw import confirm, ingest_raw
 from statline.sources.reports import write_report
 from statline.sources.warehouse import Warehouse
 
@@ -95,16 +95,18 @@ def clean_and_save(spark: SparkSession, landing_dir: str, warehouse: Warehouse,
 
 def run(spark: SparkSession, raw_dir: str, landing_dir: str, warehouse_dir: str, report_dir: str, force: bool = False,
         as_of: dt.date | None = None, day_first: bool = False, form: str = "sql",
-        team_ids: Sequence[str] = ()) -> list[str]:
+        team_ids: Sequence[str] = (), by: str = "day") -> list[str]:
     """Raw files to reports: ingest, check, clean, save, aggregate, report. Gives the paths of the reports.
 
-    Team reports cover all teams, and each of ``team_ids`` on its own.
+    Team reports cover all teams, and each of ``team_ids`` on its own. ``by`` says how changed raw files are found, see
+    :func:`statline.sources.ingest_raw`; files taken by manifest are remembered once their rows are saved.
     """
     warehouse = Warehouse(spark, warehouse_dir)
-    ingest_raw(spark, raw_dir, landing_dir, warehouse, force)
+    ingest_raw(spark, raw_dir, landing_dir, warehouse, force, by=by, confirmed=False)
     found = quality_report(check_all(load_from_landing(spark, landing_dir)))
     paths = [write_report(found, report_dir, "validation_report")]
     clean_and_save(spark, landing_dir, warehouse, as_of, day_first)
+    confirm(spark, landing_dir, warehouse)
     view = store_player_view(warehouse, form)
     teams = warehouse.read(DATASETS["teams"].table)
     paths += write_player_reports(view, report_dir, form).values()

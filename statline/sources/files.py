@@ -35,9 +35,28 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def replace(spark: SparkSession, new: str, target: str) -> None:
-    """Put the folder ``new`` in the place of ``target``."""
+    """Put the folder ``new`` in the place of ``target``. The old one goes only after the new one stands; should the job die
+    in between, :func:`restore` puts back what was there."""
     fs, source = _hadoop(spark, new)
     _, destination = _hadoop(spark, target)
-    fs.delete(destination, True)
+    _, aside = _hadoop(spark, _aside(target))
+    if fs.exists(destination):
+        fs.delete(aside, True)
+        if not fs.rename(destination, aside):
+            raise OSError(f"could not move {target} aside")
     if not fs.rename(source, destination):
         raise OSError(f"could not move {new} to {target}")
+    fs.delete(aside, True)
+
+
+def _aside(target: str) -> str:
+    folder, _, name = target.rstrip("/").rpartition("/")
+    return f"{folder}/_replaced-{name}"
+
+
+def restore(spark: SparkSession, target: str) -> None:
+    """Put back a folder that :func:`replace` had moved aside when its job died."""
+    fs, destination = _hadoop(spark, target)
+    _, aside = _hadoop(spark, _aside(target))
+    if fs.exists(aside) and not fs.exists(destination):
+        fs.rename(aside, destination)

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statline.schemas import DATASETS, SEQ
-from statline.sources import files
-from statline.sources.state import advance_mark, read_mark
+from statline.sources import files, json_blocks
+from statline.sources.state import advance_mark, read_mark, read_manifest, remember
 from statline.sources.warehouse import Warehouse
 
 log = logging.getLogger(__name__)
@@ -38,25 +39,36 @@ class Source:
     suffix: str
     size: int
     modified: dt.datetime
+    #: The files to read, where not all of the source are.
+    parts: tuple[str, ...] = field(default=())
 
+    @property
+    def paths(self) -> list[str]:
+        return list(self.parts) or [self.path]
 
-def list_sources(spark: SparkSession, raw_dir: str, since: dt.date | None = None) -> list[Source]:
-    """Sources changed on or after the day ``since``, by name. Other suffixes are passed over; part files may lie
-    in folders below a source.
 
-    Only the listing is read, not the files. Days are compared, not times, so a source changed on the day of the last
-    run comes again; the upsert makes that harmless.
-    """
+def list_files(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """``entry, name, suffix, path, size, modified`` of every file of every source; other suffixes are passed over. Only the
+    listing is read, not the files."""
     base = files.qualified(spark, raw_dir)
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
-    steps = F.split(F.expr(f"substring(path, {len(base) + 2})"), "/")
-    found = (
-        listed.select("length", "modificationTime", steps.alias("steps"))
-        .groupBy(F.col("steps")[0].alias("entry"))
-        .agg(F.sum("length").alias("size"), F.max("modificationTime").alias("modified"))
+    entry = F.split(F.expr(f"substring(path, {len(base) + 2})"), "/")[0]
+    return (
+        listed.select(entry.alias("entry"), "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
         .withColumns({"name": F.regexp_extract("entry", _NAMED, 1), "suffix": F.regexp_extract("entry", _NAMED, 2)})
         .filter(F.col("suffix") != "")
     )
+
+
+def list_sources(spark: SparkSession, raw_dir: str, since: dt.date | None = None) -> list[Source]:
+    """Sources changed on or after the day ``since``, by name. Part files may lie in folders below a source.
+
+    Days are compared, not times, so a source changed on the day of the last run comes again; the upsert makes that
+    harmless.
+    """
+    base = files.qualified(spark, raw_dir)
+    found = list_files(spark, raw_dir).groupBy("entry", "name", "suffix").agg(
+        F.sum("size").alias("size"), F.max("modified").alias("modified"))
     if since is not None:
         found = found.filter(F.to_date("modified") >= F.lit(since))
     # One row per source, whatever the size of the sources.
@@ -64,6 +76,20 @@ def list_sources(spark: SparkSession, raw_dir: str, since: dt.date | None = None
             for r in found.orderBy("entry").collect()]
 
 
+def list_changed(spark: SparkSession, raw_dir: str, listed: DataFrame, manifest: DataFrame) -> list[Source]:
+    """Sources with files that the manifest does not hold with the same size and time, and these files alone. ``listed`` is a
+    stored :func:`list_files`."""
+    known = manifest.select("path", F.col("size").alias("_size"), F.col("modified").alias("_modified"))
+    same = (F.col("size") == F.col("_size")) & (F.col("modified") == F.col("_modified"))
+    new = listed.join(known, "path", "left").filter(~F.coalesce(same, F.lit(False)))
+    base = files.qualified(spark, raw_dir)
+    found = new.groupBy("entry", "name", "suffix").agg(
+        F.sum("size").alias("size"), F.max("modified").alias("modified"), F.array_sort(F.collect_list("path")).alias("parts"))
+    # The paths are those a scan of the files would list on the driver as well.
+    return [Source(f"{base}/{r.entry}", r["name"], r.suffix, r["size"], r.modified, tuple(r.parts))
+            for r in found.orderBy("entry").collect()]
+
+
 def file_position(position: Column) -> Column:
     """Arrival position of a row: file time, file, block in the file, place in the block."""
     return F.struct(
@@ -72,24 +98,36 @@ def file_position(position: Column) -> Column:
     ).alias(SEQ)
 
 
-def read_csv(spark: SparkSession, path: str, dataset: str | None = None) -> DataFrame:
+def _spans_lines(spark: SparkSession, paths: Sequence[str]) -> bool:
+    """Whether some field holds a line break: a line with an odd number of quotes. One scan of the text."""
+    lines = spark.read.option("recursiveFileLookup", True).text(list(paths))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not lines.filter(quotes % 2 == 1).isEmpty()
+
+
+def read_csv(spark: SparkSession, path: str | Sequence[str], dataset: str | None = None) -> DataFrame:
     """Rows of a CSV source with their arrival position.
 
-    Columns of a known dataset stay text until the type rules have seen them; others get inferred types. A row of a known
-    dataset with more or fewer fields than the header comes with its text in ``_corrupt_record``. A part file
-    whose header differs from the first one stops the read instead of shifting columns.
+    Columns of a known dataset stay text until the type rules have seen them; others get inferred types. A row with more or
+    fewer fields than the header comes with its text in ``_corrupt_record``. Where a quoted field holds a line break each file
+    is read whole by one task, else files are split. A part file whose header differs from the first one stops the read
+    instead of shifting columns.
     """
+    paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read.options(**CSV).option("recursiveFileLookup", True)
-    if dataset not in DATASETS:
-        return reader.option("inferSchema", True).csv(path)
-    header = reader.csv(path)
-    schema = T.StructType([*header.schema, T.StructField(BROKEN, T.StringType())])
-    rows = reader.schema(schema).option("enforceSchema", False).option("columnNameOfCorruptRecord", BROKEN).csv(path)
+    if _spans_lines(spark, paths):
+        reader = reader.option("multiLine", True)
+    if dataset in DATASETS:
+        header = reader.csv(paths).schema
+    else:
+        header = reader.option("inferSchema", True).csv(paths).schema
+    schema = T.StructType([*header, T.StructField(BROKEN, T.StringType())])
+    rows = reader.schema(schema).option("enforceSchema", False).option("columnNameOfCorruptRecord", BROKEN).csv(paths)
     # Rows of one block are read in order by one task, where this number grows.
-    return rows.select("*", file_position(F.monotonically_increasing_id()))
+    return rows.select("*", file_position(F.monotonically_increasing_id())) if dataset in DATASETS else rows
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """One row ``(file, data, _seq)`` per JSON file; ``data`` is null where the text is no JSON document."""
     text = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     return documents(text.filter(F.length(F.trim("value")) > 0))
@@ -131,71 +169,124 @@ def record_texts(cells: DataFrame, dataset: str) -> DataFrame:
                        F.when(filled.isNotNull(), F.col("_element.record")).alias("_record"))
 
 
+@dataclass(frozen=True)
+class _Read:
+    """What a source holds: ``good`` rows to land, and what is kept in quarantine."""
+
+    good: DataFrame
+    rejected: DataFrame
+
+
+def _read_csv_source(spark: SparkSession, source: Source) -> _Read:
+    rows = read_csv(spark, source.paths, source.name)
+    wrong = F.col(BROKEN).isNotNull()
+    rejected = rows.filter(wrong).select(F.lit(source.path).alias("file"), *[c for c in rows.columns if c != SEQ])
+    return _Read(rows.filter(~wrong).drop(BROKEN), rejected)
+
+
+def _read_document_source(spark: SparkSession, source: Source) -> _Read:
+    """A source of no known dataset: one cell a document."""
+    cells = read_documents(spark, source.paths)
+    missing = F.col("data").isNull()
+    return _Read(cells.filter(~missing).drop(SEQ), cells.filter(missing).select("file"))
+
+
+def _read_record_source(spark: SparkSession, source: Source, states_path: str) -> _Read:
+    """A source of a known dataset: its records, found by as many tasks as its files have blocks."""
+    json_blocks.block_states(spark, source.paths).write.mode("overwrite").parquet(states_path)
+    states = spark.read.parquet(states_path)
+    found = json_blocks.records(json_blocks.elements(spark, source.paths, states), DATASETS[source.name].text_schema)
+    odd = found.filter(F.col("_record").isNull()).select("file", "_place", "_text")
+    broken = states.filter("broken").select("file").distinct()
+    return _Read(found.filter(F.col("_record").isNotNull()).select(SEQ, "_record.*"),
+                 broken.unionByName(odd, allowMissingColumns=True))
+
+
 def land(spark: SparkSession, source: Source, landing_dir: str) -> bool:
-    """Write one source to landing, replacing what it landed before; False if it holds nothing readable."""
+    """Write one source to landing, replacing what it landed before; False if it holds nothing readable.
+
+    What cannot be read goes to ``_quarantine/<name>`` with its text, and what an earlier delivery of the source had left
+    there goes with it.
+    """
     landing = landing_dir.rstrip("/")
+    target, quarantine = f"{landing}/{source.name}.parquet", f"{landing}/_quarantine/{source.name}"
+    files.restore(spark, target)
     if source.size == 0:
         log.warning("empty source, skipped: %s", source.path)
         return False
-    seen, elements = Observation(), Observation()
     if source.suffix == "csv":
-        all_rows = read_csv(spark, source.path, source.name)
-        wrong = F.col(BROKEN).isNotNull() if BROKEN in all_rows.columns else F.lit(False)
-        rows = all_rows.observe(seen, F.count_if(~wrong).alias("read"), F.count_if(wrong).alias("broken"))
-        rows = rows.filter(~wrong).drop(BROKEN)
-        rejected = all_rows.filter(wrong).select(F.lit(source.path).alias("file"), *[c for c in all_rows.columns if c != SEQ])
+        read = _read_csv_source(spark, source)
+    elif source.name in DATASETS:
+        read = _read_record_source(spark, source, f"{landing}/_incoming/_blocks-{source.name}")
     else:
-        missing = F.col("data").isNull()
-        all_cells = read_documents(spark, source.path)
-        counted = all_cells.observe(seen, F.count_if(~missing).alias("read"), F.count_if(missing).alias("broken"))
-        cells = counted.filter(~missing)
-        rejected = all_cells.filter(missing).select("file")
-        if source.name in DATASETS:
-            records = record_texts(cells, source.name).observe(
-                elements, F.count_if(F.col("_record").isNotNull()).alias("read"),
-                F.count_if(F.col("_record").isNull()).alias("broken"))
-            placed = F.struct(F.col(SEQ).alias("cell"), F.col("_place").cast("bigint").alias("record"))
-            rows = (records.filter(F.col("_record").isNotNull()).withColumn(SEQ, placed)
-                    .select(SEQ, "_record.*"))
-        else:
-            rows = cells.drop(SEQ)
+        read = _read_document_source(spark, source)
     # The rows are counted as they are written, and replace what landed before only when they are complete.
-    incoming = f"{landing}/_incoming/{source.name}"
-    rows.write.mode("overwrite").parquet(incoming)
-    by_record = source.suffix == "json" and source.name in DATASETS and seen.get["read"] > 0
-    odd = elements.get["broken"] if by_record else 0
-    if seen.get["broken"] or odd:
-        log.error("%d parts are no records, kept in quarantine: %s", seen.get["broken"] + odd, source.path)
-        if odd:
-            texts = record_texts(read_documents(spark, source.path).filter(F.col("data").isNotNull()), source.name).filter(F.col("_record").isNull())
-            rejected = rejected.unionByName(texts.select("file", "_place", "_text"), allowMissingColumns=True)
-        rejected.write.mode("overwrite").parquet(f"{landing}/_quarantine/{source.name}")
-    if not (elements.get["read"] if by_record else seen.get["read"]):
+    good, rejected = Observation(), Observation()
+    incoming, odd = f"{landing}/_incoming/{source.name}", f"{landing}/_incoming/_odd-{source.name}"
+    read.good.observe(good, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(incoming)
+    read.rejected.observe(rejected, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(odd)
+    if rejected.get["n"]:
+        log.error("%d parts are no records, kept in quarantine: %s", rejected.get["n"], source.path)
+        files.replace(spark, odd, quarantine)
+    if not good.get["n"]:
         log.warning("nothing read, skipped: %s", source.path)
         return False
-    files.replace(spark, incoming, f"{landing}/{source.name}.parquet")
+    if not rejected.get["n"]:
+        files.remove(spark, quarantine)
+    files.replace(spark, incoming, target)
     return True
 
 
+def _taken(landing_dir: str) -> str:
+    return f"{landing_dir.rstrip('/')}/_incoming/_taken"
+
+
+def confirm(spark: SparkSession, landing_dir: str, warehouse: Warehouse) -> None:
+    """Remember the files of the last run by manifest, so that the next one does not take them again."""
+    if files.exists(spark, f"{_taken(landing_dir)}/_SUCCESS"):
+        remember(warehouse, spark.read.parquet(_taken(landing_dir)))
+        files.remove(spark, _taken(landing_dir))
+
+
 def ingest_raw(spark: SparkSession, raw_dir: str, landing_dir: str, warehouse: Warehouse, force: bool = False,
-               today: dt.date | None = None) -> list[str]:
+               today: dt.date | None = None, by: str = "day", confirmed: bool = True) -> list[str]:
     """Land every new source and give the names landed; an unreadable source is logged and skipped.
 
-    ``force`` ignores the mark. The mark moves to ``today`` if something landed and no read failed: after a failed job
-    the next run takes the same sources again.
+    ``by="day"`` takes the sources changed on or after the day of the last run, whole. The mark moves to ``today`` if something
+    landed and no read failed: after a failed job the next run takes the same sources again. ``by="manifest"`` takes exactly the
+    files that were never taken with this path, size and time, whatever their time, and lands those alone; the files of a
+    source that failed are taken again, those of the others are not. As a delivery replaces the one before in landing, pass
+    ``confirmed=False`` and call :func:`confirm` once it has been saved: until then the next run takes its files again.
+    ``force`` takes everything.
     """
+    if by not in ("day", "manifest"):
+        raise ValueError(f"unknown selection {by!r}: use day or manifest")
     if not files.exists(spark, raw_dir):
         log.error("raw folder not found: %s", raw_dir)
         return []
-    since = None if force else read_mark(warehouse)
+    listed = None
+    if by == "manifest":
+        # What is remembered is what was looked at: a file that comes in meanwhile waits for the next run.
+        snapshot = f"{landing_dir.rstrip('/')}/_incoming/_listing"
+        list_files(spark, raw_dir).write.mode("overwrite").parquet(snapshot)
+        listed = spark.read.parquet(snapshot)
+        manifest = read_manifest(warehouse)
+        sources = list_changed(spark, raw_dir, listed, manifest.limit(0) if force else manifest)
+    else:
+        sources = list_sources(spark, raw_dir, None if force else read_mark(warehouse))
     landed, failed = [], []
-    for source in list_sources(spark, raw_dir, since):
+    for source in sources:
         try:
             if land(spark, source, landing_dir):
                 landed.append(source.name)
         except (PySparkException, Py4JJavaError):
             log.exception("could not land %s", source.path)
             failed.append(source.name)
-    if landed and not failed:
+    if by == "manifest":
+        entries = [s.path.rsplit("/", 1)[1] for s in sources if s.name not in failed]
+        listed.filter(F.col("entry").isin(entries)).write.mode("overwrite").parquet(_taken(landing_dir))
+        if confirmed:
+            confirm(spark, landing_dir, warehouse)
+    elif landed and not failed:
         advance_mark(warehouse, today or dt.date.today())
     return landed
