@@ -483,6 +483,26 @@ NATIVE = {
     """,
 }
 
+# DuckDB has no crc32: the bytes of the key's digits go through the checksum's table, built here by its rule.
+NATIVE["upsert_orders_partitions"] = """
+    WITH steps AS (
+        SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+                    ORDER BY i) AS t
+        FROM range(256) r(i)
+    ), placed AS (
+        SELECT o_custkey, o_totalprice, xor(list_reduce(
+            list_transform(range(1, length(k) + 1), lambda p: ascii(substr(k, p, 1))::BIGINT),
+            lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 64 AS bucket
+        FROM (SELECT *, o_orderkey::VARCHAR AS k FROM orders), steps
+    ), customer_one AS (
+        SELECT min(o_custkey) AS c FROM orders
+    )
+    SELECT bucket::INTEGER AS bucket, count(*) AS n_rows,
+           sum(round(CASE WHEN o_custkey = c THEN o_totalprice * 2 ELSE o_totalprice END * 100)::BIGINT)::BIGINT AS cents,
+           CASE WHEN count(*) FILTER (o_custkey = c) > 0 THEN count(*) ELSE 0 END AS n_written
+    FROM placed, customer_one GROUP BY bucket
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     players = with_ctes(_text_dates("c_players", "date_of_birth", "contract_until"))

@@ -29,7 +29,8 @@ from statline.plans.reports import PROFILES, VIEW_TABLE, profile, store_player_v
 from statline.plans.rulebook import rules_for
 from statline.schemas import DATASETS, SEQ
 from statline.session import stored_in, work_dir
-from statline.sources import Warehouse, ingest_raw, load_from_landing, write_report
+from statline.sources import KeyedTable, Warehouse, ingest_raw, load_from_landing, write_report
+from statline.sources.keyed import bucket_of
 from statline.streaming import stream_to_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -207,7 +208,7 @@ def _write_json_documents(rows: DataFrame, path: str, documents: int) -> None:
     of = F.pmod(F.crc32(F.col(rows.columns[0])), F.lit(documents)).cast("int").alias("document")
     spark = rows.sparkSession
     ends = spark.range(documents).select(F.col("id").cast("int").alias("document"), F.explode(F.array(
-        F.struct(F.lit(0).alias("place"), F.lit("[5").alias("value")), F.struct(F.lit(2), F.lit(', "odd"]')))).alias("e"))
+        *[F.struct(F.lit(i).alias("place"), F.lit(t).alias("value")) for i, t in ((0, "[5"), (2, ', "odd"]'))])).alias("e"))
     lines = rows.select(of, F.lit(1).alias("place"), F.concat(F.lit(","), F.to_json(F.struct(*rows.columns))).alias("value"))
     (ends.select("document", "e.*").unionByName(lines).repartition("document").sortWithinPartitions("document", "place")
      .drop("place").write.partitionBy("document").text(path))
@@ -217,7 +218,7 @@ def landed_json_matches(spark: SparkSession, folder: str) -> DataFrame:
     """Matches written as JSON files of very many records, ingested block by block and loaded from landing."""
     root, spec = work_dir(spark, "documents"), DATASETS["matches"]
     raw = raw_datasets(spark, folder, "matches")["matches"]
-    _write_json_documents(raw.select(*spec.raw), f"{root}/raw/matches.json", documents=256)
+    _write_json_documents(raw.select(*spec.raw), f"{root}/raw/matches.json", documents=32)
     ingest_raw(spark, f"{root}/raw", f"{root}/landing", Warehouse(spark, f"{root}/state"))
     rows = load_from_landing(spark, f"{root}/landing")["matches"]
     return rows.select(*[F.col(n).try_cast(t).alias(n) for n, t in spec.raw.items()])
@@ -389,6 +390,25 @@ def upsert_orders(spark: SparkSession, folder: str) -> DataFrame:
     return upsert(existing, incoming, ["o_orderkey"])
 
 
+KEYED_BUCKETS = 64
+
+
+def upsert_orders_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders in 64 partitions by key, and a delivery of one customer's repriced orders: the rows and prices of each partition
+    afterwards, and how many of its rows the delivery had to write."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    root = work_dir(spark, "keyed")
+    keyed = KeyedTable(spark, f"{root}/orders", ["o_orderkey"], KEYED_BUCKETS)
+    keyed.merge(orders)
+    first = orders.filter(F.col("o_custkey") == orders.agg(F.min("o_custkey")).first()[0])
+    repriced = stored_in(spark, root)("delivery", first.withColumn("o_totalprice", F.col("o_totalprice") * 2))
+    hit = keyed.merge(repriced).buckets
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    bucket = bucket_of(["o_orderkey"], KEYED_BUCKETS)
+    kept = keyed.read().groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(cents).alias("cents"))
+    return kept.withColumn("n_written", F.when(F.col("bucket").isin(hit), F.col("n_rows")).otherwise(F.lit(0).cast("bigint")))
+
+
 QUERIES: dict[str, Query] = {
     "clean_teams": _clean("teams"),
     "clean_players": _clean("players", "teams"),
@@ -450,4 +470,5 @@ QUERIES: dict[str, Query] = {
     "json_array_rows": json_array_rows,
     "union_accounts": union_accounts,
     "upsert_orders": upsert_orders,
+    "upsert_orders_partitions": upsert_orders_partitions,
 }

@@ -15,6 +15,7 @@ from statline.operators.keys import duplicate_keys
 from statline.operators.upsert import breaks_contract, conform, upsert
 from statline.schemas import DATASETS
 from statline.sources import files
+from statline.sources.keyed import KeyedTable
 
 log = logging.getLogger(__name__)
 
@@ -27,8 +28,16 @@ class ContractError(ValueError):
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    """``buckets`` keeps the tables of the five datasets in as many partitions by key, so that :meth:`save` writes only those
+    its delivery hits; without it each save writes a new version of the whole table. A table stored in versions moves over
+    with its next save."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+
+    def keyed(self, dataset: str) -> KeyedTable:
+        spec = DATASETS[dataset]
+        return KeyedTable(self.spark, f"{self.root}/{spec.table}/keyed", spec.key, self.buckets or 1)
 
     def _versions(self, table: str) -> list[int]:
         names = [n for n in files.children(self.spark, f"{self.root}/{table}") if n.startswith(_PREFIX)]
@@ -38,7 +47,10 @@ class Warehouse:
         return f"{self.root}/{table}/{_PREFIX}{version:08d}"
 
     def read(self, table: str) -> DataFrame | None:
-        """Latest complete version, None if there is none."""
+        """What is stored under this name, None if there is nothing: the keyed partitions or the latest complete version."""
+        for name, spec in DATASETS.items():
+            if spec.table == table and files.exists(self.spark, f"{self.root}/{table}/keyed"):
+                return self.keyed(name).read()
         for version in reversed(self._versions(table)):
             path = self._path(table, version)
             if files.exists(self.spark, f"{path}/{_COMPLETE}"):
@@ -74,4 +86,11 @@ class Warehouse:
         if found.total == found.broken:
             log.warning("%s: nothing to save", spec.table)
             return current
+        if self.buckets or files.exists(self.spark, f"{self.root}/{spec.table}/keyed"):
+            table = self.keyed(dataset)
+            if not table.exists() and current is not None:
+                table.merge(current)
+            merged = table.merge(good)
+            log.info("%s: %d of %d partitions written, %d rows", spec.table, len(merged.buckets), table.buckets, merged.rows_written)
+            return table.read()
         return self.write(spec.table, good if current is None else upsert(current, good, spec.key))
