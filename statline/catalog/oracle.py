@@ -551,6 +551,10 @@ def oracle_sql() -> dict[str, str]:
         "quality_summary": with_ctes(_summary()),
         "quality_warnings": with_ctes(_warnings()),
         "quality_report": _report(),
+        "season_after_corrections": with_ctes("SELECT * FROM season"),
+        "quality_summary_deliveries": with_ctes(_summary()),
+        "quality_warnings_deliveries": with_ctes(_warnings()),
+        "quality_report_deliveries": _report(),
         "null_profile_players": with_ctes(_NULLS),
         "label_census_positions": with_ctes("SELECT position, COUNT(*) AS n_rows FROM raw_players GROUP BY position"),
         "duplicate_stats": with_ctes(

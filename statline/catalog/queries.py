@@ -25,8 +25,10 @@ from statline.plans.clean import clean_all, clean_players, clean_teams
 from statline.plans.marts import player_view, search_players, team_summary, team_top
 from statline.plans.metrics import SEARCHABLE
 from statline.plans.quality import check_all, check_dataset, quality_report, quality_summary, quality_warnings
+from statline.plans.quality_state import QualityLog, state_report, state_summary, state_warnings
 from statline.plans.reports import PROFILES, VIEW_TABLE, profile, store_player_view
 from statline.plans.rulebook import rules_for
+from statline.plans.season import SeasonTotals
 from statline.schemas import DATASETS, SEQ
 from statline.session import stored_in, work_dir
 from statline.sources import KeyedTable, Warehouse, ingest_raw, load_from_landing, write_report
@@ -390,6 +392,29 @@ def upsert_orders(spark: SparkSession, folder: str) -> DataFrame:
     return upsert(existing, incoming, ["o_orderkey"])
 
 
+def _deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality state of all raw rows, come in two deliveries of which each was read once: first copies and later ones,
+    order lines of even and of odd minutes."""
+    log, raw = QualityLog(Warehouse(spark, work_dir(spark, "quality"))), raw_datasets(spark, folder)
+    second = {n: (F.col("minutes_played") % 2 == 1) if n == "player_match_stats" else F.col(SEQ) == 2 for n in raw}
+    for delivery in (1, 2):
+        log.add(str(delivery), {n: df.filter(second[n] if delivery == 2 else ~second[n]) for n, df in raw.items()})
+    return stored_in(spark, work_dir(spark, "quality"))("total", log.total())
+
+
+def season_after_corrections(spark: SparkSession, folder: str) -> DataFrame:
+    """Season metrics after a first delivery with wrong and missing rows and a second that corrects them, by signed changes."""
+    stats = stored_in(spark, work_dir(spark, "season"))("stats", _tables(spark, folder)["player_match_stats"])
+    wrong, missing = F.col("minutes_played") % 2 == 0, F.col("red_cards") > 0
+    first = stats.filter(~missing).withColumns({
+        "goals": F.when(wrong, F.col("goals") + 3).otherwise(F.col("goals")).cast("int"),
+        "xg": F.when(wrong, None).otherwise(F.col("xg")), "xa": F.when(wrong, F.lit(0.7)).otherwise(F.col("xa")).cast("float")})
+    season = SeasonTotals(spark, work_dir(spark, "season"), buckets=16)
+    season.apply(first)
+    season.apply(stats.filter(wrong | missing))
+    return season.season()
+
+
 KEYED_BUCKETS = 64
 
 
@@ -443,9 +468,13 @@ QUERIES: dict[str, Query] = {
     "quality_summary": lambda spark, folder: quality_summary(check_all(raw_datasets(spark, folder))),
     "quality_warnings": lambda spark, folder: quality_warnings(check_all(raw_datasets(spark, folder))),
     "quality_report": lambda spark, folder: quality_report(check_all(raw_datasets(spark, folder))),
+    "quality_summary_deliveries": lambda spark, folder: state_summary(_deliveries(spark, folder)),
+    "quality_warnings_deliveries": lambda spark, folder: state_warnings(_deliveries(spark, folder)),
+    "quality_report_deliveries": lambda spark, folder: state_report(_deliveries(spark, folder)),
     "contract_players_quarantined": contract_players_quarantined,
     "contract_stats_kept": contract_stats_kept,
     "upsert_players": upsert_players,
+    "season_after_corrections": season_after_corrections,
     "landed_csv_players": landed_csv_players,
     "landed_json_events": landed_json_events,
     "landed_json_matches": landed_json_matches,

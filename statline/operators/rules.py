@@ -43,6 +43,14 @@ class RuleSet:
         """True on rows that fail any rule. Plain boolean expressions: this is all that counting needs."""
         return _any(self.field) | _any(self.cross)
 
+    @property
+    def first_failure(self) -> Column:
+        """Column and message of the first failure, null on a sound row. Tests end at the first that fails."""
+        found = F.when(F.lit(False), F.lit(None).cast("string"))
+        for rule in (*self.field, *self.cross):
+            found = found.when(rule.failed, F.concat_ws(" ", F.lit(rule.column), rule.message))
+        return found
+
     def _flags(self, df: DataFrame) -> DataFrame:
         """``df`` with ``_flags``: one boolean per rule, field rules first, in the order of the rules.
 
