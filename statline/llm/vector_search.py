@@ -82,10 +82,13 @@ class BitSlices:
 
 def quantised(rows: DataFrame, scale: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``vec_id, v``: floor(scale * x) of each component in double. Vectors that are null, empty, or hold a null or
-    non-finite component are left out, and so are rows without an id."""
+    non-finite component are left out, and so are rows without an id and vectors whose squared length is 2^62 or more, as a
+    long could not hold their products."""
     x = F.col(vector_col).cast("array<double>")
     sound = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
+    length = F.aggregate(x, F.lit(0.0), lambda total, c: total + F.floor(c * scale).cast("double") * F.floor(c * scale))
     return (rows.where(F.col(id_col).isNotNull() & (F.size(F.col(vector_col)) > 0) & sound)
+            .where(length < float(1 << 62))
             .select(F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * scale)).alias("v")))
 
 
@@ -97,8 +100,10 @@ def top_inner_products(rows: DataFrame, queries: DataFrame, k: int = 20) -> Data
     each block meets each group once, indexes itself in bit slices and gives every query its best k; only those are ranked
     against each other.
     """
-    blocks = max(1, -(-rows.count() // ROWS), min(6, rows.count() // 4096))
-    groups = max(1, -(-queries.count() // QUERIES))
+    asked = queries.count()
+    blocks = max(1, -(-rows.count() // ROWS))
+    # Long bitmaps take hardly longer to add than short ones, so a small table is shared out by its queries, not its rows.
+    groups = max(1, -(-asked // QUERIES), min(6, asked // 64) if blocks == 1 else 1)
     everywhere = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     dealt = lambda n, *of: F.pmod(F.xxhash64(*of), F.lit(n)).cast("int")  # noqa: E731  keys of both sides are ints
     left = rows.select("vec_id", "v", F.size("v").alias("dims"),
