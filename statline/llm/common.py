@@ -20,6 +20,7 @@ from statline.sources.files import remove
 
 TEXT_CHUNK = 2_000_000
 TOKEN_CHUNK = 7_000_000
+TOKEN_WORDS = 700_000
 BUCKET_CHARS = 8_000_000
 BROADCAST_IDS = 500_000
 U64 = np.uint64
@@ -35,6 +36,13 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have: ``name``, with underscores before it if it must be."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = f"_{name}"
+    return name
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string")), F.lit(0)) % F.lit(divisor)
@@ -156,19 +164,21 @@ class TokenIds:
     Both vocabularies used here cut a text at a single blank between two other non-blank characters before any merge, so
     the ids of a text are those of the parts, one after another; wider runs of white space are never cut apart. With
     ``blanks="kept"`` a part keeps the blank before it, with ``"dropped"`` blanks have no ids at all. New parts are encoded
-    many in a string, and the ids are told apart by the bytes their tokens stand for. Strings of special tokens in a text
-    are ordinary text.
+    many in a string, and the ids are told apart by the bytes their tokens stand for. A text that holds an added token, which
+    the library takes out before it cuts, is encoded whole and not kept.
     """
 
     _wide, _lone = re.compile(r"\s\s"), re.compile(r"(?<=\S) (?=\S)")
     _unsure = re.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizers
     _word_end = "</w>"
 
-    def __init__(self, path: str, blanks: str, most: int = 700_000):
+    def __init__(self, path: str, blanks: str, most: int = TOKEN_WORDS):
         from tokenizers import Tokenizer
 
+        self.whole = Tokenizer.from_file(path)
+        self.added = [token.content for token in self.whole.get_added_tokens_decoder().values()]
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = True  # parts hold no added token, but strings of many parts might
         self.kept, self.most = blanks == "kept", most
         vocabulary = self.tokenizer.get_vocab()
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -223,6 +233,18 @@ class TokenIds:
 
     def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another (unsigned 32-bit), and where each text begins among them."""
+        special = [i for i, text in enumerate(texts) if text and any(token in text for token in self.added)]
+        if not special:
+            return self._cached(texts)
+        known = set(special)
+        ids, bounds = self._cached(["" if i in known else text for i, text in enumerate(texts)])
+        own = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+        for i in special:
+            own[i] = np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, np.uint32)
+        return np.concatenate(own), np.concatenate(([0], np.cumsum([len(x) for x in own])))
+
+    def _cached(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without an added token."""
         if len(self.numbers) > self.most:
             self._reset()
         number = self.numbers.__getitem__
@@ -252,9 +274,9 @@ class TokenIds:
 
 
 @lru_cache(maxsize=4)
-def token_ids(path: str, blanks: str) -> TokenIds:
+def token_ids(path: str, blanks: str, most: int = TOKEN_WORDS) -> TokenIds:
     """One cache of words for all tasks that a worker process runs."""
-    return TokenIds(path, blanks)
+    return TokenIds(path, blanks, most)
 
 
 class Subwords:

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -17,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statline.llm.common import BUCKET_CHARS, U64, buckets_for, chunks, gather, mix, store, texts_of
+from statline.llm.common import BUCKET_CHARS, U64, buckets_for, chunks, gather, mix, store, texts_of, unused
 from statline.llm.shingles import Dealer, unpack
 from statline.llm.suffixes import common_prefixes, suffix_array
 
@@ -31,17 +30,6 @@ ODD = 0x9E3779B97F4A7C15
 PIECES = "bucket int, key binary, content binary, row binary, first binary, windows binary, moved binary"
 
 
-@lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2 to the 64."""
-    out = []
-    for base in (ODD, pow(ODD, -1, 1 << 64)):
-        powers = np.ones(n, np.uint64)
-        powers[1:] = U64(base)
-        out.append(np.multiply.accumulate(powers))
-    return tuple(out)
-
-
 BYTES = mix(np.arange(1, 257, dtype=np.uint64) * U64(0xD6E8FEB86659FD93))
 
 
@@ -52,15 +40,14 @@ class Windows:
         self.length = length
         self.sizes = np.array([len(t) for t in texts], np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
-        self.text = np.frombuffer(b"".join(texts), np.uint8)
-        n = len(self.text)
-        up, down = _powers(1 << n.bit_length())
-        self.up = up
-        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTES[self.text] * down[:n])))
+        self.bytes = b"".join(texts)
+        self.text = np.frombuffer(self.bytes, np.uint8)
 
     def content(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """A hash of the bytes from ``first`` to ``end``, wherever they stand."""
-        return mix((self.sums[end] - self.sums[first]) * self.up[first])
+        """64 bits of hash of the bytes from ``first`` to ``end``, wherever they stand. No sum over the bytes would do: sums of
+        patterned texts are equal by construction, however wide."""
+        data, digest = self.bytes, xxhash.xxh3_64_intdigest
+        return np.fromiter((digest(data[a:b]) for a, b in zip(first.tolist(), end.tolist())), np.uint64, len(first))
 
     def pieces(self) -> tuple[np.ndarray, ...]:
         """``(text number, first window, windows, least hash, whether the place of the least moves)`` of each run."""
@@ -322,9 +309,11 @@ def kept_bytes(data: bytes, first: list[int], end: list[int]) -> bytes:
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs``, all columns, with every repeated passage cut out of ``text``; ``n_chars``, if there, is counted anew.
 
-    A cut may part a character of several bytes; what is left of it goes too. A null text stays null.
+    A cut may part a character of several bytes; what is left of it goes too. A null text stays null. Columns may have any
+    names.
     """
-    named = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))))
+    row_col, bucket_col = unused(docs, "_row"), unused(docs, "_bucket")
+    named = docs.withColumn(row_col, F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))))
     spans, _, buckets = repeated_spans(texts_of(docs), length)
     columns = docs.columns
 
@@ -332,11 +321,11 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         gone = _apply(spans)
         texts = [t if r not in gone or not isinstance(t, str) else
                  kept_bytes(t.encode("utf-8", "surrogatepass"), *gone[r]).decode("utf-8", "ignore")
-                 for t, r in zip(docs["text"], docs["_row"].tolist())]
+                 for t, r in zip(docs["text"], docs[row_col].tolist())]
         docs = docs[columns].assign(text=texts)
         if "n_chars" in columns:
             docs["n_chars"] = [len(t) if isinstance(t, str) else None for t in texts]
         return docs
 
-    dealt = named.withColumn("_bucket", F.pmod("_row", F.lit(buckets)).cast("int"))
-    return dealt.groupBy("_bucket").cogroup(spans.groupBy("bucket")).applyInPandas(cut, docs.schema)
+    dealt = named.withColumn(bucket_col, F.pmod(row_col, F.lit(buckets)).cast("int"))
+    return dealt.groupBy(bucket_col).cogroup(spans.groupBy("bucket")).applyInPandas(cut, docs.schema)

@@ -11,10 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statline.llm.common import BUCKET_CHARS, U64, buckets_for, chunks, forget, gather, mix, only_ids, small_batches, store, texts_of
+from statline.llm.common import BUCKET_CHARS, U64, buckets_for, chunks, forget, gather, mix, only_ids, small_batches, store, texts_of, unused
 from statline.llm.components import connected_components
 from statline.llm.shingles import Dealer, shingle_sets, unpack
 
@@ -435,8 +435,8 @@ def jaccard_components(docs: DataFrame, size: int = 4, part: int = 85, whole: in
 
 
 def one_of_each(docs: DataFrame, size: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
-    """The rows of ``docs``, all columns, less the documents whose component has a smaller id. Of rows that repeat an id one
-    stays; rows without an id stay."""
+    """The rows of ``docs``, all columns, less the documents whose component has a smaller id. Of rows that repeat an id the one
+    of the least text stays; rows without an id stay."""
     links, _ = similar_links(docs, size, Similarity(part, whole))
     gone = store(connected_components(links).where("doc_id <> component_id").select("doc_id"), "gone")
     if gone.count() <= 500_000:
@@ -445,5 +445,7 @@ def one_of_each(docs: DataFrame, size: int = 5, part: int = 80, whole: int = 100
     twice = store(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
     if twice.isEmpty():
         return kept
-    return kept.join(twice, "doc_id", "left_anti").unionByName(
-        kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    turn = unused(docs, "_turn")
+    order = Window.partitionBy("doc_id").orderBy("text", *[F.to_json(F.struct(c)) for c in docs.columns if c not in ("doc_id", "text")])
+    first = kept.join(twice, "doc_id", "left_semi").withColumn(turn, F.row_number().over(order)).where(F.col(turn) == 1)
+    return kept.join(twice, "doc_id", "left_anti").unionByName(first.drop(turn)).select(*docs.columns)

@@ -12,23 +12,24 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statline.llm.common import TOKEN_CHUNK, chunks, store, texts_of, token_ids
+from statline.llm.common import TOKEN_CHUNK, TOKEN_WORDS, chunks, store, texts_of, token_ids
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, blanks: str = "kept", with_ids: bool = False,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text", words: int = TOKEN_WORDS, chunk: int = TOKEN_CHUNK) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` (and ``ids``): documents as runs of at most ``size`` ids.
 
     A document's ids are those of its whole text and ``end_id``. One longer than ``size`` is cut into pieces of exactly
-    ``size``, the first taking what is left over. A null or empty text is its end id alone.
+    ``size``, the first taking what is left over. A null or empty text is its end id alone. A worker keeps the ids of ``words`` words and
+    takes texts of ``chunk`` characters at a time: less of either is less memory and more time, and the same ids.
     """
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = token_ids(tokenizer, blanks)
+        ids_of = token_ids(tokenizer, blanks, words)
         for batch in batches:
             texts, doc_ids = batch["text"].tolist(), batch["doc_id"].astype("Int64")
-            for a, b in chunks(texts, TOKEN_CHUNK):
+            for a, b in chunks(texts, chunk):
                 ids, bounds = ids_of(texts[a:b])
                 rows = []
                 for i in range(b - a):
@@ -122,6 +123,7 @@ def pack(pieces: DataFrame, size: int) -> DataFrame:
     return ranked.mapInPandas(place, schema)
 
 
-def best_fit_packing(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 1024, **columns: str) -> DataFrame:
-    """Documents cut and packed; repeated rows are packed as often as they occur."""
-    return pack(store(token_pieces(docs, tokenizer, end_id, size, **columns), "pieces"), size)
+def best_fit_packing(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 1024, **options) -> DataFrame:
+    """Documents cut and packed; repeated rows are packed as often as they occur. ``options`` are those of
+    :func:`token_pieces`."""
+    return pack(store(token_pieces(docs, tokenizer, end_id, size, **options), "pieces"), size)

@@ -28,7 +28,7 @@ from tests.compare import difference, duck
 
 FOLDER = "/root/testdata/sf0.001"
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
-ODD = ["", " ", "  a  b ", "a\n b", "a \nb", "x\t y", "\x1c a", "a\x85 b  c", "it's a' b 's", "<|endoftext|> a", "é é ́a",
+ODD = ["", " ", "  a  b ", "a\n b", "a \nb", "x\t y", "\x1c a", "a\x85 b  c", "it's a' b 's", "<|endoftext|> a", "b<|startoftext|>c <|endoftext|>", "<|ENDOFTEXT|>x", "é é ́a",
        "1 2 33 4,5 ! ?", "　 a   b", "🎉 x", "Σας", "THE The the"]
 
 
@@ -61,7 +61,6 @@ def random_texts(seed, n, signs=" \n\tab'sé1., \x1cΣ!́"):
 @pytest.mark.parametrize("path, blanks", [(BYTES, "kept"), (WORDS, "dropped")])
 def test_cached_ids_are_those_of_whole_texts(path, blanks):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     texts, cached = ODD + random_texts(1, 3000), TokenIds(path, blanks, most=500)
     for at in range(0, len(texts), 700):
         ids, bounds = cached(texts[at:at + 700])
@@ -350,7 +349,6 @@ def test_best_fit_plans():
 
 def test_packing_holds_every_token_once(odd_docs):
     tokenizer = Tokenizer.from_file(BYTES)
-    tokenizer.encode_special_tokens = True
     rows = best_fit_packing(odd_docs, BYTES, 2, 1024).collect()
     check_packing(rows, 1024)
     pieces = {}
@@ -379,7 +377,6 @@ def test_elias_fano():
 
 def test_token_files_give_back_every_id(spark, odd_docs):
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
     path = work_dir(spark, "token-files")
     write_token_files(odd_docs, path, WORDS, 1, partitions=3)
     rows = sorted(read_token_files(spark, path, with_ids=True).collect(), key=lambda r: r.start)
@@ -499,3 +496,37 @@ def test_pipeline_on_the_small_table(spark):
 
 def test_token_cache_is_shared_in_a_process():
     assert token_ids(BYTES, "kept") is token_ids(BYTES, "kept")
+
+
+def patterned(signs, n):
+    """A text whose equal halves differ in every sign, over and over: sums over its bytes cannot tell its parts."""
+    a, b = signs
+    while len(a) < n:
+        a, b = a + b, b + a
+    return a[:n]
+
+
+def test_texts_that_share_nothing_lose_nothing(spark):
+    pairs = [patterned(("a", "b"), 2048), patterned(("b", "a"), 2048)]
+    for length in (200, 40):
+        docs = spark.createDataFrame(list(enumerate(pairs)), "doc_id long, text string")
+        windows = [t[i:i + length] for t in pairs for i in range(len(t) - length + 1)]
+        gone = sum(r.n_removed for r in dedup.repeated_passages(docs, length).collect())
+        assert (gone == 0) == (len(set(windows)) == len(windows))
+
+
+def test_cutting_repeats_leaves_clashing_columns_alone(spark):
+    passage = "passage " * 40
+    docs = spark.createDataFrame([(1, f"one {passage} x"), (2, f"two {passage} y"), (3, None)], "doc_id long, text string").selectExpr(
+        "*", "'r' as _row", "'b' as _bucket", "7 as __row", "'t' as _turn")
+    found = {r.doc_id: r for r in dedup.without_repeats(docs).collect()}
+    assert all((r._row, r._bucket, r["__row"]) == ("r", "b", 7) for r in found.values())
+    assert found[3].text is None and "passage passage" not in found[1].text and found[1].text.startswith("on")
+
+
+def test_of_repeated_ids_the_same_row_stays_in_every_run(spark):
+    rows = [(1, f"text number {i} of many words that differ", i) for i in range(6)] + [(2, "other words altogether here now", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _turn long")
+    for n in (1, 5):
+        kept = sorted(tuple(r) for r in one_of_each(docs.repartition(n)).collect())
+        assert [r[0] for r in kept] == [1, 2] and kept[0][1].startswith("text number 0")
