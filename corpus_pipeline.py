@@ -15,6 +15,8 @@ from statline.llm.packing import best_fit_packing
 from statline.llm.quality import keep_good
 
 TOKENIZER, END, SIZE = "byte_bpe_50k.json", 2, 1024
+# Workers that pack have gone through the other stages before, so they keep less here than when they do nothing else.
+WORDS, CHUNK = 250_000, 2_000_000
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -41,7 +43,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences of 1024 tokens."""
-    return best_fit_packing(docs, public_tokenizers.path(TOKENIZER), END, SIZE)
+    return best_fit_packing(docs, public_tokenizers.path(TOKENIZER), END, SIZE, words=WORDS, chunk=CHUNK)
 
 
 STAGES: list[tuple[str, Stage]] = [
