@@ -72,6 +72,13 @@ CTES |= {
           AND player_id IN (SELECT player_id FROM c_players)
         QUALIFY ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY _seq DESC) = 1
     """,
+    "late_events": """
+        SELECT r.* FROM raw_match_events r LEFT JOIN c_events c ON r.event_id = c.event_id
+        WHERE (c.event_id IS NULL OR r._seq > c._seq)
+          AND r.match_id IS NOT NULL AND r.team_id IS NOT NULL AND r.player_id IS NOT NULL
+        QUALIFY ROW_NUMBER() OVER (
+            PARTITION BY r.event_id, r.match_id, r.team_id, r.player_id ORDER BY r._seq DESC) = 1
+    """,
     "teams": "SELECT * EXCLUDE (_seq) FROM c_teams WHERE stadium IS NOT NULL",
     "players": """
         SELECT * REPLACE (CAST(market_value AS INTEGER) AS market_value) FROM c_players
@@ -130,6 +137,9 @@ def with_ctes(query: str, **extra: str) -> str:
     return f"WITH {', '.join(f'{n} AS ({known[n]})' for n in order)} {query}" if order else query
 
 
+_EVENT_SHOWN = "event_id, match_id, team_id, player_id, event_type, minute"
+
+
 def _text_dates(source: str, *columns: str) -> str:
     return f"SELECT * REPLACE ({', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in columns)}) FROM {source}"
 
@@ -573,7 +583,11 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * EXCLUDE (_seq) REPLACE (TRY_CAST(attendance AS BIGINT) AS attendance) FROM raw_matches"),
         "second_delivery_players": with_ctes("SELECT * EXCLUDE (_seq) FROM raw_players WHERE _seq = 2"),
         "streamed_csv_players": raw["players"],
+        "late_parents_events": with_ctes(
+            f"SELECT {_EVENT_SHOWN}, 'kept' AS state FROM c_events WHERE y_start IS NOT NULL AND outcome IS NOT NULL "
+            f"UNION ALL SELECT {_EVENT_SHOWN}, 'waiting' AS state FROM late_events"),
     }
+    queries["streamed_players_table"] = queries["upsert_players"]
     for d, key in KEYS.items():
         columns = f"{', '.join(key)}, kind, rule, \"column\", message"
         queries[f"violations_{d}"] = with_ctes(f"SELECT {columns} FROM ({_violations(d)})")

@@ -22,6 +22,7 @@ from statline.operators import (
     orphan_rows, range_filter, split_contract, top_n_per_group, totals, upsert, validity,
 )
 from statline.plans.clean import clean_all, clean_players, clean_teams
+from statline.plans.intake import Intake
 from statline.plans.marts import player_view, search_players, team_summary, team_top
 from statline.plans.metrics import SEARCHABLE
 from statline.plans.quality import check_all, check_dataset, quality_report, quality_summary, quality_warnings
@@ -33,7 +34,7 @@ from statline.schemas import DATASETS, SEQ
 from statline.session import stored_in, work_dir
 from statline.sources import KeyedTable, Warehouse, ingest_raw, load_from_landing, write_report
 from statline.sources.keyed import bucket_of
-from statline.streaming import stream_to_landing
+from statline.streaming import stream_to_landing, stream_to_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -246,6 +247,35 @@ def streamed_csv_players(spark: SparkSession, folder: str) -> DataFrame:
     return load_from_landing(spark, f"{root}/landing")["players"].drop(SEQ)
 
 
+def streamed_players_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Players streamed into their table in two deliveries, the first before its teams have come."""
+    root, raw = work_dir(spark, "stream"), raw_datasets(spark, folder, "teams", "players")
+    intake = Intake(Warehouse(spark, f"{root}/warehouse"), AS_OF)
+
+    def stream(dataset: str, rows: DataFrame, part: str) -> None:
+        rows.drop(SEQ).coalesce(4).write.option("header", True).csv(f"{root}/raw/{dataset}/{part}")
+        stream_to_tables(spark, dataset, f"{root}/raw/{dataset}", intake, f"{root}/odd", f"{root}/checkpoint",
+                         pattern="*.csv").awaitTermination()
+
+    stream("players", raw["players"].filter(F.col(SEQ) == 1), "first")
+    # One copy a team: files do not keep the order of rows that were in a table.
+    stream("teams", clean_teams(raw["teams"]), "all")
+    stream("players", raw["players"].filter(F.col(SEQ) == 2), "second")
+    return _text_dates(intake.warehouse.read(DATASETS["players"].table))
+
+
+def late_parents_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Match events that were delivered before their players, matches and teams: those kept, and those that still wait."""
+    raw = raw_datasets(spark, folder, "match_events", "players", "matches", "teams")
+    intake = Intake(Warehouse(spark, work_dir(spark, "intake")), AS_OF)
+    for name in ("match_events", "players", "matches", "teams"):
+        intake.deliver({name: raw[name]}, 1)
+    kept, waiting = intake.warehouse.read(DATASETS["match_events"].table), intake.waiting("match_events")
+    shown = ["event_id", "match_id", "team_id", "player_id", "event_type", F.col("minute").cast("bigint").alias("minute")]
+    return (kept.select(*shown, F.lit("kept").alias("state"))
+            .unionByName(waiting.select(*shown, F.lit("waiting").alias("state"))))
+
+
 # --- operators on the tables as they are -----------------------------------------------------------------------------------
 
 SUPPLIER_DERIVED = {
@@ -480,6 +510,8 @@ QUERIES: dict[str, Query] = {
     "landed_json_matches": landed_json_matches,
     "second_delivery_players": second_delivery_players,
     "streamed_csv_players": streamed_csv_players,
+    "streamed_players_table": streamed_players_table,
+    "late_parents_events": late_parents_events,
     "supplier_season": supplier_season,
     "keep_last_lineitem": keep_last_lineitem,
     "duplicate_lineitem_keys": duplicate_lineitem_keys,

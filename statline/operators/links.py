@@ -67,3 +67,19 @@ def drop_orphans(df: DataFrame, parents: Mapping[str, tuple[DataFrame, str]], so
         missing = store(column, orphan_keys(source, column, parent, parent_key, unique=True).select(column))
         df = df.filter(F.col(column).isNotNull()).join(missing, column, "left_anti")
     return df.select(columns)
+
+
+def mark_orphans(df: DataFrame, parents: Mapping[str, tuple[DataFrame, str]], mark: str,
+                 store: Callable[[str, DataFrame], DataFrame]) -> DataFrame:
+    """Rows with all foreign keys set, and in ``mark`` whether one of them is missing from its parent.
+
+    The missing keys are found as in :func:`drop_orphans`, so no whole row is shuffled to learn that its parents are there. A
+    row with a null key, which matches no parent that may come, is left out.
+    """
+    columns, missing = df.columns, F.lit(False)
+    for number, (column, (parent, parent_key)) in enumerate(parents.items()):
+        keys = store(column, orphan_keys(df, column, parent, parent_key, unique=True).select(column))
+        flag = f"_{mark}_{number}"
+        df = df.filter(F.col(column).isNotNull()).join(keys.withColumn(flag, F.lit(True)), column, "left")
+        missing = missing | F.col(flag).isNotNull()
+    return df.select(*columns, missing.alias(mark))

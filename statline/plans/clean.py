@@ -25,8 +25,10 @@ Store = Callable[[str, DataFrame], DataFrame]
 
 
 def _link(dataset: str, df: DataFrame, source: DataFrame, parents: Parents, store: Store | None) -> DataFrame:
-    """Rows with all parents. With a place to store the missing keys they are found first, see ``drop_orphans``."""
-    if store is None:
+    """Rows with all parents; a parent of None is taken as checked before. With a place to store the missing keys they are
+    found first, see ``drop_orphans``."""
+    parents = {column: parent for column, parent in parents.items() if parent[0] is not None}
+    if store is None or not parents:
         return keep_matching(df, parents, unique=True)
     return drop_orphans(df, parents, source, lambda column, keys: store(f"{dataset}_without_{column}", keys))
 
@@ -49,7 +51,7 @@ def clean_teams(teams: DataFrame, order: Order = (SEQ,)) -> DataFrame:
     return keep_last(teams, ["team_id"], order)
 
 
-def clean_players(players: DataFrame, teams: DataFrame, as_of: dt.date | Column | None = None, day_first: bool = False,
+def clean_players(players: DataFrame, teams: DataFrame | None, as_of: dt.date | Column | None = None, day_first: bool = False,
                   order: Order = (SEQ,), store: Store | None = None) -> DataFrame:
     """Players of existing teams with grouped positions, real dates and the age on ``as_of`` (default: today)."""
     normalised = typed(players, "players").withColumns({
@@ -73,7 +75,7 @@ def without_impossible_xg(stats: DataFrame) -> DataFrame:
     return stats.withColumn("xg", F.when((xg < 0) | (xg > F.col("shots")), None).otherwise(xg))
 
 
-def clean_player_match_stats(stats: DataFrame, players: DataFrame, matches: DataFrame, order: Order = (SEQ,),
+def clean_player_match_stats(stats: DataFrame, players: DataFrame | None, matches: DataFrame | None, order: Order = (SEQ,),
                              store: Store | None = None) -> DataFrame:
     """Last line of each player and match, both known, with goal contribution and goals above expectation.
 
@@ -90,7 +92,7 @@ def clean_player_match_stats(stats: DataFrame, players: DataFrame, matches: Data
     })
 
 
-def clean_match_events(events: DataFrame, matches: DataFrame, teams: DataFrame, players: DataFrame,
+def clean_match_events(events: DataFrame, matches: DataFrame | None, teams: DataFrame | None, players: DataFrame | None,
                        order: Order = (SEQ,), store: Store | None = None) -> DataFrame:
     """Events of known matches, teams and players, last copy of each.
 
@@ -101,6 +103,18 @@ def clean_match_events(events: DataFrame, matches: DataFrame, teams: DataFrame,
     return keep_last(linked, ["event_id"], order)
 
 
+def clean_steps(as_of: dt.date | None = None, day_first: bool = False, order: Order = (SEQ,),
+                store: Store | None = None) -> dict[str, Callable[..., DataFrame]]:
+    """The cleaning of each dataset, parents first: a function of its rows and of its parents as they are declared."""
+    return {
+        "teams": lambda df: clean_teams(df, order),
+        "players": lambda df, teams: clean_players(df, teams, as_of, day_first, order, store),
+        "matches": lambda df: clean_matches(df, day_first, order),
+        "player_match_stats": lambda df, players, matches: clean_player_match_stats(df, players, matches, order, store),
+        "match_events": lambda df, matches, teams, players: clean_match_events(df, matches, teams, players, order, store),
+    }
+
+
 def clean_all(datasets: Mapping[str, DataFrame], as_of: dt.date | None = None, day_first: bool = False,
               order: Order = (SEQ,), store: Store | None = None) -> dict[str, DataFrame]:
     """Clean what is there, parents first; a child without its parents is left out.
@@ -108,13 +122,7 @@ def clean_all(datasets: Mapping[str, DataFrame], as_of: dt.date | None = None, d
     Children are checked against the *cleaned* parents. ``store`` writes a table and gives it back as stored, so that
     parents are not computed again for each child; without it everything stays one plan.
     """
-    steps: dict[str, Callable[..., DataFrame]] = {
-        "teams": lambda df: clean_teams(df, order),
-        "players": lambda df, teams: clean_players(df, teams, as_of, day_first, order, store),
-        "matches": lambda df: clean_matches(df, day_first, order),
-        "player_match_stats": lambda df, players, matches: clean_player_match_stats(df, players, matches, order, store),
-        "match_events": lambda df, matches, teams, players: clean_match_events(df, matches, teams, players, order, store),
-    }
+    steps = clean_steps(as_of, day_first, order, store)
     cleaned: dict[str, DataFrame] = {}
     for name, step in steps.items():
         parents = list(DATASETS[name].references.values())

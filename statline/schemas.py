@@ -11,6 +11,8 @@ INT, FLOAT, DATE = T.IntegerType(), T.FloatType(), T.DateType()
 
 #: Name of the column that carries the arrival position of a row.
 SEQ = "_seq"
+#: Name of the column that carries the number of the delivery a row came with, where deliveries are told apart.
+DELIVERY = "_delivery"
 SEQ_TYPE = "struct<modified:timestamp,file:string,block:bigint,position:bigint>"
 
 

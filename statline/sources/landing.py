@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statline.schemas import DATASETS, SEQ, SEQ_TYPE
+from statline.schemas import DATASETS, DELIVERY, SEQ, SEQ_TYPE
 from statline.sources import files
 from statline.sources.raw import document_rows, file_position
 
@@ -27,7 +27,7 @@ def load_from_landing(spark: SparkSession, landing_dir: str) -> dict[str, DataFr
         if not files.exists(spark, path):
             loaded[name] = empty(spark, name)
             continue
-        rows = spark.read.parquet(path)
+        rows = spark.read.parquet(path).drop(DELIVERY)
         if SEQ not in rows.columns:
             rows = rows.select("*", file_position(F.col("_metadata.row_index")))
         loaded[name] = document_rows(rows, name) if {"file", "data"} <= set(rows.columns) else rows

@@ -170,38 +170,47 @@ def record_texts(cells: DataFrame, dataset: str) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class _Read:
+class Read:
     """What a source holds: ``good`` rows to land, and what is kept in quarantine."""
 
     good: DataFrame
     rejected: DataFrame
 
 
-def _read_csv_source(spark: SparkSession, source: Source) -> _Read:
+def _read_csv_source(spark: SparkSession, source: Source) -> Read:
     rows = read_csv(spark, source.paths, source.name)
     wrong = F.col(BROKEN).isNotNull()
     rejected = rows.filter(wrong).select(F.lit(source.path).alias("file"), *[c for c in rows.columns if c != SEQ])
-    return _Read(rows.filter(~wrong).drop(BROKEN), rejected)
+    return Read(rows.filter(~wrong).drop(BROKEN), rejected)
 
 
-def _read_document_source(spark: SparkSession, source: Source) -> _Read:
+def _read_document_source(spark: SparkSession, source: Source) -> Read:
     """A source of no known dataset: one cell a document."""
     cells = read_documents(spark, source.paths)
     missing = F.col("data").isNull()
-    return _Read(cells.filter(~missing).drop(SEQ), cells.filter(missing).select("file"))
+    return Read(cells.filter(~missing).drop(SEQ), cells.filter(missing).select("file"))
 
 
-def _read_record_source(spark: SparkSession, source: Source, states_path: str) -> _Read:
+def _read_record_source(spark: SparkSession, source: Source, states_path: str) -> Read:
     """A source of a known dataset: its records, found by as many tasks as its files have blocks."""
     json_blocks.block_states(spark, source.paths).write.mode("overwrite").parquet(states_path)
     states = spark.read.parquet(states_path)
     found = json_blocks.records(json_blocks.elements(spark, source.paths, states), DATASETS[source.name].text_schema)
     odd = found.filter(F.col("_record").isNull()).select("file", "_place", "_text")
     broken = states.filter("broken").select("file").distinct()
-    return _Read(found.filter(F.col("_record").isNotNull()).select(SEQ, "_record.*"),
+    return Read(found.filter(F.col("_record").isNotNull()).select(SEQ, "_record.*"),
                  broken.unionByName(odd, allowMissingColumns=True))
 
 
+def read_source(spark: SparkSession, source: Source, states_path: str) -> Read:
+    """A source taken apart into rows and what is none; ``states_path`` is a folder for what is learnt of JSON blocks."""
+    if source.suffix == "csv":
+        return _read_csv_source(spark, source)
+    if source.name in DATASETS:
+        return _read_record_source(spark, source, states_path)
+    return _read_document_source(spark, source)
+
+
 def land(spark: SparkSession, source: Source, landing_dir: str) -> bool:
     """Write one source to landing, replacing what it landed before; False if it holds nothing readable.
 
@@ -214,12 +223,7 @@ def land(spark: SparkSession, source: Source, landing_dir: str) -> bool:
     if source.size == 0:
         log.warning("empty source, skipped: %s", source.path)
         return False
-    if source.suffix == "csv":
-        read = _read_csv_source(spark, source)
-    elif source.name in DATASETS:
-        read = _read_record_source(spark, source, f"{landing}/_incoming/_blocks-{source.name}")
-    else:
-        read = _read_document_source(spark, source)
+    read = read_source(spark, source, f"{landing}/_incoming/_blocks-{source.name}")
     # The rows are counted as they are written, and replace what landed before only when they are complete.
     good, rejected = Observation(), Observation()
     incoming, odd = f"{landing}/_incoming/{source.name}", f"{landing}/_incoming/_odd-{source.name}"

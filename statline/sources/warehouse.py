@@ -21,6 +21,8 @@ log = logging.getLogger(__name__)
 
 _PREFIX = "version="
 _COMPLETE = "_SUCCESS"
+#: Column of the quarantine that names the save a row came with, where it had a name.
+TAG = "_save"
 
 
 class ContractError(ValueError):
@@ -63,12 +65,13 @@ class Warehouse:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.parquet(path)
 
-    def save(self, dataset: str, df: DataFrame) -> DataFrame | None:
+    def save(self, dataset: str, df: DataFrame, tag: str | None = None) -> DataFrame | None:
         """Upsert a cleaned dataset under its contract; gives back the new table.
 
         Rows that break the contract are added to ``<table>_quarantine`` with their values as they came. A repeated key among
         the rest stops the save before anything is written. An empty delivery changes nothing. ``df`` is read several
-        times, so pass a stored table rather than a long plan.
+        times, so pass a stored table rather than a long plan. A save under a ``tag`` may be repeated: what it had put in
+        quarantine before is replaced.
         """
         spec = DATASETS[dataset]
         broken = breaks_contract(df, spec.mart_schema)
@@ -80,6 +83,10 @@ class Warehouse:
         if found.broken:
             log.warning("%s: %d rows break the contract and go to quarantine", spec.table, found.broken)
             rejected, earlier = df.filter(broken), self.read(f"{spec.table}_quarantine")
+            if tag is not None:
+                rejected = rejected.withColumn(TAG, F.lit(tag))
+                if earlier is not None and TAG in earlier.columns:
+                    earlier = earlier.filter(~F.col(TAG).eqNullSafe(tag))
             self.write(f"{spec.table}_quarantine",
                        rejected if earlier is None else earlier.unionByName(rejected, allowMissingColumns=True))
         current = self.read(spec.table)
