@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 
-CLASSES = 384
+GROUPS = 32
+MEMBERS = 32
+CLASSES = GROUPS * MEMBERS
+OFTEN = 2
 WIDTH = 16
 BATCH = 512
 WINDOW = 32
@@ -13,37 +16,52 @@ SEEDS = 32
 LOWEST = np.float32(-1e9)
 
 
-def token_classes(ids: np.ndarray, opening: np.ndarray, classes: int = CLASSES, rounds: int = 12, seed: int = 7):
+def token_classes(ids: np.ndarray, opening: np.ndarray, rounds: int = 12, seed: int = 7):
     """``(class of each id, features, middles of classes)``: ids gathered by what stands before and after them.
 
-    ``opening`` says which ids open a word; the upper half of the classes is for these, the lower half for the others. Of each
-    half the first class takes the ids that the sample lacks. The last id, the end of a text, opens too and has the last
-    class to itself. Neighbours are summed as random sign vectors, so an id's features need no table of pairs.
+    Classes come in ``GROUPS`` of ``MEMBERS``. ``opening`` says which ids open a word; the upper half of the groups is for these,
+    the lower half for the others. Of each half the first class takes the ids that the sample lacks; the class after it is
+    that of the end of a text in the upper half. The next ``OFTEN`` groups give each of the most frequent ids a class of its
+    own, which has no middle; the others are parted twice, into groups and then into classes. The last id is the end.
+    Neighbours are summed as random sign vectors, so an id's features need no table of pairs.
     """
-    rng, vocabulary, half = np.random.default_rng(seed), len(opening), classes // 2
+    rng, vocabulary, half = np.random.default_rng(seed), len(opening), CLASSES // 2
     counts = np.bincount(ids, minlength=vocabulary).astype(np.float64)
     features = neighbour_sums(ids, np.arange(vocabulary), counts)
     features /= np.linalg.norm(features, axis=1, keepdims=True) + 1e-6
-    out, middles = np.where(opening, half, 0), np.full((classes, 2 * SEEDS), np.inf, np.float32)
-    for first, kind in ((1, ~opening), (half + 1, opening)):
+    out, middles = np.where(opening, half, 0), np.full((CLASSES, 2 * SEEDS), np.inf, np.float32)
+    for first, kind in ((0, ~opening), (half, opening)):
         kind = kind.copy()
         kind[-1] = False
         seen = np.flatnonzero((counts > 0) & kind)
-        k = min(half - 2, len(seen))
-        if not k:
-            continue
-        weight = np.sqrt(counts[seen])
-        middle = features[rng.choice(seen, k, replace=False, p=weight / weight.sum())]
-        for _ in range(rounds):
-            own = np.argmax(features[seen] @ middle.T - 0.5 * (middle ** 2).sum(axis=1), axis=1)
-            total = np.bincount(own, weight, k)[:, None] + 1e-9
-            middle = np.column_stack([np.bincount(own, weight * features[seen, j], k) for j in range(2 * SEEDS)]) / total
-            middle = middle.astype(np.float32)
-        out[seen], middles[first:first + k] = own + first, middle
-    out[-1] = classes - 1
+        seen = seen[np.argsort(-counts[seen], kind="stable")]
+        often, rest = seen[:OFTEN * MEMBERS], seen[OFTEN * MEMBERS:]
+        out[often] = first + MEMBERS + np.arange(len(often))
+        group, _ = _parted(features, np.sqrt(counts), rest, GROUPS // 2 - 1 - OFTEN, rounds, rng)
+        for g in range(int(group.max(initial=-1)) + 1):
+            own = rest[group == g]
+            at = first + (1 + OFTEN + g) * MEMBERS
+            member, middle = _parted(features, np.sqrt(counts), own, MEMBERS, rounds, rng)
+            out[own], middles[at:at + len(middle)] = at + member, middle
+    out[-1] = half + 1
     return out, features, middles
 
 
+def _parted(features: np.ndarray, weight: np.ndarray, ids: np.ndarray, most: int, rounds: int, rng) -> tuple[np.ndarray, np.ndarray]:
+    """The number of the nearest of at most ``most`` middles for each of the ids, and the middles."""
+    k = min(most, len(ids))
+    if not k:
+        return np.empty(0, np.int64), np.empty((0, features.shape[1]), np.float32)
+    own, weight = features[ids], weight[ids]
+    middle = own[rng.choice(len(ids), k, replace=False, p=weight / weight.sum())]
+    for _ in range(rounds):
+        near = np.argmax(own @ middle.T - 0.5 * (middle ** 2).sum(axis=1), axis=1)
+        total = np.bincount(near, weight, k)[:, None] + 1e-9
+        middle = np.column_stack([np.bincount(near, weight * own[:, j], k) for j in range(own.shape[1])]) / total
+        middle = middle.astype(np.float32)
+    return near, middle
+
+
 def neighbour_sums(ids: np.ndarray, wanted: np.ndarray, counts: np.ndarray, seed: int = 5) -> np.ndarray:
     """For each of the ``wanted`` ids (sorted) the sum of the sign vectors of the ids before it and of those after it; an id
     of many ``counts`` weighs less."""
@@ -81,24 +99,44 @@ def windows_of(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return owner, first, np.minimum(SCORED, lengths[owner] - first)
 
 
+def by_group(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Order of places by the group of what they ask for, and ``(group, from, to)`` of each stretch of the order."""
+    order = np.argsort(group.astype(np.int16), kind="stable")
+    edges = np.concatenate(([0], np.cumsum(np.bincount(group, minlength=GROUPS))))
+    return order, [(g, int(edges[g]), int(edges[g + 1])) for g in np.flatnonzero(np.diff(edges)).tolist()]
+
+
 class AttentionModel:
-    """Next-id probabilities: one attention head over the window gives the class of the next id; within a class ids follow
-    corpus counts. Every text starts and is padded on the left with its end id, and ends with it."""
+    """Next-id probabilities: one attention head over the window gives the chance of the next id's group of classes, and of
+    its class in the group; within a class ids follow corpus counts. Every text starts and is padded on the left with its end
+    id, and ends with it. Classes that hold no id get no chance, so the chances of all ids sum to one."""
 
     def __init__(self, classes: np.ndarray, weights: dict[str, np.ndarray], log_within: np.ndarray):
         self.classes, self.log_within = classes, log_within.astype(np.float32)
         w = {k: v.astype(np.float32) for k, v in weights.items()}
-        self.token, self.out, self.offset = w["token"], w["out"], w["offset"]
+        self.token, self.top, self.member = w["token"], w["top"], w["member"]
         self.query = w["token"] @ w["query"] / np.float32(np.sqrt(WIDTH))
         self.key, self.value = w["token"] @ w["key"], w["token"] @ w["value"]
         # Where no sum can leave the range of exp, the usual shift by the largest is not needed.
         norm = lambda x, axis: float(np.linalg.norm(x, axis=axis).max())
+        reach = np.hypot(norm(self.token, 1), norm(self.value, 1))
         self.calm = (norm(self.query, 1) * norm(self.key, 1) + float(np.abs(w["near"]).max()) < 60
-                     and np.hypot(norm(self.token, 1), norm(self.value, 1)) * norm(self.out, 0)
-                     + float(np.abs(self.offset).max()) < 60)
+                     and reach * norm(self.top, 0) + float(np.abs(w["top_offset"]).max()) < 60
+                     and reach * norm(self.member, 1) + float(np.abs(w["member_offset"]).max()) < 60)
+        held = np.bincount(classes, minlength=CLASSES).reshape(GROUPS, MEMBERS) > 0
+        self.member_offset = np.where(held, w["member_offset"], LOWEST)
+        self.top_offset = np.where(held.any(axis=1), w["top_offset"], LOWEST)
         row, column = np.arange(WINDOW - SCORED, WINDOW)[:, None], np.arange(WINDOW)[None, :]
         self.mask = np.where(column <= row, w["near"][np.clip(row - column, 0, WINDOW - 1)], LOWEST).astype(np.float32)
 
+    def _gained(self, logits: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Log probability of one column in each row."""
+        chosen = logits[np.arange(len(own)), own]
+        if not self.calm:
+            shift = logits.T.copy().max(axis=0)
+            logits, chosen = logits - shift[:, None], chosen - shift
+        return chosen - np.log(np.exp(logits, out=logits) @ np.ones(logits.shape[1], np.float32))
+
     def log_probabilities(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """For each id of texts that lie between ``bounds`` (end id last): the log probability of the id after those before
         it."""
@@ -118,18 +156,18 @@ class AttentionModel:
             if not self.calm:
                 score -= score.max(axis=2, keepdims=True)
             np.exp(score, out=score)
-            context = (score @ self.value[seen]) / score.sum(axis=2, keepdims=True)
-            logits = np.concatenate([self.token[now], context], axis=2).reshape(-1, 2 * WIDTH) @ self.out
-            logits += self.offset
-            if not self.calm:
-                logits -= logits.max(axis=1, keepdims=True)
-            place = place[:, WINDOW - SCORED:].ravel()
-            target = ids[np.minimum(place, len(ids) - 1)]
-            own = logits[np.arange(len(target)), self.classes[target]]
-            np.exp(logits, out=logits)
-            total = np.log(logits.sum(axis=1))
-            real = (np.arange(SCORED) < n[a:a + 512, None]).ravel()
-            gained[place[real]] = (own - total + self.log_within[target])[real]
+            context = (score @ self.value[seen]) / (score @ np.ones(WINDOW, np.float32))[:, :, None]
+            real = np.flatnonzero((np.arange(SCORED) < n[a:a + 512, None]).ravel())
+            both = np.concatenate([self.token[now], context], axis=2).reshape(-1, 2 * WIDTH)[real]
+            place = place[:, WINDOW - SCORED:].ravel()[real]
+            target = ids[place]
+            group, member = np.divmod(self.classes[target], MEMBERS)
+            sums = self._gained(both @ self.top + self.top_offset, group) + self.log_within[target]
+            order, stretches = by_group(group)
+            both, member = both[order], member[order]
+            for g, x, y in stretches:
+                sums[order[x:y]] += self._gained(both[x:y] @ self.member[g] + self.member_offset[g], member[x:y])
+            gained[place] = sums
         return gained
 
 
@@ -139,15 +177,16 @@ def log_within(classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.log(each) - np.log(np.maximum(np.bincount(classes, each, CLASSES), 1))[classes]
 
 
-def train(ids: np.ndarray, bounds: np.ndarray, opening: np.ndarray, steps: int = 600, batch: int = 256,
+def train(ids: np.ndarray, bounds: np.ndarray, opening: np.ndarray, steps: int = 300, batch: int = 256,
           rate: float = 0.01, seed: int = 11) -> tuple[np.ndarray, dict[str, np.ndarray], np.ndarray]:
     """Classes of ids, the weights that predict the next id's class, by Adam over random windows of a sample of texts, and
     the middles of the classes."""
     classes, features, middles = token_classes(ids, opening)
     rng = np.random.default_rng(seed)
     spread = rng.normal(0, 1, (features.shape[1], WIDTH)) / np.sqrt(features.shape[1])
-    w = {"token": features @ spread * 2, "near": np.zeros(WINDOW), "offset": np.zeros(CLASSES),
-         "out": rng.normal(0, 0.1, (2 * WIDTH, CLASSES))}
+    w = {"token": features @ spread * 2, "near": np.zeros(WINDOW), "top_offset": np.zeros(GROUPS),
+         "top": rng.normal(0, 0.1, (2 * WIDTH, GROUPS)), "member_offset": np.zeros((GROUPS, MEMBERS)),
+         "member": rng.normal(0, 0.1, (GROUPS, 2 * WIDTH, MEMBERS))}
     w |= {k: rng.normal(0, 1 / np.sqrt(WIDTH), (WIDTH, WIDTH)) for k in ("query", "key", "value")}
     w = {k: v.astype(np.float32) for k, v in w.items()}
     windows = len(windows_of(bounds)[0])
@@ -162,68 +201,85 @@ def learn_all(w: dict[str, np.ndarray], classes: np.ndarray, ids: np.ndarray, bo
     return len(order), learn(w, classes, ids, bounds, [order[a:a + BATCH] for a in range(0, len(order), BATCH)], rate)
 
 
+def _slope_of(logits: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Slope of the loss by logits, one row for each asked column."""
+    logits -= logits.T.copy().max(axis=0)[:, None]
+    p = np.exp(logits, out=logits)
+    p /= (p @ np.ones(p.shape[1], np.float32))[:, None]
+    p[np.arange(len(own)), own] -= 1
+    return p
+
+
+def slopes(w: dict[str, np.ndarray], seen: np.ndarray, real: np.ndarray, target: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Slopes of the mean loss by each weight, for windows of read ids, the numbers of the places scored in them and the
+    classes asked for there; for ``token`` by the rows that are read, which come second."""
+    batch, back = len(seen), np.clip(np.arange(WINDOW - SCORED, WINDOW)[:, None] - np.arange(WINDOW), 0, WINDOW - 1)
+    masked, scale = np.arange(WINDOW) > np.arange(WINDOW - SCORED, WINDOW)[:, None], np.float32(1 / np.sqrt(WIDTH))
+    flat = seen.ravel()
+    order = np.argsort(flat, kind="stable")
+    sorted_ids = flat[order]
+    starts = np.flatnonzero(np.concatenate(([True], sorted_ids[1:] != sorted_ids[:-1])))
+    x = w["token"][flat]
+    now = np.ascontiguousarray(x.reshape(batch, WINDOW, WIDTH)[:, WINDOW - SCORED:]).reshape(-1, WIDTH)
+    q = (now @ (w["query"] * scale)).reshape(batch, SCORED, WIDTH)
+    k, v = (x @ w["key"]).reshape(batch, WINDOW, WIDTH), (x @ w["value"]).reshape(batch, WINDOW, WIDTH)
+    share = q @ k.transpose(0, 2, 1)
+    share += np.where(masked, LOWEST, w["near"][back])
+    np.minimum(share, 60, out=share)  # instead of a shift by the largest; weights stay far below
+    np.exp(share, out=share)
+    share /= (share @ np.ones(WINDOW, np.float32))[:, :, None]
+    both = np.concatenate([now, (share @ v).reshape(-1, WIDTH)], axis=1)[real]
+    group, member = np.divmod(target, MEMBERS)
+    d = _slope_of(both @ w["top"] + w["top_offset"], group) / np.float32(len(real))
+    slope = {"top": both.T @ d, "top_offset": d.sum(axis=0), "member": np.zeros_like(w["member"]),
+             "member_offset": np.zeros_like(w["member_offset"])}
+    d_real = d @ w["top"].T
+    by, stretches = by_group(group)
+    sorted_both, member, d_member = both[by], member[by], np.empty_like(both)
+    for g, a, b in stretches:
+        d = _slope_of(sorted_both[a:b] @ w["member"][g] + w["member_offset"][g], member[a:b]) / np.float32(len(real))
+        slope["member"][g], slope["member_offset"][g] = sorted_both[a:b].T @ d, d.sum(axis=0)
+        d_member[a:b] = d @ w["member"][g].T
+    d_real[by] += d_member
+    d_both = np.zeros((batch * SCORED, 2 * WIDTH), np.float32)
+    d_both[real] = d_real
+    d_context = np.ascontiguousarray(d_both[:, WIDTH:]).reshape(batch, SCORED, WIDTH)
+    d_score = d_context @ v.transpose(0, 2, 1)
+    d_v = (share.transpose(0, 2, 1) @ d_context).reshape(-1, WIDTH)
+    d_score -= np.einsum("bsw,bsw->bs", d_score, share)[:, :, None]
+    d_score *= share
+    slope["near"] = np.bincount(back.ravel(), d_score.sum(axis=0).ravel(), WINDOW)
+    d_q, d_k = (d_score @ k).reshape(-1, WIDTH) * scale, (d_score.transpose(0, 2, 1) @ q).reshape(-1, WIDTH)
+    slope |= {"query": now.T @ d_q, "key": x.T @ d_k, "value": x.T @ d_v}
+    d_x = d_k @ w["key"].T + d_v @ w["value"].T
+    d_x.reshape(batch, WINDOW, WIDTH)[:, WINDOW - SCORED:] += (d_both[:, :WIDTH] + d_q @ w["query"].T).reshape(batch, SCORED, WIDTH)
+    slope["token"] = np.add.reduceat(d_x[order], starts, axis=0)
+    return slope, sorted_ids[starts]
+
+
 def learn(w: dict[str, np.ndarray], classes: np.ndarray, ids: np.ndarray, bounds: np.ndarray, picks: list[np.ndarray],
           rate: float) -> dict[str, np.ndarray]:
-    """The weights after a step of Adam for each of ``picks``, numbers of windows."""
+    """The weights after a step of Adam for each of ``picks``, numbers of windows. A step moves the rows of ids it reads and
+    no others."""
     if not len(ids):
         return w
-    # Only ids of these texts can change, so the steps work on their rows of the table.
-    used, whole = np.unique(np.append(ids, len(classes) - 1)), w["token"]
-    number = np.zeros(len(classes), np.int64)
-    number[used] = np.arange(len(used))
-    w, vocabulary, steps = w | {"token": whole[used]}, len(used), len(picks)
-    kinds, ids = classes[ids], number[ids]
+    w, end, steps = {k: v.astype(np.float32) for k, v in w.items()}, len(classes) - 1, len(picks)
     mean, square = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     owner, first, n = windows_of(bounds)
-    read = np.concatenate(([vocabulary - 1], ids[:-1]))
-    read[bounds[:-1]] = vocabulary - 1
-    reach, rows = np.arange(WINDOW) - (WINDOW - SCORED), np.arange(WINDOW - SCORED, WINDOW)[:, None]
-    back = np.clip(rows - np.arange(WINDOW), 0, WINDOW - 1)
-    masked, scale = np.arange(WINDOW) > rows, np.float32(1 / np.sqrt(WIDTH))
+    read = np.concatenate(([end], ids[:-1]))
+    read[bounds[:-1]] = end
+    reach = np.arange(WINDOW) - (WINDOW - SCORED)
     for step, pick in enumerate(picks, 1):
-        batch = len(pick)
         begin = bounds[owner[pick]][:, None]
         place = begin + first[pick][:, None] + reach
-        seen = np.where(place >= begin, read[np.clip(place, 0, len(read) - 1)], vocabulary - 1)
-        target = kinds[np.clip(place[:, WINDOW - SCORED:], 0, len(ids) - 1)]
-        x = w["token"][seen]
-        now = x[:, WINDOW - SCORED:]
-        q, k, v = now @ w["query"], x @ w["key"], x @ w["value"]
-        score = q @ k.transpose(0, 2, 1) * scale + w["near"][back]
-        score[:, masked] = LOWEST
-        score = np.exp(score - score.max(axis=2, keepdims=True))
-        share = score / score.sum(axis=2, keepdims=True)
-        context = share @ v
-        both = np.concatenate([now, context], axis=2)
-        logits = both @ w["out"] + w["offset"]
-        p = np.exp(logits - logits.max(axis=2, keepdims=True))
-        p /= p.sum(axis=2, keepdims=True)
-        d = p
-        d[np.arange(batch)[:, None], np.arange(SCORED), target] -= 1
-        d[np.arange(SCORED) >= n[pick][:, None]] = 0
-        d /= max(1, int(n[pick].sum()))
-        slope = {"out": np.einsum("bsh,bsc->hc", both, d), "offset": d.sum(axis=(0, 1))}
-        d_both = d @ w["out"].T
-        d_now, d_context = d_both[:, :, :WIDTH], d_both[:, :, WIDTH:]
-        d_share = d_context @ v.transpose(0, 2, 1)
-        d_score = share * (d_share - (d_share * share).sum(axis=2, keepdims=True))
-        d_v = share.transpose(0, 2, 1) @ d_context
-        slope["near"] = np.bincount(back.ravel(), d_score.sum(axis=0).ravel(), WINDOW)
-        d_score = d_score * scale
-        d_q, d_k = d_score @ k, d_score.transpose(0, 2, 1) @ q
-        slope |= {"query": np.einsum("bsi,bsj->ij", now, d_q), "key": np.einsum("bsi,bsj->ij", x, d_k),
-                  "value": np.einsum("bsi,bsj->ij", x, d_v)}
-        d_x = d_k @ w["key"].T + d_v @ w["value"].T
-        d_x[:, WINDOW - SCORED:] += d_now + d_q @ w["query"].T
-        flat, d_x = seen.ravel(), d_x.reshape(-1, WIDTH)
-        slope["token"] = np.column_stack([np.bincount(flat, d_x[:, j], vocabulary) for j in range(WIDTH)])
-        pace = rate * (1 - 0.9 * step / steps)
+        seen = np.where(place >= begin, read[np.clip(place, 0, len(read) - 1)], end)
+        real = np.flatnonzero((np.arange(SCORED) < n[pick][:, None]).ravel())
+        slope, rows = slopes(w, seen, real, classes[ids[place[:, WINDOW - SCORED:].ravel()[real]]])
+        pace = np.float32(rate * (1 - 0.9 * step / steps) / (1 - 0.9 ** step))
+        even = np.float32(1 / (1 - 0.99 ** step))
         for name, g in slope.items():
-            mean[name] = 0.9 * mean[name] + 0.1 * g.astype(np.float32)
-            square[name] = 0.99 * square[name] + 0.01 * (g * g).astype(np.float32)
-            w[name] = w[name] - np.float32(pace) * (mean[name] / (1 - 0.9 ** step)) / (
-                np.sqrt(square[name] / (1 - 0.99 ** step)) + 1e-8)
-            w[name] = w[name].astype(np.float32)
-    token = whole.copy()
-    token[used] = w["token"]
-    return w | {"token": token}
+            at, g = rows if name == "token" else ..., g.astype(np.float32)
+            m, s = 0.9 * mean[name][at] + 0.1 * g, 0.99 * square[name][at] + 0.01 * g * g
+            mean[name][at], square[name][at] = m, s
+            w[name][at] -= pace * m / (np.sqrt(s * even) + np.float32(1e-8))
+    return w

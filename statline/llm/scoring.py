@@ -180,8 +180,8 @@ def text_scores(docs: DataFrame, ranks: str, divisor: int = 7, held_out: int = 2
 
     Tokens are words and one end. The base is the log10 probability under counts plus one of all words of all texts that are
     not held out; an unseen word shares what one more kind would have. ``score`` is the log10 probability of the text under
-    causal attention over the subwords before each: every subword has the chance of its class given those, times its share of
-    the class in the counts of all those texts. The middles of classes and the weights to start from are learnt from at most
+    causal attention over the subwords before each: every subword has the chance of its group of classes given those, times that
+    of its class in the group, times its share of the class in the counts of all those texts. The middles of classes and the weights to start from are learnt from at most
     ``most`` texts; then each group learns from every window of its texts once, and the weights are the mean over windows.
     A null or empty text is its end alone. Repeated rows are scored, and counted, each.
 
