@@ -451,6 +451,27 @@ NATIVE = {
                                WHEN LOWER(c_mktsegment) IN ('machinery', 'automobile') THEN 'Engines'
                                ELSE 'Other' END AS segment FROM customer
     """,
+    # Doubles from 2 ** -8 up are whole multiples of 2 ** -60; a sum of two exact parts is rounded once.
+    "exact_price_totals": """
+        WITH units AS (
+            SELECT l_returnflag, l_linestatus, SUM(CAST(l_extendedprice * pow(2, 60) AS HUGEINT)) AS gross,
+                   SUM(CAST(l_extendedprice * (1 - l_discount) * pow(2, 60) AS HUGEINT)) AS net,
+                   COUNT(l_extendedprice) AS n_gross, COUNT(l_extendedprice * (1 - l_discount)) AS n_net
+            FROM lineitem GROUP BY ALL
+        ), sums AS (
+            SELECT *, (CAST(gross // 1125899906842624 AS DOUBLE) * pow(2, 50) + CAST(gross % 1125899906842624 AS DOUBLE)) / pow(2, 60) AS s_gross,
+                   (CAST(net // 1125899906842624 AS DOUBLE) * pow(2, 50) + CAST(net % 1125899906842624 AS DOUBLE)) / pow(2, 60) AS s_net
+            FROM units
+        )
+        SELECT l_returnflag, l_linestatus, s_gross AS sum_l_extendedprice, s_gross / n_gross AS mean_l_extendedprice,
+               n_gross AS count_l_extendedprice, s_net AS sum_net, s_net / n_net AS mean_net, n_net AS count_net
+        FROM sums
+    """,
+    "dates_by_evidence": """
+        SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day_first,
+               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS month_first
+        FROM orders
+    """,
     "normalize_order_dates": """
         WITH written AS (
             SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN strftime(o_orderdate, '%Y-%m-%d')

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,8 @@ from statline.catalog.star import raw_datasets, table
 from statline.functions import (
     age_at, composite_key, json_rows, normalize_date, normalize_label,
 )
+from statline.operators.date_layouts import read_dates
+from statline.operators.exact import exact_totals
 from statline.operators import (
     Rate, Ratio, add_derived, duplicate_keys, keep_last, keep_matching, label_census, lookup, null_profile, orphan_keys,
     orphan_rows, range_filter, split_contract, top_n_per_group, totals, upsert, validity,
@@ -372,6 +374,27 @@ def normalize_order_dates(spark: SparkSession, folder: str) -> DataFrame:
         "o_orderkey", normalize_date(written).alias("month_first"), normalize_date(written, True).alias("day_first")))
 
 
+def exact_price_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums and means of prices with all their digits, which no order of the lines changes."""
+    lines = table(spark, folder, "lineitem").select(
+        "l_returnflag", "l_linestatus", "l_extendedprice", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"))
+    return exact_totals(lines, ["l_returnflag", "l_linestatus"], ["l_extendedprice", "net"])
+
+
+def dates_by_evidence(spark: SparkSession, folder: str) -> DataFrame:
+    """Order dates written in many layouts, each column read the way its own days over 12 show."""
+    day, key = F.col("o_orderdate"), F.col("o_orderkey") % 6
+
+    def written(last: str) -> Column:
+        return (F.when(key == 0, F.date_format(day, "yyyyMMdd")).when(key == 1, F.date_format(day, "d MMM yyyy"))
+                .when(key == 2, F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(key == 3, F.date_format(day, "MMMM d, yyyy"))
+                .otherwise(F.date_format(day, last)))
+
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", written("dd/MM/yyyy").alias("day_first"), written("MM.dd.yyyy").alias("month_first"))
+    return _text_dates(read_dates(orders, ["day_first", "month_first"]))
+
+
 def order_age(spark: SparkSession, folder: str) -> DataFrame:
     age = age_at(F.col("o_orderdate").cast("date"), F.lit(AS_OF))
     return table(spark, folder, "orders").select("o_orderkey", age.alias("age"))
@@ -524,6 +547,8 @@ QUERIES: dict[str, Query] = {
     "null_out_prices": null_out_prices,
     "normalize_segments": normalize_segments,
     "normalize_order_dates": normalize_order_dates,
+    "exact_price_totals": exact_price_totals,
+    "dates_by_evidence": dates_by_evidence,
     "order_age": order_age,
     "top3_orders_per_customer": top3_orders_per_customer,
     "range_search_lineitem": range_search_lineitem,
