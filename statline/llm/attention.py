@@ -14,6 +14,7 @@ WINDOW = 32
 SCORED = 24
 SEEDS = 32
 LOWEST = np.float32(-1e9)
+LARGEST, LEAST_SUM = 60, np.float32(1e-20)
 
 
 def token_classes(ids: np.ndarray, opening: np.ndarray, rounds: int = 12, seed: int = 7):
@@ -106,6 +107,20 @@ def by_group(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]
     return order, [(g, int(edges[g]), int(edges[g + 1])) for g in np.flatnonzero(np.diff(edges)).tolist()]
 
 
+def exp_rows(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """``(exp, sums of rows, what was taken from each row before)``: the largest of a row is taken off only where exp or its sum
+    would leave the range, which few batches need."""
+    ones = np.ones(values.shape[-1], np.float32)
+    if not values.size or values.max() < LARGEST:
+        out = np.exp(values)
+        total = out @ ones
+        if not total.size or total.min() > LEAST_SUM:
+            return out, total, 0.0
+    top = values.max(axis=-1)
+    out = np.exp(values - top[..., None])
+    return out, out @ ones, top
+
+
 class AttentionModel:
     """Next-id probabilities: one attention head over the window gives the chance of the next id's group of classes, and of
     its class in the group; within a class ids follow corpus counts. Every text starts and is padded on the left with its end
@@ -117,25 +132,17 @@ class AttentionModel:
         self.token, self.top, self.member = w["token"], w["top"], w["member"]
         self.query = w["token"] @ w["query"] / np.float32(np.sqrt(WIDTH))
         self.key, self.value = w["token"] @ w["key"], w["token"] @ w["value"]
-        # Where no sum can leave the range of exp, the usual shift by the largest is not needed.
-        norm = lambda x, axis: float(np.linalg.norm(x, axis=axis).max())
-        reach = np.hypot(norm(self.token, 1), norm(self.value, 1))
-        self.calm = (norm(self.query, 1) * norm(self.key, 1) + float(np.abs(w["near"]).max()) < 60
-                     and reach * norm(self.top, 0) + float(np.abs(w["top_offset"]).max()) < 60
-                     and reach * norm(self.member, 1) + float(np.abs(w["member_offset"]).max()) < 60)
         held = np.bincount(classes, minlength=CLASSES).reshape(GROUPS, MEMBERS) > 0
         self.member_offset = np.where(held, w["member_offset"], LOWEST)
         self.top_offset = np.where(held.any(axis=1), w["top_offset"], LOWEST)
         row, column = np.arange(WINDOW - SCORED, WINDOW)[:, None], np.arange(WINDOW)[None, :]
         self.mask = np.where(column <= row, w["near"][np.clip(row - column, 0, WINDOW - 1)], LOWEST).astype(np.float32)
 
-    def _gained(self, logits: np.ndarray, own: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def _gained(logits: np.ndarray, own: np.ndarray) -> np.ndarray:
         """Log probability of one column in each row."""
-        chosen = logits[np.arange(len(own)), own]
-        if not self.calm:
-            shift = logits.T.copy().max(axis=0)
-            logits, chosen = logits - shift[:, None], chosen - shift
-        return chosen - np.log(np.exp(logits, out=logits) @ np.ones(logits.shape[1], np.float32))
+        _, total, less = exp_rows(logits)
+        return logits[np.arange(len(own)), own] - less - np.log(total)
 
     def log_probabilities(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """For each id of texts that lie between ``bounds`` (end id last): the log probability of the id after those before
@@ -153,10 +160,8 @@ class AttentionModel:
             now = seen[:, WINDOW - SCORED:]
             score = self.query[now] @ self.key[seen].transpose(0, 2, 1)
             score += self.mask
-            if not self.calm:
-                score -= score.max(axis=2, keepdims=True)
-            np.exp(score, out=score)
-            context = (score @ self.value[seen]) / (score @ np.ones(WINDOW, np.float32))[:, :, None]
+            score, total, _ = exp_rows(score)
+            context = (score @ self.value[seen]) / total[:, :, None]
             real = np.flatnonzero((np.arange(SCORED) < n[a:a + 512, None]).ravel())
             both = np.concatenate([self.token[now], context], axis=2).reshape(-1, 2 * WIDTH)[real]
             place = place[:, WINDOW - SCORED:].ravel()[real]
@@ -203,9 +208,8 @@ def learn_all(w: dict[str, np.ndarray], classes: np.ndarray, ids: np.ndarray, bo
 
 def _slope_of(logits: np.ndarray, own: np.ndarray) -> np.ndarray:
     """Slope of the loss by logits, one row for each asked column."""
-    logits -= logits.T.copy().max(axis=0)[:, None]
-    p = np.exp(logits, out=logits)
-    p /= (p @ np.ones(p.shape[1], np.float32))[:, None]
+    p, total, _ = exp_rows(logits)
+    p /= total[:, None]
     p[np.arange(len(own)), own] -= 1
     return p
 
@@ -225,9 +229,8 @@ def slopes(w: dict[str, np.ndarray], seen: np.ndarray, real: np.ndarray, target:
     k, v = (x @ w["key"]).reshape(batch, WINDOW, WIDTH), (x @ w["value"]).reshape(batch, WINDOW, WIDTH)
     share = q @ k.transpose(0, 2, 1)
     share += np.where(masked, LOWEST, w["near"][back])
-    np.minimum(share, 60, out=share)  # instead of a shift by the largest; weights stay far below
-    np.exp(share, out=share)
-    share /= (share @ np.ones(WINDOW, np.float32))[:, :, None]
+    share, total, _ = exp_rows(share)
+    share /= total[:, :, None]
     both = np.concatenate([now, (share @ v).reshape(-1, WIDTH)], axis=1)[real]
     group, member = np.divmod(target, MEMBERS)
     d = _slope_of(both @ w["top"] + w["top_offset"], group) / np.float32(len(real))
