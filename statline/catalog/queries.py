@@ -51,7 +51,7 @@ def _text_dates(df: DataFrame) -> DataFrame:
 
 
 def _cleaned(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
-    return clean_all(raw_datasets(spark, folder, *names), AS_OF)
+    return clean_all(raw_datasets(spark, folder, *names), AS_OF, keys=stored_in(spark, work_dir(spark, "keys")))
 
 
 def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from statline.functions.dates import age_at, normalize_date
 from statline.functions.numbers import whole_number
 from statline.functions.text import normalize_position
-from statline.operators.keys import keep_last
+from statline.operators.keys import keep_last, keep_last_of_repeated
 from statline.operators.links import drop_orphans, keep_matching
 from statline.schemas import DATASETS, LONG, SEQ
 
@@ -81,9 +81,14 @@ def clean_player_match_stats(stats: DataFrame, players: DataFrame | None, matche
 
     Copies share both foreign keys, so keeping the last line first and dropping orphans second gives the same rows as
     the other way round. It spreads the rows over both keys, so a match or player with most of the rows is no hot spot,
-    and it leaves fewer rows to join.
+    and it leaves fewer rows to join. With a place to store keys, those that come twice and those without a parent are
+    found from the key columns alone, so whole rows need not be shuffled.
     """
-    latest = keep_last(typed(stats, "player_match_stats"), ["player_id", "match_id"], order)
+    key, rows = ["player_id", "match_id"], typed(stats, "player_match_stats")
+    if store is None:
+        latest = keep_last(rows, key, order)
+    else:
+        latest = keep_last_of_repeated(rows, key, order, stats, lambda keys: store("player_match_stats_repeated", keys))
     parents = {"player_id": (players, "player_id"), "match_id": (matches, "match_id")}
     linked = _link("player_match_stats", latest, stats, parents, store)
     return without_impossible_xg(linked).withColumns({
@@ -116,13 +121,14 @@ def clean_steps(as_of: dt.date | None = None, day_first: bool = False, order: Or
 
 
 def clean_all(datasets: Mapping[str, DataFrame], as_of: dt.date | None = None, day_first: bool = False,
-              order: Order = (SEQ,), store: Store | None = None) -> dict[str, DataFrame]:
+              order: Order = (SEQ,), store: Store | None = None, keys: Store | None = None) -> dict[str, DataFrame]:
     """Clean what is there, parents first; a child without its parents is left out.
 
     Children are checked against the *cleaned* parents. ``store`` writes a table and gives it back as stored, so that
-    parents are not computed again for each child; without it everything stays one plan.
+    parents are not computed again for each child. ``keys`` stores only the keys that are missing or repeated, see
+    ``drop_orphans`` and ``keep_last_of_repeated``; without either everything stays one plan.
     """
-    steps = clean_steps(as_of, day_first, order, store)
+    steps = clean_steps(as_of, day_first, order, store or keys)
     cleaned: dict[str, DataFrame] = {}
     for name, step in steps.items():
         parents = list(DATASETS[name].references.values())

@@ -3,8 +3,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from statline.operators import conform, keep_last, split_contract, upsert
+from statline.operators.keys import keep_last_of_repeated
 from statline.plans.clean import clean_all, clean_match_events, clean_matches, clean_player_match_stats, clean_players, clean_teams
 from statline.schemas import DATASETS
+from statline.session import stored_in
 from tests.conftest import event, match, player, stats, team
 
 DAY = dt.date(2024, 1, 1)
@@ -53,6 +55,30 @@ def test_player_match_stats(make):
     assert all(rows[k].xg is None and rows[k].g_xg is None for k in rows if k != ("P1", "M1"))
 
 
+def test_statistics_cleaned_by_stored_keys(spark, make, tmp_path, monkeypatch):
+    players, matches = make("players", [player("P1"), player("P2")]), make("matches", [match("M1"), match("M2")])
+    raw = make("player_match_stats", [
+        stats("P1", "M1", goals=9), stats("P1", "M1", goals=2, xg=0.5), stats("P1", "M2"), stats("P2", "M1", xg=-0.1),
+        stats("P9", "M1"), stats("P1", "M9"), stats(None, "M1"), stats(None, "M1"), stats("P2", None),
+    ])
+    plain = sorted(clean_player_match_stats(raw, players, matches).collect())
+    for few in (500_000, 0):
+        monkeypatch.setattr("statline.operators.keys.FEW_KEYS", few)
+        store = stored_in(spark, str(tmp_path / f"keys{few}"))
+        assert sorted(clean_player_match_stats(raw, players, matches, store=store).collect()) == plain
+
+
+def test_rows_of_single_keys_are_not_shuffled(spark, tmp_path):
+    rows = spark.createDataFrame([(1, None, 1), (1, None, 2), (1, "a", 3), (2, "a", 4), (2, "a", 5), (None, None, 6)],
+                                 "k int, m string, seq int")
+    store = stored_in(spark, str(tmp_path))
+    kept = keep_last_of_repeated(rows, ["k", "m"], ["seq"], rows, lambda keys: store("repeated", keys))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.seq for r in kept.collect()) == [2, 3, 5, 6]
+    assert plan.index("LeftAnti") < plan.index("Window") < plan.index("LeftSemi")
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
 def test_match_events(make):
     parents = [make("matches", [match("M1")]), make("teams", [team("T1")]), make("players", [player("P1")])]
     raw = make("match_events", [event("E1", minute=1), event("E1", minute=2), event("E1", match_id="M9", minute=3),
