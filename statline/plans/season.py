@@ -87,8 +87,9 @@ class SeasonTotals:
             change = change.unionByName(self._signed(replaced, -1))
         sums = self._sums()
         change = change.groupBy(self.group).agg(*[F.sum(c).alias(c) for c in sums])
-        # A row that came again as it was changes nothing, and so does its player.
-        change = change.filter(F.greatest(*[F.abs(c) for c in sums]) > 0)
+        # A row that came again as it was changes nothing, and so does its player. Stored, as it is read twice.
+        change.filter(F.greatest(*[F.abs(c) for c in sums]) > 0).write.mode("overwrite").parquet(f"{journal}/change")
+        change = self.spark.read.parquet(f"{journal}/change")
         players = [r[0] for r in delivery.select(bucket_of([self.group], self.totals.buckets)).distinct().collect()]
         before = self.totals.part(players)
         if before is not None:

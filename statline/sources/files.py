@@ -49,6 +49,15 @@ def replace(spark: SparkSession, new: str, target: str) -> None:
     fs.delete(aside, True)
 
 
+def move(spark: SparkSession, new: str, target: str) -> None:
+    """Put the folder ``new`` in the place of ``target``, whose old content is not kept."""
+    fs, source = _hadoop(spark, new)
+    _, destination = _hadoop(spark, target)
+    fs.delete(destination, True)
+    if not fs.rename(source, destination):
+        raise OSError(f"could not move {new} to {target}")
+
+
 def _aside(target: str) -> str:
     folder, _, name = target.rstrip("/").rpartition("/")
     return f"{folder}/_replaced-{name}"

@@ -56,14 +56,16 @@ class KeyedTable:
         files.remove(self.spark, pending)
 
     def _put(self, pending: str) -> None:
-        """Replace the table's partitions by those of a complete folder; doing it twice does no harm."""
-        rows = self.spark.read.option("basePath", pending).parquet(pending)
-        self._write(rows, self.path, dynamic=True)
+        """Move the partitions of a complete folder into the table. Those that were moved when a job died are in their place
+        already, the others are moved by the next run: their folders are moved whole or not at all, as by HDFS."""
+        for name in files.children(self.spark, pending):
+            if name.startswith(f"{BUCKET}="):
+                files.move(self.spark, f"{pending}/{name}", f"{self.path}/{name}")
 
-    def _write(self, rows: DataFrame, path: str, dynamic: bool) -> None:
+    def _write(self, rows: DataFrame, path: str) -> None:
         # Partitions are split or joined to files of a good size, however many rows a bucket has.
         writer = rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path)
+        writer.option("partitionOverwriteMode", "static").parquet(path)
 
     def exists(self) -> bool:
         return any(n.startswith(f"{BUCKET}=") for n in files.children(self.spark, self.path))
@@ -93,7 +95,7 @@ class KeyedTable:
         current, written = self.part(hit), Observation()
         merged = incoming if current is None else upsert(current, incoming.select(current.columns), [*self.key, BUCKET])
         pending = f"{self.path}/{_PENDING}"
-        self._write(merged.observe(written, F.count(F.lit(1)).alias("n")), pending, dynamic=False)
+        self._write(merged.observe(written, F.count(F.lit(1)).alias("n")), pending)
         self._put(pending)
         files.remove(self.spark, pending)
         return Merge(hit, written.get["n"])
