@@ -53,3 +53,18 @@ def test_a_hot_group_moves_few_rows(spark):
     df = spark.range(0, 20000, 1, 8).select(F.lit("hot").alias("g"), F.rand(3).alias("v"))
     values = [r.v for r in df.collect()]
     assert exact_totals(df, ["g"], ["v"]).first().sum_v == math.fsum(values)
+
+
+def test_sums_stay_in_spark(spark):
+    df = spark.createDataFrame([("a", 0.1)], "g string, v double")
+    plan = exact_totals(df, ["g"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Generate" not in plan
+
+
+@pytest.mark.parametrize("sign", [1, -1])
+def test_ties_go_to_even_and_a_lower_bit_breaks_them(spark, sign):
+    half = 2.0 ** -53
+    groups = {"even": [1.0, half], "odd": [1.0 + 2 * half, half], "above": [1.0, half, 2.0 ** -1074], "below": [1.0, half, -(2.0 ** -1074)],
+              "largest": [1.7976931348623157e308, 2.0 ** 969], "past it": [1.7976931348623157e308, 2.0 ** 970]}
+    got = _sums(spark, [(g, sign * v) for g, values in groups.items() for v in values])
+    assert [got[g][0] * sign for g in groups] == [1.0, 1.0 + 4 * half, 1.0 + 2 * half, 1.0, 1.7976931348623157e308, float("inf")]
