@@ -25,6 +25,7 @@ LEAF = 16
 SPARE = 3
 CELL = 2_000
 ROWS_A_BUCKET = 12_000
+KEYS_HELD = 500_000
 EMPTY = U64(0x1F83D9ABFB41BD6B)
 PACKED = "bucket int, key binary, doc_id binary"
 
@@ -217,7 +218,7 @@ class CountTree:
 def _keys(docs: DataFrame, size: int, similar: Similarity, buckets: int) -> DataFrame:
     """Packed rows: in bucket -1 ids and set sizes, in the others group keys and ids."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        dealer = Dealer(buckets)
+        dealer = Dealer(buckets, KEYS_HELD)
         for batch in batches:
             batch = batch[batch["doc_id"].notna()]
             texts, ids = batch["text"].tolist(), batch["doc_id"].to_numpy(np.int64)
@@ -288,8 +289,7 @@ def _verified(pairs: DataFrame, known: DataFrame, size: int, similar: Similarity
             bound = np.array([overlap_bound(a, b) for a, b in zip(_unpacked(batch["point_a"]), _unpacked(batch["point_b"]))], int)
             yield batch[["a", "b"]][bound >= similar.overlap(batch["n_a"].to_numpy(), batch["n_b"].to_numpy())]
 
-    near = store(pairs.join(sides[0], "a").join(sides[1], "b").mapInPandas(bounded, "a long, b long"), "near")
-    texts = [known.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"]
+    texts = known.select("doc_id", "text")
 
     def same(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -304,7 +304,12 @@ def _verified(pairs: DataFrame, known: DataFrame, size: int, similar: Similarity
             yield batch[["a", "b"]][np.array(keep, bool)]
 
     with small_batches(pairs.sparkSession):
-        return store(near.join(texts[0], "a").join(texts[1], "b").mapInPandas(same, "a long, b long"), "similar")
+        near = store(pairs.join(sides[0], "a").join(sides[1], "b").mapInPandas(bounded, "a long, b long"), "near")
+        both = near
+        for x in "ab":  # only texts that stand in a pair are moved and sorted
+            ends = store(near.select(F.col(x).alias("doc_id")).distinct(), f"ends-{x}")
+            both = both.join(only_ids(texts, ends).select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")), x)
+        return store(both.mapInPandas(same, "a long, b long"), "similar")
 
 
 def _across(runs: DataFrame, points: DataFrame, similar: Similarity) -> DataFrame:
@@ -380,7 +385,8 @@ def similar_links(docs: DataFrame, size: int, similar: Similarity) -> tuple[Data
     group of very many near copies costs a link each, and no link between components is lost.
     """
     texts = texts_of(docs).where(F.col("doc_id").isNotNull())
-    packed = store(_keys(texts, size, similar, buckets_for(texts, BUCKET_CHARS)), "keys")
+    with small_batches(docs.sparkSession):
+        packed = store(_keys(texts, size, similar, buckets_for(texts, BUCKET_CHARS)), "keys")
     sizes = store(packed.where("bucket < 0").mapInPandas(_sizes, "doc_id long, n_shingles long"), "sizes")
     shared = store(packed.where("bucket >= 0").groupBy("bucket").applyInPandas(_meet, "run long, doc_id long"), "runs")
     forget(packed)

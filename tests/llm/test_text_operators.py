@@ -530,3 +530,18 @@ def test_of_repeated_ids_the_same_row_stays_in_every_run(spark):
     for n in (1, 5):
         kept = sorted(tuple(r) for r in one_of_each(docs.repartition(n)).collect())
         assert [r[0] for r in kept] == [1, 2] and kept[0][1].startswith("text number 0")
+
+
+def test_only_texts_of_near_pairs_are_moved(spark, monkeypatch):
+    plans, store = {}, jaccard.store
+
+    def seen(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().optimizedPlan().toString()
+        return store(df, purpose)
+
+    monkeypatch.setattr(jaccard, "store", seen)
+    rows = [(i, " ".join(f"w{i // 2}x{k}" for k in range(60)) + " end" * (i % 2)) for i in range(8)]
+    docs = spark.createDataFrame(rows + [(None, "w0x0"), (9, None)], "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard_components(docs).collect()}
+    assert found == {i: i // 2 * 2 for i in range(8)} | {9: 9}
+    assert plans["similar"].count("LeftSemi") == 2
