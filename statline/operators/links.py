@@ -47,10 +47,18 @@ def orphan_keys(df: DataFrame, column: str, parent: DataFrame, parent_key: str,
                 unique: bool = False) -> DataFrame:
     """Missing parent keys and the number of rows that point to each.
 
-    Rows are counted per key first, so only distinct keys are shuffled and joined however common a key is.
+    Rows and parents are counted per key in one aggregation over both, so only distinct keys are shuffled however common a key
+    is, and a task holds one table of keys. Keys of unlike types are counted first and then joined, which casts them.
     """
-    counted = df.groupBy(column).agg(F.count(F.lit(1)).alias(count))
-    return orphan_rows(counted, column, parent, parent_key, unique)
+    keys = _parent_keys(parent, parent_key, column, True)
+    if keys.schema[column].dataType != df.schema[column].dataType:
+        counted = df.groupBy(column).agg(F.count(F.lit(1)).alias(count))
+        return orphan_rows(counted, column, parent, parent_key, unique)
+    sides = [side.filter(F.col(column).isNotNull()).select(
+        F.col(column), *[F.lit(1 if mark == own else None).cast("int").alias(mark) for mark in ("_rows", "_parents")])
+        for own, side in (("_rows", df), ("_parents", keys))]
+    counted = sides[0].unionByName(sides[1]).groupBy(column).agg(F.count("_rows").alias(count), F.count("_parents").alias("_parents"))
+    return counted.filter("_parents = 0").select(column, count)
 
 
 def drop_orphans(df: DataFrame, parents: Mapping[str, tuple[DataFrame, str]], source: DataFrame,

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from statline.operators.links import orphan_keys
 from statline.plans.quality import check_all, check_dataset, quality_report, quality_summary
 from tests.conftest import event, match, player, stats, team
 
@@ -145,3 +146,17 @@ def test_report(make, clean_raw):
 def test_nothing_to_check():
     with pytest.raises(ValueError):
         check_all({})
+
+
+def test_orphan_keys_take_one_aggregation(spark):
+    child = spark.createDataFrame([("a",), ("a",), ("b",), (None,), ("c",)], "k string")
+    parent = spark.createDataFrame([("b",), ("b",), (None,), ("z",)], "p string")
+    found = orphan_keys(child, "k", parent, "p")
+    assert sorted(map(tuple, found.collect())) == [("a", 2), ("c", 1)]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_orphan_keys_of_unlike_types(spark):
+    child = spark.createDataFrame([("1",), ("2",), ("2",), (None,)], "k string")
+    found = orphan_keys(child, "k", spark.createDataFrame([(1,), (1,)], "p long"), "p")
+    assert sorted(map(tuple, found.collect())) == [("2", 2)]
