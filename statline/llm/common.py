@@ -23,6 +23,9 @@ TOKEN_CHUNK = 7_000_000
 TOKEN_WORDS = 700_000
 BUCKET_CHARS = 8_000_000
 BROADCAST_IDS = 500_000
+ROWS_A_TASK = 500_000
+PAIRS_A_TASK = 2_000
+LEAST_TASKS = 32
 U64 = np.uint64
 
 
@@ -65,6 +68,18 @@ def forget(*steps: DataFrame) -> None:
         remove(step.sparkSession, step._stored_in)
 
 
+def for_rows(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of rows of a few numbers, which are known to be at most ``rows``. If that fills no more than one task it is one
+    partition, and Spark shuffles nothing to group or join it with others of one partition; a larger one stays as it is."""
+    return df.coalesce(1) if rows <= ROWS_A_TASK else df
+
+
+def in_tasks(df: DataFrame, rows: int, each: int = ROWS_A_TASK) -> DataFrame:
+    """``df`` in no more tasks than its ``rows`` fill, ``each`` in one, 32 at least, however many partitions the shuffle before
+    it has: starting a task costs more than a few rows do."""
+    return df.coalesce(max(LEAST_TASKS, -(-rows // each)))
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 500):
     """Steps stored inside hand Python this many rows at a time, for rows that hold whole texts side by side."""

@@ -14,7 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statline.llm.common import BUCKET_CHARS, U64, buckets_for, chunks, forget, gather, mix, only_ids, small_batches, store, texts_of, unused
+from statline.llm.common import (BUCKET_CHARS, PAIRS_A_TASK, U64, buckets_for, chunks, for_rows, forget, gather, in_tasks, mix, only_ids,
+                                 small_batches, store, texts_of, unused)
 from statline.llm.components import connected_components
 from statline.llm.shingles import Dealer, shingle_sets, unpack
 
@@ -279,7 +280,8 @@ def _unpacked(points: pd.Series) -> list[np.ndarray]:
 
 
 def _verified(pairs: DataFrame, known: DataFrame, size: int, similar: Similarity) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar: first by the bound on their points, then by the sets of the whole texts."""
+    """The pairs ``a, b`` whose sets are similar: first by the bound on their points, then by the sets of the whole texts.
+    ``pairs`` is a stored step."""
     points = known.select("doc_id", "n", "point")
     sides = [points.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("point").alias(f"point_{x}"))
              for x in "ab"]
@@ -304,12 +306,15 @@ def _verified(pairs: DataFrame, known: DataFrame, size: int, similar: Similarity
             yield batch[["a", "b"]][np.array(keep, bool)]
 
     with small_batches(pairs.sparkSession):
-        near = store(pairs.join(sides[0], "a").join(sides[1], "b").mapInPandas(bounded, "a long, b long"), "near")
+        both = in_tasks(pairs.select("a", "b").join(sides[0], "a").join(sides[1], "b"), pairs.count(), PAIRS_A_TASK)
+        near = store(both.mapInPandas(bounded, "a long, b long"), "near")
+        found = near.count()
+        ends = near.select(F.explode(F.array("a", "b")).alias("doc_id"))
+        ends = store(for_rows(ends, found).distinct(), "ends")
         both = near
         for x in "ab":  # only texts that stand in a pair are moved and sorted
-            ends = store(near.select(F.col(x).alias("doc_id")).distinct(), f"ends-{x}")
             both = both.join(only_ids(texts, ends).select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")), x)
-        return store(both.mapInPandas(same, "a long, b long"), "similar")
+        return store(in_tasks(both, found, PAIRS_A_TASK).mapInPandas(same, "a long, b long"), "similar")
 
 
 def _across(runs: DataFrame, points: DataFrame, similar: Similarity) -> DataFrame:
@@ -319,7 +324,8 @@ def _across(runs: DataFrame, points: DataFrame, similar: Similarity) -> DataFram
     one tree and its queries, so no run is too large for a task. Runs of one part share buckets, as many as their rows ask
     for. Points join the rows last, so that they are shuffled once. ``runs`` is a stored step.
     """
-    buckets = max(512, runs.count() // ROWS_A_BUCKET)
+    rows = runs.count()
+    buckets = max(512, rows // ROWS_A_BUCKET)
     counts = runs.groupBy("run").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
     cut = runs.join(counts, "run").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
     cells = (cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -363,14 +369,14 @@ def _across(runs: DataFrame, points: DataFrame, similar: Similarity) -> DataFram
         pairs = bounded_pairs(pairs[which], packed, sizes, similar)
         return pd.DataFrame(np.sort(ids[pairs], axis=1), columns=["a", "b"])
 
-    return cells.groupBy("bucket").applyInPandas(search, "a long, b long").distinct()
+    return in_tasks(cells.groupBy("bucket").applyInPandas(search, "a long, b long").distinct(), rows)
 
 
 def _apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
     """``pairs`` (``a, b`` and more) with the components ``of_a, of_b`` of their ends, of those the links do not join yet."""
     parts = store(connected_components(links), "components")
     ends = [parts.select(F.col("doc_id").alias(x), F.col("component_id").alias(f"of_{x}")) for x in "ab"]
-    return (pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    return (pairs.join(ends[1], "b", "left").join(ends[0], "a", "left")
             .withColumn("of_a", F.coalesce("of_a", "a")).withColumn("of_b", F.coalesce("of_b", "b")).where("of_a <> of_b"))
 
 
@@ -390,28 +396,33 @@ def similar_links(docs: DataFrame, size: int, similar: Similarity) -> tuple[Data
     sizes = store(packed.where("bucket < 0").mapInPandas(_sizes, "doc_id long, n_shingles long"), "sizes")
     shared = store(packed.where("bucket >= 0").groupBy("bucket").applyInPandas(_meet, "run long, doc_id long"), "runs")
     forget(packed)
+    rows = shared.count()
     with small_batches(docs.sparkSession):
-        known = store(only_ids(texts, store(shared.select("doc_id").distinct(), "met"))
+        known = store(only_ids(texts, store(in_tasks(shared.select("doc_id").distinct(), rows), "met"))
                       .mapInPandas(_points(size), "doc_id long, n long, point binary, small binary, text string, same long"), "known")
     # Documents of equal sets are one class from here on, its smallest id; the others are linked to it.
-    classes = store(known.join(known.groupBy("n", "same").agg(F.min("doc_id").alias("head")), ["n", "same"])
-                    .select("doc_id", "head"), "classes")
-    copies = classes.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
-    heads = classes.where("doc_id = head").select("doc_id").distinct()
+    met = known.count()
+    classes = store(in_tasks(known.join(known.groupBy("n", "same").agg(F.min("doc_id").alias("head")), ["n", "same"])
+                             .select("doc_id", "head"), met), "classes")
+    copies = in_tasks(classes.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct(), met)
+    heads = in_tasks(classes.where("doc_id = head").select("doc_id").distinct(), met)
     runs = store(shared.join(heads, "doc_id", "left_semi"), "heads")
     forget(shared)
     leaders = runs.groupBy("run").agg(F.min("doc_id").alias("a"))
-    stars = store(runs.join(leaders, "run").where("doc_id <> a").groupBy("a", F.col("doc_id").alias("b"))
-                  .agg(F.count("*").alias("shared")), "stars")
-    best = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b")
+    stars = store(in_tasks(runs.join(leaders, "run").where("doc_id <> a").groupBy("a", F.col("doc_id").alias("b"))
+                           .agg(F.count("*").alias("shared")), rows), "stars")
+    rows = stars.count()
+    best = store(in_tasks(stars.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
+                          .select("a", "b"), rows), "best")
     links = _verified(best, known, size, similar)
-    left = store(_apart(stars.join(best, ["a", "b"], "left_anti"), links), "left")
+    untried = stars.join(best.withColumnRenamed("a", "tried"), "b").where("a <> tried").drop("tried")
+    left = store(in_tasks(_apart(untried, links), rows), "left")
     ends = left.unionByName(left.withColumn("of_a", F.col("of_b")))
-    bridges = (ends.groupBy("of_a").agg(F.max_by(F.struct("a", "b"), F.struct("shared", -F.col("a"), -F.col("b"))).alias("pair"))
-               .select("pair.a", "pair.b").distinct())
+    bridges = ends.groupBy("of_a").agg(F.max_by(F.struct("a", "b"), F.struct("shared", -F.col("a"), -F.col("b"))).alias("pair"))
+    bridges = store(in_tasks(bridges.select("pair.a", "pair.b").distinct(), rows), "bridges")
     links = links.unionByName(_verified(bridges, known, size, similar))
     others = _apart(left.select("a", "b", "shared").join(bridges, ["a", "b"], "left_anti"), links).select("a", "b")
-    links = links.unionByName(_verified(others, known, size, similar))
+    links = links.unionByName(_verified(store(in_tasks(others, rows), "others"), known, size, similar))
     parts = store(connected_components(links), "components")
     placed = runs.join(parts, "doc_id", "left").select(
         "run", "doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
@@ -420,7 +431,7 @@ def similar_links(docs: DataFrame, size: int, similar: Similarity) -> tuple[Data
     apart = (placed.groupBy("run").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"), F.count("*").alias("m"),
                                        F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("members"))
              .where("x <> y").groupBy("m", "members", "x", "y").agg(F.min("run").alias("run")).select("run"))
-    open_runs = store(placed.join(apart, "run"), "open")
+    open_runs = store(in_tasks(placed.join(apart, "run"), runs.count()), "open")
     forget(runs, stars, placed)
     across = store(_across(open_runs, known.select("doc_id", "n", "small"), similar), "across")
     out = store(links.unionByName(_verified(across, known, size, similar)).unionByName(copies), "all-links")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from statline.llm import dedup, jaccard, vector_search
+from statline.llm import common, components, dedup, jaccard, vector_search
 from statline.llm.catalog import QUERIES, SQL
 from statline.llm.common import TokenIds, Words, subwords, token_ids, word_hashes
 from statline.llm.decontaminate import Passages, benchmark_regions, codes, without_benchmark
@@ -545,3 +545,34 @@ def test_only_texts_of_near_pairs_are_moved(spark, monkeypatch):
     found = {r.doc_id: r.component_id for r in jaccard_components(docs).collect()}
     assert found == {i: i // 2 * 2 for i in range(8)} | {9: 9}
     assert plans["similar"].count("LeftSemi") == 2
+
+
+def stages_run(spark, work):
+    """Numbers of tasks of the stages that ``work`` runs."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        found = work()
+        tracker = spark.sparkContext.statusTracker()
+        stages = {s for job in tracker.getJobIdsForGroup("counted") for s in tracker.getJobInfo(job).stageIds}
+        infos = [tracker.getStageInfo(s) for s in stages]
+        return found, [i.numCompletedTasks for i in infos if i is not None and i.numCompletedTasks]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_components_of_few_links_take_few_tasks(spark, monkeypatch):
+    """A chain, a star, a link to itself and a repeated one: the same with and without a shuffle, in few tasks without."""
+    chain = [(i, i + 1) for i in range(20)] + [(100, 100 + i) for i in range(1, 9)] + [(200, 200), (108, 30), (30, 108)]
+    links = spark.createDataFrame(chain, "a long, b long").coalesce(1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        found, tasks = stages_run(spark, lambda: sorted(map(tuple, components.connected_components(links).collect())))
+        monkeypatch.setattr(common, "ROWS_A_TASK", -1)
+        assert found == sorted(map(tuple, components.connected_components(links).collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert found == [(i, 0) for i in range(21)] + [(30, 30)] + [(i, 30) for i in range(100, 109)]
+    assert max(tasks) <= 2
+    assert components.connected_components(links.limit(0)).count() == 0
