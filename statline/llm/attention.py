@@ -12,7 +12,10 @@ WIDTH = 16
 BATCH = 512
 WINDOW = 32
 SCORED = 24
+BACK = WINDOW - SCORED
 SEEDS = 32
+# Windows attended to at once, and places classed at once, so that what a step works on stays in the processor's cache.
+PIECE, PLACES = 128, 4096
 LOWEST = np.float32(-1e9)
 LARGEST, LEAST_SUM = 60, np.float32(1e-20)
 
@@ -68,11 +71,12 @@ def neighbour_sums(ids: np.ndarray, wanted: np.ndarray, counts: np.ndarray, seed
     of many ``counts`` weighs less."""
     signs = np.random.default_rng(seed).choice(np.array([-1.0, 1.0], np.float32), (len(counts), SEEDS))
     signs *= (1 / np.sqrt(counts + 1)).astype(np.float32)[:, None]
-    number = np.full(len(counts), -1)
-    number[wanted] = np.arange(len(wanted))
+    number, asked = np.zeros(len(counts), np.int64), np.zeros(len(counts), bool)
+    number[wanted], asked[wanted] = np.arange(len(wanted)), True
+    place = np.flatnonzero(asked[ids])
     out = np.empty((len(wanted), 2 * SEEDS), np.float32)
-    for at, own, other in ((0, ids[:-1], ids[1:]), (SEEDS, ids[1:], ids[:-1])):
-        own, other = number[own][number[own] >= 0], other[number[own] >= 0]
+    for at, here, other in ((0, place[place < len(ids) - 1], 1), (SEEDS, place[place > 0], -1)):
+        own, other = number[ids[here]], ids[here + other]
         for k in range(SEEDS):
             out[:, at + k] = np.bincount(own, signs[other, k], len(wanted))
     return out
@@ -100,25 +104,98 @@ def windows_of(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return owner, first, np.minimum(SCORED, lengths[owner] - first)
 
 
-def by_group(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """Order of places by the group of what they ask for, and ``(group, from, to)`` of each stretch of the order."""
-    order = np.argsort(group.astype(np.int16), kind="stable")
+class Windows:
+    """What each window reads and asks for. What is read at a place is the id before it; the first place of a text, and all before
+    it, read the end id."""
+
+    def __init__(self, ids: np.ndarray, bounds: np.ndarray, asked: np.ndarray, end: int):
+        """``asked`` holds for each id what is asked for at its place."""
+        owner, self.first, self.n = windows_of(bounds)
+        self.start = bounds[owner] + self.first
+        read = np.concatenate((np.array([end], ids.dtype), ids[:-1])) if len(ids) else ids
+        read[bounds[:-1]] = end
+        self.end, last = end, read[-1:]  # what lies past the last place is read by none of those that are scored
+        self.read = np.lib.stride_tricks.sliding_window_view(
+            np.concatenate([np.full(BACK, end, read.dtype), read, np.repeat(last, WINDOW)]), WINDOW)
+        self.asked = np.lib.stride_tricks.sliding_window_view(
+            np.concatenate([asked, np.zeros(SCORED, asked.dtype)]), SCORED)
+
+    def __len__(self) -> int:
+        return len(self.start)
+
+    def __getitem__(self, pick) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Read ids of some windows, the numbers of the places scored in them, and what is asked for there."""
+        start = self.start[pick]
+        seen = self.read[start].astype(np.int64)
+        seen[self.first[pick] == 0, :BACK] = self.end
+        real = np.flatnonzero(np.arange(SCORED) < self.n[pick][:, None])
+        return seen, real, self.asked[start].ravel()[real]
+
+
+def by_group(group: np.ndarray) -> tuple[np.ndarray, list[list[tuple[int, int, int]]]]:
+    """Order of places by the group of what they ask for, and ``(group, from, to)`` of each stretch of the order, in lists of
+    stretches of about ``PLACES`` places."""
+    order = np.argsort(group.astype(np.uint8), kind="stable")
     edges = np.concatenate(([0], np.cumsum(np.bincount(group, minlength=GROUPS))))
-    return order, [(g, int(edges[g]), int(edges[g + 1])) for g in np.flatnonzero(np.diff(edges)).tolist()]
+    lists = [[]]
+    for g in np.flatnonzero(np.diff(edges)).tolist():
+        lists[-1].append((g, int(edges[g]), int(edges[g + 1])))
+        if lists[-1][-1][2] - lists[-1][0][1] >= PLACES:
+            lists.append([])
+    return order, [stretches for stretches in lists if stretches]
 
 
 def exp_rows(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
     """``(exp, sums of rows, what was taken from each row before)``: the largest of a row is taken off only where exp or its sum
     would leave the range, which few batches need."""
-    ones = np.ones(values.shape[-1], np.float32)
+    def sums(out: np.ndarray) -> np.ndarray:
+        return (out.reshape(-1, out.shape[-1]) @ np.ones(out.shape[-1], np.float32)).reshape(out.shape[:-1])
+
     if not values.size or values.max() < LARGEST:
         out = np.exp(values)
-        total = out @ ones
+        total = sums(out)
         if not total.size or total.min() > LEAST_SUM:
             return out, total, 0.0
     top = values.max(axis=-1)
     out = np.exp(values - top[..., None])
-    return out, out @ ones, top
+    return out, sums(out), top
+
+
+def distances(near: np.ndarray) -> np.ndarray:
+    """What each place of a window adds to the scores of the places it sees, by their distance; none of those after it."""
+    row, column = np.arange(BACK, WINDOW)[:, None], np.arange(WINDOW)[None, :]
+    return np.where(column <= row, near[np.clip(row - column, 0, WINDOW - 1)], LOWEST).astype(np.float32)
+
+
+def attend(part: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the places seen, and for each scored place its own vector, its context and a one. ``part`` holds for each place
+    of the windows its vector, query, key and value."""
+    query, key, value = part[:, BACK:, WIDTH:2 * WIDTH], part[:, :, 2 * WIDTH:3 * WIDTH], part[:, :, 3 * WIDTH:4 * WIDTH]
+    score = query @ np.ascontiguousarray(key.transpose(0, 2, 1))
+    score += bias
+    share, total, _ = exp_rows(score)
+    share *= (1 / total)[:, :, None]
+    both = np.empty((len(part), SCORED, 2 * WIDTH + 1), np.float32)
+    both[:, :, :WIDTH], both[:, :, -1] = part[:, BACK:, :WIDTH], 1
+    np.matmul(share, value, out=both[:, :, WIDTH:-1])
+    return share, both.reshape(-1, 2 * WIDTH + 1)
+
+
+def output_layers(w: dict[str, np.ndarray]) -> np.ndarray:
+    """For each group one layer that gives the logits of all groups and then those of its own classes; offsets come last."""
+    out = np.empty((GROUPS, 2 * WIDTH + 1, GROUPS + MEMBERS), np.float32)
+    out[:, :-1, :GROUPS], out[:, -1, :GROUPS] = w["top"], w["top_offset"]
+    out[:, :-1, GROUPS:], out[:, -1, GROUPS:] = w["member"], w["member_offset"]
+    return out
+
+
+def logits_of(out: np.ndarray, both: np.ndarray, stretches: list[tuple[int, int, int]]) -> np.ndarray:
+    """Logits of groups and of the classes of the asked group, for places in the order of groups."""
+    start = stretches[0][1]
+    logits = np.empty((len(both), GROUPS + MEMBERS), np.float32)
+    for g, a, b in stretches:
+        np.matmul(both[a - start:b - start], out[g], out=logits[a - start:b - start])
+    return logits
 
 
 class AttentionModel:
@@ -129,51 +206,34 @@ class AttentionModel:
     def __init__(self, classes: np.ndarray, weights: dict[str, np.ndarray], log_within: np.ndarray):
         self.classes, self.log_within = classes, log_within.astype(np.float32)
         w = {k: v.astype(np.float32) for k, v in weights.items()}
-        self.token, self.top, self.member = w["token"], w["top"], w["member"]
-        self.query = w["token"] @ w["query"] / np.float32(np.sqrt(WIDTH))
-        self.key, self.value = w["token"] @ w["key"], w["token"] @ w["value"]
+        self.table = np.concatenate([w["token"], w["token"] @ projections(w)], axis=1)
         held = np.bincount(classes, minlength=CLASSES).reshape(GROUPS, MEMBERS) > 0
-        self.member_offset = np.where(held, w["member_offset"], LOWEST)
-        self.top_offset = np.where(held.any(axis=1), w["top_offset"], LOWEST)
-        row, column = np.arange(WINDOW - SCORED, WINDOW)[:, None], np.arange(WINDOW)[None, :]
-        self.mask = np.where(column <= row, w["near"][np.clip(row - column, 0, WINDOW - 1)], LOWEST).astype(np.float32)
-
-    @staticmethod
-    def _gained(logits: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """Log probability of one column in each row."""
-        _, total, less = exp_rows(logits)
-        return logits[np.arange(len(own)), own] - less - np.log(total)
+        w["member_offset"] = np.where(held, w["member_offset"], LOWEST)
+        w["top_offset"] = np.where(held.any(axis=1), w["top_offset"], LOWEST)
+        self.out, self.bias = output_layers(w), distances(w["near"])
 
     def log_probabilities(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """For each id of texts that lie between ``bounds`` (end id last): the log probability of the id after those before
         it."""
-        owner, first, n = windows_of(bounds)
-        end, gained = len(self.classes) - 1, np.zeros(len(ids), np.float32)
-        # What is read at a place is the id before it; the first place of a text reads the end id.
-        read = np.concatenate(([end], ids[:-1])) if len(ids) else ids
-        read[bounds[:-1]] = end
-        reach = np.arange(WINDOW) - (WINDOW - SCORED)
-        for a in range(0, len(owner), 512):
-            begin = bounds[owner[a:a + 512]][:, None]
-            place = begin + first[a:a + 512, None] + reach
-            seen = np.where(place >= begin, read[np.clip(place, 0, len(read) - 1)], end)
-            now = seen[:, WINDOW - SCORED:]
-            score = self.query[now] @ self.key[seen].transpose(0, 2, 1)
-            score += self.mask
-            score, total, _ = exp_rows(score)
-            context = (score @ self.value[seen]) / total[:, :, None]
-            real = np.flatnonzero((np.arange(SCORED) < n[a:a + 512, None]).ravel())
-            both = np.concatenate([self.token[now], context], axis=2).reshape(-1, 2 * WIDTH)[real]
-            place = place[:, WINDOW - SCORED:].ravel()[real]
-            target = ids[place]
-            group, member = np.divmod(self.classes[target], MEMBERS)
-            sums = self._gained(both @ self.top + self.top_offset, group) + self.log_within[target]
-            order, stretches = by_group(group)
-            both, member = both[order], member[order]
-            for g, x, y in stretches:
-                sums[order[x:y]] += self._gained(both[x:y] @ self.member[g] + self.member_offset[g], member[x:y])
-            gained[place] = sums
-        return gained
+        gained = np.empty(len(ids), np.float32)
+        windows = Windows(ids, bounds, self.classes.astype(np.int32)[ids], len(self.classes) - 1)
+        for a in range(0, len(windows), BATCH):
+            seen, real, target = windows[np.arange(a, min(a + BATCH, len(windows)))]
+            both = np.concatenate([attend(self.table.take(seen[b:b + PIECE], axis=0), self.bias)[1] for b in range(0, len(seen), PIECE)])
+            group, member = np.divmod(target, MEMBERS)
+            order, lists = by_group(group)
+            # Windows follow each other, and each scores the places after those of the one before.
+            first = windows.start[a]
+            own = np.empty(len(real), np.float32)
+            for stretches in lists:
+                at = order[stretches[0][1]:stretches[-1][2]]
+                logits = logits_of(self.out, both.take(real[at], axis=0), stretches).reshape(-1, 2, MEMBERS)
+                _, total, less = exp_rows(logits)
+                each, flat = np.arange(len(at)) * (GROUPS + MEMBERS), logits.reshape(-1)
+                less = np.log(total) + less
+                own[at] = flat[each + group[at]] + flat[each + (GROUPS + member[at])] - less[:, 0] - less[:, 1]
+            gained[first:first + len(real)] = own
+        return gained + self.log_within[ids]
 
 
 def log_within(classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -206,58 +266,81 @@ def learn_all(w: dict[str, np.ndarray], classes: np.ndarray, ids: np.ndarray, bo
     return len(order), learn(w, classes, ids, bounds, [order[a:a + BATCH] for a in range(0, len(order), BATCH)], rate)
 
 
-def _slope_of(logits: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Slope of the loss by logits, one row for each asked column."""
-    p, total, _ = exp_rows(logits)
-    p /= total[:, None]
-    p[np.arange(len(own)), own] -= 1
-    return p
+def projections(w: dict[str, np.ndarray]) -> np.ndarray:
+    """One layer that gives the query, key and value of a vector."""
+    return np.concatenate([w["query"] / np.float32(np.sqrt(WIDTH)), w["key"], w["value"]], axis=1)
+
+
+def output_slopes(out: np.ndarray, both: np.ndarray, real: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slopes of the mean loss by the output layers and by what they are given, of which the last column is left free."""
+    group, member = np.divmod(target, MEMBERS)
+    order, lists = by_group(group)
+    turned, one = np.ascontiguousarray(out[:, :-1].transpose(0, 2, 1)), np.float32(1 / max(len(real), 1))
+    d_out, d_both = np.zeros_like(out), np.zeros_like(both)
+    for stretches in lists:
+        start, at = stretches[0][1], order[stretches[0][1]:stretches[-1][2]]
+        given = both.take(real[at], axis=0)
+        p, total, _ = exp_rows(logits_of(out, given, stretches).reshape(-1, 2, MEMBERS))
+        p *= (one / total)[:, :, None]
+        p = p.reshape(len(at), -1)
+        each, flat = np.arange(len(at)) * p.shape[1], p.reshape(-1)
+        flat[each + group[at]] -= one
+        flat[each + (GROUPS + member[at])] -= one
+        d_given = np.empty((len(at), 2 * WIDTH), np.float32)
+        for g, a, b in stretches:
+            np.matmul(given[a - start:b - start].T, p[a - start:b - start], out=d_out[g])
+            np.matmul(p[a - start:b - start], turned[g], out=d_given[a - start:b - start])
+        d_both[real[at], :-1] = d_given
+    return d_out, d_both
 
 
 def slopes(w: dict[str, np.ndarray], seen: np.ndarray, real: np.ndarray, target: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """Slopes of the mean loss by each weight, for windows of read ids, the numbers of the places scored in them and the
-    classes asked for there; for ``token`` by the rows that are read, which come second."""
-    batch, back = len(seen), np.clip(np.arange(WINDOW - SCORED, WINDOW)[:, None] - np.arange(WINDOW), 0, WINDOW - 1)
-    masked, scale = np.arange(WINDOW) > np.arange(WINDOW - SCORED, WINDOW)[:, None], np.float32(1 / np.sqrt(WIDTH))
-    flat = seen.ravel()
-    order = np.argsort(flat, kind="stable")
-    sorted_ids = flat[order]
-    starts = np.flatnonzero(np.concatenate(([True], sorted_ids[1:] != sorted_ids[:-1])))
-    x = w["token"][flat]
-    now = np.ascontiguousarray(x.reshape(batch, WINDOW, WIDTH)[:, WINDOW - SCORED:]).reshape(-1, WIDTH)
-    q = (now @ (w["query"] * scale)).reshape(batch, SCORED, WIDTH)
-    k, v = (x @ w["key"]).reshape(batch, WINDOW, WIDTH), (x @ w["value"]).reshape(batch, WINDOW, WIDTH)
-    share = q @ k.transpose(0, 2, 1)
-    share += np.where(masked, LOWEST, w["near"][back])
-    share, total, _ = exp_rows(share)
-    share /= total[:, :, None]
-    both = np.concatenate([now, (share @ v).reshape(-1, WIDTH)], axis=1)[real]
-    group, member = np.divmod(target, MEMBERS)
-    d = _slope_of(both @ w["top"] + w["top_offset"], group) / np.float32(len(real))
-    slope = {"top": both.T @ d, "top_offset": d.sum(axis=0), "member": np.zeros_like(w["member"]),
-             "member_offset": np.zeros_like(w["member_offset"])}
-    d_real = d @ w["top"].T
-    by, stretches = by_group(group)
-    sorted_both, member, d_member = both[by], member[by], np.empty_like(both)
-    for g, a, b in stretches:
-        d = _slope_of(sorted_both[a:b] @ w["member"][g] + w["member_offset"][g], member[a:b]) / np.float32(len(real))
-        slope["member"][g], slope["member_offset"][g] = sorted_both[a:b].T @ d, d.sum(axis=0)
-        d_member[a:b] = d @ w["member"][g].T
-    d_real[by] += d_member
-    d_both = np.zeros((batch * SCORED, 2 * WIDTH), np.float32)
-    d_both[real] = d_real
-    d_context = np.ascontiguousarray(d_both[:, WIDTH:]).reshape(batch, SCORED, WIDTH)
-    d_score = d_context @ v.transpose(0, 2, 1)
-    d_v = (share.transpose(0, 2, 1) @ d_context).reshape(-1, WIDTH)
-    d_score -= np.einsum("bsw,bsw->bs", d_score, share)[:, :, None]
-    d_score *= share
-    slope["near"] = np.bincount(back.ravel(), d_score.sum(axis=0).ravel(), WINDOW)
-    d_q, d_k = (d_score @ k).reshape(-1, WIDTH) * scale, (d_score.transpose(0, 2, 1) @ q).reshape(-1, WIDTH)
-    slope |= {"query": now.T @ d_q, "key": x.T @ d_k, "value": x.T @ d_v}
-    d_x = d_k @ w["key"].T + d_v @ w["value"].T
-    d_x.reshape(batch, WINDOW, WIDTH)[:, WINDOW - SCORED:] += (d_both[:, :WIDTH] + d_q @ w["query"].T).reshape(batch, SCORED, WIDTH)
-    slope["token"] = np.add.reduceat(d_x[order], starts, axis=0)
-    return slope, sorted_ids[starts]
+    classes asked for there; for ``token`` by the rows that are read, which come second.
+
+    Queries, keys and values are made once for each id of the batch. They and the shares are kept, a piece of the batch at a
+    time, from the way there for the way back.
+    """
+    size = seen.size
+    key = np.sort(seen.ravel() * size + np.arange(size))
+    ids = key // size
+    order, new = key - ids * size, np.concatenate(([True], ids[1:] != ids[:-1]))
+    starts, number = np.flatnonzero(new), np.empty(size, np.int64)
+    number[order] = np.cumsum(new) - 1
+    rows = ids[starts]
+    own, weights, bias = w["token"].take(rows, axis=0), projections(w), distances(w["near"])
+    # The last column takes from a score's slope the mean of its row.
+    table = np.concatenate([own, own @ weights, np.full((len(rows), 1), -1, np.float32)], axis=1)
+    number = number.reshape(seen.shape)
+    kept, both = [], np.empty((len(seen) * SCORED, 2 * WIDTH + 1), np.float32)
+    for a in range(0, len(seen), PIECE):
+        part = table.take(number[a:a + PIECE], axis=0)
+        share, both[a * SCORED:(a + PIECE) * SCORED] = attend(part, bias)
+        kept.append((part, share))
+    d_out, d_both = output_slopes(output_layers(w), both, real, target)
+    d_weights, d_near, d_x = np.zeros_like(weights), np.zeros(SCORED * WINDOW, np.float32), np.empty((*seen.shape, WIDTH), np.float32)
+    for a, (part, share) in zip(range(0, len(seen), PIECE), kept):
+        m, at = len(part), slice(a * SCORED, (a + PIECE) * SCORED)
+        context, d = both[at].reshape(m, SCORED, -1)[:, :, WIDTH:-1], d_both[at].reshape(m, SCORED, -1)
+        d_context = d[:, :, WIDTH:-1]
+        np.einsum("bsw,bsw->bs", d_context, context, out=d[:, :, -1])
+        d_score = d[:, :, WIDTH:] @ np.ascontiguousarray(part[:, :, 3 * WIDTH:].transpose(0, 2, 1))
+        d_score *= share
+        d_near += np.ones(m, np.float32) @ d_score.reshape(m, -1)
+        d_part = np.empty((m, WINDOW, 3 * WIDTH), np.float32)
+        d_part[:, :BACK, :WIDTH] = 0
+        np.matmul(d_score, part[:, :, 2 * WIDTH:3 * WIDTH], out=d_part[:, BACK:, :WIDTH])
+        np.matmul(d_score.transpose(0, 2, 1), part[:, BACK:, WIDTH:2 * WIDTH], out=d_part[:, :, WIDTH:2 * WIDTH])
+        np.matmul(share.transpose(0, 2, 1), d_context, out=d_part[:, :, 2 * WIDTH:])
+        d_weights += (part[:, :, :WIDTH].transpose(0, 2, 1) @ d_part).sum(axis=0)
+        np.matmul(d_part.reshape(-1, 3 * WIDTH), weights.T, out=d_x[a:a + PIECE].reshape(-1, WIDTH))
+        d_x[a:a + PIECE, BACK:] += d[:, :, :WIDTH]
+    d_query, d_key, d_value = np.split(d_weights, 3, axis=1)
+    back = np.clip(np.arange(BACK, WINDOW)[:, None] - np.arange(WINDOW), 0, WINDOW - 1)
+    top = d_out[:, :, :GROUPS].sum(axis=0)
+    return {"top": top[:-1], "top_offset": top[-1], "member": d_out[:, :-1, GROUPS:], "member_offset": d_out[:, -1, GROUPS:],
+            "near": np.bincount(back.ravel(), d_near, WINDOW), "query": d_query / np.float32(np.sqrt(WIDTH)), "key": d_key,
+            "value": d_value, "token": np.add.reduceat(d_x.reshape(-1, WIDTH).take(order, axis=0), starts, axis=0)}, rows
 
 
 def learn(w: dict[str, np.ndarray], classes: np.ndarray, ids: np.ndarray, bounds: np.ndarray, picks: list[np.ndarray],
@@ -266,23 +349,21 @@ def learn(w: dict[str, np.ndarray], classes: np.ndarray, ids: np.ndarray, bounds
     no others."""
     if not len(ids):
         return w
-    w, end, steps = {k: v.astype(np.float32) for k, v in w.items()}, len(classes) - 1, len(picks)
-    mean, square = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
-    owner, first, n = windows_of(bounds)
-    read = np.concatenate(([end], ids[:-1]))
-    read[bounds[:-1]] = end
-    reach = np.arange(WINDOW) - (WINDOW - SCORED)
+    # All weights but those of ids lie in one array, so that a step moves them at once.
+    dense = [k for k in w if k != "token"]
+    edges = np.cumsum([0] + [w[k].size for k in dense])
+    flat = np.concatenate([w[k].ravel() for k in dense]).astype(np.float32)
+    w = {"token": w["token"].astype(np.float32)} | {k: flat[a:b].reshape(w[k].shape) for k, a, b in zip(dense, edges, edges[1:])}
+    moved = {"token": w["token"], "dense": flat}
+    mean, square = ({k: np.zeros_like(v) for k, v in moved.items()} for _ in range(2))
+    windows, steps = Windows(ids, bounds, classes.astype(np.int32)[ids], len(classes) - 1), len(picks)
     for step, pick in enumerate(picks, 1):
-        begin = bounds[owner[pick]][:, None]
-        place = begin + first[pick][:, None] + reach
-        seen = np.where(place >= begin, read[np.clip(place, 0, len(read) - 1)], end)
-        real = np.flatnonzero((np.arange(SCORED) < n[pick][:, None]).ravel())
-        slope, rows = slopes(w, seen, real, classes[ids[place[:, WINDOW - SCORED:].ravel()[real]]])
+        slope, rows = slopes(w, *windows[pick])
         pace = np.float32(rate * (1 - 0.9 * step / steps) / (1 - 0.9 ** step))
         even = np.float32(1 / (1 - 0.99 ** step))
-        for name, g in slope.items():
-            at, g = rows if name == "token" else ..., g.astype(np.float32)
+        for name, at, g in (("token", rows, slope["token"]),
+                            ("dense", ..., np.concatenate([slope[k].ravel() for k in dense]).astype(np.float32))):
             m, s = 0.9 * mean[name][at] + 0.1 * g, 0.99 * square[name][at] + 0.01 * g * g
             mean[name][at], square[name][at] = m, s
-            w[name][at] -= pace * m / (np.sqrt(s * even) + np.float32(1e-8))
+            moved[name][at] -= pace * m / (np.sqrt(s * even) + np.float32(1e-8))
     return w

@@ -150,9 +150,8 @@ class Words:
     def __init__(self, texts):
         lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
         coded = lists.flatten().dictionary_encode()
-        self.distinct = coded.dictionary.to_pylist()
-        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.cast(pa.large_binary()).to_pylist()),
-                                  np.uint64, len(self.distinct))
+        self.distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.distinct), np.uint64, len(self.distinct))
         self.sizes = pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False).astype(np.int64)
         words = coded.indices.to_numpy(zero_copy_only=False)
         real = words != (self.distinct.index("") if "" in self.distinct else -1)

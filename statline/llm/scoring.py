@@ -19,39 +19,53 @@ SAMPLE_DOCS = 1_500
 PART, GROUP_CHARS = 6_000_000, 16_000_000
 LATE_BUCKETS = 64
 SLICE = 16_384
-COUNTS = "bucket int, chunk int, hashes binary, counts binary"
+SLICED_WORDS = 500_000
+# Rows are the words of a group that fall into a bucket, the subwords of all its words, or a text.
+COUNTS = ("bucket int, chunk int, hashes binary, counts binary, lengths binary, pieces binary, "
+          "turn int, doc_id long, held_out boolean, places binary")
 KNOWN = "bucket int, chunk int, known binary, kinds long, total long"
+OUT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 class _Group:
-    """The distinct words of a group of texts, ordered by bucket and hash, so that both passes over it see one order."""
+    """The distinct words of a group of texts, ordered by bucket and hash. The place after the last word is that of the end."""
 
-    def __init__(self, texts: list[str], buckets: int):
-        self.parts = [(a, b, Words(texts[a:b])) for a, b in chunks(texts, PART)]
-        self.hashes = np.unique(np.concatenate([w.hashes for _, _, w in self.parts] or [np.empty(0, np.uint64)]))
-        bucket = (self.hashes % U64(buckets)).astype(np.int64)
+    def __init__(self, texts: list[str], buckets: int, ranks: str):
+        parts = [Words(texts[a:b]) for a, b in chunks(texts, PART)]
+        hashes, first, number = np.unique(np.concatenate([w.hashes for w in parts] or [np.empty(0, np.uint64)]),
+                                          return_index=True, return_inverse=True)
+        bucket = (hashes % U64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        self.ordered, self.edges = self.hashes[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
-        self.rank = np.empty(len(order), np.int64)
-        self.rank[order] = np.arange(len(order))
+        self.hashes, self.edges = hashes[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order))
+        own = np.split(rank[number], np.cumsum([len(w.hashes) for w in parts])[:-1]) if parts else []
+        places = [np.insert(r[w.coded] if len(w.coded) else r[:0], w.bounds[1:], len(order)) for r, w in zip(own, parts)]
+        self.places = np.concatenate(places or [np.empty(0, np.int32)])
+        self.bounds = np.concatenate(([0], np.cumsum(np.concatenate([np.diff(w.bounds) + 1 for w in parts])))) if parts else np.zeros(1, np.int64)
+        words = np.array([word for w in parts for word in w.distinct] + [None], object)[first[order]]
+        sizes = np.concatenate([w.sizes for w in parts] or [np.empty(0, np.int64)])[first[order]]
+        self.lengths, self.pieces = _pieces(words.tolist(), sizes, ranks)
 
-    def numbers(self, words: Words) -> np.ndarray:
-        """Place in the order of each distinct word of a part."""
-        return self.rank[np.searchsorted(self.hashes, words.hashes)]
 
-
-def _text_ids(words: Words, ranks: str, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Subword ids of all texts of a part with an end after each, and where each text begins.
+def _pieces(words: list[str], sizes: np.ndarray, ranks: str) -> tuple[np.ndarray, np.ndarray]:
+    """How many subwords each word and, last, the end of a text has, and their ids one after another.
 
     Ids of subwords that open a word are moved up by the size of the vocabulary; the highest id is the end.
     """
-    starts, lengths, flat = subwords(ranks)(words.distinct, words.sizes)
-    n = lengths[words.coded] if len(words.coded) else np.empty(0, np.int64)
-    ids = gather(flat, starts[words.coded], n).astype(np.int64) if len(n) else np.empty(0, np.int64)
-    before = np.cumsum(n) - n
-    ids[before[n > 0]] += size // 2
-    bounds = np.concatenate(([0], np.cumsum(n)))[words.bounds]
-    return np.insert(ids, bounds[1:], size - 1), bounds + np.arange(len(bounds))
+    starts, lengths, flat = subwords(ranks)(words, sizes)
+    size, pieces = _vocabulary(ranks), flat.astype(np.int32)
+    pieces[starts[lengths > 0]] += size // 2
+    return np.append(lengths, 1).astype(np.int32), np.append(pieces, np.int32(size - 1))
+
+
+def _ids(places: np.ndarray, bounds: np.ndarray, lengths: np.ndarray, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Subword ids of texts whose words stand at these places, and where each text begins."""
+    starts, ids = np.cumsum(lengths, dtype=np.int64) - lengths, [np.empty(0, np.int32)]
+    for a in range(0, len(places), SLICED_WORDS):
+        at = places[a:a + SLICED_WORDS]
+        ids.append(gather(pieces, starts[at], lengths[at]))
+    return np.concatenate(ids), np.concatenate(([0], np.cumsum(lengths[places], dtype=np.int64)))[bounds]
 
 
 def _vocabulary(ranks: str) -> int:
@@ -59,18 +73,10 @@ def _vocabulary(ranks: str) -> int:
     return 2 * subwords(ranks).size + 1
 
 
-def _all_ids(texts: list[str], ranks: str, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Subword ids of many texts, and where each text begins."""
-    parts = [_text_ids(Words(texts[a:b]), ranks, size) for a, b in chunks(texts, PART)]
-    ids = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.int64)
-    lengths = np.concatenate([np.diff(p[1]) for p in parts]) if parts else np.empty(0, np.int64)
-    return ids, np.concatenate(([0], np.cumsum(lengths)))
-
-
 def fit_attention(ranks: str):
     def fit(texts: list[str], _: list[int]):
-        size = _vocabulary(ranks)
-        ids, bounds = _all_ids(texts, ranks, size)
+        size, group = _vocabulary(ranks), _Group(texts, 1, ranks)
+        ids, bounds = _ids(group.places, group.bounds, group.lengths, group.pieces)
         return *train(ids, bounds, np.arange(size) >= size // 2), np.bincount(ids, minlength=size)
 
     return fit
@@ -78,34 +84,50 @@ def fit_attention(ranks: str):
 
 def _count(ranks: str, buckets: int, sampled: np.ndarray):
     """Words of each group with their counts in its training texts, packed for the buckets of words; in bucket -1 the counts
-    of subword ids; in the buckets below, ids that the sample lacks with the sums of their neighbours."""
+    of subword ids; in the buckets below, ids that the sample lacks with the sums of their neighbours. Then the subwords of
+    all words of the group, and its texts as places of words: these are cut and looked up once."""
     def count(key: tuple, docs: pd.DataFrame) -> pd.DataFrame:
         docs = docs.sort_values(["doc_id", "row"])
-        texts, learnt = docs["text"].tolist(), ~docs["held_out"].to_numpy(bool)
-        group, size = _Group(texts, buckets), _vocabulary(ranks)
-        total, ids_of = np.zeros(len(group.hashes), np.int64), np.zeros(size, np.int64)
-        chunk, rows = int(key[0]), []
-        for a, b, words in group.parts:
-            ids, bounds = _text_ids(words, ranks, size)
-            ids = ids[np.repeat(learnt[a:b], np.diff(bounds))]
-            own = np.bincount(ids, minlength=size)
-            ids_of += own
-            late = np.flatnonzero((own > 0) & (sampled == 0))
-            if len(late):
-                sums, bucket = neighbour_sums(ids, late, sampled), late % LATE_BUCKETS
-                rows += [(-2 - k, chunk, late[bucket == k].tobytes(), sums[bucket == k].tobytes()) for k in np.unique(bucket).tolist()]
-            if len(words.coded):
-                use = np.repeat(learnt[a:b], np.diff(words.bounds))
-                np.add.at(total, group.numbers(words), np.bincount(words.coded[use], minlength=len(words.distinct)))
-        rows.append((-1, chunk, b"", ids_of.tobytes()))
+        group, size, chunk = _Group(docs["text"].tolist(), buckets, ranks), _vocabulary(ranks), int(key[0])
+        learnt, tokens = ~docs["held_out"].to_numpy(bool), np.diff(group.bounds)
+        use = group.places[np.repeat(learnt, tokens)]
+        total = np.bincount(use, minlength=len(group.lengths))
+        ids_of = np.bincount(group.pieces, np.repeat(total, group.lengths), size).astype(np.int64)
+        rows, late = [(-1, chunk, b"", ids_of.tobytes())], np.flatnonzero((ids_of > 0) & (sampled == 0))
+        if len(late):
+            ids, _ = _ids(use, np.zeros(1, np.int64), group.lengths, group.pieces)
+            sums, bucket = neighbour_sums(ids, late, sampled), late % LATE_BUCKETS
+            rows += [(-2 - k, chunk, late[bucket == k].tobytes(), sums[bucket == k].tobytes()) for k in np.unique(bucket).tolist()]
         for b in np.flatnonzero(np.diff(group.edges)).tolist():
             at = slice(group.edges[b], group.edges[b + 1])
-            rows.append((b, chunk, group.ordered[at].tobytes(), total[at].astype(np.uint32).tobytes()))
-        return pd.DataFrame(rows, columns=["bucket", "chunk", "hashes", "counts"])
+            rows.append((b, chunk, group.hashes[at].tobytes(), total[at].astype(np.uint32).tobytes()))
+        counts = pd.DataFrame(rows, columns=["bucket", "chunk", "hashes", "counts"])
+        subwords_of = pd.DataFrame({"chunk": [chunk], "lengths": [group.lengths.tobytes()], "pieces": [group.pieces.tobytes()]})
+        texts = pd.DataFrame({
+            "chunk": chunk, "turn": np.arange(len(docs)), "doc_id": docs["doc_id"].astype("Int64").array,
+            "held_out": docs["held_out"].to_numpy(object), "places": [group.places[a:b].tobytes() for a, b in zip(group.bounds, group.bounds[1:])]})
+        return _together([counts, subwords_of, texts], [c.split()[0] for c in COUNTS.split(", ")])
 
     return count
 
 
+def _together(frames: list[pd.DataFrame], columns: list[str]) -> pd.DataFrame:
+    """The rows of all frames; a column that a frame lacks is null there. Whole numbers stay whole beside nulls."""
+    whole = {"bucket", "chunk", "turn", "doc_id"}
+    return pd.DataFrame({c: pd.concat([
+        (f[c] if c in f else pd.Series([None] * len(f), dtype=object)).astype("Int64" if c in whole else object)
+        for f in frames], ignore_index=True) for c in columns})
+
+
+def _texts(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """The texts of a group in their order, the places of their words and ends, where each begins among these, and the
+    group's subwords."""
+    texts, own = rows[rows["places"].notna()].sort_values("turn"), rows[rows["lengths"].notna()]
+    places = unpack(texts["places"], np.int32)
+    bounds = np.concatenate(([0], np.cumsum([len(x) // 4 for x in texts["places"]]))).astype(np.int64)
+    return texts, places, bounds, (unpack(own["lengths"], np.int32), unpack(own["pieces"], np.int32))
+
+
 def _total(rows: pd.DataFrame) -> pd.DataFrame:
     """Corpus counts of the words of a bucket, handed back to each group in the order it asked."""
     hashes, counts = unpack(rows["hashes"], np.uint64), unpack(rows["counts"], np.uint32)
@@ -129,11 +151,13 @@ def _late(middles: np.ndarray, size: int):
     return late
 
 
-def _learn(ranks: str, classes: np.ndarray, weights: dict[str, np.ndarray]):
+def _learn(classes: np.ndarray, weights: dict[str, np.ndarray]):
     """What the training texts of a group make of the weights, in small slices, and the number of their windows."""
-    def learnt(key: tuple, docs: pd.DataFrame) -> pd.DataFrame:
-        docs = docs.sort_values(["doc_id", "row"])
-        n, w = learn_all(weights, classes, *_all_ids(docs["text"].tolist(), ranks, len(classes)), int(key[0]))
+    def learnt(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        texts, places, bounds, subwords_of = _texts(rows)
+        if not len(texts):
+            return pd.DataFrame({"slice": [], "windows": [], "weights": []})
+        n, w = learn_all(weights, classes, *_ids(places, bounds, *subwords_of), int(key[0]))
         flat = _flat(w)
         slices = [flat[a:a + SLICE].tobytes() for a in range(0, len(flat), SLICE)]
         return pd.DataFrame({"slice": np.arange(len(slices)), "windows": n, "weights": slices})
@@ -186,7 +210,8 @@ def text_scores(docs: DataFrame, ranks: str, divisor: int = 7, held_out: int = 2
     A null or empty text is its end alone. Repeated rows are scored, and counted, each.
 
     Texts are dealt into groups by a hash of the row. A group sends its distinct words to the buckets of their hashes and
-    gets their counts back, so what moves is each distinct word once a group; no count of words reaches the driver.
+    gets their counts back, so what moves is each distinct word once a group; no count of words reaches the driver. Texts are
+    cut into words, and words into subwords, once: learning and scoring read them back as places in the words of the group.
     """
     texts = texts_of(docs).withColumn("held_out", held_out_column(divisor, held_out))
     buckets = buckets_for(texts, GROUP_CHARS)
@@ -196,6 +221,8 @@ def text_scores(docs: DataFrame, ranks: str, divisor: int = 7, held_out: int = 2
     classes, weights, middles, sampled = pickle.loads(fit_on_sample(
         docs, learnable.withColumn("label", F.lit(0)), fit_attention(ranks), most))
     counted = store(dealt.groupBy("chunk").applyInPandas(_count(ranks, buckets, sampled), COUNTS), "word-counts")
+    coded = (counted.where("lengths is not null or places is not null")
+             .select("chunk", "lengths", "pieces", "turn", "doc_id", "held_out", "places"))
     known = store(counted.where("bucket >= 0").groupBy("bucket").applyInPandas(_total, KNOWN), "known-words")
     size = _vocabulary(ranks)
     id_counts = _summed(counted.where("bucket = -1"), size, np.int64)
@@ -207,8 +234,8 @@ def text_scores(docs: DataFrame, ranks: str, divisor: int = 7, held_out: int = 2
     token[late["id"]] = average[classes[late["id"]]]
     weights["token"] = token
     # Rows are slices, as rows of all weights fill the heap of an executor; the mean has the size of the model.
-    steps = dealt.where(~F.col("held_out")).groupBy("chunk").applyInPandas(
-        _learn(ranks, classes, weights), "slice int, windows long, weights binary")
+    steps = coded.where("held_out is null or not held_out").groupBy("chunk").applyInPandas(
+        _learn(classes, weights), "slice int, windows long, weights binary")
     mean = steps.groupBy("slice").applyInPandas(_mean, "slice int, weights binary").toPandas().sort_values("slice")
     weights = _shaped(unpack(mean["weights"], np.float32) if len(mean) else _flat(weights), weights)
     sums = known.agg(F.sum("kinds").alias("kinds"), F.sum("total").alias("total")).first()
@@ -217,27 +244,18 @@ def text_scores(docs: DataFrame, ranks: str, divisor: int = 7, held_out: int = 2
     within = log_within(classes, id_counts)
     base = np.log10(n + distinct + 1)
 
-    def score(_: tuple, docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        if not len(docs):
-            return pd.DataFrame({c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
-        docs = docs.sort_values(["doc_id", "row"])
-        group = _Group(docs["text"].tolist(), buckets)
-        counts = unpack(known.sort_values("bucket")["known"], np.int64)
-        model, out = AttentionModel(classes, weights, within), []
-        for a, b, words in group.parts:
-            tokens = np.diff(words.bounds) + 1
-            owner = np.repeat(np.arange(b - a), tokens)
-            # Counts of each distinct word and, last, of the end.
-            every = np.append(counts[group.numbers(words)] if len(words.distinct) else counts[:0], learnt)
-            each = np.insert(words.coded, words.bounds[1:], len(every) - 1)
-            ids, bounds = _text_ids(words, ranks, size)
-            gained = model.log_probabilities(ids, bounds).astype(np.float64)
-            out.append(pd.DataFrame({
-                "doc_id": docs["doc_id"].iloc[a:b], "held_out": docs["held_out"].iloc[a:b], "n_tokens": tokens,
-                "n_known": np.bincount(owner, every[each] > 0, b - a).astype(np.int64), "train_tokens": n,
-                "base_score": np.bincount(owner, (np.log10(every + 1) - base)[each], b - a),
-                "score": np.add.reduceat(gained, bounds[:-1]) / np.log(10)}))
-        return pd.concat(out)
-
-    return dealt.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(
-        score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    def score(_: tuple, rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        texts, places, bounds, subwords_of = _texts(rows)
+        if not len(texts):
+            return pd.DataFrame({c.split()[0]: [] for c in OUT.split(", ")})
+        # Counts of each distinct word and, last, of the end.
+        every = np.append(unpack(known.sort_values("bucket")["known"], np.int64), learnt)
+        gained = AttentionModel(classes, weights, within).log_probabilities(*_ids(places, bounds, *subwords_of)).astype(np.float64)
+        ids_in = np.concatenate(([0], np.cumsum(subwords_of[0][places], dtype=np.int64)))[bounds]
+        return pd.DataFrame({
+            "doc_id": texts["doc_id"].array, "held_out": texts["held_out"].array, "n_tokens": np.diff(bounds),
+            "n_known": np.add.reduceat((every > 0).astype(np.int64)[places], bounds[:-1]), "train_tokens": n,
+            "base_score": np.add.reduceat((np.log10(every + 1) - base)[places], bounds[:-1]),
+            "score": np.add.reduceat(gained, ids_in[:-1]) / np.log(10)})
+
+    return coded.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(score, OUT)
