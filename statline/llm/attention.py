@@ -108,17 +108,19 @@ class Windows:
     """What each window reads and asks for. What is read at a place is the id before it; the first place of a text, and all before
     it, read the end id."""
 
-    def __init__(self, ids: np.ndarray, bounds: np.ndarray, asked: np.ndarray, end: int):
-        """``asked`` holds for each id what is asked for at its place."""
+    def __init__(self, ids: np.ndarray, bounds: np.ndarray, classes: np.ndarray):
+        """What is asked for at a place is the class of its id."""
         owner, self.first, self.n = windows_of(bounds)
-        self.start = bounds[owner] + self.first
-        read = np.concatenate((np.array([end], ids.dtype), ids[:-1])) if len(ids) else ids
-        read[bounds[:-1]] = end
-        self.end, last = end, read[-1:]  # what lies past the last place is read by none of those that are scored
-        self.read = np.lib.stride_tricks.sliding_window_view(
-            np.concatenate([np.full(BACK, end, read.dtype), read, np.repeat(last, WINDOW)]), WINDOW)
-        self.asked = np.lib.stride_tricks.sliding_window_view(
-            np.concatenate([asked, np.zeros(SCORED, asked.dtype)]), SCORED)
+        self.start, self.end, n = bounds[owner] + self.first, len(classes) - 1, len(ids)
+        read, asked, classes = np.full(BACK + n + WINDOW, self.end, np.int32), np.zeros(n + SCORED, np.int16), classes.astype(np.int16)
+        read[BACK + 1:BACK + n] = ids[:-1]
+        read[BACK + bounds[:-1]] = self.end
+        # What lies past the last place is read by none of those that are scored.
+        read[BACK + n:] = read[BACK + n - 1]
+        for a in range(0, n, 500_000):
+            asked[a:min(a + 500_000, n)] = classes[ids[a:a + 500_000]]
+        self.read = np.lib.stride_tricks.sliding_window_view(read, WINDOW)
+        self.asked = np.lib.stride_tricks.sliding_window_view(asked, SCORED)
 
     def __len__(self) -> int:
         return len(self.start)
@@ -129,7 +131,7 @@ class Windows:
         seen = self.read[start].astype(np.int64)
         seen[self.first[pick] == 0, :BACK] = self.end
         real = np.flatnonzero(np.arange(SCORED) < self.n[pick][:, None])
-        return seen, real, self.asked[start].ravel()[real]
+        return seen, real, self.asked[start].ravel()[real].astype(np.int64)
 
 
 def by_group(group: np.ndarray) -> tuple[np.ndarray, list[list[tuple[int, int, int]]]]:
@@ -167,18 +169,22 @@ def distances(near: np.ndarray) -> np.ndarray:
     return np.where(column <= row, near[np.clip(row - column, 0, WINDOW - 1)], LOWEST).astype(np.float32)
 
 
-def attend(part: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shares of the places seen, and for each scored place its own vector, its context and a one. ``part`` holds for each place
-    of the windows its vector, query, key and value."""
-    query, key, value = part[:, BACK:, WIDTH:2 * WIDTH], part[:, :, 2 * WIDTH:3 * WIDTH], part[:, :, 3 * WIDTH:4 * WIDTH]
-    score = query @ np.ascontiguousarray(key.transpose(0, 2, 1))
+def asking(w: dict[str, np.ndarray]) -> np.ndarray:
+    """One layer that gives the query of a vector, turned by the keys' layer so that it meets vectors themselves."""
+    return (w["query"] / np.float32(np.sqrt(WIDTH))) @ w["key"].T
+
+
+def attend(part: np.ndarray, turned: np.ndarray, bias: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Shares of the places seen; into ``both`` go each scored place's own vector, the mean of the vectors it sees by these
+    shares, and a one. ``part`` holds for each place of the windows its vector and query, ``turned`` the vectors by column."""
+    score = part[:, BACK:, WIDTH:2 * WIDTH] @ turned
     score += bias
     share, total, _ = exp_rows(score)
     share *= (1 / total)[:, :, None]
-    both = np.empty((len(part), SCORED, 2 * WIDTH + 1), np.float32)
+    both = both.reshape(len(part), SCORED, -1)
     both[:, :, :WIDTH], both[:, :, -1] = part[:, BACK:, :WIDTH], 1
-    np.matmul(share, value, out=both[:, :, WIDTH:-1])
-    return share, both.reshape(-1, 2 * WIDTH + 1)
+    np.matmul(share, part[:, :, :WIDTH], out=both[:, :, WIDTH:-1])
+    return share
 
 
 def output_layers(w: dict[str, np.ndarray]) -> np.ndarray:
@@ -189,6 +195,13 @@ def output_layers(w: dict[str, np.ndarray]) -> np.ndarray:
     return out
 
 
+def valued(out: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The same for means of vectors: the layer of values comes before each, so that no place needs it of its own."""
+    out = out.copy()
+    out[:, WIDTH:-1] = value @ out[:, WIDTH:-1]
+    return out
+
+
 def logits_of(out: np.ndarray, both: np.ndarray, stretches: list[tuple[int, int, int]]) -> np.ndarray:
     """Logits of groups and of the classes of the asked group, for places in the order of groups."""
     start = stretches[0][1]
@@ -206,20 +219,24 @@ class AttentionModel:
     def __init__(self, classes: np.ndarray, weights: dict[str, np.ndarray], log_within: np.ndarray):
         self.classes, self.log_within = classes, log_within.astype(np.float32)
         w = {k: v.astype(np.float32) for k, v in weights.items()}
-        self.table = np.concatenate([w["token"], w["token"] @ projections(w)], axis=1)
+        self.table = np.concatenate([w["token"], w["token"] @ asking(w)], axis=1)
         held = np.bincount(classes, minlength=CLASSES).reshape(GROUPS, MEMBERS) > 0
         w["member_offset"] = np.where(held, w["member_offset"], LOWEST)
         w["top_offset"] = np.where(held.any(axis=1), w["top_offset"], LOWEST)
-        self.out, self.bias = output_layers(w), distances(w["near"])
+        self.out, self.bias = valued(output_layers(w), w["value"]), distances(w["near"])
 
     def log_probabilities(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """For each id of texts that lie between ``bounds`` (end id last): the log probability of the id after those before
         it."""
         gained = np.empty(len(ids), np.float32)
-        windows = Windows(ids, bounds, self.classes.astype(np.int32)[ids], len(self.classes) - 1)
+        windows = Windows(ids, bounds, self.classes)
         for a in range(0, len(windows), BATCH):
             seen, real, target = windows[np.arange(a, min(a + BATCH, len(windows)))]
-            both = np.concatenate([attend(self.table.take(seen[b:b + PIECE], axis=0), self.bias)[1] for b in range(0, len(seen), PIECE)])
+            both = np.empty((len(seen) * SCORED, 2 * WIDTH + 1), np.float32)
+            for b in range(0, len(seen), PIECE):
+                part = self.table.take(seen[b:b + PIECE], axis=0)
+                turned = np.ascontiguousarray(part[:, :, :WIDTH].transpose(0, 2, 1))
+                attend(part, turned, self.bias, both[b * SCORED:(b + PIECE) * SCORED])
             group, member = np.divmod(target, MEMBERS)
             order, lists = by_group(group)
             # Windows follow each other, and each scores the places after those of the one before.
@@ -232,8 +249,8 @@ class AttentionModel:
                 each, flat = np.arange(len(at)) * (GROUPS + MEMBERS), logits.reshape(-1)
                 less = np.log(total) + less
                 own[at] = flat[each + group[at]] + flat[each + (GROUPS + member[at])] - less[:, 0] - less[:, 1]
-            gained[first:first + len(real)] = own
-        return gained + self.log_within[ids]
+            gained[first:first + len(real)] = own + self.log_within[ids[first:first + len(real)]]
+        return gained
 
 
 def log_within(classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -266,80 +283,74 @@ def learn_all(w: dict[str, np.ndarray], classes: np.ndarray, ids: np.ndarray, bo
     return len(order), learn(w, classes, ids, bounds, [order[a:a + BATCH] for a in range(0, len(order), BATCH)], rate)
 
 
-def projections(w: dict[str, np.ndarray]) -> np.ndarray:
-    """One layer that gives the query, key and value of a vector."""
-    return np.concatenate([w["query"] / np.float32(np.sqrt(WIDTH)), w["key"], w["value"]], axis=1)
-
-
 def output_slopes(out: np.ndarray, both: np.ndarray, real: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slopes of the mean loss by the output layers and by what they are given, of which the last column is left free."""
     group, member = np.divmod(target, MEMBERS)
     order, lists = by_group(group)
-    turned, one = np.ascontiguousarray(out[:, :-1].transpose(0, 2, 1)), np.float32(1 / max(len(real), 1))
-    d_out, d_both = np.zeros_like(out), np.zeros_like(both)
+    back, one = np.ascontiguousarray(out[:, :-1].transpose(0, 2, 1)), np.float32(1 / max(len(real), 1))
+    # The last row is that of all places that are not scored.
+    d_out, d_given, place = np.zeros_like(out), np.zeros((len(real) + 1, both.shape[1]), np.float32), np.full(len(both), len(real))
+    place[real[order]] = np.arange(len(real))
     for stretches in lists:
-        start, at = stretches[0][1], order[stretches[0][1]:stretches[-1][2]]
+        start, end = stretches[0][1], stretches[-1][2]
+        at = order[start:end]
         given = both.take(real[at], axis=0)
         p, total, _ = exp_rows(logits_of(out, given, stretches).reshape(-1, 2, MEMBERS))
         p *= (one / total)[:, :, None]
         p = p.reshape(len(at), -1)
         each, flat = np.arange(len(at)) * p.shape[1], p.reshape(-1)
-        flat[each + group[at]] -= one
-        flat[each + (GROUPS + member[at])] -= one
-        d_given = np.empty((len(at), 2 * WIDTH), np.float32)
+        np.subtract.at(flat, each + group[at], one)
+        np.subtract.at(flat, each + (GROUPS + member[at]), one)
         for g, a, b in stretches:
             np.matmul(given[a - start:b - start].T, p[a - start:b - start], out=d_out[g])
-            np.matmul(p[a - start:b - start], turned[g], out=d_given[a - start:b - start])
-        d_both[real[at], :-1] = d_given
-    return d_out, d_both
+            np.matmul(p[a - start:b - start], back[g], out=d_given[a:b, :-1])
+    return d_out, d_given.take(place, axis=0)
 
 
 def slopes(w: dict[str, np.ndarray], seen: np.ndarray, real: np.ndarray, target: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """Slopes of the mean loss by each weight, for windows of read ids, the numbers of the places scored in them and the
     classes asked for there; for ``token`` by the rows that are read, which come second.
 
-    Queries, keys and values are made once for each id of the batch. They and the shares are kept, a piece of the batch at a
-    time, from the way there for the way back.
+    Queries are made once for each id of the batch. What a piece of the batch needs on the way back is kept from the way there.
     """
     size = seen.size
-    key = np.sort(seen.ravel() * size + np.arange(size))
-    ids = key // size
-    order, new = key - ids * size, np.concatenate(([True], ids[1:] != ids[:-1]))
+    bits = size.bit_length()
+    key = np.sort((seen.ravel() << bits) + np.arange(size))
+    ids = key >> bits
+    order, new = key & ((1 << bits) - 1), np.concatenate(([True], ids[1:] != ids[:-1]))
     starts, number = np.flatnonzero(new), np.empty(size, np.int64)
     number[order] = np.cumsum(new) - 1
     rows = ids[starts]
-    own, weights, bias = w["token"].take(rows, axis=0), projections(w), distances(w["near"])
-    # The last column takes from a score's slope the mean of its row.
-    table = np.concatenate([own, own @ weights, np.full((len(rows), 1), -1, np.float32)], axis=1)
-    number = number.reshape(seen.shape)
+    own, ask, bias, out = w["token"].take(rows, axis=0), asking(w), distances(w["near"]), output_layers(w)
+    table, number = np.concatenate([own, own @ ask], axis=1), number.reshape(seen.shape)
     kept, both = [], np.empty((len(seen) * SCORED, 2 * WIDTH + 1), np.float32)
     for a in range(0, len(seen), PIECE):
         part = table.take(number[a:a + PIECE], axis=0)
-        share, both[a * SCORED:(a + PIECE) * SCORED] = attend(part, bias)
-        kept.append((part, share))
-    d_out, d_both = output_slopes(output_layers(w), both, real, target)
-    d_weights, d_near, d_x = np.zeros_like(weights), np.zeros(SCORED * WINDOW, np.float32), np.empty((*seen.shape, WIDTH), np.float32)
-    for a, (part, share) in zip(range(0, len(seen), PIECE), kept):
+        turned = np.empty((len(part), WIDTH + 1, WINDOW), np.float32)
+        turned[:, :-1], turned[:, -1] = part[:, :, :WIDTH].transpose(0, 2, 1), -1  # takes from a score's slope the mean of its row
+        kept.append((part, turned, attend(part, turned[:, :-1], bias, both[a * SCORED:(a + PIECE) * SCORED])))
+    d_out, d_both = output_slopes(valued(out, w["value"]), both, real, target)
+    d_ask, d_near, d_x = np.zeros_like(ask), np.zeros(SCORED * WINDOW, np.float32), np.empty((*seen.shape, WIDTH), np.float32)
+    through = np.concatenate([np.eye(WIDTH, dtype=np.float32), ask.T])
+    for a, (part, turned, share) in zip(range(0, len(seen), PIECE), kept):
         m, at = len(part), slice(a * SCORED, (a + PIECE) * SCORED)
-        context, d = both[at].reshape(m, SCORED, -1)[:, :, WIDTH:-1], d_both[at].reshape(m, SCORED, -1)
-        d_context = d[:, :, WIDTH:-1]
-        np.einsum("bsw,bsw->bs", d_context, context, out=d[:, :, -1])
-        d_score = d[:, :, WIDTH:] @ np.ascontiguousarray(part[:, :, 3 * WIDTH:].transpose(0, 2, 1))
+        mean, d = both[at].reshape(m, SCORED, -1)[:, :, WIDTH:-1], d_both[at].reshape(m, SCORED, -1)
+        d_mean = d[:, :, WIDTH:-1]
+        np.einsum("bsw,bsw->bs", d_mean, mean, out=d[:, :, -1])
+        d_score = d[:, :, WIDTH:] @ turned
         d_score *= share
         d_near += np.ones(m, np.float32) @ d_score.reshape(m, -1)
-        d_part = np.empty((m, WINDOW, 3 * WIDTH), np.float32)
-        d_part[:, :BACK, :WIDTH] = 0
-        np.matmul(d_score, part[:, :, 2 * WIDTH:3 * WIDTH], out=d_part[:, BACK:, :WIDTH])
-        np.matmul(d_score.transpose(0, 2, 1), part[:, BACK:, WIDTH:2 * WIDTH], out=d_part[:, :, WIDTH:2 * WIDTH])
-        np.matmul(share.transpose(0, 2, 1), d_context, out=d_part[:, :, 2 * WIDTH:])
-        d_weights += (part[:, :, :WIDTH].transpose(0, 2, 1) @ d_part).sum(axis=0)
-        np.matmul(d_part.reshape(-1, 3 * WIDTH), weights.T, out=d_x[a:a + PIECE].reshape(-1, WIDTH))
-        d_x[a:a + PIECE, BACK:] += d[:, :, :WIDTH]
-    d_query, d_key, d_value = np.split(d_weights, 3, axis=1)
-    back = np.clip(np.arange(BACK, WINDOW)[:, None] - np.arange(WINDOW), 0, WINDOW - 1)
+        np.matmul(share.transpose(0, 2, 1), d_mean, out=d_x[a:a + PIECE])
+        d_x[a:a + PIECE] += d_score.transpose(0, 2, 1) @ part[:, BACK:, WIDTH:]
+        d_query = np.matmul(d_score, part[:, :, :WIDTH], out=d_mean)
+        d_ask += (part[:, BACK:, :WIDTH].transpose(0, 2, 1) @ d_query).sum(axis=0)
+        d_x[a:a + PIECE, BACK:] += (d.reshape(m * SCORED, -1)[:, :-1] @ through).reshape(m, SCORED, WIDTH)
+    back, scale = np.clip(np.arange(BACK, WINDOW)[:, None] - np.arange(WINDOW), 0, WINDOW - 1), np.float32(1 / np.sqrt(WIDTH))
+    d_value = np.tensordot(d_out[:, WIDTH:-1], out[:, WIDTH:-1], ((0, 2), (0, 2)))
+    d_out[:, WIDTH:-1] = w["value"].T @ d_out[:, WIDTH:-1]
     top = d_out[:, :, :GROUPS].sum(axis=0)
     return {"top": top[:-1], "top_offset": top[-1], "member": d_out[:, :-1, GROUPS:], "member_offset": d_out[:, -1, GROUPS:],
-            "near": np.bincount(back.ravel(), d_near, WINDOW), "query": d_query / np.float32(np.sqrt(WIDTH)), "key": d_key,
+            "near": np.bincount(back.ravel(), d_near, WINDOW), "query": d_ask @ w["key"] * scale, "key": d_ask.T @ w["query"] * scale,
             "value": d_value, "token": np.add.reduceat(d_x.reshape(-1, WIDTH).take(order, axis=0), starts, axis=0)}, rows
 
 
@@ -356,7 +367,7 @@ def learn(w: dict[str, np.ndarray], classes: np.ndarray, ids: np.ndarray, bounds
     w = {"token": w["token"].astype(np.float32)} | {k: flat[a:b].reshape(w[k].shape) for k, a, b in zip(dense, edges, edges[1:])}
     moved = {"token": w["token"], "dense": flat}
     mean, square = ({k: np.zeros_like(v) for k, v in moved.items()} for _ in range(2))
-    windows, steps = Windows(ids, bounds, classes.astype(np.int32)[ids], len(classes) - 1), len(picks)
+    windows, steps = Windows(ids, bounds, classes), len(picks)
     for step, pick in enumerate(picks, 1):
         slope, rows = slopes(w, *windows[pick])
         pace = np.float32(rate * (1 - 0.9 * step / steps) / (1 - 0.9 ** step))

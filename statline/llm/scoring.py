@@ -19,7 +19,7 @@ SAMPLE_DOCS = 1_500
 PART, GROUP_CHARS = 6_000_000, 16_000_000
 LATE_BUCKETS = 64
 SLICE = 16_384
-SLICED_WORDS = 500_000
+SLICED_WORDS = 100_000
 # Rows are the words of a group that fall into a bucket, the subwords of all its words, or a text.
 COUNTS = ("bucket int, chunk int, hashes binary, counts binary, lengths binary, pieces binary, "
           "turn int, doc_id long, held_out boolean, places binary")
@@ -102,10 +102,10 @@ def _count(ranks: str, buckets: int, sampled: np.ndarray):
             at = slice(group.edges[b], group.edges[b + 1])
             rows.append((b, chunk, group.hashes[at].tobytes(), total[at].astype(np.uint32).tobytes()))
         counts = pd.DataFrame(rows, columns=["bucket", "chunk", "hashes", "counts"])
-        subwords_of = pd.DataFrame({"chunk": [chunk], "lengths": [group.lengths.tobytes()], "pieces": [group.pieces.tobytes()]})
+        subwords_of = pd.DataFrame({"chunk": [chunk], "lengths": [_packed(group.lengths)], "pieces": [_packed(group.pieces)]})
         texts = pd.DataFrame({
             "chunk": chunk, "turn": np.arange(len(docs)), "doc_id": docs["doc_id"].astype("Int64").array,
-            "held_out": docs["held_out"].to_numpy(object), "places": [group.places[a:b].tobytes() for a, b in zip(group.bounds, group.bounds[1:])]})
+            "held_out": docs["held_out"].to_numpy(object), "places": [_packed(group.places[a:b]) for a, b in zip(group.bounds, group.bounds[1:])]})
         return _together([counts, subwords_of, texts], [c.split()[0] for c in COUNTS.split(", ")])
 
     return count
@@ -119,13 +119,26 @@ def _together(frames: list[pd.DataFrame], columns: list[str]) -> pd.DataFrame:
         for f in frames], ignore_index=True) for c in columns})
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers below 2 ** 31, their low halves before their high ones, which take little room where few differ from 0."""
+    values = values.astype(np.uint32)
+    return values.astype(np.uint16).tobytes() + (values >> 16).astype(np.uint16).tobytes()
+
+
+def _unpacked(rows: pd.Series) -> np.ndarray:
+    """The numbers of all rows one after another."""
+    low, high = (np.frombuffer(b"".join(half), np.uint16).astype(np.int32)
+                 for half in ([x[:len(x) // 2] for x in rows], [x[len(x) // 2:] for x in rows]))
+    return low | (high << 16)
+
+
 def _texts(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
     """The texts of a group in their order, the places of their words and ends, where each begins among these, and the
     group's subwords."""
     texts, own = rows[rows["places"].notna()].sort_values("turn"), rows[rows["lengths"].notna()]
-    places = unpack(texts["places"], np.int32)
+    places = _unpacked(texts["places"])
     bounds = np.concatenate(([0], np.cumsum([len(x) // 4 for x in texts["places"]]))).astype(np.int64)
-    return texts, places, bounds, (unpack(own["lengths"], np.int32), unpack(own["pieces"], np.int32))
+    return texts, places, bounds, (_unpacked(own["lengths"]), _unpacked(own["pieces"]))
 
 
 def _total(rows: pd.DataFrame) -> pd.DataFrame:

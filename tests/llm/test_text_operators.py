@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -463,6 +465,38 @@ def test_text_scores_learn_from_the_texts_outside_the_sample(documents):
     assert any(abs(a.score - scored[1][i].score) > 1e-4 * abs(a.score) for i, a in scored[0].items())
 
 
+def test_text_scores_cut_texts_once(monkeypatch):
+    """A group hands its texts on as places of words, from which the ids of every text come back as if each were cut alone; neither
+    words nor subwords are looked for again to learn."""
+    from statline.llm import scoring as S
+
+    ranks, long = public_tokenizers.path("byte_bpe_50k.tiktoken"), "b\u00e4r " * 70_000
+    texts = ["", " \t", "One two  one", "two\nunbelievably \u4e2d\u6587 ONE", long, "x" * 70_000, "one"]
+    encode, size = S.subwords(ranks).encoding.encode_ordinary, S._vocabulary(ranks)
+    wanted = []
+    for text in texts:
+        ids = [encode(" " + w) for w in re.split("[ \t\n]+", re.sub("[A-Z]", lambda m: m.group().lower(), text)) if w]
+        wanted.append([i + (size // 2 if k == 0 else 0) for own in ids for k, i in enumerate(own)] + [size - 1])
+    monkeypatch.setattr(S, "PART", 20)
+    docs = pd.DataFrame({"doc_id": [2 ** 60 + k for k in range(7)], "row": range(7), "text": texts,
+                         "held_out": [False] * 6 + [True], "chunk": 0})
+    rows = S._count(ranks, 3, np.zeros(size, np.int64))((0,), docs)
+    coded = rows[rows["lengths"].notna() | rows["places"].notna()]
+    held_out = coded["held_out"].eq(True)
+    for name in ("Words", "subwords"):
+        monkeypatch.setattr(S, name, None)
+    got, places, bounds, subwords_of = S._texts(coded)
+    assert got["doc_id"].tolist() == docs["doc_id"].tolist() and got["held_out"].tolist() == docs["held_out"].tolist()
+    ids, starts = S._ids(places, bounds, *subwords_of)
+    assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == wanted
+    counts = np.frombuffer(rows.loc[rows["bucket"] == -1, "counts"].iloc[0], np.int64)
+    assert (counts == np.bincount(np.concatenate(wanted[:-1]), minlength=size)).all()
+    classes, weights, _ = S.train(ids[:500], np.array([0, 500]), np.arange(size) >= size // 2, steps=2, batch=4)
+    learnt = S._learn(classes, weights)((0,), coded[~held_out])
+    assert learnt["windows"].iloc[0] == sum(-(-len(own) // 24) for own in wanted[:-1])
+    assert not len(S._learn(classes, weights)((0,), coded[coded["places"].isna()]))
+
+
 def test_text_scores_of_odd_rows(odd_docs):
     scored = text_scores(odd_docs, public_tokenizers.path("byte_bpe_50k.tiktoken")).collect()
     assert len(scored) == odd_docs.count() and all(np.isfinite(r.score) for r in scored)
