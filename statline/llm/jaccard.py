@@ -1,8 +1,9 @@
 """N-gram Jaccard join: documents linked by the similarity of their shingle sets, and the classes the links make.
 
 Shingles are hashed into groups. If two sets differ in at most d shingles and there are more than d groups, some group is the
-same in both: that group is the key by which documents meet. Within a key, a tree over points of group counts bounds the
-overlap of two sets by their summed coordinate minima; what survives is verified on the whole texts.
+same in both: that group is the key by which documents meet. With groups to spare several are, so each set leaves out as many
+of its most common keys, and passages that many documents share bring none of them together. Within a key, a tree over points
+of group counts bounds the overlap of two sets by their summed coordinate minima; what survives is verified on the whole texts.
 """
 
 from __future__ import annotations
@@ -28,7 +29,10 @@ CELL = 2_000
 ROWS_A_BUCKET = 12_000
 KEYS_HELD = 500_000
 EMPTY = U64(0x1F83D9ABFB41BD6B)
-PACKED = "bucket int, key binary, doc_id binary"
+MARK_BITS = 20
+MOST_SPARE = (1 << MARK_BITS) - 1
+MARKED = (1 << MARK_BITS + 8) - 1
+PACKED = "bucket int, key binary, doc_id binary, mark binary"
 
 
 def size_levels() -> np.ndarray:
@@ -61,25 +65,35 @@ class Similarity:
         return -(-(self.part * size) // self.whole)
 
 
-def group_keys(flat: np.ndarray, sizes: np.ndarray, similar: Similarity) -> tuple[np.ndarray, np.ndarray]:
-    """``(key, set number)``: for each set and each level a partner's smaller set may be of, the keys of its groups.
+def marked_keys(flat: np.ndarray, sizes: np.ndarray, similar: Similarity) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(key, set number, mark)``: for each set and each level a partner's smaller set may be of, the keys of its groups.
 
-    A level allows d differing shingles and has ``d + 1`` groups and three to spare, so similar sets share a group that is
-    not empty unless one of them has many empty groups; only such sets give keys to their empty groups too.
+    A level allows d differing shingles and has ``d + 1`` groups and a third as many to spare. Of a set with f groups that are
+    not empty, ``f - e`` at least are the same in every similar set, where e is what its own size allows to differ, d at most.
+    So it may leave out ``f - e - 1`` of its keys, those that come last in any order that all sets go by. The mark tells sets
+    and levels of one id apart and holds that number in its last bits. A set with no more than e such groups leaves none out and
+    also gives a key to each shingle, of which two similar sets share ``size - e``. Only where that may be none, a set gives
+    keys to its empty groups too.
     """
-    keys, owners = [], []
+    keys, owners, marks = [], [], []
+
+    def add(key, owner, kind, spare):
+        keys.append(key)
+        owners.append(owner)
+        marks.append((whole[owner] & ~MARKED) | (kind << MARK_BITS) | np.minimum(spare, MOST_SPARE))
+
     starts = np.cumsum(sizes) - sizes
     own = np.searchsorted(LEVELS, np.maximum(sizes, 1), "right") - 1
     lowest = np.searchsorted(LEVELS, np.maximum(similar.partner(sizes), 1), "right") - 1
-    summed = mix(flat + EMPTY)
+    summed, whole = mix(flat + EMPTY), _set_hashes(flat, sizes)
     for below in range(int((own - lowest).max()) + 1 if len(sizes) else 0):
         chosen = np.flatnonzero((sizes > 0) & (own - below >= lowest))
         if not len(chosen):
             continue
         level = own[chosen] - below
-        differ = similar.differing(LEVELS[level + 1] - 1)
-        groups = differ + 1 + np.minimum(SPARE, differ)
-        n = sizes[chosen]
+        differ, n = similar.differing(LEVELS[level + 1] - 1), sizes[chosen]
+        groups = differ + 1 + np.maximum(np.minimum(SPARE, differ), differ // 3)
+        differ = np.minimum(differ, similar.differing(n))
         at = gather(np.arange(len(flat)), starts[chosen], n)
         index = np.repeat(np.arange(len(chosen)), n)
         group = ((flat[at] >> U64(32)) * groups[index].astype(np.uint64)) >> U64(32)
@@ -87,16 +101,24 @@ def group_keys(flat: np.ndarray, sizes: np.ndarray, similar: Similarity) -> tupl
         new[1:] = (index[1:] != index[:-1]) | (group[1:] != group[:-1])
         first = np.flatnonzero(new)
         salt = mix(level.astype(np.uint64) + U64(1))
-        keys.append(mix(np.add.reduceat(summed[at], first) ^ mix(salt[index[first]] + group[first])))
-        owners.append(chosen[index[first]])
         filled = np.bincount(index[first], minlength=len(chosen))
-        for c in np.flatnonzero(groups - filled >= groups - differ):
+        of = index[first]
+        add(mix(np.add.reduceat(summed[at], first) ^ mix(salt[of] + group[first])), chosen[of], 2 * level[of],
+            np.maximum(filled - differ - 1, 0)[of])
+        few = (filled <= differ)[index]
+        of = index[few]
+        add(mix(summed[at[few]] ^ mix(~salt[of])), chosen[of], 2 * level[of] + 1, np.maximum(n - differ - 1, 0)[of])
+        for c in np.flatnonzero((filled <= differ) & (n <= differ)):
             missing = np.setdiff1d(np.arange(groups[c]).astype(np.uint64), group[index == c])
-            keys.append(mix(EMPTY ^ mix(salt[c] + missing)))
-            owners.append(np.full(len(missing), chosen[c]))
+            add(mix(EMPTY ^ mix(salt[c] + missing)), np.full(len(missing), chosen[c]), 2 * level[c], 0)
     if not keys:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.concatenate(keys), np.concatenate(owners)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(keys), np.concatenate(owners), np.concatenate(marks)
+
+
+def group_keys(flat: np.ndarray, sizes: np.ndarray, similar: Similarity) -> tuple[np.ndarray, np.ndarray]:
+    """``(key, set number)`` of all keys."""
+    return marked_keys(flat, sizes, similar)[:2]
 
 
 def count_points(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
@@ -217,7 +239,7 @@ class CountTree:
 
 
 def _keys(docs: DataFrame, size: int, similar: Similarity, buckets: int) -> DataFrame:
-    """Packed rows: in bucket -1 ids and set sizes, in the others group keys and ids."""
+    """Packed rows: in bucket -1 ids and set sizes, in the others keys, ids and marks."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         dealer = Dealer(buckets, KEYS_HELD)
         for batch in batches:
@@ -225,11 +247,12 @@ def _keys(docs: DataFrame, size: int, similar: Similarity, buckets: int) -> Data
             texts, ids = batch["text"].tolist(), batch["doc_id"].to_numpy(np.int64)
             for a, b in chunks(texts):
                 flat, sizes = shingle_sets(texts[a:b], size)
-                yield pd.DataFrame({"bucket": [-1], "key": [sizes.astype(np.int64).tobytes()], "doc_id": [ids[a:b].tobytes()]})
-                key, owner = group_keys(flat, sizes, similar)
-                if dealer.add(key, ids[a:b][owner]):
-                    yield dealer.deal(("doc_id",))
-        yield dealer.deal(("doc_id",))
+                yield pd.DataFrame({"bucket": [-1], "key": [sizes.astype(np.int64).tobytes()], "doc_id": [ids[a:b].tobytes()],
+                                    "mark": [b""]})
+                key, owner, mark = marked_keys(flat, sizes, similar)
+                if dealer.add(key, ids[a:b][owner], mark):
+                    yield dealer.deal(("doc_id", "mark"))
+        yield dealer.deal(("doc_id", "mark"))
 
     return docs.mapInPandas(emit, PACKED)
 
@@ -240,17 +263,35 @@ def _sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _meet(rows: pd.DataFrame) -> pd.DataFrame:
-    """``run, doc_id`` of the documents of a bucket that share a key."""
-    key, ids = unpack(rows["key"], np.uint32), unpack(rows["doc_id"], np.int64)
-    order = np.lexsort((ids, key))
-    key, ids = key[order], ids[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
-    key, ids = key[new], ids[new]
-    _, first, count = np.unique(key, return_index=True, return_counts=True)
-    run = np.repeat(np.arange(len(first)), count)
-    shared = count[run] > 1
-    return pd.DataFrame({"run": np.int64(rows["bucket"].iloc[0]) << 32 | key[shared].astype(np.int64), "doc_id": ids[shared]})
+    """``run, doc_id, mark, many`` of the documents of a bucket that share a key, and how many do."""
+    key, ids, mark = unpack(rows["key"], np.uint32), unpack(rows["doc_id"], np.int64), unpack(rows["mark"], np.int64)
+    order = np.lexsort((mark, ids, key))
+    key, ids, mark = key[order], ids[order], mark[order]
+    other = np.ones(len(key), bool)
+    other[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
+    new = other.copy()
+    new[1:] |= mark[1:] != mark[:-1]
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    run = np.cumsum(first) - 1
+    many = np.bincount(run[other])[run]
+    shared = new & (many > 1)
+    return pd.DataFrame({"run": np.int64(rows["bucket"].iloc[0]) << 32 | key[shared].astype(np.int64), "doc_id": ids[shared],
+                         "mark": mark[shared], "many": many[shared]})
+
+
+def _rarest(shared: DataFrame) -> DataFrame:
+    """``run, doc_id`` of the runs that are left when each set leaves out those of the most documents, as many as its mark
+    says, and ``a``, the smallest id of the run. Of two similar sets the rarest run that both are in is left to both; a run of
+    a common passage is left to almost none, so that runs do not grow with the input."""
+    order = Window.partitionBy("doc_id", "mark").orderBy(F.desc("many"), F.desc("run"))
+    kept = (shared.withColumn("turn", F.row_number().over(order))
+            .where(F.col("turn") > F.col("mark").bitwiseAND(F.lit(MOST_SPARE))).select("run", "doc_id"))
+    kept = store(kept, "kept")
+    leaders = kept.groupBy("run").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("run", "a")
+    runs = store(kept.join(leaders, "run"), "runs")
+    forget(kept)
+    return runs
 
 
 def _set_hashes(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -394,8 +435,11 @@ def similar_links(docs: DataFrame, size: int, similar: Similarity) -> tuple[Data
     with small_batches(docs.sparkSession):
         packed = store(_keys(texts, size, similar, buckets_for(texts, BUCKET_CHARS)), "keys")
     sizes = store(packed.where("bucket < 0").mapInPandas(_sizes, "doc_id long, n_shingles long"), "sizes")
-    shared = store(packed.where("bucket >= 0").groupBy("bucket").applyInPandas(_meet, "run long, doc_id long"), "runs")
+    meetings = store(packed.where("bucket >= 0").groupBy("bucket").applyInPandas(
+        _meet, "run long, doc_id long, mark long, many long"), "meetings")
     forget(packed)
+    shared = _rarest(meetings)
+    forget(meetings)
     rows = shared.count()
     with small_batches(docs.sparkSession):
         known = store(only_ids(texts, store(in_tasks(shared.select("doc_id").distinct(), rows), "met"))
@@ -406,7 +450,7 @@ def similar_links(docs: DataFrame, size: int, similar: Similarity) -> tuple[Data
                              .select("doc_id", "head"), met), "classes")
     copies = in_tasks(classes.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct(), met)
     heads = in_tasks(classes.where("doc_id = head").select("doc_id").distinct(), met)
-    runs = store(shared.join(heads, "doc_id", "left_semi"), "heads")
+    runs = store(shared.drop("a").join(heads, "doc_id", "left_semi"), "heads")
     forget(shared)
     leaders = runs.groupBy("run").agg(F.min("doc_id").alias("a"))
     stars = store(in_tasks(runs.join(leaders, "run").where("doc_id <> a").groupBy("a", F.col("doc_id").alias("b"))

@@ -16,7 +16,7 @@ from statline.llm import common, components, dedup, jaccard, vector_search
 from statline.llm.catalog import QUERIES, SQL
 from statline.llm.common import TokenIds, Words, subwords, token_ids, word_hashes
 from statline.llm.decontaminate import Passages, benchmark_regions, codes, without_benchmark
-from statline.llm.jaccard import CountTree, Similarity, bounded_pairs, coarse, count_points, group_keys, jaccard_components, one_of_each, packed_point, shingle_sets
+from statline.llm.jaccard import CountTree, Similarity, bounded_pairs, coarse, count_points, group_keys, jaccard_components, marked_keys, one_of_each, packed_point, shingle_sets
 from statline.llm.packing import best_fit_packing, pack, plan_best_fit
 from statline.llm.quality import fit_quality, keep_good, quality_scores, score_quality
 from statline.llm.scoring import text_scores
@@ -169,6 +169,55 @@ def test_packed_points_lose_no_similar_pair():
     assert len(packed[-1]) % 2 and true <= kept and len(kept) < 2 * len(true)
 
 
+@pytest.mark.parametrize("part", [95, 85, 80, 60, 50, 30])
+def test_similar_sets_share_a_key_when_the_most_common_are_left_out(part):
+    """Sets of the sizes at which levels begin and end, edited up to the border, every other one with a common passage."""
+    rnd, similar, sets = np.random.default_rng(part), Similarity(part, 100), []
+    common = rnd.integers(0, 1 << 63, 50, np.uint64)
+    for i, n in enumerate([1, 2, 3, 4, 5, 6, 8, 9, 12, 13, 18, 19, 27, 28, 41, 42, 62, 63, 93, 94] * 4):
+        base = np.concatenate((common[:n // 2 * (i % 2)], rnd.integers(0, 1 << 63, n - n // 2 * (i % 2), np.uint64)))
+        for _ in range(4):
+            out = rnd.integers(0, n // 6 + 2)
+            sets.append(np.unique(np.concatenate((rnd.permutation(base)[:max(1, n - out)],
+                                                  rnd.integers(0, 1 << 63, rnd.integers(0, out + 1), np.uint64)))))
+    key, owner, mark = marked_keys(np.concatenate(sets), np.array([len(x) for x in sets]), similar)
+    rows = pd.DataFrame({"key": key, "owner": owner, "mark": mark})
+    rows["many"] = rows.groupby("key")["owner"].transform("size")
+    rows["turn"] = rows.sort_values(["many", "key"], ascending=False).groupby(["owner", "mark"]).cumcount()
+    left = rows[rows["turn"] >= rows["mark"] % (1 << jaccard.MARK_BITS)]
+    keys = left.groupby("owner")["key"].agg(set)
+    sets = [set(x.tolist()) for x in sets]
+    true = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if 100 * len(a & b) >= part * len(a | b)]
+    assert len(true) > 30 and all(keys[i] & keys[j] for i, j in true)
+
+
+def test_a_common_passage_brings_no_documents_together(spark, monkeypatch):
+    """Documents of other words but for a passage that all have; one in ten has a near copy. Those alone meet."""
+    met, store = {}, jaccard.store
+
+    def seen(df, purpose):
+        met[purpose] = store(df, purpose)
+        return met[purpose]
+
+    monkeypatch.setattr(jaccard, "store", seen)
+    monkeypatch.setattr(jaccard, "forget", lambda *steps: None)
+    passage = " ".join(f"p{k}" for k in range(60))
+    texts = [f"{passage} " + " ".join(f"w{i}x{k}" for k in range(200)) for i in range(200)]
+    texts += [text + " and more" for text in texts[::10]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard_components(docs, 5, 80, 100).collect()}
+    assert found == {i: i if i < 200 else (i - 200) * 10 for i in range(220)}
+    assert met["open"].count() == 0 and met["known"].count() <= 60
+
+
+def test_texts_of_one_id_leave_out_their_own_keys(spark):
+    """Two texts of one id, each near another document: the id joins both."""
+    one, two = (" ".join(f"{c}{k}" for k in range(90)) for c in "ab")
+    rows = [(1, one + " end"), (2, one), (2, two), (3, two + " end"), (4, two + " other end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.component_id for r in jaccard_components(docs).collect()} == {1}
+
+
 @pytest.mark.parametrize("cell", [2_000, 3])
 def test_components_are_those_of_all_pairs(spark, monkeypatch, cell):
     monkeypatch.setattr(jaccard, "CELL", cell)
