@@ -433,7 +433,7 @@ def similar_links(docs: DataFrame, size: int, similar: Similarity) -> tuple[Data
     """
     texts = texts_of(docs).where(F.col("doc_id").isNotNull())
     with small_batches(docs.sparkSession):
-        packed = store(_keys(texts, size, similar, buckets_for(texts, BUCKET_CHARS)), "keys")
+        packed = store(_keys(texts, size, similar, buckets_for(texts, BUCKET_CHARS // 2)), "keys")
     sizes = store(packed.where("bucket < 0").mapInPandas(_sizes, "doc_id long, n_shingles long"), "sizes")
     meetings = store(packed.where("bucket >= 0").groupBy("bucket").applyInPandas(
         _meet, "run long, doc_id long, mark long, many long"), "meetings")
